@@ -6,17 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .jaccard_join import jaccard_components
+from .packing import pack_documents
 from .substring_dedup import remove_repeats
 
 
+def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", *columns)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = remove_repeats(docs, keep_text=False)
+    out = remove_repeats(_documents(spark, sf_dir, "text"), keep_text=False)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_documents(spark, sf_dir, "text")).select("doc_id", "n_shingles", "component_id")
+
+
+def word_vocabulary() -> str:
+    """The packing tokenizer's file; it stays where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack_documents(_documents(spark, sf_dir, "text"), word_vocabulary())
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}
