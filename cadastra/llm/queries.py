@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .jaccard_join import jaccard_components
 from .packing import pack_documents
 from .substring_dedup import remove_repeats
+from .toxicity import held_out, score, train
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -36,10 +37,18 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out("doc_id"))
+    out = score(docs, train(docs, labels))
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
