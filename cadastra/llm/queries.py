@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .jaccard_join import jaccard_components
+from .mixing import mix
 from .packing import pack_documents
+from .sharding import SIZE_OVERHEAD, shard_by_bytes
 from .substring_dedup import remove_repeats
 from .toxicity import held_out, score, train
 
@@ -16,6 +19,22 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", *columns)
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source, in proportion to the square root of the sources' rows."""
+    return mix(_documents(spark, sf_dir, "source"))
+
+
+SHARDS = 40
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + SIZE_OVERHEAD
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    rows = _documents(spark, sf_dir, "text").select("doc_id", size.cast("long").alias("size"), crc.alias("text_crc32"))
+    out = shard_by_bytes(rows, "size", "doc_id", SHARDS)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(_documents(spark, sf_dir, "text"), keep_text=False)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -45,6 +64,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op3_sharding": op3_sharding,
     "op4_substring_dedup": op4_substring_dedup,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
