@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard_join import jaccard_components
+from .licenses import default_templates, scan_licenses
 from .mixing import mix
+from .neighbours import nearest
 from .packing import pack_documents
+from .piece_counts import piece_counts
 from .sharding import SIZE_OVERHEAD, shard_by_bytes
 from .substring_dedup import remove_repeats
 from .toxicity import held_out, score, train
@@ -24,6 +27,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_documents(spark, sf_dir, "source"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return nearest(vectors, F.col("id") % 20 == 0)
+
+
 SHARDS = 40
 
 
@@ -40,6 +48,18 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source, language, thousands of ids."""
+    docs = _documents(spark, sf_dir, "text", "lang", "source")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 10_000), F.floor(F.col("doc_id") / 1000), "doc_id")
+    files = docs.select("doc_id", path.alias("path"), "text")
+    return scan_licenses(files, "path", "text", default_templates(spark)).select("doc_id", "path", "licence", F.round("score", 6).alias("score"), "origin")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_counts(_documents(spark, sf_dir, "text"), word_vocabulary()).select("doc_id", "n_words", "n_pieces")
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir, "text")).select("doc_id", "n_shingles", "component_id")
 
@@ -65,8 +85,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_sharding": op3_sharding,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_license_scan": op5_license_scan,
+    "op6_token_counts": op6_token_counts,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
