@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .images import drawn_images, image_copies
 from .jaccard_join import jaccard_components
 from .licenses import default_templates, scan_licenses
 from .mixing import mix
@@ -71,6 +72,11 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op8_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images drawn from all embeddings, with edited copies of some; group_id tells copies."""
+    return image_copies(drawn_images(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack_documents(_documents(spark, sf_dir, "text"), word_vocabulary())
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_scan": op5_license_scan,
     "op6_token_counts": op6_token_counts,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_image_copies": op8_image_copies,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
 }
