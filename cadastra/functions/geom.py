@@ -13,8 +13,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-RING = "array<struct<x:double,y:double>>"
+_RING = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
 
 
 def point(x: Column, y: Column) -> Column:
@@ -180,7 +181,7 @@ def _signed_triangles(ring, ox: float, oy: float) -> list:
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def overlap_area(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Common area of two simple rings, also non-convex: signed sum over triangles of both."""
     for left, right in pairs:
@@ -195,7 +196,7 @@ def overlap_area(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Se
         yield pd.Series(areas, dtype="float64")
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def to_wkb(rings: pd.Series) -> pd.Series:
     """Rings as a little-endian WKB polygon."""
 
@@ -211,7 +212,7 @@ def to_wkb(rings: pd.Series) -> pd.Series:
     return rings.map(one)
 
 
-@F.pandas_udf(f"array<{RING}>")
+@F.pandas_udf(T.ArrayType(_RING))
 def from_wkb(data: pd.Series) -> pd.Series:
     """Rings of a little-endian WKB polygon; other geometries are null."""
 

@@ -79,6 +79,11 @@ def assign_units(rows: DataFrame, units: DataFrame, unit: str, size: float = 240
     return ranked.where("place = 1").select(F.col("a_id").alias("id"), F.col(f"b_{unit}").alias(unit), "overlap")
 
 
+def assign_pairs(rows: DataFrame, units: DataFrame, unit: str, size: float = 240.0) -> DataFrame:
+    """Units that any row overlaps."""
+    return overlap_pairs(rows, units, size).where("overlap > 0").select(F.col(f"b_{unit}").alias(unit)).distinct()
+
+
 def outside(rows: DataFrame, units: DataFrame, size: float = 240.0) -> DataFrame:
     """Rows that overlap no unit."""
     return rows.join(overlap_pairs(rows, units, size).where("overlap > 0").select(F.col("a_id").alias("id")), "id", "left_anti")
