@@ -1,6 +1,6 @@
 """All queries of the building operators."""
 
-from . import cleaning_queries, spatial_queries
+from . import cleaning_queries, release_queries, spatial_queries
 from .catalog import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "cleaning_queries", "spatial_queries"]
+__all__ = ["ORACLES", "QUERIES", "cleaning_queries", "release_queries", "spatial_queries"]
