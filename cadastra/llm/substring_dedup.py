@@ -29,7 +29,8 @@ from .words import Words, chunks
 
 WINDOW = 35
 PREFIX = 8
-GROUP_ROWS = 4096
+#: Rows of a group that one task sorts; a row takes about 1 kB there.
+GROUP_ROWS = 1 << 16
 #: Suffixes sorted at once in a task; whole groups, so a group may exceed it.
 TREE_ROWS = 16384
 
