@@ -63,9 +63,9 @@ def find_borders(rows: DataFrame, targets: list[float], slack: float) -> tuple[l
     low = [(0, 0, 0)] * len(targets)
     high = [(1 << 128, None, None)] * len(targets)
     best: list[tuple | None] = [None] * len(targets)
-    open_ = list(range(len(targets)))
     edges = rows.agg(F.min("key"), F.max("key"), F.sum("size"), F.count("*")).first()
     total = (edges[2] or 0, edges[3])
+    open_ = list(range(len(targets))) if edges[3] else []
     if edges[3]:
         low = [((edges[0] + _SIGN) << 64, 0, 0)] * len(targets)
         high = [((edges[1] + _SIGN + 1) << 64, *total)] * len(targets)
@@ -95,6 +95,7 @@ def find_borders(rows: DataFrame, targets: list[float], slack: float) -> tuple[l
             else:
                 best[i] = min((low[i], high[i], best[i]), key=lambda k: abs(k[1] - targets[i]))
         open_ = still
+    best = [b or (0, 0, 0) for b in best]
     return [b[0] for b in best], [b[2] for b in best]
 
 
