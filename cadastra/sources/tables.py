@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Rows of a file and bytes of a row group that let readers skip what a filter leaves out.
 FILE_ROWS = 10_000
 GROUP_BYTES = 4 << 20
 
-FEATURES = T.StructType.fromDDL("geometry struct<type:string,coordinates:array<array<array<double>>>>, properties struct<height:double,confidence:double>")
+FEATURES = "geometry struct<type:string,coordinates:array<array<array<double>>>>, properties struct<height:double,confidence:double>"
 
 
 def read_regions(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
