@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import written
 from .words import _LOWER, _SPACE, chunks, text_buffers
 
 ORDERS = (4, 5, 6, 7, 8)
@@ -124,12 +125,11 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     are broadcast. Null ids, texts and labels take no part; of several labels of
     an id the largest holds. Without both classes only the bias is fitted.
     """
-    spark = docs.sparkSession
     chosen = labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("toxic")).dropna().where("toxic in (0, 1)").groupBy("_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(rows)
     known = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("text")).dropna()
     sample = known.join(F.broadcast(chosen), "_id").select(F.xxhash64("_id", "text").alias("order"), "text", "toxic")
-    sample = sample.repartition(8, "order").checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else sample.repartition(8, "order")
+    sample = written(sample.repartition(8, "order"), "sample")
     totals = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     if len(totals) < 2:
         prior = (totals.get(1, 0) + 0.5) / (sum(totals.values()) + 1)
