@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import text_batches, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -109,6 +109,7 @@ def pieces(docs: DataFrame, vocabulary: str, text: str = "text", capacity: int =
     A null text is an empty one and has the end id alone. Only documents longer
     than ``capacity`` are cut. Columns of the names above are replaced.
     """
+    text_batches(docs)
     names = ("piece", "start", "length", "ids_crc32", text)
     rest = [c for c in docs.columns if c not in names]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)

@@ -17,6 +17,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import text_batches
+
 #: Ends a word in the vocabulary file.
 END_MARK = "</w>"
 END = 256
@@ -134,6 +136,7 @@ def piece_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFr
     Words are those of the vocabulary's pattern on the NFC, lower-cased text; a
     null text has none. Columns n_words and n_pieces are replaced.
     """
+    text_batches(docs)
     rest = [c for c in docs.columns if c not in ("n_words", "n_pieces", text)]
     own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], F.col(f"`{text}`").cast("string").alias("text"))
     schema = ", ".join([*(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest)), "n_words long, n_pieces long"])

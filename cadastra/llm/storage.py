@@ -23,6 +23,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of texts that go to a Python worker at once.
+BATCH_ROWS = 1000
+
+
+def text_batches(df: DataFrame) -> None:
+    """Keep the session's Arrow batches small: rows here hold whole texts, and workers share an executor's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+#: Rows of ids or keys that are broadcast; more are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """A written frame of short rows, marked for broadcast if it has BROADCAST_ROWS or fewer."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per distinct non-null text: key (MD5, 16 bytes), text, copies.
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import distinct_texts, text_key
+from .storage import distinct_texts, text_batches, text_key
 from .words import Words, chunks
 
 WINDOW = 35
@@ -238,7 +238,7 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
     return small.unionByName(large)
 
 
-def _removed_rows(window: int, texts_out: bool) -> Callable:
+def _removed_rows(window: int, rest: int, texts_out: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
@@ -262,10 +262,11 @@ def _removed_rows(window: int, texts_out: bool) -> Callable:
                     digests.append(hashlib.sha256(text).hexdigest())
                     if texts_out:
                         kept.append(text.decode())
-                columns = [part.column("key"), pa.array(words.counts.astype(np.int64)), pa.array(removed.astype(np.int64)), pa.array(digests, pa.string())]
-                names = ["key", "n_words", "n_removed", "kept_sha256"]
+                names = [f"c{i}" for i in range(rest)]
+                columns = [part.column(c) for c in names] + [pa.array(words.counts.astype(np.int64)), pa.array(removed.astype(np.int64)), pa.array(digests, pa.string())]
+                names += ["n_words", "n_removed", "kept_sha256"]
                 if texts_out:
-                    columns, names = [*columns, pa.array(kept, pa.string())], [*names, "kept_text"]
+                    columns, names = [*columns, part.column("text"), pa.array(kept, pa.string())], [*names, "own_text", "kept_text"]
                 yield pa.record_batch(columns, names=names)
 
     return run
@@ -278,18 +279,22 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, ke
     anywhere else is removed, judged on the input; kept words are joined by one
     space. A null or wordless text has 0 words and keeps the empty text. Copies
     of a text of at least ``window`` words lose everything, the first included.
-    Columns of ``docs`` stay, whatever their names; result columns replace
-    columns of the same names.
+    Columns of ``docs`` stay, whatever their names, the text itself only with
+    ``keep_text`` (a string then); result columns replace columns of the same names.
+
+    Rows without their text go to the one shuffle of distinct texts, so texts
+    are moved once.
     """
+    text_batches(docs)
     texts = distinct_texts(docs, text)
     spans = repeated_spans(texts, window).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    marked = texts.join(spans, "key", "left").select("key", "text", "copies", "spans")
+    names = ("n_words", "n_removed", "kept_sha256", "kept_text")
+    rest = [c for c in docs.columns if c not in (*names, text)]
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], text_key(text).alias("key"))
     empty = F.array().cast("array<struct<first:int,last:int>>")
-    marked = texts.join(spans, "key", "left").select("key", "text", "copies", F.coalesce("spans", empty).alias("spans"))
-    schema = "key binary, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * keep_text
-    results = marked.mapInArrow(_removed_rows(window, keep_text), schema)
-    names = results.columns[1:]
-    left = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], text_key(text).alias("_key"))
-    out = left.join(results.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
-    nothing = hashlib.sha256(b"").hexdigest()
-    blank = {"n_words": F.lit(0), "n_removed": F.lit(0), "kept_sha256": F.lit(nothing), "kept_text": F.lit("")}
-    return out.withColumns({c: F.coalesce(c, blank[c].cast(results.schema[c].dataType)) for c in names})
+    joined = rows.join(marked, "key", "left").select(*[f"c{i}" for i in range(len(rest))], "text", F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("spans", empty).alias("spans"))
+    schema = ", ".join([*(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest)), "n_words long, n_removed long, kept_sha256 string"])
+    out = joined.mapInArrow(_removed_rows(window, len(rest), keep_text), schema + ", own_text string, kept_text string" * keep_text)
+    shown = [F.col("own_text").alias(c) if c == text else F.col(f"c{rest.index(c)}").alias(c) for c in docs.columns if c not in names and (keep_text or c != text)]
+    return out.select(*shown, *names[: 3 + keep_text])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import text_batches, written
 from .words import _LOWER, _SPACE, chunks, text_buffers
 
 ORDERS = (4, 5, 6, 7, 8)
@@ -65,7 +65,7 @@ def features(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndar
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, 1 << BITS), np.int64)
     for batch in batches:
-        for part in chunks(batch, "text"):
+        for part in chunks(batch, "text", 1 << 17):  # all features of a chunk are sorted at once
             rows, found = features(part.column("text"))
             toxic = part.column("toxic").to_numpy()[rows]
             for c in (0, 1):
@@ -125,6 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     are broadcast. Null ids, texts and labels take no part; of several labels of
     an id the largest holds. Without both classes only the bias is fitted.
     """
+    text_batches(docs)
     chosen = labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("toxic")).dropna().where("toxic in (0, 1)").groupBy("_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(rows)
     known = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("text")).dropna()
@@ -169,6 +170,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: st
     A null text counts as empty and gets the score of the bias alone. The text
     column stays only if asked for. Columns score and predicted are replaced.
     """
+    text_batches(docs)
     rest = [c for c in docs.columns if c not in ("score", "predicted") and (keep_text or c != text)]
     own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], F.col(f"`{text}`").cast("string").alias("text"))
     schema = ", ".join([*(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest)), "score double"])

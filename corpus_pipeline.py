@@ -15,7 +15,7 @@ from cadastra.llm.jaccard_join import text_components
 from cadastra.llm.mixing import mix
 from cadastra.llm.packing import pack_documents
 from cadastra.llm.queries import word_vocabulary
-from cadastra.llm.storage import shared_dir, text_key
+from cadastra.llm.storage import shared_dir, sized, text_key, written
 from cadastra.llm.substring_dedup import remove_repeats
 from cadastra.llm.toxicity import held_out, score, train
 
@@ -32,14 +32,19 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each near-duplicate group, and all without words."""
     classes = text_components(docs.select("doc_id", "text")).where("class is not null").select("key", "class")
-    keyed = docs.select("doc_id", text_key("text").alias("key")).join(classes, "key")
-    first = keyed.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("m"))
-    chosen = first.select(F.col("m.key").alias("_key"), F.col("m.doc_id").alias("_id"))
     rows = docs.select(*COLUMNS, text_key("text").alias("_key"))
-    groups = rows.join(chosen.withColumn("_chosen", F.lit(True)), (rows["_key"] == chosen["_key"]) & rows["doc_id"].eqNullSafe(chosen["_id"]), "left").drop(chosen["_key"], chosen["_id"])
-    kept = groups.where("_chosen").dropDuplicates(["doc_id", "_key"])
-    alone = rows.join(classes.select(F.col("key").alias("_key")), "_key", "left_anti")
-    return kept.select(*COLUMNS).unionByName(alone.select(*COLUMNS))
+    held = rows.select("doc_id", F.col("_key").alias("key")).join(classes, "key").groupBy("class", "doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    held = written(held, "held")
+    first = held.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("m"))
+    first = first.select("class", F.col("m.doc_id").alias("first_id"), F.col("m.key").alias("first_key"))
+    ranked = held.join(first, "class").withColumn("chosen", F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key")))
+    ranked = written(ranked.where("not chosen or n > 1").select(F.col("doc_id").alias("_id"), F.col("key").alias("_row"), "chosen"), "ranked")
+    same = (F.col("_key") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    out = rows.join(sized(ranked), same, "left_anti")
+    if not (again := ranked.where("chosen")).isEmpty():
+        # rows that are there several times stay once
+        out = out.unionByName(rows.join(sized(again), same, "left_semi").dropDuplicates(["doc_id", "_key"]))
+    return out.select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
