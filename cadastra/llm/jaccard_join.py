@@ -3,7 +3,7 @@
 Under any order of all tokens, two sets with Jaccard similarity t share tokens
 among the first ones of both. With set size n and o = ceil(t * n), the first
 n - o + r tokens hold at least r common ones, r = ``extra`` of the smaller set.
-Each order is (level of a fixed-size count sketch, hash with the order's seed),
+Each order is (level in a count sketch of fixed size, hash with the order's seed),
 so tokens of very many documents come last in all orders, and the orders differ
 in the rest. A text survives an order if enough of its prefix is shared with
 other texts; orders are applied one after the other to the survivors. What is
@@ -23,17 +23,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import distinct_texts, text_key, written
+from .storage import distinct_texts, text_batches, text_key, written
 from .words import Words, chunks, mix, shingle_sets
 
 SHINGLE = 5
 PERCENT = 75
 #: Common prefix tokens asked for beyond one, in hundredths of the set size.
-EXTRA_PERCENT = 6
-SKETCH_SLOTS = 1 << 16
-ORDERS = (1, 2, 3)
+EXTRA_PERCENT = 4
+#: Slots of the sketches over all texts and over those that survive the first order.
+SLOTS = (1 << 16, 1 << 18)
+#: Seed of each order and the sketch it uses.
+ORDERS = ((1, 0), (2, 1), (3, 1))
 #: Members of a bucket that propose pairs in one round after the first.
 PIVOTS = 32
+#: Texts, and shingles, of a cluster that one task joins by itself.
+CLUSTER_TEXTS = 2048
+CLUSTER_SHINGLES = 2_000_000
+CLUSTER_BATCH = 1024
 
 
 def extra(n):
@@ -41,32 +47,37 @@ def extra(n):
     return 1 + n * EXTRA_PERCENT // 100
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (mix(hashes, 99) >> np.uint64(48)).astype(np.int64) % SKETCH_SLOTS
+def _slots(hashes: np.ndarray, slots: int) -> np.ndarray:
+    return (mix(hashes, 99) >> np.uint64(32)).astype(np.int64) & (slots - 1)
 
 
-def _profile_rows(k: int) -> Callable:
-    """Per text its key and set size; per task its counts of shingles by sketch slot."""
+_SKETCH = "key binary, n_shingles long, slot int, count long"
+
+
+def _profile_rows(k: int, slots: int, keys: bool) -> Callable:
+    """Per task its counts of shingles by sketch slot; with keys, per text its key and set size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH_SLOTS, np.int64)
+        counts = np.zeros(slots, np.int64)
         names = ["key", "n_shingles", "slot", "count"]
         for batch in batches:
             for part in chunks(batch, "text"):
                 rows, hashes = shingle_sets(part.column("text"), k)
-                counts += np.bincount(_slots(hashes), minlength=SKETCH_SLOTS)
-                n = np.bincount(rows, minlength=part.num_rows)
-                yield pa.record_batch([part.column("key"), pa.array(n.astype(np.int64)), pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.int64())], names=names)
-        slots = np.flatnonzero(counts)
-        yield pa.record_batch([pa.nulls(len(slots), pa.binary()), pa.nulls(len(slots), pa.int64()), pa.array(slots.astype(np.int32)), pa.array(counts[slots])], names=names)
+                counts += np.bincount(_slots(hashes, slots), minlength=slots)
+                if keys:
+                    n = np.bincount(rows, minlength=part.num_rows)
+                    yield pa.record_batch([part.column("key"), pa.array(n.astype(np.int64)), pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.int64())], names=names)
+        seen = np.flatnonzero(counts)
+        yield pa.record_batch([pa.nulls(len(seen), pa.binary()), pa.nulls(len(seen), pa.int64()), pa.array(seen.astype(np.int32)), pa.array(counts[seen])], names=names)
 
     return run
 
 
-def _levels(sketch: list) -> np.ndarray:
-    counts = np.zeros(SKETCH_SLOTS)
-    for row in sketch:
-        counts[row[0]] = row[1]
+def _levels(sketch: DataFrame, slots: int) -> np.ndarray:
+    """How far above the mean a slot's count is, in half powers of two; the driver holds ``slots`` numbers."""
+    counts = np.zeros(slots)
+    for slot, count in sketch.where("slot is not null").groupBy("slot").agg(F.sum("count")).collect():
+        counts[slot] = count
     mean = max(counts.mean(), 1)
     return np.maximum(0, np.floor(2 * np.log2(np.maximum(counts, 1) / mean))).astype(np.uint64)
 
@@ -74,7 +85,7 @@ def _levels(sketch: list) -> np.ndarray:
 def prefixes(rows: np.ndarray, hashes: np.ndarray, levels: np.ndarray, order: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Which tokens of (row, hash) sets are in the prefix under an order, and all set sizes by row."""
     n = np.bincount(rows) if len(rows) else np.zeros(0, np.int64)
-    rank = (levels[_slots(hashes)] << np.uint64(56)) | (mix(hashes, order) >> np.uint64(8))
+    rank = (levels[_slots(hashes, len(levels))] << np.uint64(56)) | (mix(hashes, order) >> np.uint64(8))
     by = np.argsort(rank, kind="stable")
     by = by[np.argsort(rows[by], kind="stable")]
     first = np.concatenate(([0], np.cumsum(n)))[:-1]
@@ -84,18 +95,15 @@ def prefixes(rows: np.ndarray, hashes: np.ndarray, levels: np.ndarray, order: in
     return by[place < length], n
 
 
-def _prefix_rows(k: int, levels, order: int, percent: int, key: str) -> Callable:
+def _prefix_rows(k: int, levels, order: tuple[int, int], percent: int, key: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 rows, hashes = shingle_sets(part.column("text"), k)
                 if not len(rows):
                     continue
-                kept, n = prefixes(rows, hashes, levels.value, order, percent)
-                yield pa.record_batch(
-                    [pa.array(hashes[kept].view(np.int64)), part.column(key).take(pa.array(rows[kept])), pa.array(n[rows[kept]].astype(np.int32))],
-                    names=["token", key, "n"],
-                )
+                kept, _ = prefixes(rows, hashes, levels.value[order[1]], order[0], percent)
+                yield pa.record_batch([pa.array(hashes[kept].view(np.int64)), part.column(key).take(pa.array(rows[kept]))], names=["token", key])
 
     return run
 
@@ -108,99 +116,200 @@ def _shared(rows: DataFrame, key: str) -> DataFrame:
     """Rows whose token another text has, too."""
     same = Window.partitionBy("token")
     marked = rows.withColumns({"least": F.min(key).over(same), "most": F.max(key).over(same)})
-    return marked.where("least != most").select("token", key, "n")
+    return marked.where("least != most").select("token", key)
+
+
+class _Sets:
+    """Shingle sets of texts and their prefixes under every order."""
+
+    def __init__(self, texts: pa.Array, k: int, levels: list[np.ndarray], percent: int):
+        self.sets: list[np.ndarray] = []
+        self.heads: list[list[np.ndarray]] = [[] for _ in ORDERS]
+        for part in chunks(pa.record_batch([texts], names=["text"]), "text"):
+            rows, hashes = shingle_sets(part.column("text"), k)
+            self.sets += self._split(rows, hashes, part.num_rows)
+            for (order, sketch), heads in zip(ORDERS, self.heads, strict=True):
+                kept = np.sort(prefixes(rows, hashes, levels[sketch], order, percent)[0])
+                heads += self._split(rows[kept], hashes[kept], part.num_rows)
+
+    @staticmethod
+    def _split(rows: np.ndarray, hashes: np.ndarray, n: int) -> list[np.ndarray]:
+        return np.split(hashes, np.cumsum(np.bincount(rows, minlength=n))[:-1])
+
+    def linked(self, i: int, j: int, percent: int) -> bool:
+        """Every order's prefixes share enough, and so do the whole sets."""
+        a, b = self.sets[i], self.sets[j]
+        need = extra(min(len(a), len(b)))
+        if any(len(np.intersect1d(h[i], h[j], assume_unique=True)) < need for h in self.heads):
+            return False
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * common >= percent * (len(a) + len(b) - common)
 
 
 def _verified_rows(k: int, levels, percent: int) -> Callable:
-    def sets(column: pa.Array) -> list[np.ndarray]:
-        rows, hashes = shingle_sets(column, k)
-        return np.split(hashes, np.cumsum(np.bincount(rows, minlength=len(column)))[:-1]), rows, hashes
+    """For pairs that carry both texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text_a"):
-                node_b = part.column("b").to_numpy()
-                _, index, inverse = np.unique(node_b, return_index=True, return_inverse=True)
-                own, rows_a, hash_a = sets(part.column("text_a"))
-                other, rows_b, hash_b = sets(part.column("text_b").take(pa.array(index)))
-                linked = np.ones(part.num_rows, bool)
-                for order in ORDERS:
-                    lists = []
-                    for rows, hashes, count in ((rows_a, hash_a, len(own)), (rows_b, hash_b, len(other))):
-                        kept = np.sort(prefixes(rows, hashes, levels.value, order, percent)[0])
-                        lists.append(np.split(hashes[kept], np.cumsum(np.bincount(rows[kept], minlength=count))[:-1]))
-                    for i in np.flatnonzero(linked):
-                        common = len(np.intersect1d(lists[0][i], lists[1][inverse[i]], assume_unique=True))
-                        linked[i] = common >= extra(min(len(own[i]), len(other[inverse[i]])))
-                for i in np.flatnonzero(linked):
-                    a, b = own[i], other[inverse[i]]
-                    common = len(np.intersect1d(a, b, assume_unique=True))
-                    linked[i] = 100 * common >= percent * (len(a) + len(b) - common)
-                yield pa.record_batch([part.column("a"), part.column("b"), pa.array(linked)], names=["a", "b", "linked"])
+                _, index, inverse = np.unique(part.column("b").to_numpy(), return_index=True, return_inverse=True)
+                other = part.column("text_b").take(pa.array(index))
+                both = _Sets(pa.concat_arrays([part.column("text_a"), other]), k, levels.value, percent)
+                linked = [both.linked(i, part.num_rows + int(j), percent) for i, j in enumerate(inverse)]
+                yield pa.record_batch([part.column("a"), part.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
     return run
 
 
+def _cluster_rows(k: int, levels, percent: int) -> Callable:
+    """Links between the texts of clusters; rows come sorted by cluster."""
+
+    def links(table: pa.RecordBatch) -> pa.RecordBatch:
+        sets = _Sets(table.column("text"), k, levels.value, percent)
+        node, cluster = table.column("node").to_numpy(), table.column("cluster").to_numpy()
+        n = np.array([len(x) for x in sets.sets])
+        _, root = np.unique(table.column("component").to_numpy(), return_inverse=True)
+        members: dict[int, list[int]] = {}
+        for i, r in enumerate(root.tolist()):
+            members.setdefault(r, []).append(i)
+        # postings of the prefixes of one order, within a cluster
+        heads = sets.heads[-2]
+        owner = np.repeat(np.arange(len(n)), [len(h) for h in heads])
+        token = np.concatenate(heads) ^ mix(cluster[owner].astype(np.uint64))
+        by = np.argsort(token, kind="stable")
+        token, posted = token[by], owner[by]
+        begin = np.searchsorted(token, token, "left")
+        end = np.searchsorted(token, token, "right")
+        first, last = np.empty_like(begin), np.empty_like(end)
+        first[by], last[by] = begin, end
+        bounds = np.concatenate(([0], np.cumsum([len(h) for h in heads])))
+        found = []
+        for i in range(len(n)):
+            lo, hi = first[bounds[i] : bounds[i + 1]], last[bounds[i] : bounds[i + 1]]
+            width = hi - lo
+            if not len(width) or width.max() < 2:
+                continue
+            at = np.repeat(lo - np.concatenate(([0], np.cumsum(width)[:-1])), width) + np.arange(width.sum())
+            shared = np.bincount(posted[at], minlength=len(n))
+            near = (shared >= extra(np.minimum(n, n[i]))) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & (cluster == cluster[i])
+            near[: i + 1] = False
+            for j in np.flatnonzero(near).tolist():
+                # members of one component need no further link
+                if root[i] != root[j] and sets.linked(i, j, percent):
+                    found.append((node[i], node[j]))
+                    keep, gone = root[i], root[j]
+                    moved = members.pop(gone)
+                    root[moved] = keep
+                    members[keep] += moved
+        return pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64()), pa.array([True] * len(found), pa.bool_())], names=["a", "b", "linked"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, CLUSTER_BATCH):
+                held.append(batch.slice(at, CLUSTER_BATCH))
+                table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                clusters = table.column("cluster").to_numpy()
+                cut = int(np.searchsorted(clusters, clusters[-1], "left"))
+                if cut:
+                    yield links(table.slice(0, cut))
+                held = [table.slice(cut)]
+        if held:
+            yield links(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+    return run
+
+
+def _carried(pairs: DataFrame, texts: DataFrame, k: int, levels, percent: int) -> DataFrame:
+    """Pairs (a, b) with linked, both texts brought to each pair."""
+    ta, tb = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
+    sides = pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b")
+    return sides.mapInArrow(_verified_rows(k, levels, percent), "a long, b long, linked boolean")
+
+
 def text_components(docs: DataFrame, text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per distinct text with words: key, n_shingles, and the class key it is linked to.
 
     Texts without words have class null. The class key is that of one member.
     """
     spark = docs.sparkSession
+    text_batches(docs)
     own = docs.select(F.col(text).cast("string").alias("text")).where(F.col("text").isNotNull())
     profile = written(
-        own.select(text_key("text").alias("key"), "text").mapInArrow(_profile_rows(k), "key binary, n_shingles long, slot int, count long"),
+        own.select(text_key("text").alias("key"), "text").mapInArrow(_profile_rows(k, SLOTS[0], True), _SKETCH),
         "profile",
     )
     sizes = profile.where("key is not null").groupBy("key").agg(F.first("n_shingles").alias("n_shingles"))
-    sketch = profile.where("slot is not null").groupBy("slot").agg(F.sum("count")).collect()  # SKETCH_SLOTS rows at most
-    levels = spark.sparkContext.broadcast(_levels(sketch))
+    sketches = [_levels(profile, SLOTS[0])]
+    levels = spark.sparkContext.broadcast(sketches)
 
     texts = distinct_texts(docs, text)
-    rows = texts.mapInArrow(_prefix_rows(k, levels, ORDERS[0], percent, "key"), "token long, key binary, n int")
-    alive = _shared(rows, "key").groupBy("key").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= _needed(percent))
-    first = texts.join(alive, "key").select("key", "text", "copies").withColumn("node", F.monotonically_increasing_id())
+    rows = texts.mapInArrow(_prefix_rows(k, levels, ORDERS[0], percent, "key"), "token long, key binary")
+    alive = _shared(rows, "key").groupBy("key").agg(F.count(F.lit(1)).alias("shared"))
+    alive = alive.join(sizes.withColumnRenamed("n_shingles", "n"), "key").where(F.col("shared") >= _needed(percent)).select("key", "n")
+    first = texts.join(alive, "key").select("key", "text", "copies", "n").withColumn("node", F.monotonically_increasing_id())
     first = written(first, "survivors")
+    sketches.append(_levels(first.select("text").mapInArrow(_profile_rows(k, SLOTS[1], False), _SKETCH), SLOTS[1]))
+    levels = spark.sparkContext.broadcast(sketches)
 
-    rows = first.select("node", "text").mapInArrow(_prefix_rows(k, levels, ORDERS[1], percent, "node"), "token long, node long, n int")
+    rows = first.select("node", "text").mapInArrow(_prefix_rows(k, levels, ORDERS[1], percent, "node"), "token long, node long")
     shared = written(_shared(rows, "node"), "buckets")
-    alive = shared.groupBy("node").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= _needed(percent)).select("node")
+    alive = shared.groupBy("node").agg(F.count(F.lit(1)).alias("shared")).join(first.select("node", "n"), "node").where(F.col("shared") >= _needed(percent)).select("node", "n")
     buckets = shared.join(alive, "node").select("token", "node", "n")
 
     same = Window.partitionBy("token")
-    links, checked, labels, level = None, None, None, 0
-    while True:
-        members = buckets if labels is None else buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        members = members.withColumn("component", F.col("node")) if labels is None else members
-        members = members.withColumns({"least": F.min("component").over(same), "most": F.max("component").over(same)}).where("least != most").drop("least", "most")
-        if level == 0:
-            pivots = members.groupBy("token").agg(F.min(F.struct("node", "n", "component")).alias("p")).select("token", "p.*")
-        else:
-            place = F.row_number().over(same.orderBy("node"))
-            members = written(members.withColumn("place", place), "members")
-            if members.isEmpty():
-                break
-            pivots = members.where(F.col("place") <= PIVOTS)
+    source = first.select("node", "text")
+    near = f"a > b and component != cb and 100 * least(n, nb) >= {percent} * greatest(n, nb)"
+
+    def active(members: DataFrame) -> DataFrame:
+        """Rows of buckets that hold more than one component."""
+        return members.withColumns({"least": F.min("component").over(same), "most": F.max("component").over(same)}).where("least != most").drop("least", "most")
+
+    def proposed(members: DataFrame, pivots: DataFrame) -> DataFrame:
         pivots = pivots.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        near = f"a > b and component != cb and 100 * least(n, nb) >= {percent} * greatest(n, nb)"
-        pairs = members.withColumnRenamed("node", "a").join(pivots, "token").where(near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
-        if level == 0:
-            pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
-        else:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        ta, tb = (first.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-        sides = pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b")
-        found = written(sides.mapInArrow(_verified_rows(k, levels, percent), "a long, b long, linked boolean"), "verified")
-        new = found.where("linked").select("a", "b")
-        checked = found.select("a", "b") if checked is None else checked.union(found.select("a", "b"))
-        if not new.isEmpty():
-            links = new if links is None else links.union(new)
-            labels = written(components(links), "labels")
-        if level:
-            buckets = members.where(F.col("place") > PIVOTS).select("token", "node", "n")
-        elif labels is None:
-            labels = new.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        level += 1
+        pairs = members.withColumnRenamed("node", "a").join(pivots, "token").where(near)
+        return pairs.groupBy("a", "b", "n", "nb").agg(F.count(F.lit(1)).alias("shared"))
+
+    # first each text with the pivot that it shares most with
+    members = active(buckets.withColumn("component", F.col("node")))
+    least = members.groupBy("token").agg(F.min(F.struct("node", "n", "component")).alias("p")).select("token", "p.*")
+    best = proposed(members, least).groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
+    checked = written(_carried(best.select("a", "b"), source, k, levels, percent), "verified")
+    links = checked.where("linked").select("a", "b")
+    checked = checked.select("a", "b")
+    labels = written(components(links), "labels")
+
+    while True:
+        members = active(buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        place = F.row_number().over(same.orderBy("node"))
+        members = written(members.withColumns({"place": place, "size": F.count(F.lit(1)).over(same), "head": F.min("node").over(same)}), "members")
+        if members.isEmpty():
+            break
+        wide = members.where(F.col("size") > PIVOTS)
+        counts = wide.groupBy("node").agg(F.count(F.lit(1)).alias("wide"))
+        pairs = proposed(members, members.where(F.col("place") <= PIVOTS))
+        # common prefix tokens not seen yet lie in wide buckets of both
+        for x in "ab":
+            pairs = pairs.join(counts.select(F.col("node").alias(x), F.col("wide").alias(f"wide_{x}")), x, "left")
+        most = F.col("shared") + F.least(F.coalesce("wide_a", F.lit(0)), F.coalesce("wide_b", F.lit(0)))
+        pairs = pairs.where(most >= F.expr(f"1 + floor(least(n, nb) * {EXTRA_PERCENT} / 100)"))
+        pairs = written(pairs.select("a", "b").join(checked, ["a", "b"], "left_anti"), "pairs")
+        # what pairs or wide buckets hold together is a cluster; small ones are finished by one task each
+        hung = wide.where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+        inside = components(pairs.union(hung)).withColumnRenamed("component", "cluster")
+        facts = members.groupBy("node").agg(F.first("n").alias("n"), F.first("component").alias("component"))
+        inside = written(inside.join(facts, "node"), "clusters")
+        small = inside.groupBy("cluster").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("shingles"))
+        small = small.where((F.col("texts") <= CLUSTER_TEXTS) & (F.col("shingles") <= CLUSTER_SHINGLES)).select("cluster")
+        solved = inside.join(small, "cluster").join(source, "node").select("cluster", "node", "component", "text")
+        solved = solved.repartition("cluster").sortWithinPartitions("cluster", "node").mapInArrow(_cluster_rows(k, levels, percent), "a long, b long, linked boolean")
+        large = inside.join(small, "cluster", "left_anti").select("node")
+        rest = _carried(pairs.join(large.withColumnRenamed("node", "a"), "a", "left_semi"), source, k, levels, percent)
+        found = written(solved.union(rest), "verified")
+        checked = checked.union(found.select("a", "b"))
+        links = links.union(found.where("linked").select("a", "b"))
+        labels = written(components(links), "labels")
+        buckets = members.where(F.col("place") > PIVOTS).join(large, "node", "left_semi").select("token", "node", "n")
     named = labels.join(first.select("node", "key"), "node").join(first.select(F.col("node").alias("component"), F.col("key").alias("class")), "component")
     out = sizes.join(named.select("key", "class"), "key", "left")
     return out.select("key", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("class", "key")).alias("class"))
