@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .storage import written
 
 #: Edges up to which one task joins the nodes by itself; more take distributed rounds.
-TASK_EDGES = 200_000
+TASK_EDGES = 1_000_000
 
 
 def _joined(type: pa.DataType) -> Callable:
