@@ -1,7 +1,8 @@
 """Best-fit packing of token sequences by hierarchical merging of residual bins.
 
-Every partition packs its pieces best-fit in decreasing length. Bins that are
-nearly full are done. Underfull bins are sent on as items to fewer partitions
+Pieces, without their texts, are dealt evenly to partitions, so that each has
+every kind of length, and every partition packs all of its pieces best-fit in
+decreasing length. Bins that are full are done. Underfull bins are sent on as items to fewer partitions
 and packed again, until one partition is left or their number no longer falls.
 A bin carries its pieces, so rounds move only underfull bins and need no joins.
 """
@@ -24,7 +25,7 @@ CAPACITY = 2048
 END_ID = 0
 #: Unused places in a bin that counts as full.
 SLACK = 0
-#: Bins that a partition of a merge round gets, about.
+#: Pieces that a partition of the first round gets, and bins one of a merge round, about.
 MERGE_ITEMS = 50_000
 FAN_IN = 8
 #: Runs of characters whose ids a Python worker keeps.
@@ -145,15 +146,15 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _packed(capacity: int, first: bool) -> Callable:
+def _packed(capacity: int) -> Callable:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for whole in [pd.concat(list(frames), ignore_index=True)] if not first else frames:
-            lengths = whole["used"].tolist()
-            members = whole["members"].tolist()
-            found = best_fit(lengths, capacity)
-            used = [sum(lengths[i] for i in b) for b in found]
-            joined = [[m for i in b for m in members[i]] for b in found]
-            yield pd.DataFrame({"used": used, "items": [len(x) for x in joined], "members": joined})
+        whole = pd.concat(list(frames), ignore_index=True)
+        lengths = whole["used"].tolist()
+        members = whole["members"].tolist()
+        found = best_fit(lengths, capacity)
+        used = [sum(lengths[i] for i in b) for b in found]
+        joined = [[m for i in b for m in members[i]] for b in found]
+        yield pd.DataFrame({"used": used, "items": [len(x) for x in joined], "members": joined})
 
     def guarded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [x for x in frames if len(x)]
@@ -173,10 +174,13 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY, sla
     rest = [c for c in items.columns if c not in ("sequence_id", "offset")]
     payload = F.struct(*[F.col(f"`{c}`") for c in rest])
     schema = "used long, items int, members array<" + items.select(payload.alias("m")).schema["m"].dataType.simpleString() + ">"
+    items = written(items, "pieces")
     bins = items.select(F.col(length).cast("long").alias("used"), F.lit(1).alias("items"), F.array(payload).alias("members"))
+    # neighbouring rows, of like lengths perhaps, go to different partitions
+    bins = bins.repartition(max(1, -(-items.count() // MERGE_ITEMS)))
     done, open_rows, parts = None, None, None
     while True:
-        bins = written(bins.mapInPandas(_packed(capacity, parts is None), schema), "bins")
+        bins = written(bins.mapInPandas(_packed(capacity), schema), "bins")
         full = bins.where(F.col("used") >= capacity - slack)
         done = full if done is None else done.unionByName(full)
         bins = bins.where(F.col("used") < capacity - slack)

@@ -250,3 +250,13 @@ def test_images(spark):
     assert got[60] == 2 and all(got[i] == i for i in (900, 901, 902))
     assert all(got[i] == i for i in range(0, 60, 2))
     assert images.image_copies(extra.where("false")).count() == 0
+
+
+def test_packing_does_not_hang_on_batches(spark):
+    rng = np.random.default_rng(4)
+    lengths = np.sort(np.concatenate([rng.integers(1100, 1700, 3000), rng.integers(200, 600, 6000)]))
+    rows = spark.createDataFrame([(i, int(x)) for i, x in enumerate(lengths)], "i long, length long").coalesce(1)
+    packing.text_batches(rows)
+    out = packing.pack(rows).toPandas()
+    assert sorted(out.i) == list(range(9000)) and out.groupby("sequence_id").length.sum().max() <= packing.CAPACITY
+    assert out.sequence_id.nunique() <= 1.01 * len(packing.best_fit(lengths.tolist(), packing.CAPACITY))
