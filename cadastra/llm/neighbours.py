@@ -4,8 +4,9 @@ Equal vectors are one node. Nodes get one coordinate more, so that all have the
 same length and the largest inner product is the nearest. The graph starts from
 brute force within small groups cut by random projections; then each round joins
 the neighbours of every node with each other, and pairs that beat a node's worst
-neighbour enter its list. A query's pool of nodes grows by the neighbours of its
-best nodes not yet looked at, until the pool's best are all looked at.
+neighbour enter its list. An edge stays fresh at either end until it was joined
+there, and rounds go on until few edges change. A query's pool of nodes grows by
+the neighbours of its best nodes not yet looked at, until all of it is looked at.
 """
 
 from __future__ import annotations
@@ -24,13 +25,13 @@ DEGREE = 24
 #: Random cuts at the start and the nodes of a group.
 CUTS = 4
 GROUP = 2048
-#: Rounds of NN-descent and neighbours of each kind that a node joins in one.
-ROUNDS = 3
+#: Share of new edges in a round of NN-descent at which the graph counts as stable.
+DELTA = 0.001
+#: Half the fresh, and half the other, neighbours that a node joins in a round.
 JOINED = 10
-#: Best nodes of a query that stay in its pool, those expanded in a hop, and hops.
+#: Best nodes of a query that stay in its pool, and those expanded in a hop.
 POOL = 320
 EXPANDED = 40
-HOPS = 6
 #: Entry nodes of queries that are not in the graph.
 ENTRIES = 64
 
@@ -107,8 +108,11 @@ def _best(rows: DataFrame, by: str, k: int) -> DataFrame:
     return rows.withColumn("place", place).where(F.col("place") <= k).drop("place")
 
 
-def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """(node, near, score) with at most ``degree`` neighbours a node; ``nodes`` has node and x."""
+def build_graph(nodes: DataFrame, degree: int = DEGREE, delta: float = DELTA) -> DataFrame:
+    """(node, near, score) with at most ``degree`` neighbours a node; ``nodes`` has node and x.
+
+    Rounds end when at most ``delta`` of the edges are new. Lists only improve, so they do end.
+    """
     first = nodes.select(F.size("x").alias("d")).first()
     n = nodes.count()
     dimensions, bits = first["d"] if first else 1, max(0, int(np.log2(max(1, n / GROUP))))
@@ -119,18 +123,32 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) ->
     group = F.floor((F.col("place") - 1) / F.ceil(F.col("size") / F.ceil(F.col("size") / GROUP)))
     groups = groups.groupBy("cut", "bucket", group.alias("group")).agg(F.collect_list(F.struct("node", "x")).alias("members"))
     pairs = groups.select("members").mapInArrow(_group_pairs(degree), "node long, near long, score double")
-    graph = _best(pairs.distinct(), "node", degree).withColumn("fresh", F.lit(True))
+    # fresh: not yet joined at node; back: not yet joined at near
+    graph = _best(pairs.distinct(), "node", degree).withColumns({"fresh": F.lit(True), "back": F.lit(True), "new": F.lit(True)})
     graph = written(graph, "graph")
-    for r in range(rounds):
-        ends = graph.select(F.col("node").alias("center"), F.col("near").alias("node"), "fresh").union(graph.select(F.col("near").alias("center"), "node", "fresh"))
+    r = 0
+    while True:
+        ends = graph.select(F.col("node").alias("center"), F.col("near").alias("node"), "fresh").union(graph.select(F.col("near").alias("center"), "node", F.col("back").alias("fresh")))
         mixed = F.row_number().over(Window.partitionBy("center", "fresh").orderBy(F.xxhash64("center", "node", F.lit(r))))
         members = ends.groupBy("center", "node").agg(F.max("fresh").alias("fresh")).withColumn("place", mixed).where(F.col("place") <= 2 * JOINED)
+        members = written(members.select("center", "node", "fresh"), "members")
         worst = graph.groupBy("node").agg(F.when(F.count(F.lit(1)) >= degree, F.min("score")).otherwise(float("-inf")).alias("worst"))
         facts = nodes.join(worst, "node", "left").select("node", "x", F.coalesce("worst", F.lit(float("-inf"))).alias("worst"))
         each = members.join(facts, "node").groupBy("center").agg(F.collect_list(F.struct("node", "fresh", "worst", "x")).alias("members"))
-        found = each.select("members").mapInArrow(_joined_pairs, "node long, near long, score double").withColumn("fresh", F.lit(True))
-        both = graph.withColumn("fresh", F.lit(False)).union(found).groupBy("node", "near").agg(F.max("score").alias("score"), F.min("fresh").alias("fresh"))
+        found = each.select("members").mapInArrow(_joined_pairs, "node long, near long, score double").withColumns({"fresh": F.lit(True), "back": F.lit(True), "new": F.lit(True)})
+        # a flag is cleared only where its edge was among the members just joined
+        joined = members.where("fresh")
+        here = joined.select(F.col("center").alias("node"), F.col("node").alias("near"), F.lit(False).alias("fresh"), F.lit(True).alias("back"))
+        there = joined.select("node", F.col("center").alias("near"), F.lit(True).alias("fresh"), F.lit(False).alias("back"))
+        cleared = here.union(there).select("node", "near", F.lit(None).cast("double").alias("score"), "fresh", "back", F.lit(True).alias("new"))
+        kept = graph.withColumn("new", F.lit(False))
+        both = kept.union(found.select(*kept.columns)).union(cleared.select(*kept.columns)).groupBy("node", "near")
+        both = both.agg(F.max("score").alias("score"), *[F.min(c).alias(c) for c in ("fresh", "back", "new")]).where("score is not null")
         graph = written(_best(both, "node", degree), "graph")
+        r += 1
+        size = graph.agg(F.count(F.lit(1)), F.count_if("new")).first()
+        if size[1] <= delta * size[0]:
+            break
     return graph.select("node", "near", "score")
 
 
@@ -153,7 +171,7 @@ def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pool: i
     foreign = queries.where("node is null").select("query", F.lit(1).alias("one")).join(F.broadcast(entries), "one").select("query", F.col("node").alias("near"))
     start = queries.where("node is not null").select("query", F.col("node").alias("near")).union(foreign)
     found = written(_scored(start, queries, nodes).withColumn("seen", F.lit(False)), "pool")
-    for _ in range(HOPS):
+    while True:
         place = F.row_number().over(Window.partitionBy("query", "seen").orderBy(F.desc("score"), "near"))
         marked = found.withColumn("next", ~F.col("seen") & (place <= EXPANDED))
         frontier = marked.where("next").select("query", F.col("near").alias("node"))

@@ -260,3 +260,24 @@ def test_packing_does_not_hang_on_batches(spark):
     out = packing.pack(rows).toPandas()
     assert sorted(out.i) == list(range(9000)) and out.groupby("sequence_id").length.sum().max() <= packing.CAPACITY
     assert out.sequence_id.nunique() <= 1.01 * len(packing.best_fit(lengths.tolist(), packing.CAPACITY))
+
+
+def test_graph_is_stable(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "GROUP", 16)
+    monkeypatch.setattr(neighbours, "CUTS", 2)
+    monkeypatch.setattr(neighbours, "JOINED", 2)
+    x = np.random.default_rng(3).standard_normal((800, 6))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, x array<float>")
+    score = x @ x.T
+    np.fill_diagonal(score, -np.inf)
+    want = {(i, int(j)) for i, row in enumerate(score) for j in np.argsort(-row)[:10]}
+    got = {(r.node, r.near) for r in neighbours.build_graph(nodes, 10).collect()}
+    assert len(want & got) / len(want) >= 0.9
+
+
+def test_search_goes_on_until_all_is_seen(spark):
+    nodes = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(10)], "node long, x array<float>")
+    graph = spark.createDataFrame([(i, i + 1, 0.0) for i in range(9)], "node long, near long, score double")
+    queries = spark.createDataFrame([(0, [1.0, 0.0], 0)], "query long, q array<float>, node long")
+    assert {r.near for r in neighbours.search_graph(queries, nodes, graph).collect()} == set(range(10))
