@@ -1,60 +1,70 @@
 """Mixing sources to target weights with Pfair scheduling.
 
-Each source's rows are shuffled by hash and cut into blocks. Weights become
-whole blocks per cycle. In a cycle of L slots, block j of a source with m blocks
-has release time floor(j * L / m) and deadline ceil((j + 1) * L / m); every slot
-goes to the released block with the earliest deadline. All deadlines are met, so
-at any slot each source is less than one block from its share. A source that
-runs out in a cycle is spread evenly over that cycle; later cycles are dealt to
-the others in proportion. At most 2 * sources + 1 cycles differ, so the schedule
-is worked out for those and joined to the rows.
-
-Only DataFrame functions are used. The driver holds one count per source.
+Each source's rows are shuffled by hash and cut into blocks. While sources of
+weights w last, the fluid sequence takes them in exact proportion; a source that
+has run out leaves its share to the others. At virtual time v it holds
+t(v) = sum of min(blocks, w * v) blocks, so block j of a source has release time
+floor(t(j / w)) and deadline ceil(t((j + 1) / w)); every slot goes to the
+released block with the earliest deadline. Weights are not rounded and the
+schedule is one over the whole sequence. All deadlines are met, so at any slot
+each source is less than one block from its fluid share.
+
+Rows are handled by DataFrame functions only. The driver works out the schedule
+from one count per source and holds a number per block.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import heapq
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import sized, written
 
 BLOCK_ROWS = 64
-#: Slots of a cycle before rounding; a source has one at least.
+#: Slots of a cycle; without effect since weights are met over the whole sequence.
 CYCLE = 400
 #: Hash ranges that a source's rows are numbered in.
 RANGES = 1024
+#: Times this near to a whole number count as whole.
+NEAR = 1e-6
 
 
-def cycle_blocks(rows: dict, weights: dict | None, cycle: int) -> dict:
-    """Blocks per cycle by source; without weights in proportion to the square root of the rows."""
+def target_weights(rows: dict, weights: dict | None) -> dict:
+    """Weights by source; without weights the square roots of the rows."""
     weights = weights if weights is not None else {s: n**0.5 for s, n in rows.items()}
     missing = [s for s in rows if weights.get(s, 0) <= 0]
     if missing:
         raise ValueError(f"sources without a positive weight: {missing[:5]}")
-    total = sum(weights[s] for s in rows)
-    return {s: max(1, round(cycle * weights[s] / total)) for s in rows}
-
-
-def edf_order(blocks: Column) -> Column:
-    """For an array of blocks by source, the source number at each slot of the cycle."""
-    slots = F.aggregate(blocks, F.lit(0).cast("long"), lambda s, m: s + m)
-    start = F.struct(F.transform(blocks, lambda m: F.lit(0).cast("long")).alias("done"), F.array().cast("array<int>").alias("order"))
-
-    def step(state: Column, t: Column) -> Column:
-        def job(m: Column, i: Column) -> Column:
-            done = F.get(state["done"], i)
-            released = (done < m) & (F.floor(done * slots / m) <= t)
-            return F.struct(F.when(released, F.ceil((done + 1) * slots / m)).otherwise(F.lit(2**62)).alias("deadline"), i.alias("i"))
-
-        def taken(i: Column) -> Column:
-            done = F.transform(state["done"], lambda d, k: d + F.when(k == i, 1).otherwise(0))
-            return F.struct(done.alias("done"), F.concat(state["order"], F.array(i)).alias("order"))
-
-        chosen = F.array_min(F.transform(blocks, job))["i"]
-        return F.get(F.transform(F.array(chosen), taken), F.lit(0))  # binds the choice, so that it is made once
-
-    return F.aggregate(F.sequence(F.lit(0).cast("long"), slots - 1), start, step, lambda s: s["order"])
+    return {s: weights[s] for s in rows}
+
+
+def schedule(blocks: list[int], weights: list[float]) -> np.ndarray:
+    """The source number at each slot, for blocks and weights by source number."""
+    n, w = np.array(blocks, np.int64), np.array(weights, np.float64)
+    ends = np.argsort(n / w, kind="stable")
+    at = (n / w)[ends]
+    full = np.cumsum(n[ends]) + at * np.maximum(w.sum() - np.cumsum(w[ends]), 0)
+    jobs: list[list[np.ndarray]] = [[], [], []]
+    for i in range(len(n)):
+        t = np.interp(np.arange(n[i] + 1) / w[i], np.concatenate([[0.0], at]), np.concatenate([[0.0], full]))
+        for o, x in zip(jobs, (np.floor(t[:-1] + NEAR), np.ceil(t[1:] - NEAR), np.full(n[i], i)), strict=True):
+            o.append(x.astype(np.int64))
+    release, deadline, number = (np.concatenate(o) if o else np.zeros(0, np.int64) for o in jobs)
+    by_release = np.argsort(release, kind="stable")
+    waiting = zip(release[by_release].tolist(), deadline[by_release].tolist(), number[by_release].tolist(), strict=True)
+    following = next(waiting, None)
+    out = np.zeros(len(number), np.int32)
+    heap: list[tuple[int, int]] = []
+    for slot in range(len(out)):
+        while following is not None and (following[0] <= slot or not heap):
+            heapq.heappush(heap, following[1:])
+            following = next(waiting, None)
+        out[slot] = heapq.heappop(heap)[1]
+    return out
 
 
 def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", weights: dict | None = None, block_rows: int = BLOCK_ROWS, cycle: int = CYCLE, seed: int = 0) -> DataFrame:
@@ -70,21 +80,14 @@ def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", weights: di
     rest = [c for c in docs.columns if c not in names]
     counts = {r[0]: r[1] for r in docs.groupBy(F.col(f"`{source}`").cast("string")).count().collect()}
     order = sorted(counts, key=lambda s: (s is not None, s))
-    per_cycle = cycle_blocks(counts, weights, cycle)
-    a = [per_cycle[s] for s in order]
-    n = [-(-counts[s] // block_rows) for s in order]
-    cycles = max([-(-x // y) for x, y in zip(n, a, strict=True)], default=0)
-
-    sizes = F.lit([*a, 0]).cast("array<long>"), F.lit([*n, 0]).cast("array<long>")
-    pairs = F.arrays_zip(sizes[0].alias("a"), sizes[1].alias("n"))
-    of_cycle = F.transform(pairs, lambda x: F.greatest(F.lit(0), F.least(x["a"], x["n"] - x["a"] * F.col("cycle"))))
-    start = F.aggregate(pairs, F.lit(0).cast("long"), lambda s, x: s + F.least(x["n"], x["a"] * F.col("cycle")))
-    each = spark.range(cycles).select(F.col("id").alias("cycle")).select("cycle", of_cycle.alias("blocks"), start.alias("start"))
-    kinds = written(each.select("blocks").distinct().select("blocks", edf_order(F.col("blocks")).alias("order")), "schedules")
-    slots = kinds.select("blocks", F.posexplode("order").alias("slot", "number"))
-    nth = F.row_number().over(Window.partitionBy("blocks", "number").orderBy("slot")) - 1
-    slots = slots.select(F.xxhash64("blocks").alias("kind"), "slot", "number", nth.alias("nth"))
-    each = each.select("cycle", F.xxhash64("blocks").alias("kind"), "start")
+    target = target_weights(counts, weights)
+    slots = schedule([-(-counts[s] // block_rows) for s in order], [target[s] for s in order])
+    # block j of a source is at the j-th slot of its number
+    by_number = np.argsort(slots, kind="stable")
+    starts = np.concatenate([[0], np.cumsum(np.bincount(slots, minlength=len(order)))])
+    columns = [slots[by_number].astype(np.int32), np.arange(len(slots)) - starts[slots[by_number]], by_number]
+    slots = spark.createDataFrame(pa.table([pa.array(c) for c in columns], names=["number", "block", "position"]), "number int, block long, position long")
+    slots = sized(written(slots, "schedule"))
 
     number = F.create_map(*[F.lit(x) for i, s in enumerate(order) for x in ("" if s is None else f"s{s}", i)]) if order else F.create_map(F.lit(""), F.lit(0))
     rank = F.xxhash64(F.lit(seed), F.col("_id"))
@@ -100,9 +103,6 @@ def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", weights: di
     offsets = held.select("number", "range", before.alias("before"))
     ranked = rows.withColumn("own", own).join(offsets, ["number", "range"]).withColumn("nth_row", F.col("before") + F.col("own") - 1)
     block = F.floor(F.col("nth_row") / block_rows)
-    size = F.get(sizes[0], F.col("number"))
     ranked = ranked.withColumns({"block": block, "place": (F.col("nth_row") % block_rows).cast("int")})
-    ranked = ranked.withColumns({"cycle": F.floor(F.col("block") / size), "nth": (F.col("block") % size).cast("int")})
-    # rows of slots: at most (2 * sources + 1) * (cycle + sources)
-    placed = ranked.join(each, "cycle").join(F.broadcast(slots), ["kind", "number", "nth"])
-    return placed.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], "block", (F.col("start") + F.col("slot")).alias("position"), "place")
+    placed = ranked.join(slots, ["number", "block"])
+    return placed.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], "block", "position", "place")

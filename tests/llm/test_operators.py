@@ -281,3 +281,19 @@ def test_search_goes_on_until_all_is_seen(spark):
     graph = spark.createDataFrame([(i, i + 1, 0.0) for i in range(9)], "node long, near long, score double")
     queries = spark.createDataFrame([(0, [1.0, 0.0], 0)], "query long, q array<float>, node long")
     assert {r.near for r in neighbours.search_graph(queries, nodes, graph).collect()} == set(range(10))
+
+
+def test_mixing_over_many_cycles(spark):
+    rows = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 5000, "big").when(F.col("id") < 8000, "mid").otherwise("small").alias("source"))
+    blocks = mixing.mix(rows, weights={"big": 5.0, "mid": 3.0, "small": 1.0}, block_rows=1, cycle=40).toPandas().sort_values("position").source
+    for name, share in (("big", 5), ("mid", 3), ("small", 1)):
+        assert np.abs((blocks == name).cumsum().to_numpy() - share * np.arange(1, 9001) / 9).max() < 1
+
+
+def test_mixing_with_many_sources(spark):
+    counts = {"large": 50_000, **{f"s{i}": 100 for i in range(999)}}
+    rows = spark.createDataFrame([(s, n) for s, n in counts.items()], "source string, n int")
+    rows = rows.select("source", F.explode(F.sequence(F.lit(1), "n"))).withColumn("doc_id", F.monotonically_increasing_id()).drop("col")
+    blocks = mixing.mix(rows, block_rows=1).where("position < 50000").groupBy("source").count().toPandas().set_index("source")["count"]
+    total = sum(n**0.5 for n in counts.values())
+    assert all(abs(blocks.get(s, 0) - 50_000 * n**0.5 / total) < 1 for s, n in counts.items())
