@@ -28,6 +28,8 @@ SLACK = 0
 #: Pieces that a partition of the first round gets, and bins one of a merge round, about.
 MERGE_ITEMS = 50_000
 FAN_IN = 8
+#: Pieces in a row that are packed together where sequences follow an order.
+WINDOW_ITEMS = 4096
 #: Runs of characters whose ids a Python worker keeps.
 CACHE_RUNS = 600_000
 #: Texts looked up at once.
@@ -146,15 +148,17 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _packed(capacity: int) -> Callable:
+def _packed(capacity: int, window: int | None) -> Callable:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         whole = pd.concat(list(frames), ignore_index=True)
-        lengths = whole["used"].tolist()
-        members = whole["members"].tolist()
-        found = best_fit(lengths, capacity)
-        used = [sum(lengths[i] for i in b) for b in found]
-        joined = [[m for i in b for m in members[i]] for b in found]
-        yield pd.DataFrame({"used": used, "items": [len(x) for x in joined], "members": joined})
+        step = window or len(whole)
+        for at in range(0, len(whole), step):
+            rows = whole.iloc[at : at + step]
+            lengths, first, members = (rows[c].tolist() for c in ("used", "first", "members"))
+            found = best_fit(lengths, capacity)
+            used = [sum(lengths[i] for i in b) for b in found]
+            joined = [[m for i in b for m in members[i]] for b in found]
+            yield pd.DataFrame({"used": used, "items": [len(x) for x in joined], "first": [min(first[i] for i in b) for b in found], "members": joined})
 
     def guarded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [x for x in frames if len(x)]
@@ -164,23 +168,26 @@ def _packed(capacity: int) -> Callable:
     return guarded
 
 
-def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY, slack: int = SLACK) -> DataFrame:
+def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY, slack: int = SLACK, order: str | None = None) -> DataFrame:
     """Rows of ``items`` with sequence_id and offset, each sequence at most ``capacity`` long.
 
     Lengths are 1 to ``capacity``. Offsets have no gaps. Items of any columns.
-    Ties are dealt as they come; the numbers of sequences mean nothing.
+    Ties are dealt as they come. Sequences are numbered by the least whole number
+    that their items have in column ``order``; items near to each other in it are
+    packed together. Without it the numbers of sequences mean nothing.
     """
     spark = items.sparkSession
     rest = [c for c in items.columns if c not in ("sequence_id", "offset")]
     payload = F.struct(*[F.col(f"`{c}`") for c in rest])
-    schema = "used long, items int, members array<" + items.select(payload.alias("m")).schema["m"].dataType.simpleString() + ">"
+    schema = "used long, items int, first long, members array<" + items.select(payload.alias("m")).schema["m"].dataType.simpleString() + ">"
     items = written(items, "pieces")
-    bins = items.select(F.col(length).cast("long").alias("used"), F.lit(1).alias("items"), F.array(payload).alias("members"))
-    # neighbouring rows, of like lengths perhaps, go to different partitions
-    bins = bins.repartition(max(1, -(-items.count() // MERGE_ITEMS)))
+    bins = items.select(F.col(length).cast("long").alias("used"), F.lit(1).alias("items"), (F.col(f"`{order}`") if order else F.lit(0)).cast("long").alias("first"), F.array(payload).alias("members"))
+    wanted = max(1, -(-items.count() // MERGE_ITEMS))
+    # without an order, neighbouring rows, of like lengths perhaps, go to different partitions
+    bins = bins.repartitionByRange(wanted, "first").sortWithinPartitions("first") if order else bins.repartition(wanted)
     done, open_rows, parts = None, None, None
     while True:
-        bins = written(bins.mapInPandas(_packed(capacity), schema), "bins")
+        bins = written(bins.mapInPandas(_packed(capacity, WINDOW_ITEMS if order and parts is None else None), schema), "bins")
         full = bins.where(F.col("used") >= capacity - slack)
         done = full if done is None else done.unionByName(full)
         bins = bins.where(F.col("used") < capacity - slack)
@@ -193,6 +200,7 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY, sla
         open_rows = rows
         # bins of every fill go to every partition, so that each can complete others
         bins = bins.repartition(parts)
+    done = done.orderBy("first") if order else done
     numbered = done.withColumn("sequence_id", F.monotonically_increasing_id())
     each = numbered.select("sequence_id", F.posexplode("members").alias("_pos", "m")).select("m.*", "sequence_id", "_pos")
     before = Window.partitionBy("sequence_id").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)

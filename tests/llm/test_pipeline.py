@@ -23,3 +23,14 @@ def test_stages(spark, tmp_path):
 
 def test_order(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "repeats", "mixing", "packing"]
+
+
+def test_sequences_follow_the_mix(spark):
+    # sources in proportion 4 : 1 are mixed 2 : 1 while both last
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 16_000, "large").otherwise("small").alias("source"))
+    docs = rows.select("doc_id", F.repeat(F.lit("some words "), (F.col("doc_id") * 7 % 90 + 10).cast("int")).alias("text"), F.lit("en").alias("lang"), "source", F.lit(1).cast("long").alias("n_chars"))
+    out = corpus_pipeline.packing(spark, corpus_pipeline.mixing(spark, docs, SF), SF).join(rows, "doc_id").toPandas().sort_values("sequence_id")
+    assert len(out) == 20_000
+    for at in range(0, 8000, 4000):
+        assert abs((out.source[at : at + 4000] == "small").mean() - 1 / 3) < 0.03
+    assert (out.source[-4000:] == "large").mean() > 0.95
