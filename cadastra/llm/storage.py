@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +11,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one under /tmp where it is unset (tests)."""
+    """The folder in spark.checkpoint.dir. Where it is unset, one of a local session; on a cluster that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file:///tmp/cadastra-shared"
-    return folder
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is not set: executors share no folder")
+    return f"file://{tempfile.gettempdir()}/shared-{spark.sparkContext.applicationId}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -28,8 +32,13 @@ BATCH_ROWS = 1000
 
 
 def text_batches(df: DataFrame) -> None:
-    """Keep the session's Arrow batches small: rows here hold whole texts, and workers share an executor's memory."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    """Make the session's Arrow batches small, if larger: rows here hold whole texts, and workers share an executor's memory.
+
+    The setting is read when a frame runs, so it stays until the caller changes it.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, BATCH_ROWS)
 
 
 #: Rows of ids or keys that are broadcast; more are shuffled.
@@ -51,6 +60,8 @@ def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     own = docs.select(F.col(text).cast("string").alias("text")).where(F.col("text").isNotNull())
     return (
         own.withColumn("key", text_key("text"))
+        # joins on the key put this condition under the exchange; where all plans have it they share one
+        .where(F.col("key").isNotNull())
         .groupBy("key")
         .agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     )

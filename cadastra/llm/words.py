@@ -1,8 +1,11 @@
 """Vectorised words and word shingles over Arrow string columns.
 
-Every function works on one chunk of texts laid end to end as bytes, so the
-cost is a few numpy passes per byte and none per document. Words are the byte
-runs ``[^\\x20\\x09-\\x0D]+``; they are known by a 64-bit hash.
+Texts are laid end to end as bytes and read in blocks that end between words,
+so the cost is a few numpy passes per byte and a very long text takes no more
+memory for its bytes than a short one. Words are the byte runs
+``[^\\x20\\x09-\\x0D]+``; they are known by a 64-bit multilinear hash: a sum of
+(byte + 1) times a random number of the place in the word. Two different words
+hash alike for at most one in 2^55 choices of these numbers, whatever the words.
 """
 
 from __future__ import annotations
@@ -12,17 +15,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+#: Bytes of texts in a chunk of rows, and of a block that is hashed at once.
 CHUNK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 
-_rng = np.random.default_rng(20240607)
-_BYTE = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: list[np.ndarray] = []
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -33,14 +33,9 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES * 2)
-        _powers[:] = [
-            np.concatenate(([np.uint64(1)], np.cumprod(np.full(size - 1, b, np.uint64))))
-            for b in (_BASE, _INVERSE)
-        ]
-    return _powers
+def _factors(n: int, seed: int) -> np.ndarray:
+    """Odd random numbers of the first n places."""
+    return mix(np.arange(n, dtype=np.uint64), seed) | np.uint64(1)
 
 
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,30 +64,50 @@ def chunks(batch: pa.RecordBatch, text: str, size: int = CHUNK_BYTES) -> Iterato
         row = end
 
 
+def _block_words(data: np.ndarray, cut: np.ndarray, at: int, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of a block's words; ``cut`` holds the places where a row begins."""
+    inside = ~_SPACE[data]
+    before = np.zeros(len(data), bool)
+    before[1:] = inside[:-1]
+    before[cut] = False
+    starts = np.flatnonzero(inside & ~before)
+    if not len(starts):
+        return starts, starts, np.zeros(0, np.uint64)
+    after = np.zeros(len(data), bool)
+    after[:-1] = inside[1:] & before[1:]
+    ends = np.flatnonzero(inside & ~after) + 1
+    lengths = ends - starts
+    kept = np.flatnonzero(inside)
+    place = np.arange(len(kept)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    bytes_ = (_LOWER[data[kept]] if lower else data[kept]).astype(np.uint64) + np.uint64(1)
+    sums = np.add.reduceat(bytes_ * _factors(int(lengths.max()), 5)[place], np.cumsum(lengths) - lengths)
+    return starts + at, ends + at, mix(sums)
+
+
 class Words:
     """The words of a chunk: byte spans, hashes and the row each belongs to."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, block: int = BLOCK_BYTES):
         self.data, offsets = text_buffers(texts)
-        data = _LOWER[self.data] if lower else self.data
-        n = len(data)
-        inside = ~_SPACE[data]
-        cut = np.zeros(n + 1, bool)
-        cut[offsets] = True
-        first = inside.copy()
-        first[1:] &= ~inside[:-1] | cut[1:n]
-        last = inside.copy()
-        last[:-1] &= ~inside[1:] | cut[1:n]
-        self.starts = np.flatnonzero(first)
-        self.ends = np.flatnonzero(last) + 1
+        found = []
+        at, n = 0, len(self.data)
+        borders = offsets[1:-1]
+        while at < n:
+            end = min(at + block, n)
+            # a block ends where no word goes on
+            while end < n and not _SPACE[self.data[end]]:
+                step = np.flatnonzero(_SPACE[self.data[end : end + block]])
+                end = end + int(step[0]) if len(step) else min(end + block, n)
+            lo, hi = np.searchsorted(borders, [at, end])
+            found.append(_block_words(self.data[at:end], borders[lo:hi] - at, at, lower))
+            at = end
+        none = np.zeros(0, np.int64)
+        self.starts, self.ends = (np.concatenate([f[i] for f in found]) if found else none for i in (0, 1))
+        self.hashes = np.concatenate([f[2] for f in found]) if found else np.zeros(0, np.uint64)
         #: number of the first word of each row, and of the word after the last
         self.bounds = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.bounds)
         self.rows = np.repeat(np.arange(len(self.counts)), self.counts)
-        up, down = _power_tables(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
-        self.hashes = mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
 
     def grams(self, k: int, seed: int = 0) -> np.ndarray:
         """Hash of the k words from each position on, also where they run into the next row."""
@@ -100,8 +115,8 @@ class Words:
         if n <= 0:
             return np.zeros(0, np.uint64)
         total = np.zeros(n, np.uint64)
-        for j in range(k):
-            total = total * np.uint64(_BASE) + self.hashes[j : j + n]
+        for j, factor in enumerate(_factors(k, 6 + seed)):
+            total += self.hashes[j : j + n] * factor
         return mix(total, seed)
 
     def whole(self, k: int) -> np.ndarray:
@@ -124,9 +139,9 @@ def shingle_sets(texts: pa.Array, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     short = np.flatnonzero((words.counts > 0) & (words.counts < k))
     if len(short):
         own = np.zeros(len(short), np.uint64)
-        for j in range(k - 1):
+        for j, factor in enumerate(_factors(k, 6)[: k - 1]):
             has = words.counts[short] > j
-            own[has] = own[has] * np.uint64(_BASE) + words.hashes[words.bounds[short[has]] + j]
+            own[has] += words.hashes[words.bounds[short[has]] + j] * factor
         rows = np.concatenate((rows, short))
         hashes = np.concatenate((hashes, mix(own, 77) ^ words.counts[short].astype(np.uint64)))
     order = np.argsort(hashes)
