@@ -1,6 +1,7 @@
 """Sharding into near-equal bytes by histogram sort.
 
-Rows are ordered by (key, hash of the row). For each shard border a range of
+Rows are written once with a number each and ordered by (key, hash of the
+number), so equal rows have different order values. For each shard border a range of
 order values is kept in which it must lie. Each round puts evenly spaced probes
 into all ranges, counts the exact bytes and rows below every probe across
 partitions, and narrows the ranges, until a probe meets each target within the
@@ -18,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storage import written
+
 #: Distance from an even border that is accepted, as a share of a shard's bytes.
 TOLERANCE = 0.0005
 PROBES = 32
@@ -112,17 +115,20 @@ def shard_by_bytes(docs: DataFrame, size: str, key: str, shards: int, tolerance:
     """Every row of ``docs`` with shard (0 to shards - 1) and slot (gapless from 0 in its shard).
 
     ``key`` is an integer column; null keys come first. Rows that are equal in
-    all columns stay together. A null size counts as 0. Columns shard and slot
-    are replaced. An empty input gives an empty result.
+    all columns have an order, too, so they do not need to stay together. All
+    columns given are written once: give ids and sizes, not texts. A null size
+    counts as 0. Columns shard and slot are replaced. An empty input gives an
+    empty result.
     """
     rest = [c for c in docs.columns if c not in ("shard", "slot")]
     least = F.lit(-(2**63)).cast("long")
     rows = docs.select(
         *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)],
         F.coalesce(F.col(f"`{key}`").cast("long"), least).alias("key"),
-        F.xxhash64(*[F.col(f"`{c}`") for c in rest]).alias("tie"),
         F.coalesce(F.col(f"`{size}`").cast("long"), F.lit(0).cast("long")).alias("size"),
+        F.monotonically_increasing_id().alias("number"),
     )
+    rows = written(rows, "rows").withColumn("tie", F.xxhash64("number")).drop("number")
     slim = rows.select("key", "tie", "size")
     total = slim.agg(F.sum("size")).first()[0] or 0
     parts = max(1, -(-total // (shards * PART_BYTES)))
