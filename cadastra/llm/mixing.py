@@ -10,7 +10,8 @@ schedule is one over the whole sequence. All deadlines are met, so at any slot
 each source is less than one block from its fluid share.
 
 Rows are handled by DataFrame functions only. The driver works out the schedule
-from one count per source and holds a number per block.
+from one count per source and holds a number per block; blocks grow with the
+table once there are MAX_BLOCKS of them, so that does not.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ from pyspark.sql import functions as F
 
 from .storage import sized, written
 
+#: Rows of a block, and blocks of a table beyond which they get larger.
 BLOCK_ROWS = 64
-#: Slots of a cycle; without effect since weights are met over the whole sequence.
-CYCLE = 400
+MAX_BLOCKS = 1 << 20
 #: Hash ranges that a source's rows are numbered in.
 RANGES = 1024
 #: Times this near to a whole number count as whole.
@@ -67,18 +68,21 @@ def schedule(blocks: list[int], weights: list[float]) -> np.ndarray:
     return out
 
 
-def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", weights: dict | None = None, block_rows: int = BLOCK_ROWS, cycle: int = CYCLE, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", weights: dict | None = None, block_rows: int | None = None, seed: int = 0) -> DataFrame:
     """Every row of ``docs`` with block, position and place.
 
     ``block`` numbers the source's blocks, ``position`` is the block's place in
     the mixed sequence, ``place`` the row's in its block. A null source is a
-    source of its own. Rows equal in id and source share their rank in any order.
-    Columns of these names are replaced. An empty input gives an empty result.
+    source of its own. Rows equal in id and source share their rank in any order;
+    rows of null ids are told apart by their other columns. Columns of these
+    names are replaced. An empty input gives an empty result.
     """
     spark = docs.sparkSession
     names = ("block", "position", "place")
     rest = [c for c in docs.columns if c not in names]
     counts = {r[0]: r[1] for r in docs.groupBy(F.col(f"`{source}`").cast("string")).count().collect()}
+    if block_rows is None:
+        block_rows = max(BLOCK_ROWS, -(-sum(counts.values()) // MAX_BLOCKS))
     order = sorted(counts, key=lambda s: (s is not None, s))
     target = target_weights(counts, weights)
     slots = schedule([-(-counts[s] // block_rows) for s in order], [target[s] for s in order])
@@ -89,13 +93,11 @@ def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", weights: di
     slots = spark.createDataFrame(pa.table([pa.array(c) for c in columns], names=["number", "block", "position"]), "number int, block long, position long")
     slots = sized(written(slots, "schedule"))
 
-    number = F.create_map(*[F.lit(x) for i, s in enumerate(order) for x in ("" if s is None else f"s{s}", i)]) if order else F.create_map(F.lit(""), F.lit(0))
-    rank = F.xxhash64(F.lit(seed), F.col("_id"))
-    rows = docs.select(
-        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)],
-        F.col(f"`{id}`").alias("_id"),
-        F.element_at(number, F.coalesce(F.concat(F.lit("s"), F.col(f"`{source}`").cast("string")), F.lit(""))).alias("number"),
-    ).withColumn("rank", rank)
+    numbers = spark.createDataFrame([(s, i) for i, s in enumerate(order)], "_source string, number int")
+    numbers = sized(written(numbers, "sources"))
+    rank = F.xxhash64(F.lit(seed), F.col("_id"), F.when(F.col("_id").isNull(), F.xxhash64(*[F.col(f"c{i}") for i in range(len(rest))])))
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], F.col(f"`{id}`").alias("_id"), F.col(f"`{source}`").cast("string").alias("_own"))
+    rows = rows.join(numbers, F.col("_own").eqNullSafe(F.col("_source"))).drop("_own", "_source").withColumn("rank", rank)
     rows = rows.withColumn("range", F.pmod("rank", F.lit(RANGES)).cast("int"))
     own = F.row_number().over(Window.partitionBy("number", "range").orderBy("rank", "_id"))
     held = rows.groupBy("number", "range").agg(F.count(F.lit(1)).alias("held"))

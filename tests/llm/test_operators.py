@@ -104,7 +104,7 @@ def test_components(spark, monkeypatch):
 def test_mixing_deviates_less_than_a_block(docs, none, spark):
     rows = spark.range(300).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 200, "big").when(F.col("id") < 290, "mid").alias("source"), F.lit("x").alias("position"))
     weights = {"big": 5.0, "mid": 3.0, None: 1.0}
-    out = mixing.mix(rows, weights=weights, block_rows=2, cycle=9).toPandas().fillna({"source": "none"})
+    out = mixing.mix(rows, weights=weights, block_rows=2).toPandas().fillna({"source": "none"})
     assert sorted(out.doc_id) == list(range(300))
     blocks = out.groupby("position").source.agg(["first", "nunique"])
     assert list(blocks.index) == list(range(len(blocks))) and (blocks["nunique"] == 1).all()
@@ -285,7 +285,7 @@ def test_search_goes_on_until_all_is_seen(spark):
 
 def test_mixing_over_many_cycles(spark):
     rows = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 5000, "big").when(F.col("id") < 8000, "mid").otherwise("small").alias("source"))
-    blocks = mixing.mix(rows, weights={"big": 5.0, "mid": 3.0, "small": 1.0}, block_rows=1, cycle=40).toPandas().sort_values("position").source
+    blocks = mixing.mix(rows, weights={"big": 5.0, "mid": 3.0, "small": 1.0}, block_rows=1).toPandas().sort_values("position").source
     for name, share in (("big", 5), ("mid", 3), ("small", 1)):
         assert np.abs((blocks == name).cumsum().to_numpy() - share * np.arange(1, 9001) / 9).max() < 1
 
