@@ -240,14 +240,18 @@ def text_components(docs: DataFrame, text: str = "text", k: int = SHINGLE, perce
         "profile",
     )
     sizes = profile.where("key is not null").groupBy("key").agg(F.first("n_shingles").alias("n_shingles"))
+    # nodes are numbers, so that tokens travel with 8 bytes of their text
+    sizes = written(sizes.withColumn("node", F.monotonically_increasing_id()), "sizes")
     sketches = [_levels(profile, SLOTS[0])]
     levels = spark.sparkContext.broadcast(sketches)
 
-    texts = distinct_texts(docs, text)
-    rows = texts.mapInArrow(_prefix_rows(k, levels, ORDERS[0], percent, "key"), "token long, key binary")
-    alive = _shared(rows, "key").groupBy("key").agg(F.count(F.lit(1)).alias("shared"))
-    alive = alive.join(sizes.withColumnRenamed("n_shingles", "n"), "key").where(F.col("shared") >= _needed(percent)).select("key", "n")
-    first = texts.join(alive, "key").select("key", "text", "copies", "n").withColumn("node", F.monotonically_increasing_id())
+    numbered = distinct_texts(docs, text).join(sizes.where("n_shingles > 0"), "key")
+    numbered = numbered.select("node", "text", "copies", F.col("n_shingles").alias("n"))
+    rows = numbered.mapInArrow(_prefix_rows(k, levels, ORDERS[0], percent, "node"), "token long, node long")
+    alive = _shared(rows, "node").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    alive = alive.join(sizes.select("node", F.col("n_shingles").alias("n")), "node").where(F.col("shared") >= _needed(percent)).select("node")
+    alive = sizes.where("n_shingles > 0").join(alive, "node").select("key", "node", F.col("n_shingles").alias("n"))
+    first = distinct_texts(docs, text).join(alive, "key").select("node", "text", "copies", "n")
     first = written(first, "survivors")
     sketches.append(_levels(first.select("text").mapInArrow(_profile_rows(k, SLOTS[1], False), _SKETCH), SLOTS[1]))
     levels = spark.sparkContext.broadcast(sketches)
@@ -310,7 +314,7 @@ def text_components(docs: DataFrame, text: str = "text", k: int = SHINGLE, perce
         links = links.union(found.where("linked").select("a", "b"))
         labels = written(components(links), "labels")
         buckets = members.where(F.col("place") > PIVOTS).join(large, "node", "left_semi").select("token", "node", "n")
-    named = labels.join(first.select("node", "key"), "node").join(first.select(F.col("node").alias("component"), F.col("key").alias("class")), "component")
+    named = labels.join(sizes.select("node", "key"), "node").join(sizes.select(F.col("node").alias("component"), F.col("key").alias("class")), "component")
     out = sizes.join(named.select("key", "class"), "key", "left")
     return out.select("key", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("class", "key")).alias("class"))
 
