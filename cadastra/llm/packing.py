@@ -14,6 +14,7 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -31,10 +32,17 @@ FAN_IN = 8
 #: Pieces in a row that are packed together where sequences follow an order.
 WINDOW_ITEMS = 4096
 #: Runs of characters whose ids a Python worker keeps.
-CACHE_RUNS = 600_000
+CACHE_RUNS = 450_000
+#: New words that the library encodes as one text.
+JOINED_WORDS = 64
 #: Texts looked up at once.
 GROUP = 256
 
+#: Ends a token that ends a word, in the vocabulary file.
+WORD_END = "</w>"
+#: Marks that usually follow a word.
+MARKS = ".,;:!?"
+
 #: The vocabulary's special strings.
 _SPECIAL = re.compile(r"<\|(?:startoftext|endoftext)\|>")
 #: A character that the normaliser may treat otherwise than str.lower() does.
@@ -47,8 +55,11 @@ class Ids:
     """Token ids of texts as little-endian bytes: a run between blanks is encoded once and looked up.
 
     The vocabulary's pattern never joins characters across blanks, so the ids of
-    a text are those of its runs one after the other. Other than plain texts go
-    to the library whole.
+    a text are those of its runs one after the other; nor does it join letters
+    with other characters, so letters before a run's last marks are looked up by
+    themselves. Words of letters are one match of the pattern each and thus end
+    at the first id that ends a word: many are encoded as one text and cut there.
+    Other than plain texts go to the library whole.
     """
 
     def __init__(self, vocabulary: str):
@@ -56,16 +67,53 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.known: dict[str, bytes] = {}
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith(WORD_END) for i in range(size)])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words of letters."""
+        known = {}
+        groups = [words[at : at + JOINED_WORDS] for at in range(0, len(words), JOINED_WORDS)]
+        for group, data in zip(groups, self._encode([" ".join(g) for g in groups]), strict=True):
+            ends = (np.flatnonzero(self.ends[np.frombuffer(data, np.uint32)]) + 1).tolist()
+            if len(ends) != len(group):
+                known.update(zip(group, self._encode(group), strict=True))
+                continue
+            at = 0
+            for word, end in zip(group, ends, strict=True):
+                known[word] = data[4 * at : 4 * end]
+                at = end
+        return known
+
+    def _runs(self, runs: list[str]) -> dict[str, bytes]:
+        """Ids of distinct runs that are not known."""
+        known, found, cores, alone = self.known, {}, [], []
+        for run in runs:
+            core = run.rstrip(MARKS)
+            if not core.isalpha():
+                alone.append(run)
+            elif core is run or len(core) == len(run):
+                cores.append((run, run, ""))
+            else:
+                cores.append((run, core, run[len(core) :]))
+        if alone:
+            found.update(zip(alone, self._encode(alone), strict=True))
+        found.update(self._encode_words(list({c for _, c, _ in cores if c not in known})))
+        tails = list({t for _, _, t in cores})
+        tail_ids = dict(zip(tails, self._encode(tails), strict=True))
+        for run, core, tail in cores:
+            if tail:
+                found[run] = (found[core] if core in found else known[core]) + tail_ids[tail]
+        return found
+
     def of(self, texts: list[str]) -> list[bytes]:
         runs = [None if _OTHER.search(t) or _SPECIAL.search(t) else t.lower().split() for t in texts]
         known = self.known
-        new = [w for w in set().union(*[r for r in runs if r]) if w not in known]
-        found = dict(zip(new, self._encode(new), strict=True))
+        found = self._runs([w for w in set().union(*[r for r in runs if r]) if w not in known])
         if len(known) + len(found) <= CACHE_RUNS:
             known.update(found)
             return [self._encode([t])[0] if r is None else b"".join([known[w] for w in r]) for t, r in zip(texts, runs, strict=True)]
