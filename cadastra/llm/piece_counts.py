@@ -22,7 +22,7 @@ from .storage import text_batches
 #: Ends a word in the vocabulary file.
 END_MARK = "</w>"
 END = 256
-CACHE_RUNS = 600_000
+CACHE_RUNS = 300_000
 
 #: Fixed value: the word pattern that goes with the vocabulary.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -134,6 +134,7 @@ def piece_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFr
     """Rows of ``docs`` without text, with n_words and n_pieces.
 
     Words are those of the vocabulary's pattern on the NFC, lower-cased text; a
+    word that the vocabulary cannot spell counts as one piece, the unknown one. A
     null text has none. Columns n_words and n_pieces are replaced.
     """
     text_batches(docs)
