@@ -29,6 +29,8 @@ SMOOTHING = 0.1
 #: Strength of the squared penalty on the regression's weights.
 PENALTY = 1e-4
 ROUNDS = 800
+#: Bytes whose features are worked out at once.
+BLOCK_BYTES = 1 << 17
 THRESHOLD = 0.3
 
 _BYTES = _LOWER.copy()
@@ -36,36 +38,38 @@ _BYTES[_SPACE] = 0x20
 
 
 def features(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, feature) pairs of a chunk, sorted; of the wanted features only, if given."""
+    """Distinct (row, feature) pairs of a chunk, sorted; of the wanted features only, if given.
+
+    Bytes are read in blocks, so a very long text needs memory for its distinct features only.
+    """
     data, offsets = text_buffers(texts)
-    data = _BYTES[data].astype(np.uint32)
-    n = len(data)
-    left = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(n) if n else np.zeros(0, np.int64)
-    found = []
-    h = np.zeros(n, np.uint32)
-    for k in range(1, max(ORDERS) + 1):
-        if n < k:
-            break
-        h = h[: n - k + 1] * np.uint32(0x01000193) + data[k - 1 :]
-        if k not in ORDERS:
-            continue
-        x = (h ^ (h >> np.uint32(15))) * np.uint32(0x9E3779B1 + 2 * k)
-        x >>= np.uint32(32 - BITS)
-        ok = left[: len(x)] >= k
-        at = np.flatnonzero(ok & wanted[x] if wanted is not None else ok)
-        found.append((at, x[at]))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at, x = (np.concatenate(c) for c in zip(*found, strict=True))
-    rows = np.searchsorted(offsets, at, "right") - 1
-    pairs = np.unique((rows.astype(np.int64) << BITS) | x)
+    found = [np.zeros(0, np.int64)]
+    for start in range(0, len(data), BLOCK_BYTES):
+        block = _BYTES[data[start : start + BLOCK_BYTES + max(ORDERS) - 1]].astype(np.uint32)
+        n = min(BLOCK_BYTES, len(data) - start)
+        rows = np.searchsorted(offsets, np.arange(start, start + n), "right") - 1
+        left = offsets[rows + 1] - np.arange(start, start + n)
+        h, own = np.zeros(len(block), np.uint32), []
+        for k in range(1, min(max(ORDERS), len(block)) + 1):
+            h = h[: len(block) - k + 1] * np.uint32(0x01000193) + block[k - 1 :]
+            if k not in ORDERS:
+                continue
+            x = h[:n]
+            x = (x ^ (x >> np.uint32(15))) * np.uint32(0x9E3779B1 + 2 * k)
+            x >>= np.uint32(32 - BITS)
+            ok = left[: len(x)] >= k
+            at = np.flatnonzero(ok & wanted[x] if wanted is not None else ok)
+            own.append((rows[at] << BITS) | x[at])
+        if own:
+            found.append(np.unique(np.concatenate(own)))
+    pairs = np.unique(np.concatenate(found))
     return pairs >> BITS, pairs & ((1 << BITS) - 1)
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, 1 << BITS), np.int64)
     for batch in batches:
-        for part in chunks(batch, "text", 1 << 17):  # all features of a chunk are sorted at once
+        for part in chunks(batch, "text", BLOCK_BYTES):  # all features of a chunk are sorted at once
             rows, found = features(part.column("text"))
             toxic = part.column("toxic").to_numpy()[rows]
             for c in (0, 1):
@@ -123,13 +127,15 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
     At most ``rows`` labels are taken, those of the least hashed ids, and those
     are broadcast. Null ids, texts and labels take no part; of several labels of
-    an id the largest holds. Without both classes only the bias is fitted.
+    an id the largest holds, of several texts the one of the least hash. Without
+    both classes only the bias is fitted.
     """
     text_batches(docs)
     chosen = labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("toxic")).dropna().where("toxic in (0, 1)").groupBy("_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(rows)
     known = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("text")).dropna()
-    sample = known.join(F.broadcast(chosen), "_id").select(F.xxhash64("_id", "text").alias("order"), "text", "toxic")
+    sample = known.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic"))
+    sample = sample.select(F.xxhash64("_id").alias("order"), "text", "toxic")
     sample = written(sample.repartition(8, "order"), "sample")
     totals = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     if len(totals) < 2:
@@ -147,18 +153,18 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     return ids, np.array([weights[i] for i in range(len(ids))]), weights[-1]
 
 
-def _score_rows(ids: np.ndarray, weights: np.ndarray, bias: float) -> Callable:
+def _score_rows(ids: np.ndarray, weights: np.ndarray, bias: float, text: str, keep: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = np.zeros(1 << BITS)
         dense[ids] = weights
         wanted = np.zeros(1 << BITS, bool)
         wanted[ids] = True
         for batch in batches:
-            for part in chunks(batch, "text"):
-                rows, found = features(part.column("text"), wanted)
+            for part in chunks(batch, text, BLOCK_BYTES):
+                rows, found = features(part.column(text), wanted)
                 total = np.bincount(rows, dense[found], part.num_rows) + bias
                 score = 1 / (1 + np.exp(-np.clip(total, -500, 500)))
-                rest = part.drop_columns(["text"])
+                rest = part if keep else part.drop_columns([text])
                 yield pa.record_batch([*rest.columns, pa.array(score)], names=[*rest.schema.names, "score"])
 
     return run
@@ -168,14 +174,18 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: st
     """Rows of ``docs`` with score (0 to 1) and predicted (1 if score >= threshold).
 
     A null text counts as empty and gets the score of the bias alone. The text
-    column stays only if asked for. Columns score and predicted are replaced.
+    column stays (as a string) only if asked for; it is sent to Python once.
+    Columns score and predicted are replaced.
     """
     text_batches(docs)
-    rest = [c for c in docs.columns if c not in ("score", "predicted") and (keep_text or c != text)]
-    own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], F.col(f"`{text}`").cast("string").alias("text"))
-    schema = ", ".join([*(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(rest)), "score double"])
-    out = own.mapInArrow(_score_rows(*model), schema)
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+    own = [c for c in docs.columns if c not in ("score", "predicted") or c == text]
+    names = {c: f"c{i}" for i, c in enumerate(own)}
+    kinds = {c: "string" if c == text else docs.schema[c].dataType.simpleString() for c in own}
+    rows = docs.select(*[F.col(f"`{c}`").cast("string").alias(n) if c == text else F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    shown = [c for c in own if keep_text or c != text]
+    schema = ", ".join([*(f"{names[c]} {kinds[c]}" for c in shown), "score double"])
+    out = rows.mapInArrow(_score_rows(*model, names[text], keep_text), schema)
+    return out.select(*[F.col(names[c]).alias(c) for c in shown if c not in ("score", "predicted")], "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
 def held_out(id: str):
