@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.llm.jaccard_join import text_components
-from cadastra.llm.mixing import BLOCK_ROWS, mix
+from cadastra.llm.mixing import mix
 from cadastra.llm.packing import pack, pieces
 from cadastra.llm.queries import word_vocabulary
 from cadastra.llm.storage import shared_dir, sized, text_key, written
@@ -62,7 +62,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in sequences, which are numbered along the mixed order."""
     # the mix depends on ids and sources alone, so it is the one that the stage before wrote
-    rank = (F.col("position") * BLOCK_ROWS + F.col("place")).alias("rank")
+    rank = (F.col("position") * 2**32 + F.col("place")).alias("rank")
     ranks = mix(docs.select("doc_id", "source")).select("doc_id", "source", rank).groupBy("doc_id", "source").agg(F.min("rank").alias("rank"))
     ranks = sized(written(ranks.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "rank"), "ranks"))
     own = written(pieces(docs.select("doc_id", "source", "text"), word_vocabulary()), "own")
