@@ -2,14 +2,20 @@
 
 Corners are found at several scales, turned to the direction of their patch's
 intensity centroid and described by 256 binary tests of smoothed brightness.
-Descriptors at most HAMMING bits apart agree in one of four 64-bit quarters, so
-joins on quarters find them all, and some up to NEAR bits apart; images are linked when enough of their matched
-corners move by one similarity transform.
+Two descriptors match if two of their four 64-bit quarters agree, as those of
+all pairs at most 2 bits apart do: a table has one key per pair of quarters, and
+only numbers of images and corners go through it. Images are linked if enough of
+their matched corners move by one similarity transform.
+
+Pairs are not emitted within a key: pivots of a key are compared with its other
+members of other groups, groups are joined, and a pivot leaves its keys. This
+goes on, with twice as many pivots each time, until every key holds one group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -19,25 +25,27 @@ from pyspark.sql import functions as F
 from .components import components
 from .storage import written
 
-SCALES = (1.0, 0.75)
-#: Strongest corners kept at each scale.
+#: A scale is this much smaller than the one before; the least is the last with this many pixels a side.
+STEP = 0.75
+LEAST_SIDE = 38
+#: Strongest corners kept at each scale, at least; larger images keep more, by their side.
 CORNERS = 16
+CORNER_PIXELS = 4
 RADIUS = 11
-HAMMING = 3
-#: Bits apart at which descriptors that share a table entry still match.
-NEAR = 24
-#: Descriptors in a table entry beyond which its key is made longer.
-ENTRY = 64
+#: Pivots of a key in the first round.
+PIVOTS = 4
 #: Corners that must agree on a transform, its tolerance in pixels.
-AGREE = 4
+AGREE = 3
 TOLERANCE = 2.0
 BATCH = 64
+#: Transforms of a pair that are tried at once.
+TRIED = 64
 
 _rng = np.random.default_rng(11)
 _TESTS = np.clip(_rng.normal(0, RADIUS / 2.2, (256, 4)), -RADIUS, RADIUS)
 _DISC = np.array([(y, x) for y in range(-RADIUS, RADIUS + 1) for x in range(-RADIUS, RADIUS + 1) if x * x + y * y <= RADIUS * RADIUS])
 
-DESCRIPTORS = "image binary, scale double, x double, y double, angle double, q0 long, q1 long, q2 long, q3 long"
+DESCRIPTORS = "image long, corner int, scale float, x float, y float, angle float, q0 long, q1 long, q2 long, q3 long"
 
 
 def _box(a: np.ndarray, r: int) -> np.ndarray:
@@ -65,10 +73,17 @@ def _resized(a: np.ndarray, scale: float) -> np.ndarray:
     return top * (1 - fy) + low * fy
 
 
+def scales(shape: tuple[int, ...]) -> list[float]:
+    """1 and the smaller scales of an image."""
+    n = max(0, int(np.floor(np.log(LEAST_SIDE / min(shape)) / np.log(STEP)))) if min(shape) > LEAST_SIDE else 0
+    return [STEP**k for k in range(n + 1)]
+
+
 def describe(images: np.ndarray) -> tuple[np.ndarray, ...]:
     """Corners of equally large grey images: image number, scale, x, y, angle and 32 bytes of tests."""
     found = []
-    for scale in SCALES:
+    corners = max(CORNERS, int(np.sqrt(images.shape[1] * images.shape[2]) / CORNER_PIXELS))
+    for scale in scales(images.shape[1:]):
         a = _resized(images.astype(np.float64), scale)
         smooth = _box(a, 1)
         dy, dx = np.gradient(smooth, axis=(1, 2))
@@ -84,7 +99,7 @@ def describe(images: np.ndarray) -> tuple[np.ndarray, ...]:
                     peak &= strength >= np.roll(strength, (sy, sx), (1, 2))
         h, w = a.shape[1:]
         flat = np.where(peak, strength, 0).reshape(len(a), -1)
-        best = np.argsort(-flat, axis=1, kind="stable")[:, :CORNERS]
+        best = np.argsort(-flat, axis=1, kind="stable")[:, :corners]
         at = np.repeat(np.arange(len(a)), best.shape[1])
         keep = np.take_along_axis(flat, best, 1).ravel() > 0
         at, y, x = at[keep], best.ravel()[keep] // w, best.ravel()[keep] % w
@@ -111,78 +126,121 @@ def _descriptor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 pixels = np.stack([np.frombuffer(batch.column("pixels")[int(i)].as_py(), np.uint8).reshape(shape) for i in own])
                 image, scale, x, y, angle, bits = describe(pixels)
                 quarters = np.ascontiguousarray(bits).view(np.int64)
+                by = np.argsort(image, kind="stable")
+                image = image[by]
+                corner = np.arange(len(image)) - np.searchsorted(image, image)
                 yield pa.record_batch(
-                    [batch.column("image").take(pa.array(own[image])), *(pa.array(c) for c in (scale, x, y, angle)), *(pa.array(quarters[:, i]) for i in range(4))],
-                    names=["image", "scale", "x", "y", "angle", "q0", "q1", "q2", "q3"],
+                    [
+                        batch.column("image").take(pa.array(own[image])),
+                        pa.array(corner.astype(np.int32)),
+                        *(pa.array(c[by].astype(np.float32)) for c in (scale, x, y, angle)),
+                        *(pa.array(quarters[by, i]) for i in range(4)),
+                    ],
+                    names=["image", "corner", "scale", "x", "y", "angle", "q0", "q1", "q2", "q3"],
                 )
 
 
+def agreeing(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray, turn: np.ndarray, zoom: np.ndarray) -> int:
+    """The most matches, at different places of the first image, that the transform of one of them explains."""
+    c, s = np.cos(turn) * zoom, np.sin(turn) * zoom
+    tx, ty = x2 - (c * x1 - s * y1), y2 - (s * x1 + c * y1)
+    # corners of several scales at one place count once
+    _, place = np.unique(np.stack([x1 // 2, y1 // 2]), axis=1, return_inverse=True)
+    most = 0
+    for at in range(0, len(c), TRIED):
+        p = slice(at, at + TRIED)
+        ex = c[p, None] * x1 - s[p, None] * y1 + tx[p, None] - x2
+        ey = s[p, None] * x1 + c[p, None] * y1 + ty[p, None] - y2
+        which, match = np.nonzero(ex * ex + ey * ey <= TOLERANCE**2)
+        count = np.unique(which * (place.max() + 1) + place.ravel()[match]) // (place.max() + 1)
+        most = max(most, int(np.bincount(count).max()))
+    return most
+
+
 def _agreeing_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each pair's matches the most that one similarity transform explains."""
+    names = ("x1", "y1", "x2", "y2", "turn", "zoom")
     for batch in batches:
-        most = []
-        for matches in batch.column("matches"):
-            m = matches.values
-            x1, y1, x2, y2, turn, zoom = (m.field(c).to_numpy() for c in ("x1", "y1", "x2", "y2", "turn", "zoom"))
-            c, s = np.cos(turn) * zoom, np.sin(turn) * zoom
-            tx, ty = x2 - (c * x1 - s * y1), y2 - (s * x1 + c * y1)
-            ex = c[:, None] * x1 - s[:, None] * y1 + tx[:, None] - x2
-            ey = s[:, None] * x1 + c[:, None] * y1 + ty[:, None] - y2
-            fits = ex * ex + ey * ey <= TOLERANCE**2
-            # corners of several scales at one place count once
-            places = x1.astype(np.int64) // 2 * 100_003 + y1.astype(np.int64) // 2
-            most.append(max(len(np.unique(places[f])) for f in fits))
+        most = [agreeing(*(m.values.field(c).to_numpy().astype(np.float64) for c in names)) for m in batch.column("matches")]
         yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(most, pa.int32())], names=["a", "b", "agree"])
 
 
-def _entries(rows: DataFrame) -> DataFrame:
-    """Descriptors under table keys; a key with many gets longer, in all ways that HAMMING errors leave open."""
-    keyed = rows.select("*", F.posexplode(F.array("q0", "q1", "q2", "q3")).alias("quarter", "key"))
-    size = F.count(F.lit(1)).over(Window.partitionBy("quarter", "key"))
-    sized = keyed.withColumn("size", size)
-    few = sized.where(F.col("size") <= ENTRY).select("*", F.lit(-1).alias("part"), F.lit(0).cast("long").alias("more"))
-    rest = F.filter(F.array("q0", "q1", "q2", "q3"), lambda q, i: i != F.col("quarter"))
-    # 192 bits in four parts of 48: with three errors one part is free of them
-    piece = F.transform(rest, lambda q, i: F.shiftrightunsigned(q, 16))
-    last = F.aggregate(rest, F.lit(0).cast("long"), lambda s, q: F.shiftleft(s, 16).bitwiseOR(q.bitwiseAND(F.lit(0xFFFF).cast("long"))))
-    many = sized.where(F.col("size") > ENTRY).select("*", F.posexplode(F.concat(piece, F.array(last))).alias("part", "more"))
-    return few.unionByName(many).drop("size")
+def _verified(pairs: DataFrame, entries: DataFrame, corners: DataFrame) -> DataFrame:
+    """(a, b, agree) of the pairs with AGREE corners or more under one transform."""
+    first, second = (entries.select("key", F.col("image").alias(i), F.col("corner").alias(f"corner_{i}")) for i in "ab")
+    matches = pairs.join(first, "a").join(second, ["b", "key"]).select("a", "b", "corner_a", "corner_b").distinct()
+    enough = matches.groupBy("a", "b").agg(F.countDistinct("corner_a").alias("n")).where(F.col("n") >= AGREE).select("a", "b")
+    matches = matches.join(enough, ["a", "b"])
+    for i in "ab":
+        place = corners.select(F.col("image").alias(i), F.col("corner").alias(f"corner_{i}"), F.struct("x", "y", "angle", "scale").alias(f"at_{i}"))
+        matches = matches.join(place, [i, f"corner_{i}"])
+    match = F.struct(
+        F.col("at_a.x").alias("x1"), F.col("at_a.y").alias("y1"), F.col("at_b.x").alias("x2"), F.col("at_b.y").alias("y2"),
+        (F.col("at_b.angle") - F.col("at_a.angle")).alias("turn"), (F.col("at_a.scale") / F.col("at_b.scale")).cast("float").alias("zoom"),
+    )
+    sets = matches.groupBy("a", "b").agg(F.collect_list(match).alias("matches"))
+    return sets.mapInArrow(_agreeing_rows, "a long, b long, agree int").where(F.col("agree") >= AGREE)
 
 
-def linked_images(images: DataFrame) -> DataFrame:
-    """(a, b, agree) of different images that share AGREE corners or more under one transform.
+def image_groups(images: DataFrame) -> DataFrame:
+    """(node, component): images, by number, that are linked with another, and the least number of their group.
 
-    ``images`` has image (key), height, width and pixels (grey, one byte each).
+    ``images`` has image (a number), height, width and pixels (grey, one byte each).
     """
-    rows = written(images.select("image", "height", "width", "pixels").mapInArrow(_descriptor_rows, DESCRIPTORS), "descriptors")
-    entries = _entries(rows)
-    on = ["quarter", "key", "part", "more"]
-    first, second = (entries.select(*on, *[F.col(c).alias(f"{c}_{n}") for c in rows.columns]) for n in (1, 2))
-    apart = sum(F.bit_count(F.col(f"q{i}_1").bitwiseXOR(F.col(f"q{i}_2"))) for i in range(4))
-    pairs = first.join(second, on).where("image_1 < image_2").where(apart <= NEAR)
-    match = F.struct(*[F.col(f"{c}_{n}").alias(f"{c}{n}") for n in (1, 2) for c in ("x", "y")], (F.col("angle_2") - F.col("angle_1")).alias("turn"), (F.col("scale_1") / F.col("scale_2")).alias("zoom"))
-    matched = pairs.select(F.col("image_1").alias("a"), F.col("image_2").alias("b"), match.alias("m")).groupBy("a", "b").agg(F.collect_set("m").alias("matches"))
-    return matched.where(F.size("matches") >= AGREE).mapInArrow(_agreeing_rows, "a binary, b binary, agree int").where(F.col("agree") >= AGREE)
+    corners = written(images.select("image", "height", "width", "pixels").mapInArrow(_descriptor_rows, DESCRIPTORS), "corners")
+    keys = F.array(*[F.xxhash64(F.lit(n), f"q{i}", f"q{j}") for n, (i, j) in enumerate(combinations(range(4), 2))])
+    same = Window.partitionBy("key")
+    entries = corners.select(F.explode(keys).alias("key"), "image", "corner")
+    shared = entries.withColumns({"least": F.min("image").over(same), "most": F.max("image").over(same)}).where("least != most")
+    entries = written(shared.select("key", "image", "corner"), "entries")
+    corners = written(corners.join(entries.select("image", "corner").distinct(), ["image", "corner"]).select("image", "corner", "x", "y", "angle", "scale"), "shared")
+
+    members = entries.select("key", "image").distinct()
+    links = labels = checked = None
+    pivots = PIVOTS
+    while True:
+        grouped = members.withColumn("component", F.col("image"))
+        if labels is not None:
+            grouped = members.join(labels.withColumnRenamed("node", "image"), "image", "left").withColumn("component", F.coalesce("component", "image"))
+        grouped = written(grouped, "members")
+        # a pivot for each class of a hash: partial minima, so a key of very many images costs each task a few rows
+        chosen = F.pmod(F.xxhash64("image", F.lit(pivots)), F.lit(pivots))
+        open_ = grouped.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("key")
+        heads = grouped.join(open_, "key").groupBy("key", chosen.alias("class")).agg(F.min(F.struct("image", "component")).alias("p"))
+        heads = written(heads.select("key", F.col("p.image").alias("b"), F.col("p.component").alias("cb")), "pivots")
+        if heads.isEmpty():
+            break
+        pairs = grouped.withColumnRenamed("image", "a").join(heads, "key").where("a != b and component != cb")
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        if checked is not None:
+            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+        pairs = written(pairs, "pairs")
+        found = written(_verified(pairs, entries, corners), "links")
+        links, checked = (found, pairs) if links is None else (links.union(found), checked.union(pairs))
+        labels = written(components(links.select("a", "b")), "groups")
+        members = grouped.join(heads.select("key").distinct(), "key", "left_semi").join(heads.select("key", F.col("b").alias("image")), ["key", "image"], "left_anti").select("key", "image")
+        pivots *= 2
+    none = images.select(F.col("image").alias("node"), F.col("image").alias("component")).where("false")
+    return none if labels is None else labels
 
 
 def image_copies(images: DataFrame, id: str = "image_id") -> DataFrame:
-    """(id, group_id, n_links): each image's least id among its copies, and its number of linked different images.
+    """(id, group_id): each image's least id among its copies; copies of copies are one group.
 
     Images of equal pixels and size are one. Null, empty or mis-sized pixels take
-    no part: their group is their own id and they have no links.
+    no part: their group is their own id. Of a group without ids the id is null.
     """
     own = images.select(F.col(id).alias("_id"), "height", "width", "pixels")
     sound = F.coalesce((F.col("height") >= 16) & (F.col("width") >= 16) & (F.octet_length("pixels") == F.col("height") * F.col("width")), F.lit(False))
     key = F.when(sound, F.unhex(F.md5(F.concat(F.col("pixels"), F.concat_ws("x", "height", "width").cast("binary")))))
-    keyed = own.select("_id", key.alias("image"))
-    distinct = own.where(sound).withColumn("image", key).groupBy("image", "height", "width").agg(F.first("pixels").alias("pixels"))
-    links = written(linked_images(distinct), "links")
-    groups = written(components(links.select("a", "b")), "groups")
-    counts = links.select(F.col("a").alias("image")).union(links.select("b")).groupBy("image").agg(F.count(F.lit(1)).alias("n_links"))
-    named = keyed.join(groups.withColumnRenamed("node", "image"), "image", "left").withColumn("component", F.coalesce("component", "image"))
+    keyed = own.select("_id", key.alias("key"))
+    distinct = own.where(sound).withColumn("key", key).groupBy("key", "height", "width").agg(F.first("pixels").alias("pixels"))
+    distinct = written(distinct.withColumn("image", F.monotonically_increasing_id()), "images")
+    groups = image_groups(distinct.select("image", "height", "width", "pixels"))
+    named = distinct.select("key", "image").join(groups.withColumnRenamed("node", "image"), "image", "left").select("key", F.coalesce("component", "image").alias("component"))
+    named = keyed.join(named, "key", "left")
     least = named.where("component is not null").groupBy("component").agg(F.min("_id").alias("least"))
-    out = named.join(least, "component", "left").join(counts, "image", "left")
-    return out.select(F.col("_id").alias(id), F.coalesce("least", "_id").alias("group_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    out = named.join(least, "component", "left")
+    return out.select(F.col("_id").alias(id), F.coalesce("least", "_id").alias("group_id"))
 
 
 def _drawn_rows(side: int, cell: int) -> Callable:

@@ -250,6 +250,7 @@ def test_images(spark):
     assert got[60] == 2 and all(got[i] == i for i in (900, 901, 902))
     assert all(got[i] == i for i in range(0, 60, 2))
     assert images.image_copies(extra.where("false")).count() == 0
+    assert images.image_copies(drawn).columns == ["image_id", "group_id"]
 
 
 def test_packing_does_not_hang_on_batches(spark):
