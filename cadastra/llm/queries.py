@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .images import drawn_images, image_copies
 from .jaccard_join import jaccard_components
-from .licenses import default_templates, scan_licenses
+from .licenses import BLOCK, COMMON, FILE_SHARE, THRESHOLD, scan_licenses, template_terms, TEMPLATES
 from .mixing import mix
 from .neighbours import nearest
 from .packing import pack_documents
@@ -54,7 +54,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "text", "lang", "source")
     path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 10_000), F.floor(F.col("doc_id") / 1000), "doc_id")
     files = docs.select("doc_id", path.alias("path"), "text")
-    return scan_licenses(files, "path", "text", default_templates(spark)).select("doc_id", "path", "licence", F.round("score", 6).alias("score"), "origin")
+    return scan_licenses(files, "path", "text").select("doc_id", "path", "licence", F.round("score", 6).alias("score"), "origin")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,4 +102,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+def _quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _license_sql() -> str:
+    """op5 in DuckDB: every line, block and whole text against every template, without the bound on shares."""
+    terms = ", ".join(f"({i}, {_quoted(licence)}, {_quoted(t)}, {n})" for i, licence, t, n in template_terms(TEMPLATES))
+    common = ", ".join(map(_quoted, COMMON))
+    split = "list_filter(string_split_regex(lower({0}), '[^a-z0-9]+'), lambda t: t <> '' AND t NOT IN ({1}))"
+    words = "len(list_filter(string_split_regex({0}, '[ \\t\\r\\n]+'), lambda w: w <> ''))"
+    return f"""WITH t(number, licence, term, n) AS (VALUES {terms}),
+ f AS (SELECT doc_id, concat_ws('/', source, lang, CAST(floor(doc_id / 10000) AS BIGINT), CAST(floor(doc_id / 1000) AS BIGINT), doc_id) AS path, coalesce(text, '') AS text FROM documents),
+ total AS (SELECT count(*) AS total FROM f),
+ df AS (SELECT term, count(*) AS df FROM (SELECT doc_id, unnest(list_distinct({split.format("text", common)})) AS term FROM f) WHERE term IN (SELECT term FROM t) GROUP BY 1),
+ idf AS (SELECT DISTINCT term, ln((1 + total) / (1 + coalesce(df, 0))) + 1 AS idf FROM t LEFT JOIN df USING (term), total),
+ v AS (SELECT number, licence, term, n * idf AS v FROM t JOIN idf USING (term)),
+ notice AS (SELECT number, licence, term, v / sqrt(sum(v * v) OVER (PARTITION BY number)) AS v FROM v),
+ u AS (SELECT path, text, unnest(list_distinct(list_concat(string_split(text, chr(10)), string_split_regex(text, {_quoted(BLOCK)}), [text]))) AS unit FROM f),
+ d AS (SELECT unit, term, count(*) AS tf FROM (SELECT unit, unnest({split.format("unit", common)}) AS term FROM (SELECT DISTINCT unit FROM u)) GROUP BY 1, 2),
+ w AS (SELECT unit, term, tf * coalesce(idf, ln(1 + total) + 1) AS w FROM d LEFT JOIN idf USING (term), total),
+ norm AS (SELECT unit, sqrt(sum(w * w)) AS length FROM w GROUP BY 1),
+ c AS (SELECT unit, licence, round(sum(w * v) / min(length), 9) AS score FROM w JOIN notice USING (term) JOIN norm USING (unit) GROUP BY unit, number, licence),
+ m AS (SELECT unit, licence, score FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY score DESC, licence) AS r FROM c) WHERE r = 1 AND score >= {THRESHOLD}),
+ own AS (SELECT path, licence, score, {words.format("unit")} >= {FILE_SHARE} * {words.format("text")} AS is_file FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY score DESC, length(unit) DESC, licence, unit) AS r FROM u JOIN m USING (unit)) WHERE r = 1),
+ dir AS (SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS up, licence, score FROM (SELECT *, row_number() OVER (PARTITION BY regexp_extract(path, '^(.*)/[^/]*$', 1) ORDER BY path) AS r FROM own WHERE is_file) WHERE r = 1),
+ near AS (SELECT path, dir.licence, dir.score FROM (SELECT f.path, max(length(up)) AS depth FROM f JOIN dir ON up = '' OR starts_with(f.path, up || '/') GROUP BY 1) x JOIN dir ON length(up) = depth AND (up = '' OR starts_with(path, up || '/')))
+ SELECT doc_id, f.path, coalesce(own.licence, near.licence) AS licence, round(coalesce(own.score, near.score), 6) AS score, CASE WHEN own.licence IS NOT NULL THEN 'own' WHEN near.licence IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin
+ FROM f LEFT JOIN own ON own.path = f.path LEFT JOIN near ON near.path = f.path"""
+
+
+#: The other operators are held against brute force in tests.
+ORACLES: dict[str, str] = {"op5_license_scan": _license_sql()}

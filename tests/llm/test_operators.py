@@ -189,14 +189,14 @@ def test_licenses(spark, docs, none):
         (None, "Licensed under CC BY-NC 4.0."),
     ]
     df = spark.createDataFrame(files, "path string, text string").withColumn("score", F.lit("clash"))
-    out = licenses.scan_licenses(df, "path", "text", licenses.default_templates(spark))
+    out = licenses.scan_licenses(df, "path", "text")
     got = {r.path: (r.licence, r.origin) for r in out.collect()}
     assert got["a/LICENSE"] == ("MIT", "own")
     assert got["a/x.txt"] == got["a/b/c/y.txt"] == ("MIT", "inherited")
     assert got["a/b/z.txt"] == ("Apache-2.0", "own")
     assert got["d/only.txt"] == got["d/empty.txt"] == got["d/null.txt"] == (None, "none")
     assert len(got) == len(files)
-    assert licenses.scan_licenses(df.where("false"), "path", "text", licenses.default_templates(spark)).count() == 0
+    assert licenses.scan_licenses(df.where("false"), "path", "text").count() == 0
 
 
 def test_toxicity(spark, docs, none):
