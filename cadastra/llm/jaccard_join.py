@@ -7,10 +7,13 @@ Each order is (level in a count sketch of fixed size, hash with the order's seed
 so tokens of very many documents come last in all orders, and the orders differ
 in the rest. A text survives an order if enough of its prefix is shared with
 other texts; orders are applied one after the other to the survivors. What is
-left lies in buckets of equal prefix tokens. Pairs are proposed from a bucket's
-pivots to members of other components only, must pass all orders, and are then
-verified on the whole sets. A bucket leaves when its members are one component
-or every pair of it was looked at, so groups of copies take about one pair each.
+left lies in buckets of equal prefix tokens. First every text is compared with
+one pivot of its buckets, the text that shares most with all others: the one that
+a group was copied from, if it is there, as the copies lack some of its tokens.
+Buckets that then hold several groups are left. Small ones give pairs; pairs and
+large buckets tie texts to clusters, which are cut into blocks of bounded size.
+A task takes two blocks and compares texts of different groups that pass the
+filters of all orders. No pairs are emitted within a large bucket.
 """
 
 from __future__ import annotations
@@ -34,12 +37,12 @@ EXTRA_PERCENT = 4
 SLOTS = (1 << 16, 1 << 18)
 #: Seed of each order and the sketch it uses.
 ORDERS = ((1, 0), (2, 1), (3, 1))
-#: Members of a bucket that propose pairs in one round after the first.
-PIVOTS = 32
-#: Texts, and shingles, of a cluster that one task joins by itself.
-CLUSTER_TEXTS = 2048
-CLUSTER_SHINGLES = 2_000_000
-CLUSTER_BATCH = 1024
+#: Members of a bucket that gives pairs; the texts of a larger one are one cluster.
+PAIRED = 16
+#: Texts, and shingles, of a block of a cluster, about; a task compares two blocks at a time.
+BLOCK_TEXTS = 1024
+BLOCK_SHINGLES = 1_000_000
+BLOCK_ROWS = 1024
 
 
 def extra(n):
@@ -162,11 +165,12 @@ def _verified_rows(k: int, levels, percent: int) -> Callable:
 
 
 def _cluster_rows(k: int, levels, percent: int) -> Callable:
-    """Links between the texts of clusters; rows come sorted by cluster."""
+    """Links between the texts of two blocks, or of one; rows come sorted by ``cluster``, a number of both."""
 
     def links(table: pa.RecordBatch) -> pa.RecordBatch:
         sets = _Sets(table.column("text"), k, levels.value, percent)
         node, cluster = table.column("node").to_numpy(), table.column("cluster").to_numpy()
+        side, one = table.column("side").to_numpy(), table.column("one").to_numpy(zero_copy_only=False)
         n = np.array([len(x) for x in sets.sets])
         _, root = np.unique(table.column("component").to_numpy(), return_inverse=True)
         members: dict[int, list[int]] = {}
@@ -193,6 +197,7 @@ def _cluster_rows(k: int, levels, percent: int) -> Callable:
             shared = np.bincount(posted[at], minlength=len(n))
             near = (shared >= extra(np.minimum(n, n[i]))) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & (cluster == cluster[i])
             near[: i + 1] = False
+            near &= one[i] | (side != side[i])
             for j in np.flatnonzero(near).tolist():
                 # members of one component need no further link
                 if root[i] != root[j] and sets.linked(i, j, percent):
@@ -206,8 +211,8 @@ def _cluster_rows(k: int, levels, percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            for at in range(0, batch.num_rows, CLUSTER_BATCH):
-                held.append(batch.slice(at, CLUSTER_BATCH))
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                held.append(batch.slice(at, BLOCK_ROWS))
                 table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
                 clusters = table.column("cluster").to_numpy()
                 cut = int(np.searchsorted(clusters, clusters[-1], "left"))
@@ -258,62 +263,56 @@ def text_components(docs: DataFrame, text: str = "text", k: int = SHINGLE, perce
 
     rows = first.select("node", "text").mapInArrow(_prefix_rows(k, levels, ORDERS[1], percent, "node"), "token long, node long")
     shared = written(_shared(rows, "node"), "buckets")
-    alive = shared.groupBy("node").agg(F.count(F.lit(1)).alias("shared")).join(first.select("node", "n"), "node").where(F.col("shared") >= _needed(percent)).select("node", "n")
-    buckets = shared.join(alive, "node").select("token", "node", "n")
-
     same = Window.partitionBy("token")
+    alive = shared.withColumn("size", F.count(F.lit(1)).over(same)).groupBy("node").agg(F.count(F.lit(1)).alias("shared"), F.sum("size").alias("weight"))
+    alive = alive.join(first.select("node", "n"), "node").where(F.col("shared") >= _needed(percent)).select("node", "n", "weight")
+    buckets = shared.join(alive, "node").select("token", "node", "n", "weight")
+
     source = first.select("node", "text")
-    near = f"a > b and component != cb and 100 * least(n, nb) >= {percent} * greatest(n, nb)"
 
     def active(members: DataFrame) -> DataFrame:
         """Rows of buckets that hold more than one component."""
         return members.withColumns({"least": F.min("component").over(same), "most": F.max("component").over(same)}).where("least != most").drop("least", "most")
 
-    def proposed(members: DataFrame, pivots: DataFrame) -> DataFrame:
-        pivots = pivots.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        pairs = members.withColumnRenamed("node", "a").join(pivots, "token").where(near)
-        return pairs.groupBy("a", "b", "n", "nb").agg(F.count(F.lit(1)).alias("shared"))
+    def proposed(members: DataFrame, others: DataFrame, near: str) -> DataFrame:
+        others = others.select("token", *[F.col(c).alias(f"{c}_b") for c in others.columns if c != "token"])
+        fit = f"{near} and component != component_b and 100 * least(n, n_b) >= {percent} * greatest(n, n_b)"
+        return members.join(others, "token").where(fit)
 
     # first each text with the pivot that it shares most with
     members = active(buckets.withColumn("component", F.col("node")))
-    least = members.groupBy("token").agg(F.min(F.struct("node", "n", "component")).alias("p")).select("token", "p.*")
-    best = proposed(members, least).groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
-    checked = written(_carried(best.select("a", "b"), source, k, levels, percent), "verified")
-    links = checked.where("linked").select("a", "b")
-    checked = checked.select("a", "b")
+    heads = members.groupBy("token").agg(F.max_by(F.struct("node", "n", "component"), F.struct("weight", -F.col("node"))).alias("p")).select("token", "p.*")
+    best = proposed(members, heads, "node != node_b").groupBy("node", "node_b").agg(F.count(F.lit(1)).alias("shared"))
+    best = best.groupBy("node").agg(F.max_by("node_b", F.struct("shared", -F.col("node_b"))).alias("b"))
+    best = best.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+    links = written(_carried(best, source, k, levels, percent).where("linked").select("a", "b"), "links")
     labels = written(components(links), "labels")
 
-    while True:
-        members = active(buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
-        place = F.row_number().over(same.orderBy("node"))
-        members = written(members.withColumns({"place": place, "size": F.count(F.lit(1)).over(same), "head": F.min("node").over(same)}), "members")
-        if members.isEmpty():
-            break
-        wide = members.where(F.col("size") > PIVOTS)
-        counts = wide.groupBy("node").agg(F.count(F.lit(1)).alias("wide"))
-        pairs = proposed(members, members.where(F.col("place") <= PIVOTS))
-        # common prefix tokens not seen yet lie in wide buckets of both
-        for x in "ab":
-            pairs = pairs.join(counts.select(F.col("node").alias(x), F.col("wide").alias(f"wide_{x}")), x, "left")
-        most = F.col("shared") + F.least(F.coalesce("wide_a", F.lit(0)), F.coalesce("wide_b", F.lit(0)))
-        pairs = pairs.where(most >= F.expr(f"1 + floor(least(n, nb) * {EXTRA_PERCENT} / 100)"))
-        pairs = written(pairs.select("a", "b").join(checked, ["a", "b"], "left_anti"), "pairs")
-        # what pairs or wide buckets hold together is a cluster; small ones are finished by one task each
-        hung = wide.where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-        inside = components(pairs.union(hung)).withColumnRenamed("component", "cluster")
-        facts = members.groupBy("node").agg(F.first("n").alias("n"), F.first("component").alias("component"))
-        inside = written(inside.join(facts, "node"), "clusters")
-        small = inside.groupBy("cluster").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("shingles"))
-        small = small.where((F.col("texts") <= CLUSTER_TEXTS) & (F.col("shingles") <= CLUSTER_SHINGLES)).select("cluster")
-        solved = inside.join(small, "cluster").join(source, "node").select("cluster", "node", "component", "text")
-        solved = solved.repartition("cluster").sortWithinPartitions("cluster", "node").mapInArrow(_cluster_rows(k, levels, percent), "a long, b long, linked boolean")
-        large = inside.join(small, "cluster", "left_anti").select("node")
-        rest = _carried(pairs.join(large.withColumnRenamed("node", "a"), "a", "left_semi"), source, k, levels, percent)
-        found = written(solved.union(rest), "verified")
-        checked = checked.union(found.select("a", "b"))
-        links = links.union(found.where("linked").select("a", "b"))
-        labels = written(components(links), "labels")
-        buckets = members.where(F.col("place") > PIVOTS).join(large, "node", "left_semi").select("token", "node", "n")
+    # then the buckets of several components
+    members = active(buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    members = written(members.withColumns({"size": F.count(F.lit(1)).over(same), "head": F.min("node").over(same)}), "members")
+    wide = members.where(F.col("size") > PAIRED)
+    counts = wide.groupBy("node").agg(F.count(F.lit(1)).alias("wide"))
+    narrow = members.where(F.col("size") <= PAIRED).join(counts, "node", "left").select("token", "node", "n", "component", F.coalesce("wide", F.lit(0)).alias("wide"))
+    pairs = proposed(narrow, narrow, "node > node_b").groupBy("node", "node_b", "n", "n_b", "wide", "wide_b").agg(F.count(F.lit(1)).alias("shared"))
+    # other common prefix tokens lie in wide buckets of both
+    enough = F.col("shared") + F.least("wide", "wide_b") >= F.expr(f"1 + floor(least(n, n_b) * {EXTRA_PERCENT} / 100)")
+    pairs = pairs.where(enough).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+    hung = wide.where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    inside = components(pairs.union(hung)).withColumnRenamed("component", "cluster")
+    facts = members.groupBy("node").agg(F.first("n").alias("n"), F.first("component").alias("component"))
+    inside = written(inside.join(facts, "node"), "clusters")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    # a cluster of one component is done
+    open_ = inside.groupBy("cluster").agg(blocks.alias("blocks"), F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("cluster", "blocks")
+    own = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    dealt = inside.join(open_, "cluster").select("cluster", "node", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    both = F.xxhash64("cluster", F.least("own", "other"), F.greatest("own", "other"))
+    dealt = dealt.select(both.alias("cluster"), "node", "component", (F.col("own") > F.col("other")).alias("side"), (F.col("own") == F.col("other")).alias("one"))
+    dealt = dealt.join(source, "node").repartition("cluster").sortWithinPartitions("cluster", "node")
+    dealt = dealt.select("cluster", "node", "component", F.col("side").cast("int").alias("side"), "one", "text")
+    found = written(dealt.mapInArrow(_cluster_rows(k, levels, percent), "a long, b long, linked boolean").select("a", "b"), "links")
+    labels = components(links.union(found))
     named = labels.join(sizes.select("node", "key"), "node").join(sizes.select(F.col("node").alias("component"), F.col("key").alias("class")), "component")
     out = sizes.join(named.select("key", "class"), "key", "left")
     return out.select("key", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("class", "key")).alias("class"))

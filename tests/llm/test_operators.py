@@ -73,10 +73,10 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
 
-@pytest.mark.parametrize(("texts", "pivots"), [(2048, 32), (2, 2)])
-def test_jaccard_components(docs, none, monkeypatch, texts, pivots):
-    monkeypatch.setattr(jaccard_join, "CLUSTER_TEXTS", texts)
-    monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
+@pytest.mark.parametrize(("texts", "paired"), [(1024, 16), (1, 2), (2, 0)])
+def test_jaccard_components(docs, none, monkeypatch, texts, paired):
+    monkeypatch.setattr(jaccard_join, "BLOCK_TEXTS", texts)
+    monkeypatch.setattr(jaccard_join, "PAIRED", paired)
     sets = [shingles(t) for t in TEXTS]
     group = list(range(len(TEXTS)))
     for _ in TEXTS:
