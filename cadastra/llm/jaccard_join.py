@@ -43,6 +43,8 @@ PAIRED = 16
 BLOCK_TEXTS = 1024
 BLOCK_SHINGLES = 1_000_000
 BLOCK_ROWS = 1024
+#: Share of rows that a pass of pruning must keep for it to be the last.
+PRUNED = 0.9
 
 
 def extra(n):
@@ -274,6 +276,19 @@ def text_components(docs: DataFrame, text: str = "text", k: int = SHINGLE, perce
         """Rows of buckets that hold more than one component."""
         return members.withColumns({"least": F.min("component").over(same), "most": F.max("component").over(same)}).where("least != most").drop("least", "most")
 
+    def pruned(members: DataFrame, name: str) -> DataFrame:
+        """Rows of buckets of several components, of texts that have enough of them for a link; few are left out by then."""
+        # the smaller set of a link has at least percent of n shingles
+        enough = F.expr(f"1 + floor(ceil(n * {percent} / 100) * {EXTRA_PERCENT} / 100)")
+        rows = members.count()
+        while True:
+            members = active(members)
+            held = members.groupBy("node").agg(F.count(F.lit(1)).alias("held"), F.first("n").alias("n")).where(F.col("held") >= enough)
+            members = written(members.join(held.select("node"), "node"), name)
+            before, rows = rows, members.count()
+            if rows >= PRUNED * before:
+                return members
+
     def proposed(members: DataFrame, others: DataFrame, near: str) -> DataFrame:
         others = others.select("token", *[F.col(c).alias(f"{c}_b") for c in others.columns if c != "token"])
         fit = f"{near} and component != component_b and 100 * least(n, n_b) >= {percent} * greatest(n, n_b)"
@@ -289,8 +304,8 @@ def text_components(docs: DataFrame, text: str = "text", k: int = SHINGLE, perce
     labels = written(components(links), "labels")
 
     # then the buckets of several components
-    members = active(buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    members = written(members.withColumns({"size": F.count(F.lit(1)).over(same), "head": F.min("node").over(same)}), "members")
+    members = pruned(buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "members")
+    members = written(members.withColumn("size", F.count(F.lit(1)).over(same)), "members")
     wide = members.where(F.col("size") > PAIRED)
     counts = wide.groupBy("node").agg(F.count(F.lit(1)).alias("wide"))
     narrow = members.where(F.col("size") <= PAIRED).join(counts, "node", "left").select("token", "node", "n", "component", F.coalesce("wide", F.lit(0)).alias("wide"))
@@ -298,6 +313,8 @@ def text_components(docs: DataFrame, text: str = "text", k: int = SHINGLE, perce
     # other common prefix tokens lie in wide buckets of both
     enough = F.col("shared") + F.least("wide", "wide_b") >= F.expr(f"1 + floor(least(n, n_b) * {EXTRA_PERCENT} / 100)")
     pairs = pairs.where(enough).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+    # a pair without narrow buckets needs enough wide ones
+    wide = pruned(wide, "wide").withColumn("head", F.min("node").over(same))
     hung = wide.where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     inside = components(pairs.union(hung)).withColumnRenamed("component", "cluster")
     facts = members.groupBy("node").agg(F.first("n").alias("n"), F.first("component").alias("component"))
