@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import written
+from .storage import text_batches, written
 
 #: A scale is this much smaller than the one before; the least is the last with this many pixels a side.
 STEP = 0.75
@@ -186,6 +186,7 @@ def image_groups(images: DataFrame) -> DataFrame:
 
     ``images`` has image (a number), height, width and pixels (grey, one byte each).
     """
+    text_batches(images)
     corners = written(images.select("image", "height", "width", "pixels").mapInArrow(_descriptor_rows, DESCRIPTORS), "corners")
     keys = F.array(*[F.xxhash64(F.lit(n), f"q{i}", f"q{j}") for n, (i, j) in enumerate(combinations(range(4), 2))])
     same = Window.partitionBy("key")
@@ -229,6 +230,7 @@ def image_copies(images: DataFrame, id: str = "image_id") -> DataFrame:
     Images of equal pixels and size are one. Null, empty or mis-sized pixels take
     no part: their group is their own id. Of a group without ids the id is null.
     """
+    text_batches(images)
     own = images.select(F.col(id).alias("_id"), "height", "width", "pixels")
     sound = F.coalesce((F.col("height") >= 16) & (F.col("width") >= 16) & (F.octet_length("pixels") == F.col("height") * F.col("width")), F.lit(False))
     key = F.when(sound, F.unhex(F.md5(F.concat(F.col("pixels"), F.concat_ws("x", "height", "width").cast("binary")))))
@@ -252,7 +254,7 @@ def _drawn_rows(side: int, cell: int) -> Callable:
         weight = np.zeros((size, side))
         weight[np.arange(size), low] = 1 - (at - low)
         weight[np.arange(size), low + 1] += at - low
-        for b in batches:
+        for b in (batch.slice(at, BATCH) for batch in batches for at in range(0, batch.num_rows, BATCH)):
             grid = b.column("grid").flatten().to_numpy().reshape(-1, side, side)
             image = np.einsum("ya,nab,xb->nyx", weight, grid, weight)
             span = np.maximum(np.abs(image).max(axis=(1, 2), keepdims=True), 1e-12)
