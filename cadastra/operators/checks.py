@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geom
+
 
 def stacked(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -65,3 +67,40 @@ def counts_by(tables: dict[str, DataFrame], keys: DataFrame, key: str) -> DataFr
     for name, df in tables.items():
         out = out.join(df.groupBy(key).agg(F.count(F.lit(1)).alias(name)), key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
     return out
+
+
+def mask_units(units: DataFrame, id: str, rules: DataFrame, levels: tuple[str, ...]) -> DataFrame:
+    """Units of each mask: those that a 'keep' rule names at any level, without those that a 'drop' rule names.
+
+    ``rules`` has mask, level, code and rule; the level 'rest' keeps what no
+    other mask has. A row per mask and unit, with all columns of the units.
+    """
+    coded = units.select(id, F.explode(F.array(*[F.struct(F.lit(c).alias("level"), F.col(c).alias("code")) for c in levels])).alias("c")).select(id, "c.level", "c.code")
+    named = coded.join(rules, ["level", "code"]).select("mask", id, "rule").distinct()
+    held = named.where("rule = 'keep'").drop("rule").join(named.where("rule = 'drop'").drop("rule"), ["mask", id], "left_anti")
+    rest = rules.where("level = 'rest'").select("mask", F.lit(1).alias("one"))
+    left = units.select(id, F.lit(1).alias("one")).join(held.select(id), id, "left_anti").join(rest, "one").select("mask", id)
+    return held.unionByName(left).join(units, id)
+
+
+def prefix_join(rows: DataFrame, code: str, prefixes: DataFrame, prefix: str) -> DataFrame:
+    """Rows with each prefix that their code starts with: an equi join on the lengths that prefixes have."""
+    lengths = prefixes.select(F.length(prefix).alias("l")).distinct()
+    lengths = F.array(*[F.lit(r[0]) for r in lengths.orderBy("l").collect()])  # no more than a code has characters
+    own = rows.select("*", F.explode(F.array_distinct(F.transform(lengths, lambda n: F.left(F.col(code), n)))).alias(prefix))
+    return own.join(prefixes, prefix)
+
+
+def kept_geometries(rows: DataFrame, id: str, ring: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with a valid ring, and of the others (status, n, ids)."""
+    judged = rows.withColumn("status", geom.validity(F.col(ring)))
+    bad = judged.where("status <> 'valid'").groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(id)).alias("ids"))
+    return judged.where("status = 'valid'").drop("status"), bad
+
+
+def geometry_audit(rows: DataFrame, dataset: str, id: str, ring: str, row: list[str]) -> DataFrame:
+    """Counts by dataset of null, empty and invalid rings, of rows repeated in the columns ``row``, and of repeated ids."""
+    judged = rows.withColumn("status", geom.validity(F.col(ring)))
+    kinds = [F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("null", "empty", "invalid")]
+    repeated = [(F.count(F.lit(1)) - F.countDistinct(*c)).alias(n) for n, c in (("n_repeated_rows", row), ("n_repeated_ids", [id]))]
+    return judged.groupBy(dataset).agg(F.count(F.lit(1)).alias("n"), *kinds, *repeated)

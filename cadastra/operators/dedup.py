@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Ranges that a whole table is numbered in.
+RANGES = 200
+
+
 def _first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column | str]) -> DataFrame:
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
@@ -63,17 +68,34 @@ def share_of_group(df: DataFrame, group: str, value: str) -> Column:
     return F.coalesce(F.try_divide(F.col(value).cast("double"), F.sum(value).over(w)), F.count(F.lit(1)).over(w).cast("double"))
 
 
-def split_parts(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """Column ``part`` of n near-equal runs of rows, the remainder to the first ones.
+def split_parts(df: DataFrame, n: int, order: Sequence[str], folder: str) -> DataFrame:
+    """Column ``part`` of n runs of rows in order, sizes at most one apart, the remainder to the first ones.
 
-    Rows are numbered by range-partitioned counts, so no task holds all of them.
+    Rows are written to ``folder`` by ranges, with their partition's number, and
+    read from there, so that counts and rows agree; no task holds all of them.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    local = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
-    counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    before = counts.select("_p", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
-    total = df.count()
+    df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()).write.parquet(folder)
+    ranged = df.sparkSession.read.parquet(folder)
+    counts = {r[0]: r[1] for r in ranged.groupBy("_p").agg(F.count(F.lit(1))).collect()}  # a row per partition
+    before, total = [], 0
+    for p in sorted(counts):
+        before.append((p, total))
+        total += counts[p]
+    starts = df.sparkSession.createDataFrame(before, "_p int, _b long")
     small, extra = divmod(total, n)
-    at = F.col("_b") + local - 1
+    at = F.col("_b") + F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
     part = F.when(at < extra * (small + 1), F.floor(at / (small + 1))).otherwise(extra + F.floor((at - extra * (small + 1)) / max(small, 1)))
-    return ranged.join(F.broadcast(before), "_p").withColumn("part", part.cast("int")).drop("_p", "_b")  # a row per partition
+    return ranged.join(F.broadcast(starts), "_p").withColumn("part", part.cast("int")).select(*df.columns, "part")
+
+
+def row_numbers(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Column ``n``: the row's number from 0 in the whole table, which no task holds: places within ranges of a sort and their counts."""
+    ranged = df.repartitionByRange(RANGES, *order).withColumn("_p", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+    counts = {r[0]: r[1] for r in ranged.groupBy("_p").agg(F.count(F.lit(1))).collect()}
+    before, total = [], 0
+    for p in sorted(counts):
+        before.append((p, total))
+        total += counts[p]
+    starts = df.sparkSession.createDataFrame(before, "_p int, _b long")
+    place = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
+    return ranged.withColumn("_at", place).join(F.broadcast(starts), "_p").select(*df.columns, (F.col("_b") + F.col("_at")).alias("n"))

@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .spatial import match_footprints
+
+#: The published non-residential classes.
 NON_RESIDENTIAL = ("industrial", "commercial", "public", "agricultural", "others")
-#: Residential details and the names they are published under.
+#: Residential details and the names they are published under.
 RESIDENTIAL = {
     "semi-detached duplex house": "semi-detached",
     "detached single-family house": "detached",
@@ -26,7 +29,7 @@ def most_frequent(df: DataFrame, key: str, value: str) -> DataFrame:
 def fill_missing(a: DataFrame, b: DataFrame, matches: DataFrame, modes: Sequence[str] = ("type",), means: Sequence[str] = ("height", "age")) -> DataFrame:
     """Nulls of a filled from matched rows of b (a_id, b_id), by mode or mean, with filled_ flags."""
     known = matches.select("a_id", F.col("b_id").alias("id")).join(b.select("id", *modes, *means), "id")
-    values = known.groupBy("a_id").agg(*[F.avg(c).alias(f"_{c}") for c in means])
+    values = known.groupBy("a_id").agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_{c}") for c in means]).drop("_n")
     for c in modes:
         values = values.join(most_frequent(known, "a_id", c).withColumnRenamed(c, f"_{c}"), "a_id", "left")
     out = a.join(values.withColumnRenamed("a_id", "id"), "id", "left")
@@ -35,6 +38,21 @@ def fill_missing(a: DataFrame, b: DataFrame, matches: DataFrame, modes: Sequence
     return out.withColumns(flags).withColumns(filled).drop(*[f"_{c}" for c in (*modes, *means)])
 
 
+def merge_sources(sources: Sequence[DataFrame], modes: Sequence[str] = (), means: Sequence[str] = ()) -> DataFrame:
+    """Sources in order of rank as one table of footprints.
+
+    Each next source fills gaps of what there is where footprints match, and adds
+    those that match nothing; uncertain ones are left out.
+    """
+    out = sources[0]
+    for b in sources[1:]:
+        found = match_footprints(out, b)
+        filled = fill_missing(out, b, found.where("status = 'matching'"), modes, means).drop(*[f"filled_{c}" for c in (*modes, *means)])
+        new = b.join(found.where("status = 'non-matching'").select(F.col("b_id").alias("id")), "id", "left_semi")
+        out = filled.unionByName(new, allowMissingColumns=True)
+    return out
+
+
 def source_values(df: DataFrame, source: DataFrame, attr: str, ids: str) -> DataFrame:
     """(id, ids, values): values of the listed source rows that have one, ordered by source id."""
     listed = df.select("id", F.explode(ids).alias("source_id"))

@@ -1,6 +1,7 @@
 """Spatial joins by grid cells: equi joins on cell keys, each pair kept in one cell.
 
-Inputs have ``id`` and the box columns xmin, ymin, xmax, ymax. A box is put into
+Inputs have ``id``, the footprint's outer ring in ``ring`` and its box in xmin,
+ymin, xmax, ymax (see :func:`boxed`). Boxes find pairs, rings decide. A box is put into
 all cells that it touches; a pair is kept in the cell of its (max xmin, max
 ymin) corner, so nothing is counted twice. Cells should be about twice as wide
 as a usual box.
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import geom
 
 CELL = 60.0
+#: A smaller common area is one of rounding.
+LEAST = 1e-9
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
@@ -34,28 +37,28 @@ def box_pairs(a: DataFrame, b: DataFrame, size: float = CELL, margin: float = 0.
     return pairs.where(near & (F.col("cx") == geom.cell(x, size)) & (F.col("cy") == geom.cell(y, size))).drop("cx", "cy")
 
 
-def _box(side: str) -> dict[str, Column]:
-    return {c: F.col(f"{side}_{c}") for c in BOX}
+def boxed(df: DataFrame, ring: str = "ring") -> DataFrame:
+    """The box columns of a ring."""
+    return df.withColumn("_b", geom.bbox(F.col(ring))).select(*df.columns, "_b.*")
 
 
 def _area(side: str) -> Column:
-    b = _box(side)
-    return (b["xmax"] - b["xmin"]) * (b["ymax"] - b["ymin"])
+    return geom.area(F.col(f"{side}_ring"))
 
 
-def overlap_pairs(a: DataFrame, b: DataFrame, size: float = CELL, ring: str | None = None) -> DataFrame:
-    """Pairs that intersect or touch, with overlap, and overlap by the smaller area as ratio.
+def overlap_pairs(a: DataFrame, b: DataFrame, size: float = CELL) -> DataFrame:
+    """Pairs with a common area: overlap, and overlap by the smaller footprint's area as ratio."""
+    pairs = geom.with_overlap(box_pairs(a, b, size), "a_ring", "b_ring").where(F.col("overlap") > LEAST)
+    return pairs.withColumn("ratio", F.try_divide("overlap", F.least(_area("a"), _area("b"))))
 
-    Boxes are the footprints themselves, or the bounds of the column ``ring``.
-    """
-    pairs = box_pairs(a, b, size)
-    if ring is None:
-        pairs = pairs.withColumn("overlap", geom.box_overlap(_box("a"), _box("b")))
-        smaller = F.least(_area("a"), _area("b"))
-    else:
-        pairs = pairs.withColumn("overlap", geom.overlap_area(f"a_{ring}", f"b_{ring}"))
-        smaller = F.least(geom.area(F.col(f"a_{ring}")), geom.area(F.col(f"b_{ring}")))
-    return pairs.withColumn("ratio", F.try_divide("overlap", smaller))
+
+def related_pairs(a: DataFrame, b: DataFrame, how: str = "intersects", size: float = CELL) -> DataFrame:
+    """Pairs whose footprints meet (borders count), or of which a is within b, or contains it."""
+    if how == "intersects":
+        return box_pairs(a, b, size).where(geom.intersects(F.col("a_ring"), F.col("b_ring")))
+    pairs = geom.with_overlap(box_pairs(a, b, size), "a_ring", "b_ring")
+    inner = _area({"within": "a", "contains": "b"}[how])
+    return pairs.where(F.col("overlap") >= inner * (1 - 1e-9)).drop("overlap")
 
 
 def match_footprints(a: DataFrame, b: DataFrame, hi: float = 0.8, lo: float = 0.2, size: float = CELL) -> DataFrame:
@@ -74,35 +77,34 @@ def match_footprints(a: DataFrame, b: DataFrame, hi: float = 0.8, lo: float = 0.
 
 def assign_units(rows: DataFrame, units: DataFrame, unit: str, size: float = 240.0) -> DataFrame:
     """(id, unit, overlap): for each row the unit of largest overlap, ties to the smaller code; none outside all."""
-    pairs = overlap_pairs(rows, units, size).where("overlap > 0")
+    pairs = overlap_pairs(rows, units, size)
     ranked = pairs.withColumn("place", F.row_number().over(Window.partitionBy("a_id").orderBy(F.desc("overlap"), f"b_{unit}")))
     return ranked.where("place = 1").select(F.col("a_id").alias("id"), F.col(f"b_{unit}").alias(unit), "overlap")
 
 
 def assign_pairs(rows: DataFrame, units: DataFrame, unit: str, size: float = 240.0) -> DataFrame:
     """Units that any row overlaps."""
-    return overlap_pairs(rows, units, size).where("overlap > 0").select(F.col(f"b_{unit}").alias(unit)).distinct()
+    return overlap_pairs(rows, units, size).select(F.col(f"b_{unit}").alias(unit)).distinct()
 
 
 def outside(rows: DataFrame, units: DataFrame, size: float = 240.0) -> DataFrame:
     """Rows that overlap no unit."""
-    return rows.join(overlap_pairs(rows, units, size).where("overlap > 0").select(F.col("a_id").alias("id")), "id", "left_anti")
+    return rows.join(overlap_pairs(rows, units, size).select(F.col("a_id").alias("id")), "id", "left_anti")
 
 
 def points_within(points: DataFrame, rows: DataFrame, size: float = CELL) -> DataFrame:
-    """(a_, b_) pairs of points (id, x, y, ...) and the boxes that hold them, the upper border excluded."""
+    """(a_, b_) pairs of points (id, x, y, ...) and the footprints that hold them; a box's upper border is excluded."""
     boxes = points.withColumns({"xmin": F.col("x"), "xmax": F.col("x"), "ymin": F.col("y"), "ymax": F.col("y")})
     inside = "a_x >= b_xmin and a_x < b_xmax and a_y >= b_ymin and a_y < b_ymax"
-    return box_pairs(boxes, rows, size).where(inside)
+    return box_pairs(boxes, rows, size).where(inside).where(geom.contains_point(F.col("b_ring"), geom.point(F.col("a_x"), F.col("a_y"))))
 
 
 def point_to_poly(points: DataFrame, rows: DataFrame, radius: float = 20.0, size: float = CELL) -> DataFrame:
-    """(point_id, id, distance): each point its nearest box within ``radius``, then each box its nearest point."""
+    """(point_id, id, distance): each point its nearest footprint within ``radius``, then each footprint its nearest point."""
     boxes = points.withColumns({"xmin": F.col("x"), "xmax": F.col("x"), "ymin": F.col("y"), "ymax": F.col("y")})
     pairs = box_pairs(boxes, rows, size, radius)
-    dx = F.greatest(F.col("b_xmin") - F.col("a_x"), F.col("a_x") - F.col("b_xmax"), F.lit(0.0))
-    dy = F.greatest(F.col("b_ymin") - F.col("a_y"), F.col("a_y") - F.col("b_ymax"), F.lit(0.0))
-    near = pairs.withColumn("distance", F.sqrt(dx * dx + dy * dy)).where(F.col("distance") <= radius)
+    away = geom.point_distance(F.col("b_ring"), geom.point(F.col("a_x"), F.col("a_y")))
+    near = pairs.withColumn("distance", away).where(F.col("distance") <= radius)
     for key, other in (("a_id", "b_id"), ("b_id", "a_id")):
         place = F.row_number().over(Window.partitionBy(key).orderBy("distance", other))
         near = near.withColumn("place", place).where("place = 1").drop("place")
@@ -110,11 +112,9 @@ def point_to_poly(points: DataFrame, rows: DataFrame, radius: float = 20.0, size
 
 
 def near_pairs(a: DataFrame, b: DataFrame, k: int = 3, distance: float = 10.0, size: float = CELL) -> DataFrame:
-    """Pairs among the k nearest boxes of either side, at most ``distance`` apart."""
+    """Pairs among the k nearest footprints of either side, at most ``distance`` apart."""
     pairs = box_pairs(a, b, size, distance)
-    dx = F.greatest(F.col("b_xmin") - F.col("a_xmax"), F.col("a_xmin") - F.col("b_xmax"), F.lit(0.0))
-    dy = F.greatest(F.col("b_ymin") - F.col("a_ymax"), F.col("a_ymin") - F.col("b_ymax"), F.lit(0.0))
-    pairs = pairs.withColumn("distance", F.sqrt(dx * dx + dy * dy)).where(F.col("distance") <= distance)
+    pairs = pairs.withColumn("distance", geom.ring_distance(F.col("a_ring"), F.col("b_ring"))).where(F.col("distance") <= distance)
     one = F.row_number().over(Window.partitionBy("a_id").orderBy("distance", "b_id"))
     two = F.row_number().over(Window.partitionBy("b_id").orderBy("distance", "a_id"))
     return pairs.withColumns({"from_a": one, "from_b": two}).where((F.col("from_a") <= k) | (F.col("from_b") <= k)).drop("from_a", "from_b")
@@ -129,3 +129,39 @@ def drop_overlapping(rows: DataFrame, limit: float = 0.25, size: float = CELL) -
 
 def grid_sum(points: DataFrame, value: str, size: float) -> DataFrame:
     return points.groupBy(geom.cell(F.col("x"), size).alias("cx"), geom.cell(F.col("y"), size).alias("cy")).agg(F.sum(value).alias(value))
+
+
+def nearest_units(points: DataFrame, units: DataFrame, unit: str, size: float = 240.0) -> DataFrame:
+    """(id, unit): the unit of the nearest centre (cx, cy) for each point (id, x, y), ties to the smaller code.
+
+    The search goes to rings of cells four times as wide each time, for points
+    without a unit nearer than the ring's inner width, until all have one.
+    """
+    known = units.select(unit, F.col("cx").cast("double").alias("cx"), F.col("cy").cast("double").alias("cy"))
+    found, left, reach = None, points.select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), size
+    bounds = known.agg(F.min("cx"), F.max("cx"), F.min("cy"), F.max("cy")).first()
+    if bounds[0] is None:
+        return points.select("id", F.lit(None).cast(units.schema[unit].dataType).alias(unit)).where("false")
+    far = left.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    span = max(bounds[1], far[1] or bounds[1]) - min(bounds[0], far[0] or bounds[0]) + max(bounds[3], far[3] or bounds[3]) - min(bounds[2], far[2] or bounds[2])
+    while True:
+        celled = left.withColumns({"px": geom.cell(F.col("x"), reach), "py": geom.cell(F.col("y"), reach)})
+        steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+        near = known.select(unit, "cx", "cy", geom.cell(F.col("cx"), reach).alias("ux"), geom.cell(F.col("cy"), reach).alias("uy"), F.explode(steps).alias("s"))
+        near = near.select(unit, "cx", "cy", (F.col("ux") + F.col("s.i")).alias("px"), (F.col("uy") + F.col("s.j")).alias("py"))
+        away = F.pow(F.col("x") - F.col("cx"), 2) + F.pow(F.col("y") - F.col("cy"), 2)
+        best = celled.join(near, ["px", "py"]).groupBy("id").agg(F.min(F.struct(away.alias("away"), F.col(unit).alias("unit"))).alias("m"))
+        last = reach > span
+        done = best.where(F.lit(last) | (F.col("m.away") <= reach * reach)).select("id", F.col("m.unit").alias(unit))
+        found = done if found is None else found.unionByName(done)
+        if last:
+            return found
+        left = left.join(done, "id", "left_anti")
+        reach *= 4
+
+
+def dissolve(parts: DataFrame, key: str) -> DataFrame:
+    """(key, n_parts, area, rings, overlapping): parts of a key as one multipolygon, flagged if two have a common area."""
+    rings = parts.groupBy(key).agg(F.collect_list("ring").alias("rings"), F.count(F.lit(1)).alias("n_parts"), F.sum(geom.area(F.col("ring"))).alias("area"))
+    pairs = overlap_pairs(parts, parts).where((F.col(f"a_{key}") == F.col(f"b_{key}")) & (F.col("a_id") < F.col("b_id")))
+    return rings.join(pairs.select(F.col(f"a_{key}").alias(key), F.lit(True).alias("overlapping")).distinct(), key, "left").withColumn("overlapping", F.coalesce("overlapping", F.lit(False)))

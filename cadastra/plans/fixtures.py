@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import geom
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
 
@@ -87,6 +90,12 @@ SELECT 'p' || CAST(k AS STRING), k, CAST(gx*30 AS DOUBLE), CAST(gy*30 + c%4 AS D
 }
 
 
+# footprints: every third one lacks its corner beyond (nx, ny); the quarter keeps borders apart from centres
+for _name, _ell in (("fx_gov", "k % 3 = 0"), ("fx_osm", "k % 3 = 1"), ("fx_msft", "false"), ("fx_lau", "false")):
+    VIEWS[_name] = f"""SELECT *, CASE WHEN {_ell} THEN xmin + floor((xmax - xmin) / 2) + 0.25 ELSE xmax END AS nx,
+       CASE WHEN {_ell} THEN ymin + floor((ymax - ymin) / 2) + 0.25 ELSE ymax END AS ny FROM ({VIEWS[_name]})"""
+
+
 def ctes(*names: str) -> str:
     """WITH clause for the views named and those they stand on."""
     wanted: list[str] = []
@@ -106,3 +115,10 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if table in used:
             spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     return spark.sql(f"{used} SELECT * FROM {name}")
+
+
+def shapes(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of footprints with their outer rings."""
+    box = [F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]
+    ring = F.when(F.col("nx") < F.col("xmax"), geom.ell(*box, F.col("nx"), F.col("ny"))).otherwise(geom.rectangle(*box))
+    return fixture(spark, sf_dir, name).withColumn("ring", ring).drop("nx", "ny")

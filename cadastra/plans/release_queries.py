@@ -12,7 +12,7 @@ from ..operators import checks, dedup, stats
 from ..sources import tables
 from . import release
 from .catalog import query
-from .fixtures import ctes, fixture
+from .fixtures import ctes, fixture, shapes
 
 CONFLATED = """conflated AS (SELECT g.id, g.id AS id_source, 'gov-' || lower(right(g.source_file,1)) AS source_dataset, g.source_file, g.xmin, g.ymin, g.xmax, g.ymax,
   CASE WHEN g.k % 9 = 0 THEN 'msft' ELSE 'gov' END AS height_source, g.height, g.floors, g.age, CASE WHEN g.k % 40 = 0 THEN '31001_2000' ELSE g.type_source END AS type_source, x.type, x.residential_type,
@@ -170,12 +170,17 @@ def combined_report(spark, d):
     return stats.combine_reports(reports, "source_file", REPORT).select("source_file", "n", "n_height", F.round("frac_height", 6).alias("frac_height"))
 
 
-@query("a18_empty_units", ctes("fx_lau", "fx_gov") + "SELECT substr(LAU_ID,1,2) AS country, count(*) AS n FROM fx_lau WHERE LAU_ID NOT IN (SELECT l.LAU_ID FROM fx_lau l JOIN fx_gov g ON g.k % 97 = 0 AND g.xmin < l.xmax AND l.xmin < g.xmax AND g.ymin < l.ymax AND l.ymin < g.ymax) GROUP BY 1")
+EMPTY = "SELECT l.LAU_ID FROM fx_lau l JOIN fx_gov g ON g.height > 37 AND g.xmin < l.xmax AND l.xmin < g.xmax AND g.ymin < l.ymax AND l.ymin < g.ymax AND NOT (l.xmin >= g.nx AND l.ymin >= g.ny)"
+
+
+@query("a18_empty_units", ctes("fx_lau", "fx_gov") + f"SELECT substr(LAU_ID,1,2) AS country, count(*) AS n_units, count(*) FILTER (WHERE LAU_ID NOT IN ({EMPTY})) AS n_empty FROM fx_lau GROUP BY 1")
 def empty_units(spark, d):
+    """Units, and those without a building above 37 m, by country."""
     from ..operators import spatial
 
-    used = spatial.assign_pairs(fixture(spark, d, "fx_gov").where("k % 97 = 0"), fixture(spark, d, "fx_lau"), "LAU_ID")
-    return fixture(spark, d, "fx_lau").join(used, "LAU_ID", "left_anti").groupBy(F.substring("LAU_ID", 1, 2).alias("country")).agg(F.count("*").alias("n"))
+    used = spatial.assign_pairs(shapes(spark, d, "fx_gov").where("height > 37"), shapes(spark, d, "fx_lau"), "LAU_ID").withColumn("used", F.lit(1))
+    rows = fixture(spark, d, "fx_lau").join(used, "LAU_ID", "left")
+    return rows.groupBy(F.substring("LAU_ID", 1, 2).alias("country")).agg(F.count("*").alias("n_units"), F.count_if(F.col("used").isNull()).alias("n_empty"))
 
 
 @query("a09_a19_counts", ctes("fx_release", "fx_gov") + "SELECT city_id, count(*) AS n_all, count(*) FILTER (WHERE height IS NOT NULL) AS n_height, count(*) FILTER (WHERE k % 3 = 0) AS n_third FROM fx_release GROUP BY 1")
@@ -218,8 +223,7 @@ def unequal(spark, d):
 
 
 def _folder(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/cadastra-shared"
-    return f"{shared}/io-{uuid.uuid4().hex}"
+    return f"{tables.shared_folder(spark)}/io-{uuid.uuid4().hex}"
 
 
 SMALL = ("id", "k", "height", "source_file")
@@ -290,4 +294,4 @@ def split_tables(spark, d):
 
 @query("s10_split_parts", ctes("fx_gov") + "SELECT CAST(ntile(7) OVER (ORDER BY k) - 1 AS INT) AS part, k FROM fx_gov")
 def split_parts(spark, d):
-    return dedup.split_parts(fixture(spark, d, "fx_gov").select("k"), 7, ["k"]).select("part", "k")
+    return dedup.split_parts(fixture(spark, d, "fx_gov").select("k"), 7, ["k"], _folder(spark)).select("part", "k")

@@ -2,34 +2,59 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geom
-from ..operators import checks, merge, spatial
+from ..operators import checks, dedup, merge, spatial
 from .catalog import query
-from .fixtures import ctes, fixture
+from .fixtures import ctes, fixture, shapes
 
 
 def _ring():
     return geom.rectangle(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")])
 
 
-W, H = "(least(a.xmax,b.xmax)-greatest(a.xmin,b.xmin))", "(least(a.ymax,b.ymax)-greatest(a.ymin,b.ymin))"
-OVER = f"greatest({W},0)*greatest({H},0)"
-AREA = "({0}.xmax-{0}.xmin)*({0}.ymax-{0}.ymin)"
+def _common(a: str, b: str, corner_a: bool, corner_b: bool) -> str:
+    """Common area of the boxes, or of the corners that footprints lack, in SQL."""
+    x, y = (tuple((f"n{c}" if k else f"{c}min") for k in (corner_a, corner_b)) for c in "xy")
+    w = f"greatest(least({a}.xmax,{b}.xmax)-greatest({a}.{x[0]},{b}.{x[1]}),0)"
+    return f"{w}*greatest(least({a}.ymax,{b}.ymax)-greatest({a}.{y[0]},{b}.{y[1]}),0)"
+
+
+#: Closed forms for rectangles that may lack a corner.
+OVER = f"({_common('a', 'b', False, False)}-{_common('a', 'b', False, True)}-{_common('a', 'b', True, False)}+{_common('a', 'b', True, True)})"
+AREA = "(({0}.xmax-{0}.xmin)*({0}.ymax-{0}.ymin)-({0}.xmax-{0}.nx)*({0}.ymax-{0}.ny))"
 RATIO = f"{OVER}/least({AREA.format('a')},{AREA.format('b')})"
 
 
+def _parts(t: str) -> list[tuple[str, str, str, str]]:
+    """Two boxes that make up a footprint."""
+    return [(f"{t}.xmin", f"{t}.ymin", f"{t}.xmax", f"{t}.ny"), (f"{t}.xmin", f"{t}.ymin", f"{t}.nx", f"{t}.ymax")]
+
+
+def _least_distance(left: list, right: list) -> str:
+    ways = [f"sqrt(power(greatest({q[0]}-{p[2]}, {p[0]}-{q[2]}, 0),2)+power(greatest({q[1]}-{p[3]}, {p[1]}-{q[3]}, 0),2))" for p in left for q in right]
+    return f"least({', '.join(ways)})"
+
+
 def _pairs(a: str, b: str) -> str:
-    """All intersecting pairs of two fixtures of sites in SQL; boxes of a site stay within its own and the next cells."""
-    return f"""pairs AS (SELECT a.id AS a_id, b.id AS b_id, {OVER} AS overlap, {RATIO} AS ratio FROM {a} a JOIN {b} b
-  ON abs(a.k % 128 - b.k % 128) <= 1 AND abs(a.k // 128 - b.k // 128) <= 1 AND a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <= a.ymax)"""
+    """All overlapping pairs of two fixtures of sites in SQL; boxes of a site stay within its own and the next cells."""
+    return f"""pairs AS (SELECT * FROM (SELECT a.id AS a_id, b.id AS b_id, {OVER} AS overlap, {RATIO} AS ratio FROM {a} a JOIN {b} b
+  ON abs(a.k % 128 - b.k % 128) <= 1 AND abs(a.k // 128 - b.k // 128) <= 1 AND a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <= a.ymax) WHERE overlap > 0)"""
+
 
+def _centre(axis: str) -> str:
+    box = f"(g.{axis}min+g.{axis}max)/2*(g.xmax-g.xmin)*(g.ymax-g.ymin)"
+    corner = f"(g.n{axis}+g.{axis}max)/2*(g.xmax-g.nx)*(g.ymax-g.ny)"
+    return f"round(({box}-{corner})/{AREA.format('g')}, 6)"
 
-@query("g01_g02_g06_area_centroid_bbox", ctes("fx_gov") + "SELECT id, (xmax-xmin)*(ymax-ymin) AS area, (xmin+xmax)/2 AS cx, (ymin+ymax)/2 AS cy, xmin, ymin, xmax, ymax FROM fx_gov")
+
+@query("g01_g02_g06_area_centroid_bbox", ctes("fx_gov") + f"SELECT id, {AREA.format('g')} AS area, {_centre('x')} AS cx, {_centre('y')} AS cy, xmin, ymin, xmax, ymax FROM fx_gov g")
 def area_centroid_bbox(spark: SparkSession, d: str) -> DataFrame:
-    rows = fixture(spark, d, "fx_gov").select("id", _ring().alias("ring"))
+    rows = shapes(spark, d, "fx_gov").select("id", "ring")
     c = geom.centroid(F.col("ring"))
     return rows.select("id", geom.polygon_area(F.array("ring")).alias("area"), F.round(c["x"], 6).alias("cx"), F.round(c["y"], 6).alias("cy"), geom.bbox(F.col("ring")).alias("b")).select("id", "area", "cx", "cy", "b.*")
 
@@ -53,14 +78,33 @@ def wkt_wkb(spark, d):
     return rows.select("id", geom.area(F.col("rings")[0]).alias("wkt_area"), geom.area(geom.drop_z(F.col("back")[0])).alias("wkb_area"), F.size(F.col("back")[0]).alias("n_points"), "n_bytes")
 
 
-@query("g07_a20_validity", ctes("fx_gov") + "SELECT CASE WHEN k%50=0 THEN 'null' WHEN k%50=1 THEN 'invalid' WHEN k%50=2 THEN 'empty' WHEN k%50=3 THEN 'invalid' ELSE 'valid' END AS status, count(*) AS n, min(id) AS first_id FROM fx_gov GROUP BY 1")
-def validity(spark, d):
-    ring = _ring()
+KINDS = "CASE k%50 WHEN 0 THEN 'null' WHEN 1 THEN 'invalid' WHEN 2 THEN 'empty' WHEN 3 THEN 'invalid' ELSE 'valid' END"
+
+
+def _spoilt(spark, d):
+    """Footprints of which some are null, flat, empty or cross themselves."""
+    box = geom.rectangle(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")])
     flat = geom.rectangle(F.col("xmin"), F.col("ymin"), F.col("xmin"), F.col("ymax"))
-    bow = F.array(ring[0], ring[2], ring[1], ring[3], ring[0])
     kind = F.col("k") % 50
-    made = F.when(kind == 0, F.lit(None)).when(kind == 1, flat).when(kind == 2, F.slice(ring, 1, 0)).when(kind == 3, bow).otherwise(ring)
-    return fixture(spark, d, "fx_gov").select("id", geom.validity(made).alias("status")).groupBy("status").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
+    made = F.when(kind == 0, F.lit(None)).when(kind == 1, flat).when(kind == 2, F.slice(box, 1, 0)).when(kind == 3, F.array(box[0], box[2], box[1], box[3], box[0])).otherwise(box)
+    return fixture(spark, d, "fx_gov").select("id", "k", "source_file", made.alias("ring"))
+
+
+@query("g07_kept_geometries", ctes("fx_gov") + f"SELECT {KINDS} AS status, count(*) AS n, list(id ORDER BY id) FILTER (WHERE {KINDS} <> 'valid') AS ids, count(*) FILTER (WHERE {KINDS} = 'valid') AS kept FROM fx_gov GROUP BY 1")
+def validity(spark, d):
+    rows, bad = checks.kept_geometries(_spoilt(spark, d), "id", "ring")
+    kept = rows.agg(F.count("*").alias("kept")).select(F.lit("valid").alias("status"), F.col("kept").alias("n"), F.lit(None).cast("array<string>").alias("ids"), "kept")
+    return kept.unionByName(bad.withColumn("kept", F.lit(0).cast("long")))
+
+
+@query(
+    "a20_geometry_audit",
+    ctes("fx_gov").rstrip() + f", r AS (SELECT * FROM fx_gov UNION ALL SELECT * FROM fx_gov WHERE k % 7 = 0), x AS (SELECT * FROM r UNION ALL SELECT * REPLACE (k + 4 AS k) FROM fx_gov WHERE k % 11 = 0 AND k % 50 > 3 AND k % 50 < 40) SELECT source_file, count(*) AS n, count(*) FILTER (WHERE {KINDS} = 'null') AS n_null, count(*) FILTER (WHERE {KINDS} = 'empty') AS n_empty, count(*) FILTER (WHERE {KINDS} = 'invalid') AS n_invalid, count(*) - count(DISTINCT id || '/' || CAST(k AS VARCHAR)) AS n_repeated_rows, count(*) - count(DISTINCT id) AS n_repeated_ids FROM x GROUP BY 1",
+)
+def geometry_audit(spark, d):
+    rows = _spoilt(spark, d)
+    again = rows.where("k % 11 = 0 and k % 50 > 3 and k % 50 < 40").withColumn("k", F.col("k") + 4)
+    return checks.geometry_audit(checks.stacked(rows, rows.where("k % 7 = 0"), again), "source_file", "id", "ring", ["id", "k"])
 
 
 @query("g09_multi_parts", ctes("fx_gov") + "SELECT CASE WHEN p = 0 THEN id ELSE id || '_part_' || CAST(p AS VARCHAR) END AS id, (xmax-xmin)*(ymax-ymin) AS area FROM fx_gov, (VALUES (0),(1)) v(p)")
@@ -71,17 +115,23 @@ def multi_parts(spark, d):
     return parts.select(F.when(F.col("p") == 0, F.col("id")).otherwise(F.concat_ws("_part_", "id", "p")).alias("id"), geom.area(F.col("ring")).alias("area"))
 
 
-@query("g10_g11_g12_j01_overlap_pairs", ctes("fx_gov", "fx_osm").rstrip() + ",\n" + _pairs("fx_gov", "fx_osm") + " SELECT a_id, b_id, overlap, round(ratio, 6) AS ratio FROM pairs")
+@query("g11_g12_g13_j01_overlap_pairs", ctes("fx_gov", "fx_osm").rstrip() + ",\n" + _pairs("fx_gov", "fx_osm") + f" SELECT a_id, b_id, overlap, round(ratio, 6) AS ratio, round(overlap/{AREA.format('g')}, 6) AS share FROM pairs JOIN fx_gov g ON g.id = a_id")
 def overlap_pairs(spark, d):
-    out = spatial.overlap_pairs(fixture(spark, d, "fx_gov"), fixture(spark, d, "fx_osm"))
-    return out.select("a_id", "b_id", "overlap", F.round("ratio", 6).alias("ratio"))
+    out = spatial.overlap_pairs(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_osm"))
+    return out.select("a_id", "b_id", F.round("overlap", 6).alias("overlap"), F.round("ratio", 6).alias("ratio"), F.round(F.col("overlap") / geom.area(F.col("a_ring")), 6).alias("share"))
 
 
-@query("g11_g13_polygon_overlap", ctes("fx_gov", "fx_osm").rstrip() + ",\n" + _pairs("fx_gov", "fx_osm") + f" SELECT a_id, b_id, overlap, round(overlap/({AREA.format('g')}), 6) AS share FROM pairs JOIN fx_gov g ON g.id = a_id WHERE overlap > 0")
-def polygon_overlap(spark, d):
-    a, b = (fixture(spark, d, f).withColumn("ring", _ring()).select("id", "ring", "xmin", "ymin", "xmax", "ymax") for f in ("fx_gov", "fx_osm"))
-    out = spatial.overlap_pairs(a, b, ring="ring").where("overlap > 1e-9")
-    return out.select("a_id", "b_id", F.round("overlap", 6).alias("overlap"), F.round(F.col("overlap") / geom.area(F.col("a_ring")), 6).alias("share"))
+MEET = " OR ".join(f"({p[0]} <= {q[2]} AND {q[0]} <= {p[2]} AND {p[1]} <= {q[3]} AND {q[1]} <= {p[3]})" for p in _parts("a") for q in _parts("b"))
+NEXT = "abs(a.k % 128 - b.k % 128) <= 1 AND abs(a.k // 128 - b.k // 128) <= 1"
+
+
+@query(
+    "g10_g14_related_pairs",
+    ctes("fx_gov", "fx_osm") + f"SELECT a.id AS a_id, b.id AS b_id, 'intersects' AS how FROM fx_gov a JOIN fx_osm b ON {NEXT} AND ({MEET}) UNION ALL SELECT a.id, b.id, 'within' FROM fx_gov a JOIN fx_osm b ON {NEXT} AND {OVER} = {AREA.format('a')} UNION ALL SELECT a.id, b.id, 'contains' FROM fx_gov a JOIN fx_osm b ON {NEXT} AND {OVER} = {AREA.format('b')}",
+)
+def related_pairs(spark, d):
+    a, b = (shapes(spark, d, f) for f in ("fx_gov", "fx_osm"))
+    return checks.stacked(*[spatial.related_pairs(a, b, how).select("a_id", "b_id", F.lit(how).alias("how")) for how in ("intersects", "within", "contains")])
 
 
 POINTS = "SELECT id, (xmin+xmax)/2 AS x, (ymin+ymax)/2 AS y, k, height FROM fx_msft"
@@ -93,15 +143,14 @@ def _points(spark, d):
 
 @query(
     "g14_j06_j08_contains",
-    ctes("fx_gov", "fx_msft").rstrip() + f",\n p AS ({POINTS}) SELECT g.id, max(p.height) AS max_height, count(*) AS n FROM fx_gov g JOIN p ON abs(g.k%128-p.k%128)<=1 AND abs(g.k//128-p.k//128)<=1 AND p.x >= g.xmin AND p.x < g.xmax AND p.y >= g.ymin AND p.y < g.ymax GROUP BY 1",
+    ctes("fx_gov", "fx_msft").rstrip() + f",\n p AS ({POINTS}) SELECT g.id, max(p.height) AS max_height, count(*) AS n FROM fx_gov g JOIN p ON abs(g.k%128-p.k%128)<=1 AND abs(g.k//128-p.k//128)<=1 AND p.x >= g.xmin AND p.x < g.xmax AND p.y >= g.ymin AND p.y < g.ymax AND NOT (p.x > g.nx AND p.y > g.ny) GROUP BY 1",
 )
 def contains(spark, d):
-    pairs = spatial.points_within(_points(spark, d), fixture(spark, d, "fx_gov").withColumn("ring", _ring()))
-    held = pairs.where(geom.contains_point(F.col("b_ring"), geom.point(F.col("a_x"), F.col("a_y"))))
+    held = spatial.points_within(_points(spark, d), shapes(spark, d, "fx_gov"))
     return held.groupBy(F.col("b_id").alias("id")).agg(F.max("a_height").alias("max_height"), F.count("*").alias("n"))
 
 
-DIST = "sqrt(power(greatest(g.xmin-p.x, p.x-g.xmax, 0),2)+power(greatest(g.ymin-p.y, p.y-g.ymax, 0),2))"
+DIST = _least_distance([("p.x", "p.y", "p.x", "p.y")], _parts("g"))
 
 
 @query(
@@ -109,15 +158,14 @@ DIST = "sqrt(power(greatest(g.xmin-p.x, p.x-g.xmax, 0),2)+power(greatest(g.ymin-
     ctes("fx_gov", "fx_msft").rstrip() + f",\n p AS ({POINTS}) SELECT p.id AS point_id, g.id, round({DIST}, 6) AS distance, {DIST} <= 20 AS near FROM fx_gov g JOIN p ON g.k = p.k",
 )
 def distance(spark, d):
-    rows = _points(spark, d).withColumnRenamed("id", "point_id").drop("height").join(fixture(spark, d, "fx_gov").withColumn("ring", _ring()).select("id", "k", "ring"), "k")
+    rows = _points(spark, d).withColumnRenamed("id", "point_id").drop("height").join(shapes(spark, d, "fx_gov").select("id", "k", "ring"), "k")
     away = geom.point_distance(F.col("ring"), geom.point(F.col("x"), F.col("y")))
     return rows.select("point_id", "id", F.round(away, 6).alias("distance"), geom.within_distance(F.col("ring"), geom.point(F.col("x"), F.col("y")), 20.0).alias("near"))
 
 
-@query("g17_dissolve_parts", ctes("fx_osm") + "SELECT k, count(*) AS n_parts, sum((xmax-xmin)*(ymax-ymin)) AS area FROM fx_osm GROUP BY k")
+@query("g17_dissolve_parts", ctes("fx_osm").rstrip() + f", o AS (SELECT a.k, sum({OVER}) AS shared FROM fx_osm a JOIN fx_osm b ON a.k = b.k AND a.id < b.id GROUP BY 1) SELECT g.k, count(*) AS n_parts, sum({AREA.format('g')}) AS area, coalesce(max(shared), 0) > 0 AS overlapping FROM fx_osm g LEFT JOIN o ON o.k = g.k GROUP BY 1")
 def dissolve_parts(spark, d):
-    rows = fixture(spark, d, "fx_osm").withColumn("rings", F.array(_ring())).groupBy("k").agg(F.flatten(F.collect_list("rings")).alias("rings"))
-    return rows.select("k", F.size("rings").cast("long").alias("n_parts"), F.aggregate("rings", F.lit(0.0), lambda s, r: s + geom.area(r)).alias("area"))
+    return spatial.dissolve(shapes(spark, d, "fx_osm"), "k").select("k", "n_parts", "area", "overlapping")
 
 
 @query("g18_grid_sum", ctes("fx_msft").rstrip() + f",\n p AS ({POINTS}) SELECT CAST(floor(x/500) AS BIGINT) AS cx, CAST(floor(y/500) AS BIGINT) AS cy, sum(height) AS height FROM p GROUP BY 1, 2")
@@ -132,7 +180,7 @@ UNION ALL SELECT NULL, b_id, best, CASE WHEN coalesce(best, 0) < 0.2 THEN 'non-m
 
 @query("j02_w10_match_footprints", ctes("fx_gov", "fx_osm").rstrip() + ",\n" + _pairs("fx_gov", "fx_osm") + ",\n" + MATCH.format(b="fx_osm") + " SELECT a_id, b_id, round(ratio, 6) AS ratio, status FROM m")
 def match_footprints(spark, d):
-    out = spatial.match_footprints(fixture(spark, d, "fx_gov"), fixture(spark, d, "fx_osm"))
+    out = spatial.match_footprints(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_osm"))
     return out.select("a_id", "b_id", F.round("ratio", 6).alias("ratio"), "status")
 
 
@@ -146,28 +194,36 @@ def match_footprints(spark, d):
  UNION ALL SELECT o.id, o.type_source, o.height, o.age, NULL FROM fx_osm o JOIN m ON m.b_id = o.id AND status = 'non-matching'""",
 )
 def fill_and_append(spark, d):
-    a, b = fixture(spark, d, "fx_gov"), fixture(spark, d, "fx_osm")
+    a, b = shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_osm")
     found = spatial.match_footprints(a, b)
     filled = merge.fill_missing(a, b, found.where("status = 'matching'"), ("type_source",), ("height", "age"))
     new = b.join(found.where("status = 'non-matching'").select(F.col("b_id").alias("id")), "id", "left_semi")
     return checks.stacked(filled, new).select("id", "type_source", "height", "age", "filled_height")
 
 
+FILL = """, v{n} AS (SELECT a_id, avg(height) AS h FROM m{n} JOIN {b} o ON o.id = b_id WHERE status = 'matching' GROUP BY 1),
+ first{n} AS (SELECT g.id, k, xmin, ymin, xmax, ymax, nx, ny, coalesce(height, h) AS height, dataset FROM {a} g LEFT JOIN v{n} ON v{n}.a_id = g.id UNION ALL SELECT id, k, xmin, ymin, xmax, ymax, nx, ny, height, '{name}' FROM {b} WHERE id IN (SELECT b_id FROM m{n} WHERE status = 'non-matching'))"""
+
+
+def _step(n: int, a: str, b: str, name: str) -> str:
+    pairs, match = _pairs(a, b), MATCH.format(b=b)
+    for t in ("pairs", "best", "m"):
+        pairs, match = (re.sub(rf"\b{t}\b(?= AS \(| WHERE| ON|$|, m| LEFT)", f"{t}{n}", x) for x in (pairs, match))
+    match = match.replace("max(ratio) AS best" + str(n), "max(ratio) AS best").replace("ratio, 'matching'", "ratio, 'matching'").replace("FROM pairs WHERE", f"FROM pairs{n} WHERE").replace("FROM best ", f"FROM best{n} ").replace("JOIN pairs ", f"JOIN pairs{n} ")
+    return f"{pairs}, {match}{FILL.format(n=n, a=a, b=b, name=name)}"
+
+
 @query(
-    "j05_u01_three_sources",
-    ctes("fx_gov", "fx_osm", "fx_msft").rstrip()
-    + ",\n" + _pairs("fx_gov", "fx_osm") + f""", b1 AS (SELECT o.id, max(ratio) AS best FROM fx_osm o LEFT JOIN pairs ON o.id = b_id GROUP BY 1),
- first AS (SELECT id, k, xmin, ymin, xmax, ymax, 'gov' AS dataset FROM fx_gov UNION ALL SELECT id, k, xmin, ymin, xmax, ymax, 'osm' FROM fx_osm WHERE id IN (SELECT id FROM b1 WHERE coalesce(best,0) < 0.2)),
- b2 AS (SELECT b.id, max(CASE WHEN a.id IS NOT NULL THEN {RATIO} END) AS best FROM fx_msft b LEFT JOIN first a ON abs(a.k%128-b.k%128)<=1 AND abs(a.k//128-b.k//128)<=1 AND a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <= a.ymax GROUP BY 1)
- SELECT id, dataset FROM first UNION ALL SELECT id, 'msft' FROM fx_msft WHERE id IN (SELECT id FROM b2 WHERE coalesce(best,0) < 0.2)""",
+    "j05_u01_w03_three_sources",
+    ctes("fx_gov", "fx_osm", "fx_msft").rstrip() + ",\n gov AS (SELECT *, 'gov' AS dataset FROM fx_gov), " + _step(1, "gov", "fx_osm", "osm") + ", " + _step(2, "first1", "fx_msft", "msft")
+    + " SELECT id, dataset, height, 'v1-' || dataset || '-' || CAST(row_number() OVER (PARTITION BY dataset ORDER BY k, id) - 1 AS VARCHAR) AS merge_id FROM first2",
 )
 def three_sources(spark, d):
-    out = fixture(spark, d, "fx_gov").withColumn("dataset", F.lit("gov"))
-    for name in ("osm", "msft"):
-        b = fixture(spark, d, f"fx_{name}").withColumn("dataset", F.lit(name))
-        fresh = spatial.match_footprints(out, b).where("status = 'non-matching'").select(F.col("b_id").alias("id"))
-        out = checks.stacked(out, b.join(fresh, "id", "left_semi"))
-    return out.select("id", "dataset")
+    """A ranked list of sources: matches fill gaps of the better source, footprints that match nothing are appended, all are numbered."""
+    frames = [(name, shapes(spark, d, f"fx_{name}").withColumn("dataset", F.lit(name))) for name in ("gov", "osm", "msft")]
+    out = merge.merge_sources([f for _, f in frames], means=("height",), modes=())
+    number = dedup.numbered(out, ["dataset"], ["k", "id"])
+    return out.select("id", "dataset", "height", F.concat_ws("-", F.lit("v1"), "dataset", number).alias("merge_id"))
 
 
 @query("j07_j11_attribute_join", "SELECT o_orderkey AS id, o_totalprice AS price, largest FROM orders LEFT JOIN (SELECT l_orderkey, max(l_extendedprice) AS largest FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey")
@@ -179,63 +235,78 @@ def attribute_join(spark, d):
     return checks.one_to_one(orders, keep_largest(lines, ["id"], "largest", ["l_linenumber"]).select("id", "largest"), "id", "left")
 
 
-UNIT = f"u AS (SELECT a.id, b.LAU_ID, {OVER} AS overlap FROM fx_gov a JOIN fx_lau b ON a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax)"
+UNIT = f"u AS (SELECT * FROM (SELECT a.id, b.LAU_ID, {OVER} AS overlap FROM fx_gov a JOIN fx_lau b ON a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax) WHERE overlap > 0)"
 
 
 @query("j09_assign_units", ctes("fx_gov", "fx_lau").rstrip() + ",\n" + UNIT + " SELECT id, LAU_ID, overlap FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY overlap DESC, LAU_ID) AS r FROM u) WHERE r = 1")
 def assign_units(spark, d):
-    return spatial.assign_units(fixture(spark, d, "fx_gov"), fixture(spark, d, "fx_lau"), "LAU_ID")
+    return spatial.assign_units(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_lau"), "LAU_ID")
 
 
 @query("j10_outside_units", ctes("fx_gov", "fx_lau").rstrip() + ",\n" + UNIT + " SELECT id FROM fx_gov WHERE id NOT IN (SELECT id FROM u)")
 def outside_units(spark, d):
-    return spatial.outside(fixture(spark, d, "fx_gov"), fixture(spark, d, "fx_lau")).select("id")
+    return spatial.outside(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_lau")).select("id")
+
 
+RULES = [("m1", "country", "AT", "keep"), ("m1", "nuts1", "AT0", "drop"), ("m2", "country", "DE", "keep"), ("m2", "nuts3", "DE001", "drop"), ("m3", "nuts3", "CH002", "keep"), ("m3", "lau", "FR01004", "keep"), ("m4", "rest", "", "keep")]
+CODES = {"country": "substr(LAU_ID,1,2)", "nuts1": "substr(NUTS_ID_3,1,3)", "nuts2": "substr(NUTS_ID_3,1,4)", "nuts3": "NUTS_ID_3", "lau": "LAU_ID"}
 
-@query("j12_mask_units", ctes("fx_lau") + "SELECT LAU_ID FROM fx_lau WHERE substr(LAU_ID,1,2) IN ('AT','DE') AND NUTS_ID_3 <> 'DE001'")
+
+def _rule(mask: str, kind: str) -> str:
+    return " OR ".join(f"{CODES[level]} = '{code}'" for m, level, code, k in RULES if m == mask and k == kind) or "false"
+
+
+@query(
+    "j12_mask_units",
+    ctes("fx_lau").rstrip() + ", named AS (" + " UNION ALL ".join(f"SELECT '{m}' AS mask, LAU_ID FROM fx_lau WHERE ({_rule(m, 'keep')}) AND NOT ({_rule(m, 'drop')})" for m in ("m1", "m2", "m3"))
+    + ") SELECT * FROM named UNION ALL SELECT 'm4', LAU_ID FROM fx_lau WHERE LAU_ID NOT IN (SELECT LAU_ID FROM named)",
+)
 def mask_units(spark, d):
-    lau = fixture(spark, d, "fx_lau")
-    rules = spark.createDataFrame([("AT", "keep"), ("DE", "keep"), ("DE001", "drop")], "code string, rule string")
-    kept = lau.withColumn("code", F.substring("LAU_ID", 1, 2)).join(F.broadcast(rules.where("rule = 'keep'")), "code", "left_semi")
-    return kept.withColumn("code", F.col("NUTS_ID_3")).join(F.broadcast(rules.where("rule = 'drop'")), "code", "left_anti").select("LAU_ID")
+    lau = fixture(spark, d, "fx_lau").withColumns({level: F.expr(code) for level, code in CODES.items() if level != "lau"}).withColumn("lau", F.col("LAU_ID"))
+    rules = spark.createDataFrame(RULES, "mask string, level string, code string, rule string")
+    return checks.mask_units(lau, "LAU_ID", rules, tuple(CODES)).select("mask", "LAU_ID")
 
 
-@query("j13_j29_code_prefix", ctes("fx_lau") + "SELECT c.code, count(*) AS n FROM (SELECT DISTINCT substr(NUTS_ID_3,1,3) AS code FROM fx_lau) c JOIN fx_lau l ON starts_with(l.NUTS_ID_3, c.code) GROUP BY 1")
+@query("j13_j29_code_prefix", ctes("fx_lau") + "SELECT c.code, count(*) AS n FROM (SELECT DISTINCT substr(NUTS_ID_3, 1, CAST(2 + CAST(right(NUTS_ID_3, 1) AS INT) % 4 AS INT)) AS code FROM fx_lau) c JOIN fx_lau l ON starts_with(l.NUTS_ID_3, c.code) GROUP BY 1")
 def code_prefix(spark, d):
     lau = fixture(spark, d, "fx_lau")
-    codes = lau.select(F.substring("NUTS_ID_3", 1, 3).alias("code")).distinct()
-    # codes of one length: the prefix is an equi join
-    return lau.withColumn("code", F.substring("NUTS_ID_3", 1, 3)).join(codes, "code").groupBy("code").agg(F.count("*").alias("n"))
+    codes = lau.select(F.expr("substr(NUTS_ID_3, 1, 2 + cast(right(NUTS_ID_3, 1) as int) % 4)").alias("code")).distinct()
+    return checks.prefix_join(lau, "NUTS_ID_3", codes, "code").groupBy("code").agg(F.count("*").alias("n"))
 
 
 @query(
     "j14_nearest_unit",
-    ctes("fx_gov", "fx_lau") + """SELECT id, LAU_ID FROM (SELECT g.id, l.LAU_ID, row_number() OVER (PARTITION BY g.id ORDER BY power((g.xmin+g.xmax)/2-(l.xmin+l.xmax)/2,2)+power((g.ymin+g.ymax)/2-(l.ymin+l.ymax)/2,2), l.LAU_ID) AS r
-  FROM fx_gov g JOIN fx_lau l ON abs((g.xmin+g.xmax)/2-(l.xmin+l.xmax)/2) <= 400 AND abs((g.ymin+g.ymax)/2-(l.ymin+l.ymax)/2) <= 400) WHERE r = 1""",
+    ctes("fx_gov", "fx_lau") + """SELECT g.id, arg_min(l.LAU_ID, {'d': power((g.xmin+g.xmax)/2-(l.xmin+l.xmax)/2,2)+power((g.ymin+g.ymax)/2-(l.ymin+l.ymax)/2,2), 'u': l.LAU_ID}) AS LAU_ID
+  FROM fx_gov g, (SELECT * FROM fx_lau WHERE NOT starts_with(LAU_ID, 'DE')) l GROUP BY 1""",
 )
 def nearest_unit(spark, d):
-    centre = {"xmin": "(xmin+xmax)/2", "ymin": "(ymin+ymax)/2", "xmax": "(xmin+xmax)/2", "ymax": "(ymin+ymax)/2"}
-    g, units = (fixture(spark, d, f).selectExpr(i, *[f"{e} as {c}" for c, e in centre.items()]) for f, i in (("fx_gov", "id"), ("fx_lau", "LAU_ID")))
-    pairs = spatial.box_pairs(g, units, 240.0, 400.0)
-    away = F.pow(F.col("a_xmin") - F.col("b_xmin"), 2) + F.pow(F.col("a_ymin") - F.col("b_ymin"), 2)
-    return pairs.groupBy(F.col("a_id").alias("id")).agg(F.min(F.struct(away.alias("away"), "b_LAU_ID")).alias("m")).select("id", F.col("m.b_LAU_ID").alias("LAU_ID"))
+    centre = [f"({a}min + {a}max) / 2 as" for a in "xy"]
+    rows = fixture(spark, d, "fx_gov").selectExpr("id", f"{centre[0]} x", f"{centre[1]} y")
+    # no unit of one country: its buildings are far from any
+    units = fixture(spark, d, "fx_lau").where("not startswith(LAU_ID, 'DE')").selectExpr("LAU_ID", f"{centre[0]} cx", f"{centre[1]} cy")
+    return spatial.nearest_units(rows, units, "LAU_ID")
 
 
-@query("j15_unit_table", ctes("fx_lau") + "SELECT LAU_ID, NUTS_ID_3, substr(LAU_ID,1,2) AS CNTR_CODE FROM fx_lau WHERE NOT starts_with(NUTS_ID_3, 'FR0') AND substr(LAU_ID,1,2) IN (SELECT DISTINCT substr(NUTS_ID_3,1,2) FROM fx_lau)")
+@query(
+    "j15_unit_table",
+    ctes("fx_lau", "fx_release").rstrip() + ", r AS (SELECT DISTINCT region_id AS NUTS_ID, substr(region_id,1,2) AS CNTR_CODE FROM fx_release) SELECT LAU_ID, NUTS_ID_3, substr(LAU_ID,1,2) AS CNTR_CODE, r.NUTS_ID IS NOT NULL AS known FROM fx_lau l LEFT JOIN r ON r.NUTS_ID = l.NUTS_ID_3 WHERE NOT starts_with(NUTS_ID_3, 'FR0') AND substr(LAU_ID,1,2) IN (SELECT CNTR_CODE FROM r)",
+)
 def unit_table(spark, d):
-    lau = fixture(spark, d, "fx_lau").withColumn("CNTR_CODE", F.substring("LAU_ID", 1, 2))
-    regions = lau.select(F.substring("NUTS_ID_3", 1, 2).alias("CNTR_CODE")).distinct()
-    return lau.where(~F.col("NUTS_ID_3").startswith("FR0")).join(regions, "CNTR_CODE", "left_semi").select("LAU_ID", "NUTS_ID_3", "CNTR_CODE")
+    """Municipalities with the region of another table, of countries that it has; overseas prefixes are left out."""
+    lau = fixture(spark, d, "fx_lau").withColumn("CNTR_CODE", F.substring("LAU_ID", 1, 2)).where(~F.col("NUTS_ID_3").startswith("FR0"))
+    regions = fixture(spark, d, "fx_release").select(F.col("region_id").alias("NUTS_ID_3"), F.substring("region_id", 1, 2).alias("CNTR_CODE"), F.lit(True).alias("known")).distinct()
+    out = lau.join(regions.select("CNTR_CODE").distinct(), "CNTR_CODE", "left_semi").join(regions.select("NUTS_ID_3", "known"), "NUTS_ID_3", "left")
+    return out.select("LAU_ID", "NUTS_ID_3", "CNTR_CODE", F.coalesce("known", F.lit(False)).alias("known"))
 
 
 MATCHED = ctes("fx_gov", "fx_osm", "fx_crosswalk").rstrip() + ",\n" + _pairs("fx_gov", "fx_osm") + f""", q AS (SELECT a_id AS id, b_id AS source_id, overlap, {AREA.format('g')} AS area, o.height, x.type FROM pairs JOIN fx_gov g ON g.id = a_id JOIN fx_osm o ON o.id = b_id LEFT JOIN fx_crosswalk x ON x.type_source = o.type_source WHERE overlap > 0)"""
 
 
 def _matched(spark, d):
-    a, b = fixture(spark, d, "fx_gov"), fixture(spark, d, "fx_osm")
+    a, b = shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_osm")
     types = F.broadcast(fixture(spark, d, "fx_crosswalk").select(F.col("type_source").alias("b_type_source"), "type"))  # a row per raw code
-    pairs = spatial.overlap_pairs(a, b).where("overlap > 0").join(types, "b_type_source", "left")
-    area = (F.col("a_xmax") - F.col("a_xmin")) * (F.col("a_ymax") - F.col("a_ymin"))
+    pairs = spatial.overlap_pairs(a, b).join(types, "b_type_source", "left")
+    area = geom.area(F.col("a_ring"))
     return pairs.select(F.col("a_id").alias("id"), F.col("b_id").alias("source_id"), "overlap", area.alias("area"), F.col("b_height").alias("height"), "type")
 
 
@@ -284,7 +355,7 @@ def crosswalk(spark, d):
  SELECT point_id, id, round(distance, 6) AS distance FROM b WHERE q = 1""",
 )
 def point_to_poly(spark, d):
-    return spatial.point_to_poly(_points(spark, d).drop("k", "height"), fixture(spark, d, "fx_gov")).select("point_id", "id", F.round("distance", 6).alias("distance"))
+    return spatial.point_to_poly(_points(spark, d).drop("k", "height"), shapes(spark, d, "fx_gov")).select("point_id", "id", F.round("distance", 6).alias("distance"))
 
 
 @query("j25_parent_lookup", ctes("fx_release") + "SELECT id, region_id FROM fx_release WHERE region_id LIKE 'DE%'")
@@ -304,19 +375,18 @@ def feature_join(spark, d):
     return checks.stacked(first, gov.where("k % 2 = 1").select("id", "height"))
 
 
-@query("j28_positional_join", "SELECT a.id, a.price, b.supp FROM (SELECT l_orderkey AS id, l_extendedprice AS price, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice, l_linenumber, l_suppkey) AS r FROM lineitem) a JOIN (SELECT l_orderkey AS id, l_suppkey AS supp, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_suppkey) AS r FROM lineitem) b ON a.id = b.id AND a.r = b.r")
+@query("j28_positional_join", ctes("fx_gov", "fx_msft") + "SELECT a.id, b.height FROM (SELECT id, row_number() OVER (ORDER BY k) AS r FROM fx_gov) a JOIN (SELECT height, row_number() OVER (ORDER BY k) AS r FROM fx_msft) b USING (r)")
 def positional_join(spark, d):
-    from ..operators.dedup import numbered
-
-    lines = spark.read.parquet(f"{d}/lineitem.parquet").withColumnRenamed("l_orderkey", "id")
-    a = lines.select("id", F.col("l_extendedprice").alias("price"), numbered(lines, ["id"], ["l_extendedprice", "l_linenumber", "l_suppkey"]).alias("r"))
-    b = lines.select("id", F.col("l_suppkey").alias("supp"), numbered(lines, ["id"], ["l_suppkey"]).alias("r"))
-    return a.join(b, ["id", "r"]).select("id", "price", "supp")
+    """Rows of two files with the same number."""
+    a = dedup.row_numbers(fixture(spark, d, "fx_gov").select("id", "k"), ["k"])
+    b = dedup.row_numbers(fixture(spark, d, "fx_msft").select("k", "height"), ["k"])
+    return a.select("id", "n").join(b.select("height", "n"), "n").select("id", "height")
 
 
-@query("j30_missing_tiles", ctes("fx_lau", "fx_gov").rstrip() + ",\n" + UNIT + " SELECT LAU_ID FROM fx_lau WHERE LAU_ID NOT IN (SELECT LAU_ID FROM u WHERE id LIKE '%1')")
+@query("j30_missing_tiles", ctes("fx_lau", "fx_gov").rstrip() + ",\n" + UNIT + " SELECT LAU_ID FROM fx_lau WHERE LAU_ID NOT IN (SELECT LAU_ID FROM u JOIN fx_gov g ON g.id = u.id WHERE g.height > 37)")
 def missing_tiles(spark, d):
-    there = spatial.assign_pairs(fixture(spark, d, "fx_gov").where("id like '%1'"), fixture(spark, d, "fx_lau"), "LAU_ID")
+    """Tiles without a building above 37 m."""
+    there = spatial.assign_pairs(shapes(spark, d, "fx_gov").where("height > 37"), shapes(spark, d, "fx_lau"), "LAU_ID")
     return fixture(spark, d, "fx_lau").join(there, "LAU_ID", "left_anti").select("LAU_ID")
 
 
@@ -325,10 +395,10 @@ SELF = f"p AS (SELECT a.id AS a_id, b.id AS b_id, {AREA.format('a')} AS aa, {ARE
 
 @query("d01_intra_source_duplicates", ctes("fx_osm").rstrip() + ",\n" + SELF + " SELECT id FROM fx_osm WHERE id NOT IN (SELECT a_id FROM p WHERE ratio > 0.25 AND (aa < ba OR (aa = ba AND a_id > b_id)))")
 def intra_source_duplicates(spark, d):
-    return spatial.drop_overlapping(fixture(spark, d, "fx_osm")).select("id")
+    return spatial.drop_overlapping(shapes(spark, d, "fx_osm")).select("id")
 
 
-BOXD = "sqrt(power(greatest(b.xmin-a.xmax, a.xmin-b.xmax, 0),2)+power(greatest(b.ymin-a.ymax, a.ymin-b.ymax, 0),2))"
+BOXD = _least_distance(_parts("a"), _parts("b"))
 
 
 @query(
@@ -338,9 +408,9 @@ BOXD = "sqrt(power(greatest(b.xmin-a.xmax, a.xmin-b.xmax, 0),2)+power(greatest(b
  SELECT a_id, b_id, round(distance, 6) AS distance, round(o/(aa+ba-o), 6) AS iou, round(o/least(aa,ba), 6) AS smaller, round(o/aa, 6) AS one_sided, round(aa/ba, 6) AS area_ratio FROM r WHERE p <= 3 OR q <= 3""",
 )
 def candidate_features(spark, d):
-    pairs = spatial.near_pairs(fixture(spark, d, "fx_gov"), fixture(spark, d, "fx_osm"))
-    a, b = ({c: F.col(f"{s}_{c}") for c in spatial.BOX} for s in "ab")
-    o, aa, ba = geom.box_overlap(a, b), (a["xmax"] - a["xmin"]) * (a["ymax"] - a["ymin"]), (b["xmax"] - b["xmin"]) * (b["ymax"] - b["ymin"])
+    pairs = spatial.near_pairs(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_osm"))
+    pairs = geom.with_overlap(pairs, "a_ring", "b_ring").withColumns({"aa": geom.area(F.col("a_ring")), "ba": geom.area(F.col("b_ring"))})
+    o, aa, ba = (F.col(c) for c in ("overlap", "aa", "ba"))
     return pairs.select("a_id", "b_id", *[F.round(c, 6).alias(n) for n, c in {"distance": F.col("distance"), "iou": o / (aa + ba - o), "smaller": o / F.least(aa, ba), "one_sided": o / aa, "area_ratio": aa / ba}.items()])
 
 

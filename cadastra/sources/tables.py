@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,16 @@ GROUP_BYTES = 4 << 20
 FEATURES = "geometry struct<type:string,coordinates:array<array<array<double>>>>, properties struct<height:double,confidence:double>"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Where it is unset, one of a local session; on a cluster that is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is not set: executors share no folder")
+    return f"file://{tempfile.gettempdir()}/shared-{spark.sparkContext.applicationId}"
+
+
 def read_regions(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
     """Parquet files of regions whose name starts with ``prefix``, tagged with the file's stem."""
     df = spark.read.option("pathGlobFilter", f"{prefix}*.parquet").option("recursiveFileLookup", "true").parquet(folder)
