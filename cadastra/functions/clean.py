@@ -135,3 +135,13 @@ def rename_map(df: DataFrame, names: dict[str, str], standard: tuple[str, ...] =
     """Mapped columns under their standard names, and standard columns that are absent as null."""
     out = df.select(*[F.col(source).alias(name) for source, name in names.items()])
     return reduce(lambda d, c: d.withColumn(c, F.lit(None).cast("string")), [c for c in standard if c not in names.values()], out)
+
+
+def is_polygon(wkt: Column) -> Column:
+    """Whether a geometry text is a polygon or multipolygon."""
+    return F.coalesce(wkt.rlike(r"(?i)^\s*(MULTI)?POLYGON\b"), F.lit(False))
+
+
+def code_name(col: Column) -> Column:
+    """'code - name' as its two parts; a text without a dash is a code."""
+    return F.struct(F.trim(F.regexp_extract(col, r"^([^-]*)", 1)).alias("code"), F.nullif(F.trim(F.regexp_extract(col, r"-(.*)$", 1)), F.lit("")).alias("name"))

@@ -109,12 +109,20 @@ def resolve(tiers: Sequence[Tier], kind: str, overrides: Sequence[dict] = ()) ->
             (none if ids is None else ids).cast("array<string>").alias("ids"),
         )
 
-    chosen = F.coalesce(*[F.when(t[1].isNotNull(), tier(*t)) for t in tiers], tier(none, none, None, None, None))
-    for o in overrides:
-        new = {k: o.get(k, chosen[k]) for k in ("value", "source", "lower", "upper", "ids")}
-        changed = F.struct(new["value"].cast(kind).alias("value"), new["source"].cast("string").alias("source"), new["lower"].cast("double").alias("lower"), new["upper"].cast("double").alias("upper"), new["ids"].cast("array<string>").alias("ids"))
-        chosen = F.when(F.coalesce(o["when"], F.lit(False)), changed).otherwise(chosen)
-    return chosen
+    def overridden(chosen: Column) -> Column:
+        for o in overrides:
+            new = {k: o.get(k, chosen[k]) for k in ("value", "source", "lower", "upper", "ids")}
+            changed = tier(new["source"], new["value"], new["lower"], new["upper"], new["ids"])
+            chosen = F.when(F.coalesce(o["when"], F.lit(False)), changed).otherwise(chosen)
+        return chosen
+
+    chosen = F.coalesce(*[F.when(t[1].isNotNull(), tier(*t)) for t in tiers], tier(none, none, none, none, none))
+    return bound(chosen, overridden)
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once: as the element of an array it stays one expression."""
+    return F.transform(F.array(value), use)[0]
 
 
 def publish_subtype(subtype: Column, detail: Column) -> Column:

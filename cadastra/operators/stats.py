@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geom
+from .merge import RESIDENTIAL
+
 ATTRIBUTES = ("type", "subtype", "height", "floors", "construction_year")
 TYPES = ("residential", "non-residential")
 SUBTYPES = ("commercial", "industrial", "agricultural", "public", "others", "detached", "semi-detached", "terraced", "apartment")
@@ -84,12 +87,24 @@ def regression_metrics(pred: DataFrame, truth: str, value: str, by: str, bins: t
     return out.where(F.col("n") >= cover * F.col("_all")).drop("_all")
 
 
-def classification_metrics(pred: DataFrame, truth: str, value: str, by: str) -> DataFrame:
-    """F1 macro and micro and Cohen's kappa per group, from counts of (truth, prediction)."""
+def _class_counts(pred: DataFrame, truth: str, value: str, by: str) -> DataFrame:
+    """(by, class, true, predicted, hit) from counts of (truth, prediction)."""
     cells = pred.where(F.col(truth).isNotNull() & F.col(value).isNotNull()).groupBy(by, F.col(truth).alias("t"), F.col(value).alias("p")).agg(F.count(F.lit(1)).alias("n"))
     sides = cells.select(by, F.col("t").alias("class"), "n", F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0).alias("hit"), F.lit(1).alias("side"))
     sides = sides.union(cells.select(by, F.col("p").alias("class"), "n", F.lit(0).alias("hit"), F.lit(0).alias("side")))
-    classes = sides.groupBy(by, "class").agg(F.sum(F.when(F.col("side") == 1, F.col("n")).otherwise(0)).alias("true"), F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("predicted"), F.sum("hit").alias("hit"))
+    return sides.groupBy(by, "class").agg(F.sum(F.when(F.col("side") == 1, F.col("n")).otherwise(0)).alias("true"), F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("predicted"), F.sum("hit").alias("hit"))
+
+
+def class_f1(pred: DataFrame, truth: str, value: str, by: str) -> DataFrame:
+    """F1 of each class, under its published name."""
+    names = F.create_map(*[F.lit(x) for kv in RESIDENTIAL.items() for x in kv])
+    f1 = 2 * F.col("hit") / (F.col("true") + F.col("predicted"))
+    return _class_counts(pred, truth, value, by).select(by, F.coalesce(F.element_at(names, F.col("class")), "class").alias("class"), f1.alias("f1"))
+
+
+def classification_metrics(pred: DataFrame, truth: str, value: str, by: str) -> DataFrame:
+    """F1 macro and micro and Cohen's kappa per group."""
+    classes = _class_counts(pred, truth, value, by)
     out = classes.groupBy(by).agg(F.sum("true").alias("n"), F.avg(2 * F.col("hit") / (F.col("true") + F.col("predicted"))).alias("f1_macro"), F.sum("hit").alias("hits"), F.sum(F.col("true") * F.col("predicted")).alias("chance"))
     expected = F.col("chance") / (F.col("n") * F.col("n"))
     micro = F.col("hits") / F.col("n")
@@ -103,12 +118,23 @@ def interval(df: DataFrame, by: str, value: str, t: float = 2.262) -> DataFrame:
     return out.select(by, "n", "mean", (F.col("mean") - half).alias("lower"), (F.col("mean") + half).alias("upper"))
 
 
-def parse_report(df: DataFrame, by: str, attrs: tuple[str, ...]) -> DataFrame:
-    """Rows, and non-empty values of each attribute with their share."""
+def parse_report(df: DataFrame, by: str, attrs: tuple[str, ...], types: str, id: str, ring: str) -> DataFrame:
+    """Rows, non-empty values of each attribute with their share, the set of types, and ids of null, empty and invalid rings."""
     filled = {a: F.count_if(F.col(a).isNotNull() & (F.col(a).cast("string") != "")) for a in attrs}
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), *[c.alias(f"n_{a}") for a, c in filled.items()], *[(c / F.count(F.lit(1))).alias(f"frac_{a}") for a, c in filled.items()])
+    judged = df.withColumn("_status", geom.validity(F.col(ring)))
+    bad = [F.sort_array(F.collect_list(F.when(F.col("_status") == s, F.col(id)))).alias(f"{s}_ids") for s in ("null", "empty", "invalid")]
+    return judged.groupBy(by).agg(
+        F.count(F.lit(1)).alias("n"), *[c.alias(f"n_{a}") for a, c in filled.items()], *[(c / F.count(F.lit(1))).alias(f"frac_{a}") for a, c in filled.items()], F.sort_array(F.collect_set(types)).alias("types"), *bad
+    )
 
 
 def combine_reports(reports: DataFrame, by: str, attrs: tuple[str, ...]) -> DataFrame:
-    """Sums of part reports, with shares worked out anew."""
-    return reports.groupBy(by).agg(F.sum("n").alias("n"), *[F.sum(f"n_{a}").alias(f"n_{a}") for a in attrs], *[F.try_divide(F.sum(f"n_{a}"), F.sum("n")).alias(f"frac_{a}") for a in attrs])
+    """Sums of part reports, with shares worked out anew, and the union of their types."""
+    types = F.sort_array(F.array_distinct(F.flatten(F.collect_list("types")))).alias("types")
+    return reports.groupBy(by).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_files"), *[F.sum(f"n_{a}").alias(f"n_{a}") for a in attrs], *[F.try_divide(F.sum(f"n_{a}"), F.sum("n")).alias(f"frac_{a}") for a in attrs], types)
+
+
+def setup_report(before: DataFrame, after: DataFrame, by: str, id: str) -> DataFrame:
+    """Rows and repeated ids of each group before and after a step."""
+    sides = [df.groupBy(by).agg(F.count(F.lit(1)).alias(f"n_{s}"), (F.count(F.lit(1)) - F.countDistinct(id)).alias(f"repeated_{s}")) for s, df in (("start", before), ("end", after))]
+    return sides[0].join(sides[1], by, "left").fillna(0, ["n_end", "repeated_end"])

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import clean, geom
 from ..operators import merge
 
-ATTRIBUTES = ("height", "floors", "age")
+#: Codes that one dataset uses for several types.
+AMBIGUOUS = ("Civile", "Civile1")
+AMBIGUOUS_DATASET = "gov-italy-trentino-alto-adige"
 
 
 def combine(conflated: DataFrame, predictions: DataFrame, id: str = "id") -> DataFrame:
@@ -28,7 +30,10 @@ def plausible(df: DataFrame) -> DataFrame:
     no_ratio = F.lit(None).cast("double")
     osm = clean.realistic(F.col("osm_height_merged"), F.col("osm_floors_merged"), no_ratio, no_ratio)
     df = df.withColumns({"osm_height_merged": osm[0], "osm_floors_merged": osm[1]})
-    return df.withColumns({"age": clean.release_year(F.col("age").cast("int")), "floors": clean.release_floors(F.col("floors"))})
+    ambiguous = F.col("type_source").isin(*AMBIGUOUS) & (F.col("source_dataset") == AMBIGUOUS_DATASET)
+    df = df.withColumn("type", clean.clear_where(F.col("type"), ambiguous))
+    years = {c: clean.release_year(F.col(c)) for c in ("age", "osm_age_merged")}
+    return df.withColumns(years | {c: clean.release_floors(F.col(c)) for c in ("floors", "osm_floors_merged")})
 
 
 def _one(col: str) -> Column:
@@ -63,7 +68,7 @@ def resolved(df: DataFrame) -> DataFrame:
             "r_floors": merge.resolve(numeric("floors", "floors"), "double"),
             "r_year": merge.resolve(numeric("age", "age"), "double"),
             "r_type": use,
-            "r_subtype": merge.publish_subtype(subtype, detail),
+            "r_subtype": merge.bound(F.struct(subtype.alias("subtype"), detail.alias("detail")), lambda c: merge.publish_subtype(c["subtype"], c["detail"])),
         }
     )
 

@@ -8,67 +8,104 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geom
-from ..operators import checks, dedup, stats
+from ..operators import checks, dedup, spatial, stats
 from ..sources import tables
 from . import release
 from .catalog import query
 from .fixtures import ctes, fixture, shapes
+from .spatial_queries import KINDS, UNIT, spoilt
 
-CONFLATED = """conflated AS (SELECT g.id, g.id AS id_source, 'gov-' || lower(right(g.source_file,1)) AS source_dataset, g.source_file, g.xmin, g.ymin, g.xmax, g.ymax,
-  CASE WHEN g.k % 9 = 0 THEN 'msft' ELSE 'gov' END AS height_source, g.height, g.floors, g.age, CASE WHEN g.k % 40 = 0 THEN '31001_2000' ELSE g.type_source END AS type_source, x.type, x.residential_type,
-  o.height AS osm_height_merged, o.floors AS osm_floors_merged, o.age AS osm_age_merged, ox.type AS osm_type_merged, ox.residential_type AS osm_residential_type_merged,
+CONFLATED = """conflated AS (SELECT g.id, g.id AS id_source, CASE WHEN g.k % 41 < 9 THEN 'gov-italy-trentino-alto-adige' ELSE 'gov-' || lower(right(g.source_file,1)) END AS source_dataset, g.source_file, g.xmin, g.ymin, g.xmax, g.ymax,
+  CASE WHEN g.k % 9 = 0 THEN 'msft' ELSE 'gov' END AS height_source, g.height, g.floors, g.age, CASE WHEN g.k % 40 = 0 THEN '31001_2000' WHEN g.k % 8 = 1 THEN 'Civile1' ELSE g.type_source END AS type_source, x.type, x.residential_type,
+  o.id AS osm_id, o.height AS osm_height_merged, o.floors - 1 AS osm_floors_merged, CASE WHEN g.k % 17 = 0 THEN 2030 WHEN g.k % 17 = 1 THEN 950 ELSE o.age + 0.5 END AS osm_age_merged, ox.type AS osm_type_merged, ox.residential_type AS osm_residential_type_merged,
+  o.height - 1 AS osm_height_confidence_lower, o.height + 2 AS osm_height_confidence_upper, o.floors - 1 AS osm_floors_confidence_lower, o.floors + 1 AS osm_floors_confidence_upper, o.age - 3 AS osm_age_confidence_lower, o.age + 4 AS osm_age_confidence_upper,
   CASE WHEN o.id IS NOT NULL THEN CAST((g.k % 100)/100.0 AS DOUBLE) END AS osm_type_confidence, CASE WHEN o.id IS NOT NULL THEN CAST((g.k % 90)/100.0 AS DOUBLE) END AS osm_binary_type_confidence,
   CASE WHEN o.id IS NOT NULL THEN CAST((g.k % 80)/100.0 AS DOUBLE) END AS osm_residential_type_confidence,
   'c' || CAST(CAST(floor(g.xmin/240.0) AS INT) AS STRING) || '_' || CAST(CAST(floor(g.ymin/240.0) AS INT) AS STRING) AS LAU_ID
-  FROM fx_gov g LEFT JOIN fx_osm o ON o.k = g.k AND o.id LIKE 'o%' LEFT JOIN fx_crosswalk x ON x.type_source = g.type_source LEFT JOIN fx_crosswalk ox ON ox.type_source = o.type_source)"""
+  FROM fx_gov g LEFT JOIN fx_osm o ON o.k = g.k AND o.id LIKE 'o%' LEFT JOIN fx_crosswalk x ON x.type_source = g.type_source LEFT JOIN fx_crosswalk ox ON ox.type_source = o.type_source
+  WHERE g.height IS NOT NULL OR g.floors IS NOT NULL)"""
 
 
 def _conflated(spark, d):
     for name in ("fx_gov", "fx_osm", "fx_crosswalk"):
         fixture(spark, d, name)
-    return spark.sql(ctes("fx_gov", "fx_osm", "fx_crosswalk").rstrip() + ",\n" + CONFLATED + " SELECT * FROM conflated")
+    rows = spark.sql(ctes("fx_gov", "fx_osm", "fx_crosswalk").rstrip() + ",\n" + CONFLATED + " SELECT * FROM conflated")
+    ids = {f"osm_{a}_source_ids": F.when(F.col("osm_id").isNotNull(), F.array("osm_id")) for a in ("height", "floors", "age", "type", "residential_type")}
+    return rows.withColumns(ids)
 
 
 def _release(spark, d):
-    return release.released(release.resolved(release.plausible(release.combine(_conflated(spark, d), fixture(spark, d, "fx_pred")))))
+    """Either side has buildings that the other lacks."""
+    predictions = fixture(spark, d, "fx_pred").where("height_pred < 36")
+    return release.released(release.resolved(release.plausible(release.combine(_conflated(spark, d), predictions))))
 
 
 NR = "('industrial','commercial','public','agricultural','others')"
+CIVILE = "type_source IN ('Civile','Civile1') AND source_dataset = 'gov-italy-trentino-alto-adige'"
+YEAR = "CASE WHEN TRY_CAST(substr(CAST({0} AS VARCHAR),1,4) AS DOUBLE) >= 1000 AND TRY_CAST(substr(CAST({0} AS VARCHAR),1,4) AS DOUBLE) < 2030 THEN TRY_CAST(substr(CAST({0} AS VARCHAR),1,4) AS DOUBLE) END"
+MSFT = "coalesce(height_source = 'msft', false)"
+FARM = "coalesce(type_source = '31001_2000' AND type_pred IN ('agricultural','industrial'), false)"
+
+
+def _tiers(attr: str, own: str, osm: str, est: str) -> str:
+    """The value of the first tier that has one."""
+    return f"CASE WHEN {attr} IS NOT NULL THEN {own} WHEN osm_{attr}_merged IS NOT NULL THEN {osm} ELSE {est} END"
+
+
+def _bounds(attr: str, name: str, side: str) -> str:
+    return _tiers(attr, "NULL", f"osm_{attr}_confidence_{side}", f"{name}_confidence_{side}" if name else "NULL")
+
+
 RESOLVED = (
     ctes("fx_gov", "fx_osm", "fx_crosswalk", "fx_pred").rstrip() + ",\n" + CONFLATED
-    + f""", j AS (SELECT c.* EXCLUDE (height, floors, age, osm_height_merged, osm_floors_merged), p.* EXCLUDE (id),
+    + f""", j AS (SELECT * EXCLUDE (height, floors, age, type, osm_floors_merged, osm_age_merged),
   CASE WHEN coalesce(floors > height/1.5, false) OR coalesce(height <= 0 OR height > 350, false) THEN NULL ELSE height END AS height,
   CASE WHEN coalesce(floors > height/1.5, false) OR coalesce(floors <= 0 OR floors > 100, false) THEN NULL WHEN floors < 1 THEN 1 ELSE floors END AS floors,
-  CASE WHEN age >= 1000 AND least(age, 2030) <> 2030 THEN age END AS age, osm_height_merged, CASE WHEN osm_floors_merged <= 100 THEN osm_floors_merged END AS osm_floors_merged
-  FROM conflated c JOIN fx_pred p ON c.id = p.id),
- v AS (SELECT *, coalesce(type, osm_type_merged, type_pred) AS t, CASE WHEN type_source = '31001_2000' AND type_pred IN ('agricultural','industrial') THEN type_pred ELSE coalesce(type, osm_type_merged, type_pred) END AS st,
-   coalesce(residential_type, osm_residential_type_merged, residential_type_pred) AS rt FROM j),
- s AS (SELECT *, CASE WHEN st = 'residential' THEN CASE rt WHEN 'semi-detached duplex house' THEN 'semi-detached' WHEN 'detached single-family house' THEN 'detached' WHEN 'terraced house' THEN 'terraced' WHEN 'apartment block' THEN 'apartment' END ELSE st END AS sub,
-   CASE WHEN type_source = '31001_2000' AND type_pred IN ('agricultural','industrial') THEN type_confidence WHEN type IS NOT NULL THEN NULL WHEN osm_type_merged IS NOT NULL THEN osm_type_confidence ELSE type_confidence END AS sc,
-   CASE WHEN residential_type IS NOT NULL THEN NULL WHEN osm_residential_type_merged IS NOT NULL THEN osm_residential_type_confidence ELSE residential_type_confidence END AS rc FROM v),
- r AS (SELECT id, region_id, LAU_ID AS city_id, CASE WHEN t IN {NR} THEN 'non-residential' ELSE 'residential' END AS type, sub AS subtype,
-   CASE WHEN height_source = 'msft' THEN height_pred ELSE coalesce(height, osm_height_merged, height_pred) END AS height, coalesce(floors, osm_floors_merged, floors_pred) AS floors, coalesce(age, osm_age_merged) AS construction_year,
-   CASE WHEN height_source = 'msft' THEN 'estimated' WHEN height IS NOT NULL THEN source_dataset WHEN osm_height_merged IS NOT NULL THEN 'osm' WHEN height_pred IS NOT NULL THEN 'estimated' END AS height_source,
-   CASE WHEN floors IS NOT NULL THEN source_dataset WHEN osm_floors_merged IS NOT NULL THEN 'osm' WHEN floors_pred IS NOT NULL THEN 'estimated' END AS floors_source,
-   CASE WHEN age IS NOT NULL THEN source_dataset WHEN osm_age_merged IS NOT NULL THEN 'osm' END AS construction_year_source,
-   CASE WHEN type IS NOT NULL THEN source_dataset WHEN osm_type_merged IS NOT NULL THEN 'osm' ELSE 'estimated' END AS type_source,
-   CASE WHEN height_source = 'msft' OR coalesce(height, osm_height_merged) IS NULL THEN height_confidence_lower END AS height_confidence_lower,
-   CASE WHEN type IS NOT NULL THEN NULL WHEN osm_type_merged IS NOT NULL THEN osm_binary_type_confidence ELSE binary_type_confidence END AS type_confidence,
-   CASE WHEN st = 'residential' THEN coalesce(sc, 1) * rc ELSE sc END AS subtype_confidence FROM s)"""
+  {YEAR.format('age')} AS age, {YEAR.format('osm_age_merged')} AS osm_age_merged, CASE WHEN {CIVILE} THEN NULL ELSE type END AS type,
+  CASE WHEN osm_floors_merged > 0 AND osm_floors_merged <= 100 THEN greatest(osm_floors_merged, 1) END AS osm_floors_merged
+  FROM conflated c FULL JOIN (SELECT * FROM fx_pred WHERE height_pred < 36) p USING (id)),
+ v AS (SELECT *, {_tiers('type', 'type', 'osm_type_merged', 'type_pred')} AS t, {_tiers('residential_type', 'residential_type', 'osm_residential_type_merged', 'residential_type_pred')} AS rt FROM j),
+ s AS (SELECT *, CASE WHEN {FARM} THEN type_pred ELSE t END AS st, CASE WHEN {FARM} THEN type_confidence ELSE {_tiers('type', 'NULL', 'osm_type_confidence', 'type_confidence')} END AS sc,
+   {_tiers('residential_type', 'NULL', 'osm_residential_type_confidence', 'residential_type_confidence')} AS rc,
+   CASE WHEN {FARM} THEN 'estimated' WHEN t IS NOT NULL THEN {_tiers('type', 'source_dataset', "'osm'", "'estimated'")} END AS ss, CASE WHEN rt IS NOT NULL THEN {_tiers('residential_type', 'source_dataset', "'osm'", "'estimated'")} END AS rs,
+   {_tiers('type', 'id_source', 'osm_id', 'NULL')} AS si, {_tiers('residential_type', 'id_source', 'osm_id', 'NULL')} AS ri FROM v),
+ r AS (SELECT id, region_id, LAU_ID AS city_id, CASE WHEN t IN {NR} THEN 'non-residential' ELSE 'residential' END AS type,
+   CASE WHEN st = 'residential' THEN CASE rt WHEN 'semi-detached duplex house' THEN 'semi-detached' WHEN 'detached single-family house' THEN 'detached' WHEN 'terraced house' THEN 'terraced' WHEN 'apartment block' THEN 'apartment' END ELSE st END AS subtype,
+   CASE WHEN {MSFT} THEN height_pred ELSE coalesce(height, osm_height_merged, height_pred) END AS height, coalesce(floors, osm_floors_merged, floors_pred) AS floors, round(coalesce(age, osm_age_merged)) AS construction_year,
+   {_tiers('type', 'NULL', 'osm_binary_type_confidence', 'binary_type_confidence')} AS type_confidence, CASE WHEN st = 'residential' THEN coalesce(sc, 1) * rc ELSE sc END AS subtype_confidence,
+   CASE WHEN {MSFT} THEN height_confidence_lower ELSE {_bounds('height', 'height', 'lower')} END AS height_confidence_lower, CASE WHEN {MSFT} THEN height_confidence_upper ELSE {_bounds('height', 'height', 'upper')} END AS height_confidence_upper,
+   {_bounds('floors', 'floors', 'lower')} AS floors_confidence_lower, {_bounds('floors', 'floors', 'upper')} AS floors_confidence_upper, {_bounds('age', '', 'lower')} AS construction_year_confidence_lower, {_bounds('age', '', 'upper')} AS construction_year_confidence_upper,
+   source_dataset AS geometry_source, CASE WHEN t IS NOT NULL THEN {_tiers('type', 'source_dataset', "'osm'", "'estimated'")} END AS type_source, CASE WHEN st = 'residential' THEN rs ELSE ss END AS subtype_source,
+   CASE WHEN {MSFT} THEN 'estimated' WHEN coalesce(height, osm_height_merged, height_pred) IS NOT NULL THEN {_tiers('height', 'source_dataset', "'osm'", "'estimated'")} END AS height_source,
+   CASE WHEN coalesce(floors, osm_floors_merged, floors_pred) IS NOT NULL THEN {_tiers('floors', 'source_dataset', "'osm'", "'estimated'")} END AS floors_source, {_tiers('age', 'source_dataset', "'osm'", 'NULL')} AS construction_year_source,
+   id_source AS geometry_source_id, si AS type_source_ids, CASE WHEN st = 'residential' THEN ri ELSE si END AS subtype_source_ids, {_tiers('height', 'id_source', 'osm_id', 'NULL')} AS height_source_ids, {_tiers('floors', 'id_source', 'osm_id', 'NULL')} AS floors_source_ids, {_tiers('age', 'id_source', 'osm_id', 'NULL')} AS construction_year_source_ids,
+   type_source AS subtype_raw, (xmax-xmin)*(ymax-ymin) AS area, xmin FROM s)"""
 )
-SHOWN = ["id", "region_id", "city_id", "type", "subtype", "height", "floors", "construction_year", "height_source", "floors_source", "construction_year_source", "type_source", "height_confidence_lower", "type_confidence"]
+NUMBERS = ("height", "floors", "construction_year", "type_confidence", "subtype_confidence", *(f"{a}_confidence_{s}" for a in ("height", "floors", "construction_year") for s in ("lower", "upper")))
+PLAIN = ("id", "region_id", "city_id", "type", "subtype", "geometry_source", "type_source", "subtype_source", "height_source", "floors_source", "construction_year_source", "geometry_source_id", "subtype_raw")
+LISTS = tuple(f"{a}_source_ids" for a in ("type", "subtype", "height", "floors", "construction_year"))
 
 
-@query("e1_p24_p25_p26_p27_p28_j16_release", RESOLVED + " SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in ("height", "floors", "construction_year", "height_confidence_lower", "type_confidence") else c for c in SHOWN) + " FROM r")
+@query("e1_p20_p21_p22_p24_p25_p26_p27_p28_j16_release", RESOLVED + f" SELECT {', '.join((*PLAIN, *LISTS))}, {', '.join(f'round(CAST({c} AS DOUBLE), {2 if "type_conf" in c else 1}) AS {c}' for c in NUMBERS)}, area, xmin FROM r")
 def release_table(spark: SparkSession, d: str) -> DataFrame:
-    numbers = ("height", "floors", "construction_year", "height_confidence_lower", "type_confidence")
-    return _release(spark, d).select(*[F.col(c).cast("double").alias(c) if c in numbers else F.col(c) for c in SHOWN])
+    """All published columns; lists of source ids, of one here, as text, and the geometry and box by area and edge."""
+    out = _release(spark, d)
+    return out.select(*PLAIN, *[F.when(F.size(c) > 0, F.array_join(c, ",")).alias(c) for c in LISTS], *[F.col(c).cast("double").alias(c) for c in NUMBERS], geom.area(F.col("geometry")).alias("area"), F.col("bbox.xmin").alias("xmin"))
+
 
+_B0, _RQ, _D, _E2 = geom._B0, geom._RQ, geom._D, geom._E2
+LAT_LON = f"""c AS (SELECT id, area, xmin + (xmax-xmin)/2 AS x, ymin + (ymax-ymin)/2 AS y FROM (SELECT id, xmin, xmax, ymin, ymax, (xmax-xmin)*(ymax-ymin) AS area FROM conflated)),
+ q AS (SELECT *, sqrt(power((x - {geom._X0})/{_D}, 2) + power({_D}*(y - {geom._Y0}), 2)) AS rho FROM c),
+ a AS (SELECT *, 2*asin(rho/(2*{_RQ})) AS ce FROM q),
+ b AS (SELECT *, asin(cos(ce)*sin({_B0}) + {_D}*(y - {geom._Y0})*sin(ce)*cos({_B0})/rho) AS beta FROM a)
+ SELECT id, area AS footprint_area, round(degrees({geom._LON0} + atan2((x - {geom._X0})*sin(ce), {_D}*rho*cos({_B0})*cos(ce) - {_D}*{_D}*(y - {geom._Y0})*sin({_B0})*sin(ce))), 6) AS lon,
+  round(degrees(beta + ({_E2}/3 + 31*power({_E2},2)/180 + 517*power({_E2},3)/5040)*sin(2*beta) + (23*power({_E2},2)/360 + 251*power({_E2},3)/3780)*sin(4*beta) + 761*power({_E2},3)/45360*sin(6*beta)), 6) AS lat FROM b"""
 
-@query("s13_lat_lon", ctes("fx_gov") + "SELECT id, (xmax-xmin)*(ymax-ymin) AS footprint_area, true AS placed FROM fx_gov")
+
+@query("s13_lat_lon", ctes("fx_gov", "fx_osm", "fx_crosswalk", "fx_pred").rstrip() + ",\n" + CONFLATED + ", " + LAT_LON + " UNION ALL SELECT id, NULL, NULL, NULL FROM fx_pred WHERE height_pred < 36 AND id NOT IN (SELECT id FROM conflated)")
 def lat_lon(spark, d):
     out = release.lat_lon(_release(spark, d))
-    return out.select("id", "footprint_area", (F.col("lat").isNotNull() & F.col("lon").isNotNull()).alias("placed"))
+    return out.select("id", "footprint_area", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
 
 
 BUILDINGS = ctes("fx_release").rstrip() + ",\n b AS (SELECT *, (xmax-xmin)*(ymax-ymin) AS area, (xmax-xmin)*(ymax-ymin)*coalesce(floors,1) AS floor_area FROM fx_release)"
@@ -110,11 +147,13 @@ def city_statistics(spark, d):
 ROLLED = ("n", "n_gov", "n_height_5_10", "area", "floor_area_type_residential")
 
 
-@query("a04_j22_region_roll_up", CITY + " SELECT region_id, " + ", ".join(f"sum({c}) AS {c}" for c in ROLLED) + " FROM city GROUP BY 1")
+@query("a04_j22_region_roll_up", CITY + ", o AS (SELECT region_id, min(xmin) AS x0, min(ymin) AS y0, max(xmax) AS x1, max(ymax) AS y1 FROM fx_release GROUP BY 1) SELECT c.region_id, (max(x1)-max(x0))*(max(y1)-max(y0)) AS unit_area, " + ", ".join(f"sum(c.{c}) AS {c}" for c in ROLLED) + " FROM city c JOIN o ON o.region_id = c.region_id GROUP BY 1")
 def region_roll_up(spark, d):
+    """Statistics of regions with the geometry of the region."""
     rolled = stats.roll_up(stats.city_statistics(_buildings(spark, d)), "region_id")
-    names = fixture(spark, d, "fx_release").select("region_id").distinct()
-    return names.join(rolled, "region_id", "left").select("region_id", *ROLLED)
+    boxes = fixture(spark, d, "fx_release").groupBy("region_id").agg(F.min("xmin").alias("x0"), F.min("ymin").alias("y0"), F.max("xmax").alias("x1"), F.max("ymax").alias("y1"))
+    units = boxes.select("region_id", geom.rectangle(*[F.col(c) for c in ("x0", "y0", "x1", "y1")]).alias("geometry"))
+    return rolled.join(units, "region_id", "left").select("region_id", geom.area(F.col("geometry")).alias("unit_area"), *ROLLED)
 
 
 @query("a05_country_shares", CITY + " SELECT country, sum(n) AS n, round(sum(n_gov)/sum(n), 2) AS share_gov, round(sum(n_estimated_height)/sum(n), 2) AS share_estimated FROM city GROUP BY 1")
@@ -136,16 +175,28 @@ def regression_metrics(spark, d):
 
 @query(
     "a11_a12_j27_classification_metrics",
-    ctes("fx_pred")
-    + """, c AS (SELECT region_id AS g, type_true AS t, type_pred AS p FROM fx_pred WHERE type_true IS NOT NULL), k AS (SELECT DISTINCT g, x FROM (SELECT g, t AS x FROM c UNION ALL SELECT g, p FROM c)),
+    ctes("fx_pred", "fx_gov")
+    + """, c AS (SELECT source_file AS g, type_true AS t, type_pred AS p FROM fx_pred JOIN fx_gov USING (id) WHERE type_true IS NOT NULL), k AS (SELECT DISTINCT g, x FROM (SELECT g, t AS x FROM c UNION ALL SELECT g, p FROM c)),
  s AS (SELECT k.g, x, count(*) FILTER (WHERE t = x) AS n_true, count(*) FILTER (WHERE p = x) AS n_pred, count(*) FILTER (WHERE t = x AND p = x) AS hit FROM k JOIN c ON c.g = k.g GROUP BY 1, 2)
- SELECT g AS region_id, CAST(sum(n_true) AS BIGINT) AS n, round(avg(2*hit/(n_true+n_pred)), 6) AS f1_macro, round(sum(hit)/sum(n_true), 6) AS f1_micro,
+ SELECT g AS source_file, CAST(sum(n_true) AS BIGINT) AS n, round(avg(2*hit/(n_true+n_pred)), 6) AS f1_macro, round(sum(hit)/sum(n_true), 6) AS f1_micro,
   round((sum(hit)/sum(n_true) - sum(n_true*n_pred)/(sum(n_true)*sum(n_true)))/(1 - sum(n_true*n_pred)/(sum(n_true)*sum(n_true))), 6) AS kappa FROM s GROUP BY 1""".replace(", c AS", "SELECT * FROM (WITH c AS", 1)
     + ")",
 )
 def classification_metrics(spark, d):
-    out = stats.classification_metrics(fixture(spark, d, "fx_pred"), "type_true", "type_pred", "region_id")
-    return out.select("region_id", "n", *[F.round(c, 6).alias(c) for c in ("f1_macro", "f1_micro", "kappa")])
+    """Predictions by the source file that another table has for them."""
+    rows = checks.one_to_one(fixture(spark, d, "fx_pred"), fixture(spark, d, "fx_gov").select("id", "source_file"), "id")
+    out = stats.classification_metrics(rows, "type_true", "type_pred", "source_file")
+    return out.select("source_file", "n", *[F.round(c, 6).alias(c) for c in ("f1_macro", "f1_micro", "kappa")])
+
+
+@query(
+    "a11_class_f1",
+    ctes("fx_pred") + """SELECT region_id, x AS class, round(2*count(*) FILTER (WHERE type_true = x AND type_pred = x) / (count(*) FILTER (WHERE type_true = x) + count(*) FILTER (WHERE type_pred = x)), 6) AS f1
+ FROM (SELECT region_id, type_true, type_pred, unnest(['residential','industrial','agricultural','commercial']) AS x FROM fx_pred WHERE type_true IS NOT NULL) GROUP BY 1, 2 HAVING count(*) FILTER (WHERE type_true = x OR type_pred = x) > 0""",
+)
+def class_f1(spark, d):
+    out = stats.class_f1(fixture(spark, d, "fx_pred"), "type_true", "type_pred", "region_id")
+    return out.select("region_id", "class", F.round("f1", 6).alias("f1"))
 
 
 @query("d05_interval", ctes("fx_pred") + "SELECT region_id, count(height_pred) AS n, round(avg(height_pred), 6) AS mean, round(avg(height_pred) - 2.262*stddev_samp(height_pred)/sqrt(count(height_pred)), 6) AS lower, round(avg(height_pred) + 2.262*stddev_samp(height_pred)/sqrt(count(height_pred)), 6) AS upper FROM fx_pred GROUP BY 1")
@@ -157,17 +208,38 @@ def interval(spark, d):
 REPORT = ("height", "floors", "age")
 
 
-@query("a07_parse_report", ctes("fx_gov") + "SELECT source_file, count(*) AS n, " + ", ".join(f"count({a}) AS n_{a}, round(count({a})/count(*), 6) AS frac_{a}" for a in REPORT) + " FROM fx_gov GROUP BY 1")
+REPORT_SQL = ", ".join(f"count({a}) AS n_{a}, round(count({a})/count(*), 6) AS frac_{a}" for a in REPORT) + ", coalesce(list(DISTINCT type_source ORDER BY type_source) FILTER (WHERE type_source IS NOT NULL), []) AS types"
+
+
+def _report(rows, by):
+    return stats.parse_report(rows, by, REPORT, "type_source", "id", "ring")
+
+
+def _rounded(out, *columns):
+    return out.select(*columns, *[c for a in REPORT for c in (F.col(f"n_{a}"), F.round(f"frac_{a}", 6).alias(f"frac_{a}"))], "types")
+
+
+@query(
+    "a07_parse_report",
+    ctes("fx_gov") + f"SELECT source_file, count(*) AS n, {REPORT_SQL}, " + ", ".join(f"coalesce(list(id ORDER BY id) FILTER (WHERE {KINDS} = '{s}'), []) AS {s}_ids" for s in ("null", "empty", "invalid")) + " FROM fx_gov GROUP BY 1",
+)
 def parse_report(spark, d):
-    out = stats.parse_report(fixture(spark, d, "fx_gov"), "source_file", REPORT)
-    return out.select("source_file", "n", *[c for a in REPORT for c in (F.col(f"n_{a}"), F.round(f"frac_{a}", 6).alias(f"frac_{a}"))])
+    rows = fixture(spark, d, "fx_gov").drop("source_file").join(spoilt(spark, d).select("id", "source_file", "ring"), "id")
+    return _rounded(_report(rows, "source_file"), "source_file", "n", "null_ids", "empty_ids", "invalid_ids")
 
 
-@query("a08_combined_report", ctes("fx_gov") + "SELECT source_file, count(*) AS n, count(height) AS n_height, round(count(height)/count(*), 6) AS frac_height FROM fx_gov GROUP BY 1")
+@query("a08_combined_report", ctes("fx_gov") + f"SELECT source_file, count(*) AS n, count(DISTINCT k % 4) AS n_files, {REPORT_SQL} FROM fx_gov GROUP BY 1")
 def combined_report(spark, d):
-    parts = fixture(spark, d, "fx_gov").withColumn("part", F.concat_ws("|", "source_file", F.col("k") % 4))
-    reports = stats.parse_report(parts, "part", REPORT).withColumn("source_file", F.split_part("part", F.lit("|"), F.lit(1)))
-    return stats.combine_reports(reports, "source_file", REPORT).select("source_file", "n", "n_height", F.round("frac_height", 6).alias("frac_height"))
+    parts = shapes(spark, d, "fx_gov").withColumn("part", F.concat_ws("|", "source_file", F.col("k") % 4))
+    reports = _report(parts, "part").withColumn("source_file", F.split_part("part", F.lit("|"), F.lit(1)))
+    return _rounded(stats.combine_reports(reports, "source_file", REPORT), "source_file", "n", "n_files")
+
+
+@query("a09_setup_report", ctes("fx_gov", "fx_lau").rstrip() + ",\n x AS (SELECT id, source_file, height FROM fx_gov UNION ALL SELECT id, source_file, height FROM fx_gov WHERE floors > 9) SELECT source_file, count(*) AS n_start, count(*) - count(DISTINCT id) AS repeated_start, count(DISTINCT id) AS n_end, 0 AS repeated_end FROM x GROUP BY 1")
+def setup_report(spark, d):
+    rows = fixture(spark, d, "fx_gov").select("id", "source_file", "height", "floors")
+    before = rows.unionByName(rows.where("floors > 9"))
+    return stats.setup_report(before, dedup.keep_largest(before, ["id"], "height", ["source_file"]), "source_file", "id")
 
 
 EMPTY = "SELECT l.LAU_ID FROM fx_lau l JOIN fx_gov g ON g.height > 37 AND g.xmin < l.xmax AND l.xmin < g.xmax AND g.ymin < l.ymax AND l.ymin < g.ymax AND NOT (l.xmin >= g.nx AND l.ymin >= g.ny)"
@@ -176,8 +248,6 @@ EMPTY = "SELECT l.LAU_ID FROM fx_lau l JOIN fx_gov g ON g.height > 37 AND g.xmin
 @query("a18_empty_units", ctes("fx_lau", "fx_gov") + f"SELECT substr(LAU_ID,1,2) AS country, count(*) AS n_units, count(*) FILTER (WHERE LAU_ID NOT IN ({EMPTY})) AS n_empty FROM fx_lau GROUP BY 1")
 def empty_units(spark, d):
     """Units, and those without a building above 37 m, by country."""
-    from ..operators import spatial
-
     used = spatial.assign_pairs(shapes(spark, d, "fx_gov").where("height > 37"), shapes(spark, d, "fx_lau"), "LAU_ID").withColumn("used", F.lit(1))
     rows = fixture(spark, d, "fx_lau").join(used, "LAU_ID", "left")
     return rows.groupBy(F.substring("LAU_ID", 1, 2).alias("country")).agg(F.count("*").alias("n_units"), F.count_if(F.col("used").isNull()).alias("n_empty"))
@@ -230,15 +300,34 @@ SMALL = ("id", "k", "height", "source_file")
 SMALL_SQL = ctes("fx_gov") + "SELECT id, k, height, source_file FROM fx_gov"
 
 
-@query("s01_s14_read_regions", ctes("fx_gov") + "SELECT id, k, substr(source_file, 5, 1) AS part FROM fx_gov WHERE source_file IN ('src_F','src_O')")
-def read_regions(spark, d):
-    path, rows = _folder(spark), fixture(spark, d, "fx_gov").select("id", "k", "source_file")
+def _write_regions(rows: DataFrame, path: str) -> None:
     for s in ("F", "O", "P"):
-        rows.where(F.col("source_file") == f"src_{s}").drop("source_file").coalesce(1).write.parquet(f"{path}/{s}")
-    return tables.read_globs(spark, [f"{path}/F", f"{path}/O"]).withColumn("part", F.regexp_extract(F.col("_metadata.file_path"), r"/([FOP])/[^/]*$", 1))
+        rows.where(F.col("source_file") == f"src_{s}").write.parquet(f"{path}/{s}1.parquet")
+
 
+@query("s01_read_regions", ctes("fx_gov") + "SELECT id, k, substr(source_file, 5, 1) || '1' AS region_id FROM fx_gov WHERE source_file IN ('src_F','src_O','src_P')")
+def read_regions(spark, d):
+    path = _folder(spark)
+    _write_regions(fixture(spark, d, "fx_gov").select("id", "k", "source_file"), path)
+    return tables.read_regions(spark, path).select("id", "k", "region_id")
 
-@query("s02_s07_s08_s11_release_partitions", ctes("fx_release") + "SELECT id, region_id FROM fx_release WHERE region_id LIKE 'DE%'")
+
+@query("s02_list_files", ctes("fx_gov") + "SELECT DISTINCT substr(source_file, 5, 1) || '1' AS region FROM fx_gov WHERE source_file IN ('src_F','src_O','src_P')")
+def list_files(spark, d):
+    path = _folder(spark)
+    _write_regions(fixture(spark, d, "fx_gov").select("id", "k", "source_file"), path)
+    files = tables.list_files(spark, path, r"^part-.*\.parquet$")
+    return files.select(F.regexp_extract("path", r"/([A-Z]\d)\.parquet/[^/]*$", 1).alias("region")).distinct()
+
+
+@query("s14_read_globs", ctes("fx_gov") + "SELECT id, k FROM fx_gov WHERE source_file IN ('src_F','src_O')")
+def read_globs(spark, d):
+    path = _folder(spark)
+    _write_regions(fixture(spark, d, "fx_gov").select("id", "k", "source_file"), path)
+    return tables.read_globs(spark, [f"{path}/F*.parquet", f"{path}/[MNO]1.parquet"]).select("id", "k")
+
+
+@query("s07_s08_s11_release_partitions", ctes("fx_release") + "SELECT id, region_id FROM fx_release WHERE region_id LIKE 'DE%'")
 def release_partitions(spark, d):
     path, rows = _folder(spark), fixture(spark, d, "fx_release").select("id", "geometry_source", "city_id", "region_id")
     tables.write_release(rows.where(~F.col("region_id").startswith("AT")), path)
@@ -284,12 +373,15 @@ def catalog(spark, d):
     return out.select("dataset", "region", F.element_at("variables", "height").alias("height"), F.size("codes").alias("n_codes"))
 
 
-@query("s09_s12_split_tables", ctes("fx_gov") + "SELECT id, height, xmin FROM fx_gov")
+@query("s09_s12_split_tables", ctes("fx_gov", "fx_lau").rstrip() + ",\n" + UNIT + ", p AS (SELECT id, LAU_ID FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY overlap DESC, LAU_ID) AS r FROM u) WHERE r = 1) SELECT g.id, height, g.xmin, NUTS_ID_3 AS nuts3 FROM fx_gov g JOIN p ON p.id = g.id JOIN fx_lau l ON l.LAU_ID = p.LAU_ID")
 def split_tables(spark, d):
-    path = _folder(spark)
-    tables.write_split(fixture(spark, d, "fx_gov").withColumn("geometry", F.struct("xmin", "ymin", "xmax", "ymax")), path, ("height", "floors", "age"))
+    """Geometries and attributes written apart, joined again and written by NUTS3."""
+    path, gov, units = _folder(spark), shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_lau")
+    tables.write_split(gov.withColumn("geometry", F.struct("xmin", "ymin", "xmax", "ymax")), path, ("height", "floors", "age"))
     geoms, attrs = spark.read.parquet(f"{path}/geoms"), spark.read.parquet(f"{path}/attribs")
-    return geoms.join(attrs, "id").select("id", "height", F.col("geometry.xmin").alias("xmin"))
+    held = spatial.assign_units(gov, units, "LAU_ID").join(units.select("LAU_ID", F.col("NUTS_ID_3").alias("nuts3")), "LAU_ID").select("id", "nuts3")
+    tables.write_by_unit(geoms.join(held, "id"), attrs, f"{path}/by_unit")
+    return spark.read.parquet(f"{path}/by_unit").select("id", "height", F.col("geometry.xmin").alias("xmin"), "nuts3")
 
 
 @query("s10_split_parts", ctes("fx_gov") + "SELECT CAST(ntile(7) OVER (ORDER BY k) - 1 AS INT) AS part, k FROM fx_gov")

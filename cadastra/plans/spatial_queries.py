@@ -81,7 +81,7 @@ def wkt_wkb(spark, d):
 KINDS = "CASE k%50 WHEN 0 THEN 'null' WHEN 1 THEN 'invalid' WHEN 2 THEN 'empty' WHEN 3 THEN 'invalid' ELSE 'valid' END"
 
 
-def _spoilt(spark, d):
+def spoilt(spark, d):
     """Footprints of which some are null, flat, empty or cross themselves."""
     box = geom.rectangle(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")])
     flat = geom.rectangle(F.col("xmin"), F.col("ymin"), F.col("xmin"), F.col("ymax"))
@@ -92,7 +92,7 @@ def _spoilt(spark, d):
 
 @query("g07_kept_geometries", ctes("fx_gov") + f"SELECT {KINDS} AS status, count(*) AS n, list(id ORDER BY id) FILTER (WHERE {KINDS} <> 'valid') AS ids, count(*) FILTER (WHERE {KINDS} = 'valid') AS kept FROM fx_gov GROUP BY 1")
 def validity(spark, d):
-    rows, bad = checks.kept_geometries(_spoilt(spark, d), "id", "ring")
+    rows, bad = checks.kept_geometries(spoilt(spark, d), "id", "ring")
     kept = rows.agg(F.count("*").alias("kept")).select(F.lit("valid").alias("status"), F.col("kept").alias("n"), F.lit(None).cast("array<string>").alias("ids"), "kept")
     return kept.unionByName(bad.withColumn("kept", F.lit(0).cast("long")))
 
@@ -102,7 +102,7 @@ def validity(spark, d):
     ctes("fx_gov").rstrip() + f", r AS (SELECT * FROM fx_gov UNION ALL SELECT * FROM fx_gov WHERE k % 7 = 0), x AS (SELECT * FROM r UNION ALL SELECT * REPLACE (k + 4 AS k) FROM fx_gov WHERE k % 11 = 0 AND k % 50 > 3 AND k % 50 < 40) SELECT source_file, count(*) AS n, count(*) FILTER (WHERE {KINDS} = 'null') AS n_null, count(*) FILTER (WHERE {KINDS} = 'empty') AS n_empty, count(*) FILTER (WHERE {KINDS} = 'invalid') AS n_invalid, count(*) - count(DISTINCT id || '/' || CAST(k AS VARCHAR)) AS n_repeated_rows, count(*) - count(DISTINCT id) AS n_repeated_ids FROM x GROUP BY 1",
 )
 def geometry_audit(spark, d):
-    rows = _spoilt(spark, d)
+    rows = spoilt(spark, d)
     again = rows.where("k % 11 = 0 and k % 50 > 3 and k % 50 < 40").withColumn("k", F.col("k") + 4)
     return checks.geometry_audit(checks.stacked(rows, rows.where("k % 7 = 0"), again), "source_file", "id", "ring", ["id", "k"])
 

@@ -8,9 +8,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a file and bytes of a row group that let readers skip what a filter leaves out.
-FILE_ROWS = 10_000
-GROUP_BYTES = 4 << 20
+#: Rows of a row group: few, so that readers skip what a filter leaves out.
+GROUP_ROWS = 10_000
 
 FEATURES = "geometry struct<type:string,coordinates:array<array<array<double>>>>, properties struct<height:double,confidence:double>"
 
@@ -26,9 +25,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def read_regions(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
-    """Parquet files of regions whose name starts with ``prefix``, tagged with the file's stem."""
-    df = spark.read.option("pathGlobFilter", f"{prefix}*.parquet").option("recursiveFileLookup", "true").parquet(folder)
-    return df.withColumn("region_id", F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]*)", 1))
+    """Parquet files, or folders of them, of regions whose name starts with ``prefix``, tagged with that name."""
+    df = spark.read.parquet(f"{folder}/{prefix}*.parquet")
+    return df.withColumn("region_id", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)\.parquet(/part-[^/]*)?$", 1))
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -67,10 +66,18 @@ def read_catalog(spark: SparkSession, path: str, variables: tuple[str, ...], lis
 
 
 def write_release(df: DataFrame, folder: str, region: str = "region_id", order: tuple[str, ...] = ("geometry_source", "city_id", "id")) -> None:
-    """Zstd files by region, sorted so that filters on leading columns and boxes skip row groups; other regions stay."""
-    dealt = df.withColumn("nuts_id", F.col(region)).repartition("nuts_id").sortWithinPartitions("nuts_id", *order)
+    """Zstd files by region, sorted so that filters on leading columns and boxes skip row groups; other regions stay.
+
+    Rows are dealt by ranges of the order, so a large region is written by several tasks.
+    """
+    dealt = df.withColumn("nuts_id", F.col(region)).repartitionByRange("nuts_id", *order).sortWithinPartitions("nuts_id", *order)
     out = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("nuts_id")
-    out.option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS).option("parquet.block.size", GROUP_BYTES).parquet(folder)
+    out.option("compression", "zstd").option("parquet.block.row.count.limit", GROUP_ROWS).parquet(folder)
+
+
+def write_by_unit(geoms: DataFrame, attrs: DataFrame, folder: str, unit: str = "nuts3", id: str = "id") -> None:
+    """Geometries with their attributes, a folder per unit."""
+    geoms.join(attrs, id).write.mode("overwrite").partitionBy(unit).parquet(folder)
 
 
 def missing_regions(df: DataFrame, done: DataFrame, region: str = "region_id") -> DataFrame:

@@ -44,7 +44,7 @@ def test_validity(shapes):
 def test_overlap_of_non_convex(shapes):
     pair = shapes.where("name = 'ell'").select(F.col("ring").alias("a"), F.lit(1).alias("one"))
     pair = pair.join(shapes.where("name in ('square', 'triangle', 'ell')").select("name", F.col("ring").alias("b"), F.lit(1).alias("one")), "one")
-    got = {r[0]: r[1] for r in pair.select("name", geom.overlap_area("a", "b")).collect()}
+    got = {r[0]: r[1] for r in geom.with_overlap(pair, "a", "b").select("name", "overlap").collect()}
     assert got["ell"] == pytest.approx(20)
     assert got["square"] == pytest.approx(12)
     assert got["triangle"] == pytest.approx(8 - 0)
@@ -73,3 +73,38 @@ def test_multi_parts(spark):
     text = "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 1, 0 0)), ((5 5, 7 5, 7 7, 5 7, 5 5)))"
     rows = spark.createDataFrame([(text,)], "t string").select(F.posexplode(geom.multi_parts(F.col("t"))).alias("i", "r"))
     assert [r[1] for r in rows.select("i", geom.area(F.col("r"))).orderBy("i").collect()] == [1, 4]
+
+
+def boxed(spark, rows):
+    from cadastra.operators import spatial
+
+    return spatial.boxed(spark.createDataFrame(rows, "id string, wkt string").select("id", geom.from_wkt(F.col("wkt"))[0].alias("ring")))
+
+
+def test_disjoint_triangles_do_not_match(spark):
+    from cadastra.operators import spatial
+
+    # their boxes are the same
+    a = boxed(spark, [("a", "POLYGON ((0 0, 4 0, 0 4, 0 0))")])
+    b = boxed(spark, [("b", "POLYGON ((4 4, 4 1, 1 4, 4 4))"), ("c", "POLYGON ((0 0, 3 0, 0 4, 0 0))")])
+    assert {r.b_id: (r.overlap, r.ratio) for r in spatial.overlap_pairs(a, b).collect()} == {"c": (6.0, 1.0)}
+    assert {(r.b_id, r.status) for r in spatial.match_footprints(a, b).collect()} == {("b", "non-matching"), ("c", "matching")}
+    assert [r.id for r in spatial.outside(b, a).select("id").collect()] == ["b"]
+    assert [r.b_id for r in spatial.related_pairs(a, b, "contains").collect()] == ["c"]
+    far = {r.b_id: r.distance for r in spatial.near_pairs(a, b).collect()}
+    assert far["c"] == 0 and math.isclose(far["b"], 1 / math.sqrt(2))
+
+
+def test_touching_footprints_intersect(spark):
+    from cadastra.operators import spatial
+
+    a, b = boxed(spark, [("a", "POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))")]), boxed(spark, [("b", "POLYGON ((2 2, 4 2, 4 4, 2 4, 2 2))"), ("c", "POLYGON ((2.1 2.1, 4 2.1, 4 4, 2.1 2.1))")])
+    assert [r.b_id for r in spatial.related_pairs(a, b).collect()] == ["b"]
+    assert spatial.overlap_pairs(a, b).isEmpty()
+
+
+def test_overlap_of_odd_rings(spark):
+    rows = spark.createDataFrame([(None, "POLYGON ((0 0, 1 0, 1 1, 0 0))"), ("POLYGON ((0 0, 1 0, 1 1, 0 0))", "POLYGON ((0 0, 1 1, 1 0, 0 0))")], "a string, b string")
+    rows = rows.select(geom.from_wkt(F.col("a"))[0].alias("a"), geom.from_wkt(F.col("b"))[0].alias("b"))
+    assert sorted(r.overlap for r in geom.with_overlap(rows, "a", "b").collect()) == [0.0, 0.5]
+    assert geom.with_overlap(rows.where("false"), "a", "b").count() == 0

@@ -7,13 +7,14 @@ from cadastra.sources import tables
 
 def test_regions_and_files(spark, tmp_path):
     for name in ("AT1", "AT2", "DE1"):
-        spark.range(3).write.parquet(f"{tmp_path}/{name}")
+        spark.range(3).coalesce(1).write.parquet(f"{tmp_path}/{name}")
         part = next((tmp_path / name).glob("part-*.parquet"))
         part.rename(tmp_path / f"{name}.parquet")
+    spark.range(2).write.parquet(f"{tmp_path}/AT3.parquet")
     files = [r.path.rsplit("/", 1)[1] for r in tables.list_files(spark, str(tmp_path), r"^AT\d\.parquet$").collect()]
     assert sorted(files) == ["AT1.parquet", "AT2.parquet"]
     rows = tables.read_regions(spark, str(tmp_path), "AT")
-    assert {r.region_id for r in rows.select("region_id").distinct().collect()} == {"AT1", "AT2"}
+    assert {r.region_id for r in rows.select("region_id").distinct().collect()} == {"AT1", "AT2", "AT3"}
 
 
 def test_release_is_resumed(spark, tmp_path):
