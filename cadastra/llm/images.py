@@ -2,14 +2,15 @@
 
 Corners are found at several scales, turned to the direction of their patch's
 intensity centroid and described by 256 binary tests of smoothed brightness.
-Two descriptors match if two of their four 64-bit quarters agree, as those of
-all pairs at most 2 bits apart do: a table has one key per pair of quarters, and
-only numbers of images and corners go through it. Images are linked if enough of
+Two descriptors match if three of their five parts agree, as those of all pairs
+at most 2 bits apart do: a table has one key for every three parts, and only
+numbers of images and corners go through it. Images are linked if enough of
 their matched corners move by one similarity transform.
 
-Pairs are not emitted within a key: pivots of a key are compared with its other
-members of other groups, groups are joined, and a pivot leaves its keys. This
-goes on, with twice as many pivots each time, until every key holds one group.
+Pairs are not emitted within a key. First every image is compared with the one
+that is the least of most of its keys. Then pivots of a key are compared with its
+other members of other groups, groups are joined, and a pivot leaves its keys.
+This goes on, with twice as many pivots each time, until every key holds one group.
 """
 
 from __future__ import annotations
@@ -32,8 +33,11 @@ LEAST_SIDE = 38
 CORNERS = 16
 CORNER_PIXELS = 4
 RADIUS = 11
-#: Pivots of a key in the first round.
-PIVOTS = 4
+#: First bits of the parts of a descriptor, and its end; so many parts make a key.
+PARTS = (0, 52, 103, 154, 205, 256)
+KEY_PARTS = 3
+#: Pivots of a key in the second round.
+PIVOTS = 1
 #: Corners that must agree on a transform, its tolerance in pixels.
 AGREE = 3
 TOLERANCE = 2.0
@@ -45,7 +49,7 @@ _rng = np.random.default_rng(11)
 _TESTS = np.clip(_rng.normal(0, RADIUS / 2.2, (256, 4)), -RADIUS, RADIUS)
 _DISC = np.array([(y, x) for y in range(-RADIUS, RADIUS + 1) for x in range(-RADIUS, RADIUS + 1) if x * x + y * y <= RADIUS * RADIUS])
 
-DESCRIPTORS = "image long, corner int, scale float, x float, y float, angle float, q0 long, q1 long, q2 long, q3 long"
+DESCRIPTORS = "image long, corner int, scale float, x float, y float, angle float, p0 long, p1 long, p2 long, p3 long, p4 long"
 
 
 def _box(a: np.ndarray, r: int) -> np.ndarray:
@@ -80,7 +84,7 @@ def scales(shape: tuple[int, ...]) -> list[float]:
 
 
 def describe(images: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Corners of equally large grey images: image number, scale, x, y, angle and 32 bytes of tests."""
+    """Corners of equally large grey images: image number, scale, x, y, angle and tests."""
     found = []
     corners = max(CORNERS, int(np.sqrt(images.shape[1] * images.shape[2]) / CORNER_PIXELS))
     for scale in scales(images.shape[1:]):
@@ -111,7 +115,7 @@ def describe(images: np.ndarray) -> tuple[np.ndarray, ...]:
         for ty, tx in ((_TESTS[:, 0], _TESTS[:, 1]), (_TESTS[:, 2], _TESTS[:, 3])):
             ry, rx = np.rint(y[:, None] + s * tx + c * ty).astype(int), np.rint(x[:, None] + c * tx - s * ty).astype(int)
             value.append(smooth[at[:, None], np.clip(ry, 0, h - 1), np.clip(rx, 0, w - 1)])
-        bits = np.packbits(value[0] < value[1], axis=1)
+        bits = value[0] < value[1]
         found.append((at, np.full(len(at), scale), x / scale, y / scale, angle, bits))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
@@ -125,7 +129,7 @@ def _descriptor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 own = rows[at : at + BATCH]
                 pixels = np.stack([np.frombuffer(batch.column("pixels")[int(i)].as_py(), np.uint8).reshape(shape) for i in own])
                 image, scale, x, y, angle, bits = describe(pixels)
-                quarters = np.ascontiguousarray(bits).view(np.int64)
+                parts = [np.packbits(np.pad(bits[:, a:b], ((0, 0), (64 - (b - a), 0))), axis=1).view(">i8")[:, 0].astype(np.int64) for a, b in zip(PARTS[:-1], PARTS[1:], strict=True)]
                 by = np.argsort(image, kind="stable")
                 image = image[by]
                 corner = np.arange(len(image)) - np.searchsorted(image, image)
@@ -134,9 +138,9 @@ def _descriptor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                         batch.column("image").take(pa.array(own[image])),
                         pa.array(corner.astype(np.int32)),
                         *(pa.array(c[by].astype(np.float32)) for c in (scale, x, y, angle)),
-                        *(pa.array(quarters[by, i]) for i in range(4)),
+                        *(pa.array(p[by]) for p in parts),
                     ],
-                    names=["image", "corner", "scale", "x", "y", "angle", "q0", "q1", "q2", "q3"],
+                    names=["image", "corner", "scale", "x", "y", "angle", "p0", "p1", "p2", "p3", "p4"],
                 )
 
 
@@ -188,7 +192,7 @@ def image_groups(images: DataFrame) -> DataFrame:
     """
     text_batches(images)
     corners = written(images.select("image", "height", "width", "pixels").mapInArrow(_descriptor_rows, DESCRIPTORS), "corners")
-    keys = F.array(*[F.xxhash64(F.lit(n), f"q{i}", f"q{j}") for n, (i, j) in enumerate(combinations(range(4), 2))])
+    keys = F.array(*[F.xxhash64(F.lit(n), *(f"p{i}" for i in of)) for n, of in enumerate(combinations(range(len(PARTS) - 1), KEY_PARTS))])
     same = Window.partitionBy("key")
     entries = corners.select(F.explode(keys).alias("key"), "image", "corner")
     shared = entries.withColumns({"least": F.min("image").over(same), "most": F.max("image").over(same)}).where("least != most")
@@ -211,13 +215,19 @@ def image_groups(images: DataFrame) -> DataFrame:
         if heads.isEmpty():
             break
         pairs = grouped.withColumnRenamed("image", "a").join(heads, "key").where("a != b and component != cb")
+        star = labels is None
+        if star:
+            best = F.max_by("b", F.struct("n", -F.col("b")))
+            pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).groupBy("a").agg(best.alias("b"))
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        if checked is not None:
+        if not star:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         found = written(_verified(pairs, entries, corners), "links")
         links, checked = (found, pairs) if links is None else (links.union(found), checked.union(pairs))
         labels = written(components(links.select("a", "b")), "groups")
+        if star:
+            continue
         members = grouped.join(heads.select("key").distinct(), "key", "left_semi").join(heads.select("key", F.col("b").alias("image")), ["key", "image"], "left_anti").select("key", "image")
         pivots *= 2
     none = images.select(F.col("image").alias("node"), F.col("image").alias("component")).where("false")
