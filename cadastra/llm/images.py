@@ -161,28 +161,41 @@ def agreeing(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray, tur
     return most
 
 
+def _common(keys: list[np.ndarray], corners: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of corners of two images that share a key."""
+    by = np.argsort(keys[1], kind="stable")
+    there = keys[1][by]
+    low = np.searchsorted(there, keys[0], "left")
+    n = np.searchsorted(there, keys[0], "right") - low
+    other = by[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    pairs = np.unique(np.repeat(corners[0], n).astype(np.int64) << 32 | corners[1][other])
+    return pairs >> 32, pairs & 0xFFFFFFFF
+
+
 def _agreeing_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("x1", "y1", "x2", "y2", "turn", "zoom")
+    """How many corners of each pair of images agree on a transform."""
     for batch in batches:
-        most = [agreeing(*(m.values.field(c).to_numpy().astype(np.float64) for c in names)) for m in batch.column("matches")]
+        most = []
+        for row in range(batch.num_rows):
+            held = {f"{c}_{i}": batch.column(f"{c}_{i}")[row].values.to_numpy() for i in "ab" for c in ("keys", "at", "corner", "x", "y", "angle", "scale")}
+            found = _common([held["keys_a"], held["keys_b"]], [held["at_a"], held["at_b"]])
+            if len(np.unique(found[0])) < AGREE:
+                most.append(0)
+                continue
+            place = {}
+            for i, corner in zip("ab", found, strict=True):
+                by = np.argsort(held[f"corner_{i}"])
+                index = by[np.searchsorted(held[f"corner_{i}"][by], corner)]
+                place |= {f"{c}_{i}": held[f"{c}_{i}"][index].astype(np.float64) for c in ("x", "y", "angle", "scale")}
+            most.append(agreeing(place["x_a"], place["y_a"], place["x_b"], place["y_b"], place["angle_b"] - place["angle_a"], place["scale_a"] / place["scale_b"]))
         yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(most, pa.int32())], names=["a", "b", "agree"])
 
 
-def _verified(pairs: DataFrame, entries: DataFrame, corners: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
     """(a, b, agree) of the pairs with AGREE corners or more under one transform."""
-    first, second = (entries.select("key", F.col("image").alias(i), F.col("corner").alias(f"corner_{i}")) for i in "ab")
-    matches = pairs.join(first, "a").join(second, ["b", "key"]).select("a", "b", "corner_a", "corner_b").distinct()
-    enough = matches.groupBy("a", "b").agg(F.countDistinct("corner_a").alias("n")).where(F.col("n") >= AGREE).select("a", "b")
-    matches = matches.join(enough, ["a", "b"])
     for i in "ab":
-        place = corners.select(F.col("image").alias(i), F.col("corner").alias(f"corner_{i}"), F.struct("x", "y", "angle", "scale").alias(f"at_{i}"))
-        matches = matches.join(place, [i, f"corner_{i}"])
-    match = F.struct(
-        F.col("at_a.x").alias("x1"), F.col("at_a.y").alias("y1"), F.col("at_b.x").alias("x2"), F.col("at_b.y").alias("y2"),
-        (F.col("at_b.angle") - F.col("at_a.angle")).alias("turn"), (F.col("at_a.scale") / F.col("at_b.scale")).cast("float").alias("zoom"),
-    )
-    sets = matches.groupBy("a", "b").agg(F.collect_list(match).alias("matches"))
-    return sets.mapInArrow(_agreeing_rows, "a long, b long, agree int").where(F.col("agree") >= AGREE)
+        pairs = pairs.join(held.select(F.col("image").alias(i), *[F.col(c).alias(f"{c}_{i}") for c in held.columns if c != "image"]), i)
+    return pairs.mapInArrow(_agreeing_rows, "a long, b long, agree int").where(F.col("agree") >= AGREE)
 
 
 def image_groups(images: DataFrame) -> DataFrame:
@@ -197,7 +210,12 @@ def image_groups(images: DataFrame) -> DataFrame:
     entries = corners.select(F.explode(keys).alias("key"), "image", "corner")
     shared = entries.withColumns({"least": F.min("image").over(same), "most": F.max("image").over(same)}).where("least != most")
     entries = written(shared.select("key", "image", "corner"), "entries")
-    corners = written(corners.join(entries.select("image", "corner").distinct(), ["image", "corner"]).select("image", "corner", "x", "y", "angle", "scale"), "shared")
+    # a row per image, as lists of plain numbers; 32 bits of a key do to find what two images share
+    short = F.col("key").bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int")
+    keys = entries.groupBy("image").agg(F.collect_list(short).alias("keys"), F.collect_list("corner").alias("at"))
+    places = corners.join(entries.select("image", "corner").distinct(), ["image", "corner"])
+    places = places.groupBy("image").agg(*[F.collect_list(c).alias(c) for c in ("corner", "x", "y", "angle", "scale")])
+    held = written(keys.join(places, "image"), "held")
 
     members = entries.select("key", "image").distinct()
     links = labels = checked = None
@@ -223,7 +241,7 @@ def image_groups(images: DataFrame) -> DataFrame:
         if not star:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        found = written(_verified(pairs, entries, corners), "links")
+        found = written(_verified(pairs, held), "links")
         links, checked = (found, pairs) if links is None else (links.union(found), checked.union(pairs))
         labels = written(components(links.select("a", "b")), "groups")
         if star:
