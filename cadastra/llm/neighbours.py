@@ -24,14 +24,14 @@ from .storage import written
 DEGREE = 24
 #: Random cuts at the start and the nodes of a group.
 CUTS = 4
-GROUP = 2048
+GROUP = 512
 #: Share of new edges in a round of NN-descent at which the graph counts as stable.
-DELTA = 0.001
+DELTA = 0.01
 #: Half the fresh, and half the other, neighbours that a node joins in a round.
 JOINED = 10
 #: Best nodes of a query that stay in its pool, and those expanded in a hop.
 POOL = 320
-EXPANDED = 40
+EXPANDED = 96
 #: Entry nodes of queries that are not in the graph.
 ENTRIES = 64
 
