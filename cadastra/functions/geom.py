@@ -8,13 +8,9 @@ from __future__ import annotations
 
 import math
 import struct
-from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,11 +25,15 @@ def rectangle(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     return F.array(point(xmin, ymin), point(xmax, ymin), point(xmax, ymax), point(xmin, ymax), point(xmin, ymin))
 
 
+def _pairs(first: Column, second: Column) -> Column:
+    return F.zip_with(first, second, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+
 def edges(ring: Column) -> Column:
     """Consecutive vertices as (a, b), seen from the first vertex."""
     first, n = ring[0], F.size(ring)
     local = F.transform(ring, lambda p: F.struct((p["x"] - first["x"]).alias("x"), (p["y"] - first["y"]).alias("y")))
-    return F.arrays_zip(F.slice(local, F.lit(1), n - 1).alias("a"), F.slice(local, F.lit(2), n - 1).alias("b"))
+    return _pairs(F.slice(local, F.lit(1), n - 1), F.slice(local, F.lit(2), n - 1))
 
 
 def _sum(array: Column, term) -> Column:
@@ -80,10 +80,11 @@ def to_wkt(ring: Column) -> Column:
 def from_wkt(text: Column) -> Column:
     """Rings of a POLYGON text; a MULTIPOLYGON gives the rings of all its parts. Numbers beyond x and y are dropped."""
     inner = F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), F.lit(1))
-    return F.transform(inner, _wkt_ring)
+    return F.transform(inner, ring_from_text)
 
 
-def _wkt_ring(text: Column) -> Column:
+def ring_from_text(text: Column) -> Column:
+    """Points of a text of numbers; those beyond x and y are dropped."""
     def one(p: Column) -> Column:
         n = F.split(F.trim(p), r"\s+")
         return F.struct(F.get(n, F.lit(0)).try_cast("double").alias("x"), F.get(n, F.lit(1)).try_cast("double").alias("y"))
@@ -94,7 +95,7 @@ def _wkt_ring(text: Column) -> Column:
 def multi_parts(text: Column) -> Column:
     """Outer ring of each part of a WKT (multi)polygon."""
     parts = F.split(F.regexp_replace(text, r"^\s*(MULTI)?POLYGON\s*", ""), r"\)\s*\)\s*,\s*\(\s*\(")
-    return F.transform(parts, lambda p: _wkt_ring(F.regexp_extract(F.regexp_replace(p, r"^[(\s]+", ""), r"^([^()]+)", 1)))
+    return F.transform(parts, lambda p: ring_from_text(F.regexp_extract(F.regexp_replace(p, r"^[(\s]+", ""), r"^([^()]+)", 1)))
 
 
 def _cross(a: Column, b: Column, c: Column) -> Column:
@@ -117,36 +118,25 @@ def validity(ring: Column) -> Column:
     return F.when(ring.isNull(), "null").when(F.size(ring) == 0, "empty").when(F.coalesce(bad, F.lit(True)), "invalid").otherwise("valid")
 
 
-def contains_point(ring: Column, p: Column) -> Column:
-    """Ray crossing; points on the border may fall on either side."""
-    n = F.size(ring)
-    pairs = F.arrays_zip(F.slice(ring, F.lit(1), n - 1).alias("a"), F.slice(ring, F.lit(2), n - 1).alias("b"))
-
-    def hit(e: Column) -> Column:
-        a, b = e["a"], e["b"]
-        at = a["x"] + F.try_divide((p["y"] - a["y"]) * (b["x"] - a["x"]), b["y"] - a["y"])
-        return F.when(((a["y"] > p["y"]) != (b["y"] > p["y"])) & (p["x"] < at), 1).otherwise(0)
-
-    return F.aggregate(pairs, F.lit(0), lambda s, e: s + hit(e)) % 2 == 1
+def ring_edges(ring: Column) -> Column:
+    """Consecutive vertices as (a, b)."""
+    n = F.greatest(F.size(ring) - 1, F.lit(0))
+    return _pairs(F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n))
 
 
-def point_distance(ring: Column, p: Column) -> Column:
-    """0 inside, else the distance to the nearest edge."""
-    n = F.size(ring)
-    pairs = F.arrays_zip(F.slice(ring, F.lit(1), n - 1).alias("a"), F.slice(ring, F.lit(2), n - 1).alias("b"))
+def ray_hit(e: Column, p: Column) -> Column:
+    """1 where the ray to the right of a point crosses an edge, else 0."""
+    a, b = e["a"], e["b"]
+    at = a["x"] + F.try_divide((p["y"] - a["y"]) * (b["x"] - a["x"]), b["y"] - a["y"])
+    return F.when(((a["y"] > p["y"]) != (b["y"] > p["y"])) & (p["x"] < at), 1).otherwise(0)
 
-    def away(e: Column) -> Column:
-        a, b = e["a"], e["b"]
-        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
-        t = F.coalesce(F.try_divide((p["x"] - a["x"]) * dx + (p["y"] - a["y"]) * dy, dx * dx + dy * dy), F.lit(0.0))
-        t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), t))
-        return F.hypot(p["x"] - a["x"] - t * dx, p["y"] - a["y"] - t * dy)
 
-    return F.when(contains_point(ring, p), 0.0).otherwise(F.array_min(F.transform(pairs, away)))
-
-
-def within_distance(ring: Column, p: Column, radius: float) -> Column:
-    return point_distance(ring, p) <= radius
+def edge_distance(e: Column, p: Column) -> Column:
+    a, b = e["a"], e["b"]
+    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+    t = F.coalesce(F.try_divide((p["x"] - a["x"]) * dx + (p["y"] - a["y"]) * dy, dx * dx + dy * dy), F.lit(0.0))
+    t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), t))
+    return F.hypot(p["x"] - a["x"] - t * dx, p["y"] - a["y"] - t * dy)
 
 
 def box_overlap(a: dict[str, Column], b: dict[str, Column]) -> Column:
@@ -161,7 +151,7 @@ def ell(xmin: Column, ymin: Column, xmax: Column, ymax: Column, nx: Column, ny:
     return F.array(point(xmin, ymin), point(xmax, ymin), point(xmax, ny), point(nx, ny), point(nx, ymax), point(xmin, ymax), point(xmin, ymin))
 
 
-def _touch(s: Column, t: Column) -> Column:
+def touch(s: Column, t: Column) -> Column:
     """Whether two segments have a common point, ends included."""
 
     def between(a: Column, b: Column, p: Column) -> Column:
@@ -173,102 +163,6 @@ def _touch(s: Column, t: Column) -> Column:
     return on[0] | on[1] | on[2] | on[3] | cross
 
 
-def _absolute_edges(ring: Column) -> Column:
-    n = F.size(ring)
-    return F.arrays_zip(F.slice(ring, F.lit(1), n - 1).alias("a"), F.slice(ring, F.lit(2), n - 1).alias("b"))
-
-
-def intersects(a: Column, b: Column) -> Column:
-    """Whether two rings' polygons have a common point; borders count."""
-    other = _absolute_edges(b)
-    border = F.exists(_absolute_edges(a), lambda s: F.exists(other, lambda t: _touch(s, t)))
-    return border | contains_point(a, b[0]) | contains_point(b, a[0])
-
-
-def ring_distance(a: Column, b: Column) -> Column:
-    """0 where the polygons meet, else the least distance of a vertex of one to an edge of the other."""
-    ways = F.concat(F.transform(a, lambda p: point_distance(b, p)), F.transform(b, lambda p: point_distance(a, p)))
-    return F.when(intersects(a, b), 0.0).otherwise(F.array_min(ways))
-
-
-#: Triangle pairs that are clipped at once.
-CLIPPED = 50_000
-
-
-def _triangles(rings: pa.Array, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, sign and corners of each ring's fan of triangles, seen from the row's origin; all turn left."""
-    starts = np.asarray(rings.offsets)
-    flat = rings.values
-    xy = np.stack([flat.field("x").to_numpy(zero_copy_only=False), flat.field("y").to_numpy(zero_copy_only=False)], axis=1)
-    counts = np.maximum(np.diff(starts) - 3, 0)
-    row = np.repeat(np.arange(len(counts)), counts)
-    k = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    first = starts[:-1][row]
-    corners = np.stack([xy[first], xy[first + k + 1], xy[first + k + 2]], axis=1) - origin[row, None]
-    turn = (corners[:, 1, 0] - corners[:, 0, 0]) * (corners[:, 2, 1] - corners[:, 0, 1]) - (corners[:, 1, 1] - corners[:, 0, 1]) * (corners[:, 2, 0] - corners[:, 0, 0])
-    corners[turn < 0] = corners[turn < 0][:, ::-1]
-    kept = turn != 0
-    return row[kept], np.sign(turn[kept]), corners[kept]
-
-
-def _clipped_areas(subject: np.ndarray, clip: np.ndarray) -> np.ndarray:
-    """Common area of pairs of left-turning triangles: each half plane of the second cuts the first."""
-    poly, n = subject, np.full(len(subject), 3)
-    for e in range(3):
-        a, d = clip[:, e], clip[:, (e + 1) % 3] - clip[:, e]
-        width = poly.shape[1]
-        at = np.arange(width)
-        there = at < n[:, None]
-        side = d[:, None, 0] * (poly[:, :, 1] - a[:, None, 1]) - d[:, None, 1] * (poly[:, :, 0] - a[:, None, 0])
-        before = np.where(at == 0, n[:, None] - 1, at - 1).clip(0)
-        last, last_side = np.take_along_axis(poly, before[:, :, None], 1), np.take_along_axis(side, before, 1)
-        cut = there & ((side >= 0) != (last_side >= 0))
-        f = np.where(cut, last_side / np.where(cut, last_side - side, 1.0), 0.0)
-        points = np.stack([last + f[:, :, None] * (poly - last), poly], axis=2).reshape(len(poly), -1, 2)
-        valid = np.stack([cut, there & (side >= 0)], axis=2).reshape(len(poly), -1)
-        order = np.argsort(~valid, axis=1, kind="stable")[:, : width + 1]
-        poly, n = np.take_along_axis(points, order[:, :, None], 1), valid.sum(axis=1)
-    at = np.minimum(np.arange(poly.shape[1]), np.maximum(n - 1, 0)[:, None])
-    poly = np.take_along_axis(poly, at[:, :, None], 1)
-    after = np.roll(poly, -1, axis=1)
-    return np.where(n < 3, 0.0, np.abs((poly[:, :, 0] * after[:, :, 1] - after[:, :, 0] * poly[:, :, 1]).sum(axis=1)) / 2)
-
-
-def _overlaps(left: pa.Array, right: pa.Array) -> np.ndarray:
-    starts, flat = np.asarray(left.offsets)[:-1], left.values
-    origin = np.stack([flat.field(c).to_numpy(zero_copy_only=False)[starts] for c in ("x", "y")], axis=1) if len(left) else np.zeros((0, 2))
-    (row_a, sign_a, tri_a), (row_b, sign_b, tri_b) = _triangles(left, origin), _triangles(right, origin)
-    begin = np.searchsorted(row_b, row_a, "left")
-    per = np.searchsorted(row_b, row_a, "right") - begin
-    i = np.repeat(np.arange(len(row_a)), per)
-    j = np.arange(len(i)) - np.repeat(np.cumsum(per) - per, per) + np.repeat(begin, per)
-    total = np.zeros(len(left))
-    for at in range(0, len(i), CLIPPED):
-        own, other = i[at : at + CLIPPED], j[at : at + CLIPPED]
-        total += np.bincount(row_a[own], sign_a[own] * sign_b[other] * _clipped_areas(tri_a[own], tri_b[other]), len(left))
-    return np.abs(total)
-
-
-def with_overlap(pairs: DataFrame, a: str, b: str, name: str = "overlap") -> DataFrame:
-    """``pairs`` with the common area of the simple rings in columns ``a`` and ``b``, also non-convex ones.
-
-    Fans of triangles of both are clipped against each other, a batch of pairs at
-    once. A null or empty ring has no area in common with anything.
-    """
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema), f"`{name}` double"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own, other = (batch.column(c) for c in (a, b))
-            both = pc.and_(pc.greater(pc.fill_null(pc.list_value_length(own), 0), 0), pc.greater(pc.fill_null(pc.list_value_length(other), 0), 0))
-            rows = np.flatnonzero(both.to_numpy(zero_copy_only=False))
-            area = np.zeros(batch.num_rows)
-            area[rows] = _overlaps(own.take(pa.array(rows)), other.take(pa.array(rows)))
-            yield pa.record_batch([*batch.columns, pa.array(area)], names=[*batch.schema.names, name])
-
-    return pairs.mapInArrow(run, schema)
-
-
 @F.pandas_udf(T.BinaryType())
 def to_wkb(rings: pd.Series) -> pd.Series:
     """Rings as a little-endian WKB polygon."""

@@ -104,3 +104,10 @@ def geometry_audit(rows: DataFrame, dataset: str, id: str, ring: str, row: list[
     kinds = [F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("null", "empty", "invalid")]
     repeated = [(F.count(F.lit(1)) - F.countDistinct(*c)).alias(n) for n, c in (("n_repeated_rows", row), ("n_repeated_ids", [id]))]
     return judged.groupBy(dataset).agg(F.count(F.lit(1)).alias("n"), *kinds, *repeated)
+
+
+def empty_units(units: DataFrame, held: DataFrame, unit: str, by: list[str]) -> DataFrame:
+    """By group of ``by``: n_units, n_empty (no row of ``held``: unit, n), n_buildings, and zero, whether that sum is zero."""
+    rows = units.join(held.select(unit, "n"), unit, "left").groupBy(*by)
+    out = rows.agg(F.count(F.lit(1)).alias("n_units"), F.count_if(F.col("n").isNull()).alias("n_empty"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_buildings"))
+    return out.withColumn("zero", F.col("n_buildings") == 0)

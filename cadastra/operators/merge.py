@@ -38,16 +38,19 @@ def fill_missing(a: DataFrame, b: DataFrame, matches: DataFrame, modes: Sequence
     return out.withColumns(flags).withColumns(filled).drop(*[f"_{c}" for c in (*modes, *means)])
 
 
-def merge_sources(sources: Sequence[DataFrame], modes: Sequence[str] = (), means: Sequence[str] = ()) -> DataFrame:
+def merge_sources(sources: Sequence[DataFrame], modes: Sequence[str] = (), means: Sequence[str] = (), filling: int = 1) -> DataFrame:
     """Sources in order of rank as one table of footprints.
 
-    Each next source fills gaps of what there is where footprints match, and adds
-    those that match nothing; uncertain ones are left out.
+    Each next source adds the footprints that match nothing; uncertain ones are left
+    out. The first ``filling`` of them also fill gaps of what there is where footprints match.
     """
     out = sources[0]
-    for b in sources[1:]:
+    for i, b in enumerate(sources[1:]):
         found = match_footprints(out, b)
-        filled = fill_missing(out, b, found.where("status = 'matching'"), modes, means).drop(*[f"filled_{c}" for c in (*modes, *means)])
+        if i < filling:
+            filled = fill_missing(out, b, found.where("status = 'matching'"), modes, means).drop(*[f"filled_{c}" for c in (*modes, *means)])
+        else:
+            filled = out
         new = b.join(found.where("status = 'non-matching'").select(F.col("b_id").alias("id")), "id", "left_semi")
         out = filled.unionByName(new, allowMissingColumns=True)
     return out

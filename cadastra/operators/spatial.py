@@ -1,7 +1,8 @@
 """Spatial joins by grid cells: equi joins on cell keys, each pair kept in one cell.
 
-Inputs have ``id``, the footprint's outer ring in ``ring`` and its box in xmin,
-ymin, xmax, ymax (see :func:`boxed`). Boxes find pairs, rings decide. A box is put into
+Inputs have ``id``, the footprint in ``shape`` (see :mod:`cadastra.functions.shape`;
+holes and parts count) and its box in xmin, ymin, xmax, ymax (see :func:`boxed`).
+Boxes find pairs, shapes decide, and thresholds are decided exactly. A box is put into
 all cells that it touches; a pair is kept in the cell of its (max xmin, max
 ymin) corner, so nothing is counted twice. Cells should be about twice as wide
 as a usual box.
@@ -12,11 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import geom
+from ..functions import geom, shape
 
 CELL = 60.0
-#: A smaller common area is one of rounding.
-LEAST = 1e-9
+UNIT_CELL = 240.0
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
@@ -37,57 +37,63 @@ def box_pairs(a: DataFrame, b: DataFrame, size: float = CELL, margin: float = 0.
     return pairs.where(near & (F.col("cx") == geom.cell(x, size)) & (F.col("cy") == geom.cell(y, size))).drop("cx", "cy")
 
 
-def boxed(df: DataFrame, ring: str = "ring") -> DataFrame:
-    """The box columns of a ring."""
-    return df.withColumn("_b", geom.bbox(F.col(ring))).select(*df.columns, "_b.*")
+def boxed(df: DataFrame) -> DataFrame:
+    """The box columns of a shape."""
+    return df.withColumn("_b", shape.bbox(F.col("shape"))).select(*df.columns, "_b.*")
 
 
 def _area(side: str) -> Column:
-    return geom.area(F.col(f"{side}_ring"))
+    return shape.area(F.col(f"{side}_shape"))
+
+
+def _overlapped(pairs: DataFrame, *limits: str) -> DataFrame:
+    """``pairs`` with a common area: overlap, ratio to the smaller area, and the signs of :func:`shape.overlap` in larger and sides."""
+    found = pairs.withColumn("_o", shape.overlap(F.col("a_shape"), F.col("b_shape"), ("0", *limits))).where("_o.sides[0] > 0")
+    out = found.select(*pairs.columns, F.col("_o.area").alias("overlap"), F.col("_o.larger").alias("larger"), F.col("_o.sides").alias("sides"))
+    return out.withColumn("ratio", F.try_divide("overlap", F.least(_area("a"), _area("b"))))
 
 
 def overlap_pairs(a: DataFrame, b: DataFrame, size: float = CELL) -> DataFrame:
     """Pairs with a common area: overlap, and overlap by the smaller footprint's area as ratio."""
-    pairs = geom.with_overlap(box_pairs(a, b, size), "a_ring", "b_ring").where(F.col("overlap") > LEAST)
-    return pairs.withColumn("ratio", F.try_divide("overlap", F.least(_area("a"), _area("b"))))
+    return _overlapped(box_pairs(a, b, size)).drop("larger", "sides")
 
 
 def related_pairs(a: DataFrame, b: DataFrame, how: str = "intersects", size: float = CELL) -> DataFrame:
     """Pairs whose footprints meet (borders count), or of which a is within b, or contains it."""
     if how == "intersects":
-        return box_pairs(a, b, size).where(geom.intersects(F.col("a_ring"), F.col("b_ring")))
-    pairs = geom.with_overlap(box_pairs(a, b, size), "a_ring", "b_ring")
-    inner = _area({"within": "a", "contains": "b"}[how])
-    return pairs.where(F.col("overlap") >= inner * (1 - 1e-9)).drop("overlap")
+        return box_pairs(a, b, size).where(shape.intersects(F.col("a_shape"), F.col("b_shape")))
+    # the smaller one lies in the other if all of its area is common
+    fits = {"within": "larger <= 0", "contains": "larger >= 0"}[how]
+    return _overlapped(box_pairs(a, b, size), "1").where(f"sides[1] = 0 and {fits}").drop("overlap", "larger", "sides", "ratio")
 
 
-def match_footprints(a: DataFrame, b: DataFrame, hi: float = 0.8, lo: float = 0.2, size: float = CELL) -> DataFrame:
-    """Rows of b, or pairs, by status.
+def match_footprints(a: DataFrame, b: DataFrame, hi: str = "0.8", lo: str = "0.2", size: float = CELL) -> DataFrame:
+    """Rows of b, or pairs, by status; the limits are decimal numbers and strict.
 
     matching: a pair with a ratio above ``hi``; non-matching: a row of b whose
     largest ratio is below ``lo`` or that meets nothing; unsure: any other row of b.
     """
-    pairs = overlap_pairs(a, b, size).select("a_id", "b_id", "ratio")
-    best = pairs.groupBy("b_id").agg(F.max("ratio").alias("best"))
+    pairs = _overlapped(box_pairs(a, b, size), hi, lo).select("a_id", "b_id", "ratio", F.col("sides")[1].alias("above"), F.col("sides")[2].alias("low"))
+    best = pairs.groupBy("b_id").agg(F.max("ratio").alias("best"), F.max("above").alias("above"), F.max("low").alias("low"))
     rows = b.select(F.col("id").alias("b_id")).join(best, "b_id", "left")
-    status = F.when(F.coalesce("best", F.lit(0.0)) < lo, "non-matching").otherwise("unsure")
-    rest = rows.where(F.coalesce("best", F.lit(0.0)) <= hi).select(F.lit(None).cast("string").alias("a_id"), "b_id", F.col("best").alias("ratio"), status.alias("status"))
-    return pairs.where(F.col("ratio") > hi).withColumn("status", F.lit("matching")).unionByName(rest)
+    status = F.when(F.coalesce("low", F.lit(-1)) < 0, "non-matching").otherwise("unsure")
+    rest = rows.where(F.coalesce("above", F.lit(-1)) <= 0).select(F.lit(None).cast("string").alias("a_id"), "b_id", F.col("best").alias("ratio"), status.alias("status"))
+    return pairs.where("above > 0").select("a_id", "b_id", "ratio", F.lit("matching").alias("status")).unionByName(rest)
 
 
-def assign_units(rows: DataFrame, units: DataFrame, unit: str, size: float = 240.0) -> DataFrame:
+def assign_units(rows: DataFrame, units: DataFrame, unit: str, size: float = UNIT_CELL) -> DataFrame:
     """(id, unit, overlap): for each row the unit of largest overlap, ties to the smaller code; none outside all."""
     pairs = overlap_pairs(rows, units, size)
     ranked = pairs.withColumn("place", F.row_number().over(Window.partitionBy("a_id").orderBy(F.desc("overlap"), f"b_{unit}")))
     return ranked.where("place = 1").select(F.col("a_id").alias("id"), F.col(f"b_{unit}").alias(unit), "overlap")
 
 
-def assign_pairs(rows: DataFrame, units: DataFrame, unit: str, size: float = 240.0) -> DataFrame:
+def assign_pairs(rows: DataFrame, units: DataFrame, unit: str, size: float = UNIT_CELL) -> DataFrame:
     """Units that any row overlaps."""
     return overlap_pairs(rows, units, size).select(F.col(f"b_{unit}").alias(unit)).distinct()
 
 
-def outside(rows: DataFrame, units: DataFrame, size: float = 240.0) -> DataFrame:
+def outside(rows: DataFrame, units: DataFrame, size: float = UNIT_CELL) -> DataFrame:
     """Rows that overlap no unit."""
     return rows.join(overlap_pairs(rows, units, size).select(F.col("a_id").alias("id")), "id", "left_anti")
 
@@ -96,14 +102,14 @@ def points_within(points: DataFrame, rows: DataFrame, size: float = CELL) -> Dat
     """(a_, b_) pairs of points (id, x, y, ...) and the footprints that hold them; a box's upper border is excluded."""
     boxes = points.withColumns({"xmin": F.col("x"), "xmax": F.col("x"), "ymin": F.col("y"), "ymax": F.col("y")})
     inside = "a_x >= b_xmin and a_x < b_xmax and a_y >= b_ymin and a_y < b_ymax"
-    return box_pairs(boxes, rows, size).where(inside).where(geom.contains_point(F.col("b_ring"), geom.point(F.col("a_x"), F.col("a_y"))))
+    return box_pairs(boxes, rows, size).where(inside).where(shape.contains_point(F.col("b_shape"), geom.point(F.col("a_x"), F.col("a_y"))))
 
 
 def point_to_poly(points: DataFrame, rows: DataFrame, radius: float = 20.0, size: float = CELL) -> DataFrame:
     """(point_id, id, distance): each point its nearest footprint within ``radius``, then each footprint its nearest point."""
     boxes = points.withColumns({"xmin": F.col("x"), "xmax": F.col("x"), "ymin": F.col("y"), "ymax": F.col("y")})
     pairs = box_pairs(boxes, rows, size, radius)
-    away = geom.point_distance(F.col("b_ring"), geom.point(F.col("a_x"), F.col("a_y")))
+    away = shape.point_distance(F.col("b_shape"), geom.point(F.col("a_x"), F.col("a_y")))
     near = pairs.withColumn("distance", away).where(F.col("distance") <= radius)
     for key, other in (("a_id", "b_id"), ("b_id", "a_id")):
         place = F.row_number().over(Window.partitionBy(key).orderBy("distance", other))
@@ -112,18 +118,19 @@ def point_to_poly(points: DataFrame, rows: DataFrame, radius: float = 20.0, size
 
 
 def near_pairs(a: DataFrame, b: DataFrame, k: int = 3, distance: float = 10.0, size: float = CELL) -> DataFrame:
-    """Pairs among the k nearest footprints of either side, at most ``distance`` apart."""
+    """Pairs among the k nearest footprints of either side, by the distance of their boxes, at most ``distance`` apart."""
     pairs = box_pairs(a, b, size, distance)
-    pairs = pairs.withColumn("distance", geom.ring_distance(F.col("a_ring"), F.col("b_ring"))).where(F.col("distance") <= distance)
+    gaps = [F.greatest(F.col(f"a_{c}min") - F.col(f"b_{c}max"), F.col(f"b_{c}min") - F.col(f"a_{c}max"), F.lit(0.0)) for c in "xy"]
+    pairs = pairs.withColumn("distance", F.hypot(*gaps)).where(F.col("distance") <= distance)
     one = F.row_number().over(Window.partitionBy("a_id").orderBy("distance", "b_id"))
     two = F.row_number().over(Window.partitionBy("b_id").orderBy("distance", "a_id"))
     return pairs.withColumns({"from_a": one, "from_b": two}).where((F.col("from_a") <= k) | (F.col("from_b") <= k)).drop("from_a", "from_b")
 
 
-def drop_overlapping(rows: DataFrame, limit: float = 0.25, size: float = CELL) -> DataFrame:
+def drop_overlapping(rows: DataFrame, limit: str = "0.25", size: float = CELL) -> DataFrame:
     """Rows without the smaller of each pair that overlaps by more than ``limit`` of the smaller area."""
-    pairs = overlap_pairs(rows, rows, size).where((F.col("a_id") != F.col("b_id")) & (F.col("ratio") > limit))
-    loses = (_area("a") < _area("b")) | ((_area("a") == _area("b")) & (F.col("a_id") > F.col("b_id")))
+    pairs = _overlapped(box_pairs(rows, rows, size).where("a_id <> b_id"), limit).where("sides[1] > 0")
+    loses = (F.col("larger") < 0) | ((F.col("larger") == 0) & (F.col("a_id") > F.col("b_id")))
     return rows.join(pairs.where(loses).select(F.col("a_id").alias("id")), "id", "left_anti")
 
 
@@ -131,7 +138,7 @@ def grid_sum(points: DataFrame, value: str, size: float) -> DataFrame:
     return points.groupBy(geom.cell(F.col("x"), size).alias("cx"), geom.cell(F.col("y"), size).alias("cy")).agg(F.sum(value).alias(value))
 
 
-def nearest_units(points: DataFrame, units: DataFrame, unit: str, size: float = 240.0) -> DataFrame:
+def nearest_units(points: DataFrame, units: DataFrame, unit: str, size: float = UNIT_CELL) -> DataFrame:
     """(id, unit): the unit of the nearest centre (cx, cy) for each point (id, x, y), ties to the smaller code.
 
     The search goes to rings of cells four times as wide each time, for points
@@ -161,7 +168,7 @@ def nearest_units(points: DataFrame, units: DataFrame, unit: str, size: float =
 
 
 def dissolve(parts: DataFrame, key: str) -> DataFrame:
-    """(key, n_parts, area, rings, overlapping): parts of a key as one multipolygon, flagged if two have a common area."""
-    rings = parts.groupBy(key).agg(F.collect_list("ring").alias("rings"), F.count(F.lit(1)).alias("n_parts"), F.sum(geom.area(F.col("ring"))).alias("area"))
+    """(key, n_parts, area, shape, overlapping): parts of a key as one shape, flagged if two have a common area."""
+    shapes = parts.groupBy(key).agg(F.flatten(F.collect_list("shape")).alias("shape"), F.count(F.lit(1)).alias("n_parts"), F.sum(shape.area(F.col("shape"))).alias("area"))
     pairs = overlap_pairs(parts, parts).where((F.col(f"a_{key}") == F.col(f"b_{key}")) & (F.col("a_id") < F.col("b_id")))
-    return rings.join(pairs.select(F.col(f"a_{key}").alias(key), F.lit(True).alias("overlapping")).distinct(), key, "left").withColumn("overlapping", F.coalesce("overlapping", F.lit(False)))
+    return shapes.join(pairs.select(F.col(f"a_{key}").alias(key), F.lit(True).alias("overlapping")).distinct(), key, "left").withColumn("overlapping", F.coalesce("overlapping", F.lit(False)))

@@ -33,7 +33,12 @@ UNION ALL
 SELECT 'p' || CAST(k AS STRING), k, CAST(gx*30 AS DOUBLE), CAST(gy*30 + c%4 AS DOUBLE),
        CAST(gx*30 + 5 + c%4 AS DOUBLE), CAST(gy*30 + c%4 + 9 AS DOUBLE),
        CAST(5 + k%20 AS DOUBLE), CAST(2 + k%5 AS DOUBLE), CAST(yr AS DOUBLE),
-       seg || '_' || substr(prio,1,1), 'osm' FROM fx_base WHERE k % 4 = 0""",
+       seg || '_' || substr(prio,1,1), 'osm' FROM fx_base WHERE k % 4 = 0
+UNION ALL
+SELECT 'q' || CAST(k AS STRING), k, gx*30 + c%5 + CAST(1.375 AS DOUBLE), gy*30 + c%7 + CAST(1.5 AS DOUBLE),
+       gx*30 + c%5 + CAST(1.875 AS DOUBLE), gy*30 + c%7 + CAST(2 AS DOUBLE),
+       CAST(2 AS DOUBLE), CAST(1 AS DOUBLE), CAST(yr AS DOUBLE),
+       seg || '_' || substr(prio,1,1), 'osm' FROM fx_base WHERE k % 10 = 1""",
     "fx_msft": """SELECT 'm' || CAST(k AS STRING) AS id, k,
        CAST(gx*30 + c%10 AS DOUBLE) AS xmin, CAST(gy*30 + c%9 AS DOUBLE) AS ymin,
        CAST(gx*30 + c%10 + 9 AS DOUBLE) AS xmax, CAST(gy*30 + c%9 + 9 AS DOUBLE) AS ymax,
@@ -90,10 +95,25 @@ SELECT 'p' || CAST(k AS STRING), k, CAST(gx*30 AS DOUBLE), CAST(gy*30 + c%4 AS D
 }
 
 
-# footprints: every third one lacks its corner beyond (nx, ny); the quarter keeps borders apart from centres
-for _name, _ell in (("fx_gov", "k % 3 = 0"), ("fx_osm", "k % 3 = 1"), ("fx_msft", "false"), ("fx_lau", "false")):
+# footprints: some lack their corner beyond (nx, ny), some have a courtyard (cx0, cy0, cx1, cy1), in which a shed of another
+# source may stand, some a second part, a square of side ``wing`` from (ax, ymin) on; wx is where all of it ends. Quarters keep borders apart from centres
+_PARTS = {"fx_gov": ("k % 3 = 0", "k % 5 = 1", "k % 7 = 2"), "fx_osm": ("k % 3 = 1", "k % 11 = 3 AND xmax - xmin >= 5", "k % 13 = 5")}
+for _name in ("fx_gov", "fx_osm", "fx_msft", "fx_lau"):
+    _ell, _court, _wing = _PARTS.get(_name, ("false", "false", "false"))
     VIEWS[_name] = f"""SELECT *, CASE WHEN {_ell} THEN xmin + floor((xmax - xmin) / 2) + 0.25 ELSE xmax END AS nx,
-       CASE WHEN {_ell} THEN ymin + floor((ymax - ymin) / 2) + 0.25 ELSE ymax END AS ny FROM ({VIEWS[_name]})"""
+       CASE WHEN {_ell} THEN ymin + floor((ymax - ymin) / 2) + 0.25 ELSE ymax END AS ny,
+       CASE WHEN {_court} THEN xmin + 1.25 ELSE xmin END AS cx0, CASE WHEN {_court} THEN ymin + 1.25 ELSE ymin END AS cy0,
+       CASE WHEN {_court} THEN xmin + 2 ELSE xmin END AS cx1, CASE WHEN {_court} THEN ymin + 2.25 ELSE ymin END AS cy1,
+       CASE WHEN {_wing} THEN xmax + 1 ELSE xmin END AS ax, CAST(CASE WHEN {_wing} THEN 2 ELSE 0 END AS DOUBLE) AS wing,
+       CASE WHEN {_wing} THEN xmax + 3 ELSE xmax END AS wx FROM ({VIEWS[_name]})"""
+
+# the units, and those of one country once more where no building stands
+VIEWS["fx_units"] = """SELECT * FROM fx_lau UNION ALL
+SELECT LAU_ID || 'S', NUTS_ID_3 || 'S', xmin, ymin + 10000000, xmax, ymax + 10000000, nx, ny + 10000000, cx0, cy0 + 10000000, cx1, cy1 + 10000000, ax, wing, wx
+  FROM fx_lau WHERE substr(LAU_ID, 1, 2) = 'IT'"""
+
+#: Columns of a footprint's outline.
+OUTLINE = "xmin, ymin, xmax, ymax, nx, ny, cx0, cy0, cx1, cy1, ax, wing, wx"
 
 
 def ctes(*names: str) -> str:
@@ -118,7 +138,11 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shapes(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of footprints with their outer rings."""
+    """A table of footprints as shapes with their boxes."""
     box = [F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]
-    ring = F.when(F.col("nx") < F.col("xmax"), geom.ell(*box, F.col("nx"), F.col("ny"))).otherwise(geom.rectangle(*box))
-    return fixture(spark, sf_dir, name).withColumn("ring", ring).drop("nx", "ny")
+    main = F.when(F.col("nx") < F.col("xmax"), geom.ell(*box, F.col("nx"), F.col("ny"))).otherwise(geom.rectangle(*box))
+    court = F.reverse(geom.rectangle(*[F.col(c) for c in ("cx0", "cy0", "cx1", "cy1")]))
+    wing = geom.rectangle(F.col("ax"), F.col("ymin"), F.col("ax") + F.col("wing"), F.col("ymin") + F.col("wing"))
+    none = F.slice(F.array(court), 1, 0)
+    shape = F.concat(F.array(main), F.when(F.col("cx0") < F.col("cx1"), F.array(court)).otherwise(none), F.when(F.col("wing") > 0, F.array(wing)).otherwise(none))
+    return fixture(spark, sf_dir, name).withColumn("shape", shape).withColumn("xmax", F.col("wx")).drop("nx", "ny", "cx0", "cy0", "cx1", "cy1", "ax", "wing", "wx")

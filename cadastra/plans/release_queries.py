@@ -242,15 +242,16 @@ def setup_report(spark, d):
     return stats.setup_report(before, dedup.keep_largest(before, ["id"], "height", ["source_file"]), "source_file", "id")
 
 
-EMPTY = "SELECT l.LAU_ID FROM fx_lau l JOIN fx_gov g ON g.height > 37 AND g.xmin < l.xmax AND l.xmin < g.xmax AND g.ymin < l.ymax AND l.ymin < g.ymax AND NOT (l.xmin >= g.nx AND l.ymin >= g.ny)"
-
-
-@query("a18_empty_units", ctes("fx_lau", "fx_gov") + f"SELECT substr(LAU_ID,1,2) AS country, count(*) AS n_units, count(*) FILTER (WHERE LAU_ID NOT IN ({EMPTY})) AS n_empty FROM fx_lau GROUP BY 1")
+@query(
+    "a18_empty_units",
+    ctes("fx_lau", "fx_units", "fx_gov").rstrip() + ",\n" + UNIT.replace("fx_lau", "fx_units") + """, n AS (SELECT LAU_ID, count(*) AS n FROM u GROUP BY 1)
+ SELECT substr(LAU_ID,1,2) AS country, NUTS_ID_3 AS region, count(*) AS n_units, count(*) FILTER (WHERE n IS NULL) AS n_empty, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_buildings, coalesce(sum(n), 0) = 0 AS zero FROM fx_units LEFT JOIN n USING (LAU_ID) GROUP BY 1, 2""",
+)
 def empty_units(spark, d):
-    """Units, and those without a building above 37 m, by country."""
-    used = spatial.assign_pairs(shapes(spark, d, "fx_gov").where("height > 37"), shapes(spark, d, "fx_lau"), "LAU_ID").withColumn("used", F.lit(1))
-    rows = fixture(spark, d, "fx_lau").join(used, "LAU_ID", "left")
-    return rows.groupBy(F.substring("LAU_ID", 1, 2).alias("country")).agg(F.count("*").alias("n_units"), F.count_if(F.col("used").isNull()).alias("n_empty"))
+    """Units, and those without a building, by country and region; regions whose sum is zero."""
+    units = shapes(spark, d, "fx_units").withColumn("country", F.substring("LAU_ID", 1, 2))
+    held = spatial.overlap_pairs(shapes(spark, d, "fx_gov"), units, spatial.UNIT_CELL).groupBy(F.col("b_LAU_ID").alias("LAU_ID")).agg(F.count("*").alias("n"))
+    return checks.empty_units(units, held, "LAU_ID", ["country", "NUTS_ID_3"]).withColumnRenamed("NUTS_ID_3", "region")
 
 
 @query("a09_a19_counts", ctes("fx_release", "fx_gov") + "SELECT city_id, count(*) AS n_all, count(*) FILTER (WHERE height IS NOT NULL) AS n_height, count(*) FILTER (WHERE k % 3 = 0) AS n_third FROM fx_release GROUP BY 1")

@@ -4,59 +4,75 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geom
+from ..functions import geom, shape
 from ..operators import checks, dedup, merge, spatial
 from .catalog import query
-from .fixtures import ctes, fixture, shapes
+from .fixtures import OUTLINE, ctes, fixture, shapes
+
+
+def six(value: str | Column) -> Column:
+    """Six decimals; as much as a billionth is added, so that exact halves round alike in both engines."""
+    return F.round((F.col(value) if isinstance(value, str) else value) + 1e-9, 6)
 
 
 def _ring():
     return geom.rectangle(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")])
 
 
-def _common(a: str, b: str, corner_a: bool, corner_b: bool) -> str:
-    """Common area of the boxes, or of the corners that footprints lack, in SQL."""
-    x, y = (tuple((f"n{c}" if k else f"{c}min") for k in (corner_a, corner_b)) for c in "xy")
-    w = f"greatest(least({a}.xmax,{b}.xmax)-greatest({a}.{x[0]},{b}.{x[1]}),0)"
-    return f"{w}*greatest(least({a}.ymax,{b}.ymax)-greatest({a}.{y[0]},{b}.{y[1]}),0)"
+def _boxes(t: str) -> list[tuple[str, tuple[str, str, str, str]]]:
+    """Signed boxes that add up to a footprint: the main body, less its corner and courtyard, and a second part."""
+    return [
+        ("+", (f"{t}.xmin", f"{t}.ymin", f"{t}.xmax", f"{t}.ymax")),
+        ("-", (f"{t}.nx", f"{t}.ny", f"{t}.xmax", f"{t}.ymax")),
+        ("-", (f"{t}.cx0", f"{t}.cy0", f"{t}.cx1", f"{t}.cy1")),
+        ("+", (f"{t}.ax", f"{t}.ymin", f"{t}.ax+{t}.wing", f"{t}.ymin+{t}.wing")),
+    ]
+
+
+def _common(p: tuple, q: tuple) -> str:
+    return f"greatest(least({p[2]},{q[2]})-greatest({p[0]},{q[0]}),0)*greatest(least({p[3]},{q[3]})-greatest({p[1]},{q[1]}),0)"
 
 
-#: Closed forms for rectangles that may lack a corner.
-OVER = f"({_common('a', 'b', False, False)}-{_common('a', 'b', False, True)}-{_common('a', 'b', True, False)}+{_common('a', 'b', True, True)})"
-AREA = "(({0}.xmax-{0}.xmin)*({0}.ymax-{0}.ymin)-({0}.xmax-{0}.nx)*({0}.ymax-{0}.ny))"
+#: Closed forms: sums over signed boxes.
+OVER = "(0" + "".join(f"{'+' if s == r else '-'}{_common(p, q)}" for s, p in _boxes("a") for r, q in _boxes("b")) + ")"
+AREA = "(0" + "".join(f"{s}({p[2]}-({p[0]}))*({p[3]}-({p[1]}))" for s, p in _boxes("{0}")) + ")"
 RATIO = f"{OVER}/least({AREA.format('a')},{AREA.format('b')})"
 
 
 def _parts(t: str) -> list[tuple[str, str, str, str]]:
-    """Two boxes that make up a footprint."""
-    return [(f"{t}.xmin", f"{t}.ymin", f"{t}.xmax", f"{t}.ny"), (f"{t}.xmin", f"{t}.ymin", f"{t}.nx", f"{t}.ymax")]
+    """Boxes that make up a footprint, the lower half of the main body around the courtyard."""
+    x, y, n, c = f"{t}.xmin", f"{t}.ymin", f"{t}.ny", f"{t}.c"
+    return [
+        (x, y, f"{c}x0", n), (f"{c}x1", y, f"{t}.xmax", n), (f"{c}x0", y, f"{c}x1", f"{c}y0"), (f"{c}x0", f"{c}y1", f"{c}x1", n),
+        (x, n, f"{t}.nx", f"{t}.ymax"), (f"{t}.ax", y, f"{t}.ax+{t}.wing", f"{y}+{t}.wing"),
+    ]
 
 
 def _least_distance(left: list, right: list) -> str:
-    ways = [f"sqrt(power(greatest({q[0]}-{p[2]}, {p[0]}-{q[2]}, 0),2)+power(greatest({q[1]}-{p[3]}, {p[1]}-{q[3]}, 0),2))" for p in left for q in right]
-    return f"least({', '.join(ways)})"
+    ways = [f"sqrt(power(greatest({q[0]}-({p[2]}), {p[0]}-({q[2]}), 0),2)+power(greatest({q[1]}-({p[3]}), {p[1]}-({q[3]}), 0),2))" for p in left for q in right]
+    return f"least({', '.join(ways)})" if len(ways) > 1 else ways[0]
 
 
 def _pairs(a: str, b: str) -> str:
     """All overlapping pairs of two fixtures of sites in SQL; boxes of a site stay within its own and the next cells."""
     return f"""pairs AS (SELECT * FROM (SELECT a.id AS a_id, b.id AS b_id, {OVER} AS overlap, {RATIO} AS ratio FROM {a} a JOIN {b} b
-  ON abs(a.k % 128 - b.k % 128) <= 1 AND abs(a.k // 128 - b.k // 128) <= 1 AND a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <= a.ymax) WHERE overlap > 0)"""
+  ON abs(a.k % 128 - b.k % 128) <= 1 AND abs(a.k // 128 - b.k // 128) <= 1 AND a.xmin <= b.wx AND b.xmin <= a.wx AND a.ymin <= b.ymax AND b.ymin <= a.ymax) WHERE overlap > 0)"""
 
 
 def _centre(axis: str) -> str:
-    box = f"(g.{axis}min+g.{axis}max)/2*(g.xmax-g.xmin)*(g.ymax-g.ymin)"
-    corner = f"(g.n{axis}+g.{axis}max)/2*(g.xmax-g.nx)*(g.ymax-g.ny)"
-    return f"round(({box}-{corner})/{AREA.format('g')}, 6)"
+    k = "xy".index(axis)
+    moment = "".join(f"{s}({p[k]}+({p[k + 2]}))/2*({p[2]}-({p[0]}))*({p[3]}-({p[1]}))" for s, p in _boxes("g"))
+    return f"round((0{moment})/{AREA.format('g')}, 6)"
 
 
-@query("g01_g02_g06_area_centroid_bbox", ctes("fx_gov") + f"SELECT id, {AREA.format('g')} AS area, {_centre('x')} AS cx, {_centre('y')} AS cy, xmin, ymin, xmax, ymax FROM fx_gov g")
+@query("g01_g02_g06_area_centroid_bbox", ctes("fx_gov") + f"SELECT id, {AREA.format('g')} AS area, {_centre('x')} AS cx, {_centre('y')} AS cy, xmin, ymin, wx AS xmax, ymax FROM fx_gov g")
 def area_centroid_bbox(spark: SparkSession, d: str) -> DataFrame:
-    rows = shapes(spark, d, "fx_gov").select("id", "ring")
-    c = geom.centroid(F.col("ring"))
-    return rows.select("id", geom.polygon_area(F.array("ring")).alias("area"), F.round(c["x"], 6).alias("cx"), F.round(c["y"], 6).alias("cy"), geom.bbox(F.col("ring")).alias("b")).select("id", "area", "cx", "cy", "b.*")
+    rows = shapes(spark, d, "fx_gov").select("id", "shape")
+    c = shape.centroid(F.col("shape"))
+    return rows.select("id", shape.area(F.col("shape")).alias("area"), F.round(c["x"], 6).alias("cx"), F.round(c["y"], 6).alias("cy"), shape.bbox(F.col("shape")).alias("b")).select("id", "area", "cx", "cy", "b.*")
 
 
 @query("g03_projection", ctes("fx_gov") + "SELECT id, 4200000 + xmin AS x, 3100000 + ymin AS y, true AS inside FROM fx_gov")
@@ -115,13 +131,13 @@ def multi_parts(spark, d):
     return parts.select(F.when(F.col("p") == 0, F.col("id")).otherwise(F.concat_ws("_part_", "id", "p")).alias("id"), geom.area(F.col("ring")).alias("area"))
 
 
-@query("g11_g12_g13_j01_overlap_pairs", ctes("fx_gov", "fx_osm").rstrip() + ",\n" + _pairs("fx_gov", "fx_osm") + f" SELECT a_id, b_id, overlap, round(ratio, 6) AS ratio, round(overlap/{AREA.format('g')}, 6) AS share FROM pairs JOIN fx_gov g ON g.id = a_id")
+@query("g11_g12_g13_j01_overlap_pairs", ctes("fx_gov", "fx_osm").rstrip() + ",\n" + _pairs("fx_gov", "fx_osm") + f" SELECT a_id, b_id, overlap, round(ratio + 1e-9, 6) AS ratio, round(overlap/{AREA.format('g')} + 1e-9, 6) AS share FROM pairs JOIN fx_gov g ON g.id = a_id")
 def overlap_pairs(spark, d):
     out = spatial.overlap_pairs(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_osm"))
-    return out.select("a_id", "b_id", F.round("overlap", 6).alias("overlap"), F.round("ratio", 6).alias("ratio"), F.round(F.col("overlap") / geom.area(F.col("a_ring")), 6).alias("share"))
+    return out.select("a_id", "b_id", "overlap", six("ratio").alias("ratio"), six(F.col("overlap") / shape.area(F.col("a_shape"))).alias("share"))
 
 
-MEET = " OR ".join(f"({p[0]} <= {q[2]} AND {q[0]} <= {p[2]} AND {p[1]} <= {q[3]} AND {q[1]} <= {p[3]})" for p in _parts("a") for q in _parts("b"))
+MEET = " OR ".join(f"({p[0]} <= ({q[2]}) AND {q[0]} <= ({p[2]}) AND {p[1]} <= ({q[3]}) AND {q[1]} <= ({p[3]}))" for p in _parts("a") for q in _parts("b"))
 NEXT = "abs(a.k % 128 - b.k % 128) <= 1 AND abs(a.k // 128 - b.k // 128) <= 1"
 
 
@@ -143,7 +159,7 @@ def _points(spark, d):
 
 @query(
     "g14_j06_j08_contains",
-    ctes("fx_gov", "fx_msft").rstrip() + f",\n p AS ({POINTS}) SELECT g.id, max(p.height) AS max_height, count(*) AS n FROM fx_gov g JOIN p ON abs(g.k%128-p.k%128)<=1 AND abs(g.k//128-p.k//128)<=1 AND p.x >= g.xmin AND p.x < g.xmax AND p.y >= g.ymin AND p.y < g.ymax AND NOT (p.x > g.nx AND p.y > g.ny) GROUP BY 1",
+    ctes("fx_gov", "fx_msft").rstrip() + f",\n p AS ({POINTS}) SELECT g.id, max(p.height) AS max_height, count(*) AS n FROM fx_gov g JOIN p ON abs(g.k%128-p.k%128)<=1 AND abs(g.k//128-p.k//128)<=1 AND (p.x > g.xmin AND p.x < g.xmax AND p.y > g.ymin AND p.y < g.ymax AND NOT (p.x > g.nx AND p.y > g.ny) AND NOT (p.x > g.cx0 AND p.x < g.cx1 AND p.y > g.cy0 AND p.y < g.cy1) OR p.x > g.ax AND p.x < g.ax + g.wing AND p.y > g.ymin AND p.y < g.ymin + g.wing) GROUP BY 1",
 )
 def contains(spark, d):
     held = spatial.points_within(_points(spark, d), shapes(spark, d, "fx_gov"))
@@ -158,9 +174,9 @@ DIST = _least_distance([("p.x", "p.y", "p.x", "p.y")], _parts("g"))
     ctes("fx_gov", "fx_msft").rstrip() + f",\n p AS ({POINTS}) SELECT p.id AS point_id, g.id, round({DIST}, 6) AS distance, {DIST} <= 20 AS near FROM fx_gov g JOIN p ON g.k = p.k",
 )
 def distance(spark, d):
-    rows = _points(spark, d).withColumnRenamed("id", "point_id").drop("height").join(shapes(spark, d, "fx_gov").select("id", "k", "ring"), "k")
-    away = geom.point_distance(F.col("ring"), geom.point(F.col("x"), F.col("y")))
-    return rows.select("point_id", "id", F.round(away, 6).alias("distance"), geom.within_distance(F.col("ring"), geom.point(F.col("x"), F.col("y")), 20.0).alias("near"))
+    rows = _points(spark, d).withColumnRenamed("id", "point_id").drop("height").join(shapes(spark, d, "fx_gov").select("id", "k", "shape"), "k")
+    away = shape.point_distance(F.col("shape"), geom.point(F.col("x"), F.col("y")))
+    return rows.select("point_id", "id", F.round(away, 6).alias("distance"), (away <= 20).alias("near"))
 
 
 @query("g17_dissolve_parts", ctes("fx_osm").rstrip() + f", o AS (SELECT a.k, sum({OVER}) AS shared FROM fx_osm a JOIN fx_osm b ON a.k = b.k AND a.id < b.id GROUP BY 1) SELECT g.k, count(*) AS n_parts, sum({AREA.format('g')}) AS area, coalesce(max(shared), 0) > 0 AS overlapping FROM fx_osm g LEFT JOIN o ON o.k = g.k GROUP BY 1")
@@ -178,10 +194,10 @@ m AS (SELECT a_id, b_id, ratio, 'matching' AS status FROM pairs WHERE ratio > 0.
 UNION ALL SELECT NULL, b_id, best, CASE WHEN coalesce(best, 0) < 0.2 THEN 'non-matching' ELSE 'unsure' END FROM best WHERE coalesce(best, 0) <= 0.8)"""
 
 
-@query("j02_w10_match_footprints", ctes("fx_gov", "fx_osm").rstrip() + ",\n" + _pairs("fx_gov", "fx_osm") + ",\n" + MATCH.format(b="fx_osm") + " SELECT a_id, b_id, round(ratio, 6) AS ratio, status FROM m")
+@query("j02_w10_match_footprints", ctes("fx_gov", "fx_osm").rstrip() + ",\n" + _pairs("fx_gov", "fx_osm") + ",\n" + MATCH.format(b="fx_osm") + " SELECT a_id, b_id, round(ratio + 1e-9, 6) AS ratio, status FROM m")
 def match_footprints(spark, d):
     out = spatial.match_footprints(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_osm"))
-    return out.select("a_id", "b_id", F.round("ratio", 6).alias("ratio"), "status")
+    return out.select("a_id", "b_id", six("ratio").alias("ratio"), "status")
 
 
 @query(
@@ -202,28 +218,32 @@ def fill_and_append(spark, d):
 
 
 FILL = """, v{n} AS (SELECT a_id, avg(height) AS h FROM m{n} JOIN {b} o ON o.id = b_id WHERE status = 'matching' GROUP BY 1),
- first{n} AS (SELECT g.id, k, xmin, ymin, xmax, ymax, nx, ny, coalesce(height, h) AS height, dataset FROM {a} g LEFT JOIN v{n} ON v{n}.a_id = g.id UNION ALL SELECT id, k, xmin, ymin, xmax, ymax, nx, ny, height, '{name}' FROM {b} WHERE id IN (SELECT b_id FROM m{n} WHERE status = 'non-matching'))"""
+ first{n} AS (SELECT g.id, k, {outline}, {height} AS height, dataset FROM {a} g LEFT JOIN v{n} ON v{n}.a_id = g.id UNION ALL SELECT id, k, {outline}, height, '{name}' FROM {b} WHERE id IN (SELECT b_id FROM m{n} WHERE status = 'non-matching'))"""
 
 
-def _step(n: int, a: str, b: str, name: str) -> str:
+def _step(n: int, a: str, b: str, name: str, height: str) -> str:
     pairs, match = _pairs(a, b), MATCH.format(b=b)
     for t in ("pairs", "best", "m"):
         pairs, match = (re.sub(rf"\b{t}\b(?= AS \(| WHERE| ON|$|, m| LEFT)", f"{t}{n}", x) for x in (pairs, match))
     match = match.replace("max(ratio) AS best" + str(n), "max(ratio) AS best").replace("ratio, 'matching'", "ratio, 'matching'").replace("FROM pairs WHERE", f"FROM pairs{n} WHERE").replace("FROM best ", f"FROM best{n} ").replace("JOIN pairs ", f"JOIN pairs{n} ")
-    return f"{pairs}, {match}{FILL.format(n=n, a=a, b=b, name=name)}"
+    return f"{pairs}, {match}{FILL.format(n=n, a=a, b=b, name=name, outline=OUTLINE, height=height)}"
 
 
 @query(
     "j05_u01_w03_three_sources",
-    ctes("fx_gov", "fx_osm", "fx_msft").rstrip() + ",\n gov AS (SELECT *, 'gov' AS dataset FROM fx_gov), " + _step(1, "gov", "fx_osm", "osm") + ", " + _step(2, "first1", "fx_msft", "msft")
-    + " SELECT id, dataset, height, 'v1-' || dataset || '-' || CAST(row_number() OVER (PARTITION BY dataset ORDER BY k, id) - 1 AS VARCHAR) AS merge_id FROM first2",
+    ctes("fx_gov", "fx_osm", "fx_msft", "fx_lau").rstrip() + ",\n gov AS (SELECT *, 'gov' AS dataset FROM fx_gov), " + _step(1, "gov", "fx_osm", "osm", "coalesce(height, h)") + ", " + _step(2, "first1", "fx_msft", "msft", "height")
+    + f""", u AS (SELECT * FROM (SELECT a.id, b.LAU_ID, {OVER} AS overlap FROM first2 a JOIN fx_lau b ON a.xmin < b.wx AND b.xmin < a.wx AND a.ymin < b.ymax AND b.ymin < a.ymax) WHERE overlap > 0),
+ v AS (SELECT id, LAU_ID FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY overlap DESC, LAU_ID) AS r FROM u) WHERE r = 1)
+ SELECT id AS id_source, dataset, height, 'v1-' || LAU_ID || '-' || CAST(row_number() OVER (PARTITION BY LAU_ID ORDER BY k, id) - 1 AS VARCHAR) AS id FROM first2 LEFT JOIN v USING (id)""",
 )
 def three_sources(spark, d):
-    """A ranked list of sources: matches fill gaps of the better source, footprints that match nothing are appended, all are numbered."""
+    """The register is filled from the second source, the third only appends; new ids are numbered by municipality, none outside of all."""
     frames = [(name, shapes(spark, d, f"fx_{name}").withColumn("dataset", F.lit(name))) for name in ("gov", "osm", "msft")]
-    out = merge.merge_sources([f for _, f in frames], means=("height",), modes=())
-    number = dedup.numbered(out, ["dataset"], ["k", "id"])
-    return out.select("id", "dataset", "height", F.concat_ws("-", F.lit("v1"), "dataset", number).alias("merge_id"))
+    out = merge.merge_sources([f for _, f in frames], means=("height",), modes=(), filling=1)
+    units = spatial.assign_units(out, shapes(spark, d, "fx_lau"), "LAU_ID").select("id", "LAU_ID")
+    out = out.join(units, "id", "left")
+    number = dedup.numbered(out, ["LAU_ID"], ["k", "id"])
+    return out.select(F.col("id").alias("id_source"), "dataset", "height", F.concat(F.lit("v1-"), "LAU_ID", F.lit("-"), number).alias("id"))
 
 
 @query("j07_j11_attribute_join", "SELECT o_orderkey AS id, o_totalprice AS price, largest FROM orders LEFT JOIN (SELECT l_orderkey, max(l_extendedprice) AS largest FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey")
@@ -235,7 +255,7 @@ def attribute_join(spark, d):
     return checks.one_to_one(orders, keep_largest(lines, ["id"], "largest", ["l_linenumber"]).select("id", "largest"), "id", "left")
 
 
-UNIT = f"u AS (SELECT * FROM (SELECT a.id, b.LAU_ID, {OVER} AS overlap FROM fx_gov a JOIN fx_lau b ON a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax) WHERE overlap > 0)"
+UNIT = f"u AS (SELECT * FROM (SELECT a.id, b.LAU_ID, {OVER} AS overlap FROM fx_gov a JOIN fx_lau b ON a.xmin < b.wx AND b.xmin < a.wx AND a.ymin < b.ymax AND b.ymin < a.ymax) WHERE overlap > 0)"
 
 
 @query("j09_assign_units", ctes("fx_gov", "fx_lau").rstrip() + ",\n" + UNIT + " SELECT id, LAU_ID, overlap FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY overlap DESC, LAU_ID) AS r FROM u) WHERE r = 1")
@@ -306,7 +326,7 @@ def _matched(spark, d):
     a, b = shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_osm")
     types = F.broadcast(fixture(spark, d, "fx_crosswalk").select(F.col("type_source").alias("b_type_source"), "type"))  # a row per raw code
     pairs = spatial.overlap_pairs(a, b).join(types, "b_type_source", "left")
-    area = geom.area(F.col("a_ring"))
+    area = shape.area(F.col("a_shape"))
     return pairs.select(F.col("a_id").alias("id"), F.col("b_id").alias("source_id"), "overlap", area.alias("area"), F.col("b_height").alias("height"), "type")
 
 
@@ -320,26 +340,26 @@ def source_values(spark, d):
 
 @query(
     "j18_merge_weighted",
-    MATCHED + " SELECT id, round(sum(height*overlap)/sum(overlap), 6) AS merged, round(sum(overlap/area), 6) AS confidence, list(source_id ORDER BY source_id) AS source_ids FROM q WHERE height IS NOT NULL GROUP BY id",
+    MATCHED + " SELECT id, round(sum(height*overlap)/sum(overlap) + 1e-9, 6) AS merged, round(sum(overlap/area) + 1e-9, 6) AS confidence, list(source_id ORDER BY source_id) AS source_ids FROM q WHERE height IS NOT NULL GROUP BY id",
 )
 def merge_weighted(spark, d):
     out = merge.merge_weighted(_matched(spark, d).where("height is not null").withColumn("value", F.col("height")))
-    return out.select("id", F.round("merged", 6).alias("merged"), F.round("confidence", 6).alias("confidence"), "source_ids")
+    return out.select("id", six("merged").alias("merged"), six("confidence").alias("confidence"), "source_ids")
 
 
-DOMINANT = """ SELECT id, merged, round(least(greatest(share,0),1), 6) AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(share,9) DESC, merged) AS r FROM (SELECT id, {v} AS merged, sum(overlap)/max(area) AS share FROM q WHERE type IS NOT NULL GROUP BY 1, 2)) WHERE r = 1"""
+DOMINANT = """ SELECT id, merged, round(least(greatest(share,0),1) + 1e-9, 6) AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(share,9) DESC, merged) AS r FROM (SELECT id, {v} AS merged, sum(overlap)/max(area) AS share FROM q WHERE type IS NOT NULL GROUP BY 1, 2)) WHERE r = 1"""
 
 
 @query("j19_merge_dominant", MATCHED + DOMINANT.format(v="type"))
 def merge_dominant(spark, d):
     out = merge.merge_dominant(_matched(spark, d).withColumn("value", F.col("type")))
-    return out.select("id", "merged", F.round("confidence", 6).alias("confidence"))
+    return out.select("id", "merged", six("confidence").alias("confidence"))
 
 
 @query("j20_merge_binary", MATCHED + DOMINANT.format(v="CASE WHEN type = 'residential' THEN 'residential' ELSE 'non-residential' END"))
 def merge_binary(spark, d):
     out = merge.merge_dominant(_matched(spark, d).withColumn("value", merge.as_binary(F.col("type"))))
-    return out.select("id", "merged", F.round("confidence", 6).alias("confidence"))
+    return out.select("id", "merged", six("confidence").alias("confidence"))
 
 
 @query("j21_crosswalk", ctes("fx_gov", "fx_crosswalk") + "SELECT g.id, x.type, x.residential_type FROM fx_gov g LEFT JOIN (SELECT * FROM fx_crosswalk WHERE list_has_any(string_split(source_datasets, ','), ['gov-B'])) x ON g.type_source = x.type_source")
@@ -383,14 +403,15 @@ def positional_join(spark, d):
     return a.select("id", "n").join(b.select("height", "n"), "n").select("id", "height")
 
 
-@query("j30_missing_tiles", ctes("fx_lau", "fx_gov").rstrip() + ",\n" + UNIT + " SELECT LAU_ID FROM fx_lau WHERE LAU_ID NOT IN (SELECT LAU_ID FROM u JOIN fx_gov g ON g.id = u.id WHERE g.height > 37)")
+@query("j30_missing_tiles", ctes("fx_lau", "fx_units", "fx_gov").rstrip() + ",\n" + UNIT.replace("fx_lau", "fx_units") + " SELECT LAU_ID FROM fx_units WHERE LAU_ID NOT IN (SELECT LAU_ID FROM u)")
 def missing_tiles(spark, d):
-    """Tiles without a building above 37 m."""
-    there = spatial.assign_pairs(shapes(spark, d, "fx_gov").where("height > 37"), shapes(spark, d, "fx_lau"), "LAU_ID")
-    return fixture(spark, d, "fx_lau").join(there, "LAU_ID", "left_anti").select("LAU_ID")
+    """Tiles that hold no building."""
+    units = shapes(spark, d, "fx_units")
+    there = spatial.assign_pairs(shapes(spark, d, "fx_gov"), units, "LAU_ID")
+    return units.join(there, "LAU_ID", "left_anti").select("LAU_ID")
 
 
-SELF = f"p AS (SELECT a.id AS a_id, b.id AS b_id, {AREA.format('a')} AS aa, {AREA.format('b')} AS ba, {RATIO} AS ratio FROM fx_osm a JOIN fx_osm b ON abs(a.k%128-b.k%128)<=1 AND abs(a.k//128-b.k//128)<=1 AND a.id <> b.id AND a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <= a.ymax)"
+SELF = f"p AS (SELECT a.id AS a_id, b.id AS b_id, {AREA.format('a')} AS aa, {AREA.format('b')} AS ba, {RATIO} AS ratio FROM fx_osm a JOIN fx_osm b ON abs(a.k%128-b.k%128)<=1 AND abs(a.k//128-b.k//128)<=1 AND a.id <> b.id AND a.xmin <= b.wx AND b.xmin <= a.wx AND a.ymin <= b.ymax AND b.ymin <= a.ymax)"
 
 
 @query("d01_intra_source_duplicates", ctes("fx_osm").rstrip() + ",\n" + SELF + " SELECT id FROM fx_osm WHERE id NOT IN (SELECT a_id FROM p WHERE ratio > 0.25 AND (aa < ba OR (aa = ba AND a_id > b_id)))")
@@ -398,20 +419,21 @@ def intra_source_duplicates(spark, d):
     return spatial.drop_overlapping(shapes(spark, d, "fx_osm")).select("id")
 
 
-BOXD = _least_distance(_parts("a"), _parts("b"))
+BOXD = _least_distance([("a.xmin", "a.ymin", "a.wx", "a.ymax")], [("b.xmin", "b.ymin", "b.wx", "b.ymax")])
 
 
 @query(
     "d02_d03_candidate_features",
     ctes("fx_gov", "fx_osm").rstrip() + f""",\n c AS (SELECT a.id AS a_id, b.id AS b_id, {BOXD} AS distance, {OVER} AS o, {AREA.format('a')} AS aa, {AREA.format('b')} AS ba FROM fx_gov a JOIN fx_osm b ON abs(a.k%128-b.k%128)<=2 AND abs(a.k//128-b.k//128)<=2),
  r AS (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY distance, b_id) AS p, row_number() OVER (PARTITION BY b_id ORDER BY distance, a_id) AS q FROM c WHERE distance <= 10)
- SELECT a_id, b_id, round(distance, 6) AS distance, round(o/(aa+ba-o), 6) AS iou, round(o/least(aa,ba), 6) AS smaller, round(o/aa, 6) AS one_sided, round(aa/ba, 6) AS area_ratio FROM r WHERE p <= 3 OR q <= 3""",
+ SELECT a_id, b_id, round(distance + 1e-9, 6) AS distance, round(o/(aa+ba-o) + 1e-9, 6) AS iou, round(o/least(aa,ba) + 1e-9, 6) AS smaller, round(o/aa + 1e-9, 6) AS one_sided, round(aa/ba + 1e-9, 6) AS area_ratio FROM r WHERE p <= 3 OR q <= 3""",
 )
 def candidate_features(spark, d):
     pairs = spatial.near_pairs(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_osm"))
-    pairs = geom.with_overlap(pairs, "a_ring", "b_ring").withColumns({"aa": geom.area(F.col("a_ring")), "ba": geom.area(F.col("b_ring"))})
+    own, other = F.col("a_shape"), F.col("b_shape")
+    pairs = pairs.withColumns({"overlap": shape.overlap(own, other)["area"], "aa": shape.area(own), "ba": shape.area(other)})
     o, aa, ba = (F.col(c) for c in ("overlap", "aa", "ba"))
-    return pairs.select("a_id", "b_id", *[F.round(c, 6).alias(n) for n, c in {"distance": F.col("distance"), "iou": o / (aa + ba - o), "smaller": o / F.least(aa, ba), "one_sided": o / aa, "area_ratio": aa / ba}.items()])
+    return pairs.select("a_id", "b_id", *[six(c).alias(n) for n, c in {"distance": F.col("distance"), "iou": o / (aa + ba - o), "smaller": o / F.least(aa, ba), "one_sided": o / aa, "area_ratio": aa / ba}.items()])
 
 
 @query("d04_block_priority", ctes("fx_release") + "SELECT id, city_id FROM (SELECT *, CASE geometry_source WHEN 'gov-a' THEN 1 WHEN 'osm' THEN 2 ELSE 3 END AS p, min(CASE geometry_source WHEN 'gov-a' THEN 1 WHEN 'osm' THEN 2 ELSE 3 END) OVER (PARTITION BY city_id) AS m FROM fx_release) WHERE p = m")

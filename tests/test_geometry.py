@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from cadastra.functions import geom
+from cadastra.functions import geom, shape
 
 SHAPES = {
     "square": "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))",
@@ -41,20 +41,97 @@ def test_validity(shapes):
     assert v == {"square": "valid", "ell": "valid", "triangle": "valid", "bow": "invalid", "open": "invalid", "far": "valid"}
 
 
-def test_overlap_of_non_convex(shapes):
-    pair = shapes.where("name = 'ell'").select(F.col("ring").alias("a"), F.lit(1).alias("one"))
-    pair = pair.join(shapes.where("name in ('square', 'triangle', 'ell')").select("name", F.col("ring").alias("b"), F.lit(1).alias("one")), "one")
-    got = {r[0]: r[1] for r in geom.with_overlap(pair, "a", "b").select("name", "overlap").collect()}
-    assert got["ell"] == pytest.approx(20)
-    assert got["square"] == pytest.approx(12)
-    assert got["triangle"] == pytest.approx(8 - 0)
+def overlaps(spark, pairs, limits=("0", "0.2", "0.8")):
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string").repartition(2)
+    made = rows.select("i", shape.from_wkt(F.col("a")).alias("a"), shape.from_wkt(F.col("b")).alias("b")).cache()
+    found = made.select("i", shape.overlap(F.col("a"), F.col("b"), limits).alias("o"))
+    return [r.o for r in sorted(found.collect())]
+
+
+def test_overlap_of_non_convex(spark):
+    got = overlaps(spark, [(SHAPES["ell"], SHAPES[n]) for n in ("ell", "square", "triangle")])
+    assert [o.area for o in got] == pytest.approx([20, 12, 8])
+    # a third of the triangle's hypotenuse lies outside of the notch
+    assert [(o.larger, o.sides) for o in got] == [(0, [1, 1, 1]), (1, [1, 1, -1]), (1, [1, 1, 1])]
+
+
+def shape_distance(spark, a, b):
+    row = spark.createDataFrame([(a, b)], "a string, b string").select(shape.from_wkt(F.col("a")).alias("a"), shape.from_wkt(F.col("b")).alias("b"))
+    return row.select(shape.distance(F.col("a"), F.col("b"))).first()[0]
+
+
+COURT = "POLYGON ((0 0, 9 0, 9 9, 0 9, 0 0), (2 2, 7 2, 7 7, 2 7, 2 2))"
+
+
+def test_courtyards_and_parts(spark):
+    inside, across = "POLYGON ((3 3, 6 3, 6 6, 3 6, 3 3))", "POLYGON ((1 3, 8 3, 8 6, 1 6, 1 3))"
+    parts = "MULTIPOLYGON (((3 3, 6 3, 6 6, 3 6, 3 3)), ((20 0, 20 4, 24 4, 24 0, 20 0), (21 1, 21 3, 23 3, 23 1, 21 1)))"
+    backwards = "POLYGON ((0 0, 0 9, 9 9, 9 0, 0 0), (2 2, 7 2, 7 7, 2 7, 2 2))"
+    got = overlaps(spark, [(COURT, inside), (COURT, across), (COURT, COURT), (backwards, COURT), (COURT, parts), (parts, "POLYGON ((19 2, 25 2, 25 5, 19 5, 19 2))"), (COURT, "POLYGON EMPTY")])
+    assert [o.area for o in got] == pytest.approx([0, 6, 56, 56, 0, 6, 0])
+    assert [o.sides[0] for o in got] == [0, 1, 1, 1, 0, 1, 0]
+    one = spark.createDataFrame([(COURT, inside, across, parts)], "c string, i string, x string, p string").select(*[shape.from_wkt(F.col(c)).alias(c) for c in "cixp"])
+    c, i, x, p = (F.col(n) for n in "cixp")
+    row = one.select(shape.area(c), shape.centroid(c)["x"], shape.area(p), shape.intersects(c, i), shape.intersects(c, x), shape.intersects(c, p), shape.distance(c, i), shape.distance(c, p), shape.contains_point(c, geom.point(F.lit(4.5), F.lit(4.5))), shape.point_distance(c, geom.point(F.lit(4.5), F.lit(4.0)))).first()
+    assert tuple(row) == (56.0, 4.5, 21.0, False, True, False, 1.0, 1.0, False, 2.0)
+
+
+def turned(points, degrees, at=(4_321_000.5, 3_210_000.25)):
+    """Points of a rectangle turned by a Pythagorean angle, in which all lengths stay exact multiples of 1/5."""
+    c, s = {0: (1, 0), 53: (0.6, 0.8), 37: (0.8, 0.6)}[degrees]
+    return "POLYGON ((" + ", ".join(f"{at[0] + c * x - s * y!r} {at[1] + s * x + c * y!r}" for x, y in points) + "))"
+
+
+def box(x0, y0, x1, y1):
+    return [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+
+
+@pytest.mark.parametrize("degrees", [0, 53, 37])
+def test_ties_at_the_limits(spark, degrees):
+    from fractions import Fraction
+
+    # a hundred steps of 1/128 about the common shares of 0.2 and 0.8 of a 10 x 10 box
+    pairs = [(turned(box(0, 0, 10, 10), degrees, (4_321_000, 3_210_000)), turned(box(10 - w + d, 0, 20 - w + d, 10), degrees, (4_321_000, 3_210_000))) for w in (2, 8) for d in [k / 128 for k in range(-3, 4)] + [2.0**-32, -(2.0**-32), 2.0**-40]]
+    for (a, b), o in zip(pairs, overlaps(spark, pairs), strict=True):
+        rings = [[[{"x": float(x), "y": float(y)} for x, y in (p.split() for p in t[10:-2].split(", "))]] for t in (a, b)]
+        common, one, two = shape.exact_areas(*rings)
+        assert o.sides == [(common > x) - (common < x) for x in (Fraction(q) * min(one, two) for q in ("0", "0.2", "0.8"))]
+        assert o.area == pytest.approx(float(common), abs=1e-6)
+        assert o.larger == (one > two) - (one < two)
+
+
+def test_exact_ties_in_matching(spark):
+    from cadastra.operators import spatial
+
+    # the slanted pair shares exactly 4 of 5: its corners are whole numbers
+    a = boxed(spark, [("s", "POLYGON ((0 0, 40 30, 10 70, -30 40, 0 0))"), ("r", "POLYGON ((500 0, 510 0, 510 10, 500 10, 500 0))")])
+    b = boxed(spark, [("t", "POLYGON ((8 6, 48 36, 18 76, -22 46, 8 6))"), ("u", "POLYGON ((508 0, 518 0, 518 10, 508 10, 508 0))"), ("v", "POLYGON ((502 20, 512 20, 512 10, 502 10, 502 20))")])
+    got = {r.b_id: (r.status, r.ratio) for r in spatial.match_footprints(a, b).collect()}
+    assert got == {"t": ("unsure", 0.8), "u": ("unsure", 0.2), "v": ("non-matching", None)}
+
+
+def test_random_shapes_against_exact_areas(spark):
+    import random
+
+    rng = random.Random(7)
+
+    def star(x, y):
+        angles = sorted(rng.uniform(0, 2 * math.pi) for _ in range(rng.randint(3, 12)))
+        radii = [rng.uniform(2, 9) for _ in angles]
+        outer = [(x + r * math.cos(t), y + r * math.sin(t)) for r, t in zip(radii, angles, strict=True)]
+        return "(" + ", ".join(f"{p!r} {q!r}" for p, q in [*outer, outer[0]]) + ")"
+
+    pairs = [tuple(f"POLYGON ({star(4e6 + rng.uniform(0, 6), 3e6 + rng.uniform(0, 6))})" for _ in "ab") for _ in range(60)]
+    for (a, b), o in zip(pairs, overlaps(spark, pairs), strict=True):
+        rings = [[[dict(zip("xy", map(float, p.split()), strict=True)) for p in t[10:-2].split(", ")]] for t in (a, b)]
+        assert o.area == pytest.approx(float(shape.exact_areas(*rings)[0]), abs=1e-7)
 
 
 def test_points(shapes):
-    ell = shapes.where("name = 'ell'")
+    ell = shapes.where("name = 'ell'").select(F.array("ring").alias("shape"))
     p = geom.point(F.lit(4.0), F.lit(4.0))
-    row = ell.select(geom.contains_point(F.col("ring"), p), geom.point_distance(F.col("ring"), p), geom.within_distance(F.col("ring"), p, 2.0)).first()
-    assert tuple(row) == (False, 2.0, True)
+    row = ell.select(shape.contains_point(F.col("shape"), p), shape.point_distance(F.col("shape"), p)).first()
+    assert tuple(row) == (False, 2.0)
 
 
 def test_projection_sample_point(spark):
@@ -78,7 +155,7 @@ def test_multi_parts(spark):
 def boxed(spark, rows):
     from cadastra.operators import spatial
 
-    return spatial.boxed(spark.createDataFrame(rows, "id string, wkt string").select("id", geom.from_wkt(F.col("wkt"))[0].alias("ring")))
+    return spatial.boxed(spark.createDataFrame(rows, "id string, wkt string").select("id", shape.from_wkt(F.col("wkt")).alias("shape")))
 
 
 def test_disjoint_triangles_do_not_match(spark):
@@ -91,8 +168,9 @@ def test_disjoint_triangles_do_not_match(spark):
     assert {(r.b_id, r.status) for r in spatial.match_footprints(a, b).collect()} == {("b", "non-matching"), ("c", "matching")}
     assert [r.id for r in spatial.outside(b, a).select("id").collect()] == ["b"]
     assert [r.b_id for r in spatial.related_pairs(a, b, "contains").collect()] == ["c"]
-    far = {r.b_id: r.distance for r in spatial.near_pairs(a, b).collect()}
-    assert far["c"] == 0 and math.isclose(far["b"], 1 / math.sqrt(2))
+    # candidates go by boxes
+    assert {r.b_id: r.distance for r in spatial.near_pairs(a, b).collect()} == {"b": 0, "c": 0}
+    assert shape_distance(spark, "POLYGON ((0 0, 4 0, 0 4, 0 0))", "POLYGON ((4 4, 4 1, 1 4, 4 4))") == pytest.approx(1 / math.sqrt(2))
 
 
 def test_touching_footprints_intersect(spark):
@@ -103,8 +181,19 @@ def test_touching_footprints_intersect(spark):
     assert spatial.overlap_pairs(a, b).isEmpty()
 
 
-def test_overlap_of_odd_rings(spark):
-    rows = spark.createDataFrame([(None, "POLYGON ((0 0, 1 0, 1 1, 0 0))"), ("POLYGON ((0 0, 1 0, 1 1, 0 0))", "POLYGON ((0 0, 1 1, 1 0, 0 0))")], "a string, b string")
-    rows = rows.select(geom.from_wkt(F.col("a"))[0].alias("a"), geom.from_wkt(F.col("b"))[0].alias("b"))
-    assert sorted(r.overlap for r in geom.with_overlap(rows, "a", "b").collect()) == [0.0, 0.5]
-    assert geom.with_overlap(rows.where("false"), "a", "b").count() == 0
+def test_overlap_of_odd_shapes(spark):
+    rows = [(None, "POLYGON ((0 0, 1 0, 1 1, 0 0))"), ("POLYGON ((0 0, 1 0, 1 1, 0 0))", "POLYGON ((0 0, 1 1, 1 0, 0 0))"), ("POLYGON ((0 0, 1 0, 1 1, 0 0))", "POLYGON ((0 0, 1 1, 0 1, 0 0))")]
+    got = overlaps(spark, rows)
+    assert got[0] is None and [(o.area, o.sides[0]) for o in got[1:]] == [(0.5, 1), (0.0, 0)]
+    assert overlaps(spark, rows[:1])[0] is None
+
+
+def test_building_in_a_courtyard_does_not_match(spark):
+    from cadastra.operators import spatial
+
+    a, b = boxed(spark, [("a", COURT)]), boxed(spark, [("in", "POLYGON ((3 3, 6 3, 6 6, 3 6, 3 3))"), ("on", "POLYGON ((0 0, 2 0, 2 9, 0 9, 0 0))")])
+    assert {(r.b_id, r.status) for r in spatial.match_footprints(a, b).collect()} == {("in", "non-matching"), ("on", "matching")}
+    assert [r.b_id for r in spatial.related_pairs(a, b, "contains").collect()] == ["on"]
+    assert [r.id for r in spatial.outside(b, a).collect()] == ["in"]
+    points = spark.createDataFrame([("p", 4.0, 4.0), ("q", 1.0, 1.0)], "id string, x double, y double")
+    assert [r.a_id for r in spatial.points_within(points, a).collect()] == ["q"]
