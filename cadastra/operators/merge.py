@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import written
 from .spatial import match_footprints
 
 #: The published non-residential classes.
@@ -43,16 +44,17 @@ def merge_sources(sources: Sequence[DataFrame], modes: Sequence[str] = (), means
 
     Each next source adds the footprints that match nothing; uncertain ones are left
     out. The first ``filling`` of them also fill gaps of what there is where footprints match.
+    Matches and each step's table are written, as later steps read them several times.
     """
     out = sources[0]
     for i, b in enumerate(sources[1:]):
-        found = match_footprints(out, b)
+        found = written(match_footprints(out, b), "matches")
         if i < filling:
             filled = fill_missing(out, b, found.where("status = 'matching'"), modes, means).drop(*[f"filled_{c}" for c in (*modes, *means)])
         else:
             filled = out
         new = b.join(found.where("status = 'non-matching'").select(F.col("b_id").alias("id")), "id", "left_semi")
-        out = filled.unionByName(new, allowMissingColumns=True)
+        out = written(filled.unionByName(new, allowMissingColumns=True), "merged")
     return out
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions import geom, shape
 
 CELL = 60.0
-UNIT_CELL = 240.0
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
@@ -81,23 +80,6 @@ def match_footprints(a: DataFrame, b: DataFrame, hi: str = "0.8", lo: str = "0.2
     return pairs.where("above > 0").select("a_id", "b_id", "ratio", F.lit("matching").alias("status")).unionByName(rest)
 
 
-def assign_units(rows: DataFrame, units: DataFrame, unit: str, size: float = UNIT_CELL) -> DataFrame:
-    """(id, unit, overlap): for each row the unit of largest overlap, ties to the smaller code; none outside all."""
-    pairs = overlap_pairs(rows, units, size)
-    ranked = pairs.withColumn("place", F.row_number().over(Window.partitionBy("a_id").orderBy(F.desc("overlap"), f"b_{unit}")))
-    return ranked.where("place = 1").select(F.col("a_id").alias("id"), F.col(f"b_{unit}").alias(unit), "overlap")
-
-
-def assign_pairs(rows: DataFrame, units: DataFrame, unit: str, size: float = UNIT_CELL) -> DataFrame:
-    """Units that any row overlaps."""
-    return overlap_pairs(rows, units, size).select(F.col(f"b_{unit}").alias(unit)).distinct()
-
-
-def outside(rows: DataFrame, units: DataFrame, size: float = UNIT_CELL) -> DataFrame:
-    """Rows that overlap no unit."""
-    return rows.join(overlap_pairs(rows, units, size).select(F.col("a_id").alias("id")), "id", "left_anti")
-
-
 def points_within(points: DataFrame, rows: DataFrame, size: float = CELL) -> DataFrame:
     """(a_, b_) pairs of points (id, x, y, ...) and the footprints that hold them; a box's upper border is excluded."""
     boxes = points.withColumns({"xmin": F.col("x"), "xmax": F.col("x"), "ymin": F.col("y"), "ymax": F.col("y")})
@@ -138,35 +120,6 @@ def grid_sum(points: DataFrame, value: str, size: float) -> DataFrame:
     return points.groupBy(geom.cell(F.col("x"), size).alias("cx"), geom.cell(F.col("y"), size).alias("cy")).agg(F.sum(value).alias(value))
 
 
-def nearest_units(points: DataFrame, units: DataFrame, unit: str, size: float = UNIT_CELL) -> DataFrame:
-    """(id, unit): the unit of the nearest centre (cx, cy) for each point (id, x, y), ties to the smaller code.
-
-    The search goes to rings of cells four times as wide each time, for points
-    without a unit nearer than the ring's inner width, until all have one.
-    """
-    known = units.select(unit, F.col("cx").cast("double").alias("cx"), F.col("cy").cast("double").alias("cy"))
-    found, left, reach = None, points.select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), size
-    bounds = known.agg(F.min("cx"), F.max("cx"), F.min("cy"), F.max("cy")).first()
-    if bounds[0] is None:
-        return points.select("id", F.lit(None).cast(units.schema[unit].dataType).alias(unit)).where("false")
-    far = left.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
-    span = max(bounds[1], far[1] or bounds[1]) - min(bounds[0], far[0] or bounds[0]) + max(bounds[3], far[3] or bounds[3]) - min(bounds[2], far[2] or bounds[2])
-    while True:
-        celled = left.withColumns({"px": geom.cell(F.col("x"), reach), "py": geom.cell(F.col("y"), reach)})
-        steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-        near = known.select(unit, "cx", "cy", geom.cell(F.col("cx"), reach).alias("ux"), geom.cell(F.col("cy"), reach).alias("uy"), F.explode(steps).alias("s"))
-        near = near.select(unit, "cx", "cy", (F.col("ux") + F.col("s.i")).alias("px"), (F.col("uy") + F.col("s.j")).alias("py"))
-        away = F.pow(F.col("x") - F.col("cx"), 2) + F.pow(F.col("y") - F.col("cy"), 2)
-        best = celled.join(near, ["px", "py"]).groupBy("id").agg(F.min(F.struct(away.alias("away"), F.col(unit).alias("unit"))).alias("m"))
-        last = reach > span
-        done = best.where(F.lit(last) | (F.col("m.away") <= reach * reach)).select("id", F.col("m.unit").alias(unit))
-        found = done if found is None else found.unionByName(done)
-        if last:
-            return found
-        left = left.join(done, "id", "left_anti")
-        reach *= 4
-
-
 def dissolve(parts: DataFrame, key: str) -> DataFrame:
     """(key, n_parts, area, shape, overlapping): parts of a key as one shape, flagged if two have a common area."""
     shapes = parts.groupBy(key).agg(F.flatten(F.collect_list("shape")).alias("shape"), F.count(F.lit(1)).alias("n_parts"), F.sum(shape.area(F.col("shape"))).alias("area"))

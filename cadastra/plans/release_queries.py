@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geom
-from ..operators import checks, dedup, spatial, stats
+from ..operators import checks, dedup, spatial, stats, units
 from ..sources import tables
 from . import release
 from .catalog import query
@@ -152,8 +152,8 @@ def region_roll_up(spark, d):
     """Statistics of regions with the geometry of the region."""
     rolled = stats.roll_up(stats.city_statistics(_buildings(spark, d)), "region_id")
     boxes = fixture(spark, d, "fx_release").groupBy("region_id").agg(F.min("xmin").alias("x0"), F.min("ymin").alias("y0"), F.max("xmax").alias("x1"), F.max("ymax").alias("y1"))
-    units = boxes.select("region_id", geom.rectangle(*[F.col(c) for c in ("x0", "y0", "x1", "y1")]).alias("geometry"))
-    return rolled.join(units, "region_id", "left").select("region_id", geom.area(F.col("geometry")).alias("unit_area"), *ROLLED)
+    outlines = boxes.select("region_id", geom.rectangle(*[F.col(c) for c in ("x0", "y0", "x1", "y1")]).alias("geometry"))
+    return rolled.join(outlines, "region_id", "left").select("region_id", geom.area(F.col("geometry")).alias("unit_area"), *ROLLED)
 
 
 @query("a05_country_shares", CITY + " SELECT country, sum(n) AS n, round(sum(n_gov)/sum(n), 2) AS share_gov, round(sum(n_estimated_height)/sum(n), 2) AS share_estimated FROM city GROUP BY 1")
@@ -249,9 +249,9 @@ def setup_report(spark, d):
 )
 def empty_units(spark, d):
     """Units, and those without a building, by country and region; regions whose sum is zero."""
-    units = shapes(spark, d, "fx_units").withColumn("country", F.substring("LAU_ID", 1, 2))
-    held = spatial.overlap_pairs(shapes(spark, d, "fx_gov"), units, spatial.UNIT_CELL).groupBy(F.col("b_LAU_ID").alias("LAU_ID")).agg(F.count("*").alias("n"))
-    return checks.empty_units(units, held, "LAU_ID", ["country", "NUTS_ID_3"]).withColumnRenamed("NUTS_ID_3", "region")
+    rows = shapes(spark, d, "fx_units").withColumn("country", F.substring("LAU_ID", 1, 2))
+    held = units.held_units(shapes(spark, d, "fx_gov"), rows, "LAU_ID")
+    return checks.empty_units(rows, held, "LAU_ID", ["country", "NUTS_ID_3"]).withColumnRenamed("NUTS_ID_3", "region")
 
 
 @query("a09_a19_counts", ctes("fx_release", "fx_gov") + "SELECT city_id, count(*) AS n_all, count(*) FILTER (WHERE height IS NOT NULL) AS n_height, count(*) FILTER (WHERE k % 3 = 0) AS n_third FROM fx_release GROUP BY 1")
@@ -377,10 +377,10 @@ def catalog(spark, d):
 @query("s09_s12_split_tables", ctes("fx_gov", "fx_lau").rstrip() + ",\n" + UNIT + ", p AS (SELECT id, LAU_ID FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY overlap DESC, LAU_ID) AS r FROM u) WHERE r = 1) SELECT g.id, height, g.xmin, NUTS_ID_3 AS nuts3 FROM fx_gov g JOIN p ON p.id = g.id JOIN fx_lau l ON l.LAU_ID = p.LAU_ID")
 def split_tables(spark, d):
     """Geometries and attributes written apart, joined again and written by NUTS3."""
-    path, gov, units = _folder(spark), shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_lau")
+    path, gov, lau = _folder(spark), shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_lau")
     tables.write_split(gov.withColumn("geometry", F.struct("xmin", "ymin", "xmax", "ymax")), path, ("height", "floors", "age"))
     geoms, attrs = spark.read.parquet(f"{path}/geoms"), spark.read.parquet(f"{path}/attribs")
-    held = spatial.assign_units(gov, units, "LAU_ID").join(units.select("LAU_ID", F.col("NUTS_ID_3").alias("nuts3")), "LAU_ID").select("id", "nuts3")
+    held = units.assign_units(gov, lau, "LAU_ID").join(lau.select("LAU_ID", F.col("NUTS_ID_3").alias("nuts3")), "LAU_ID").select("id", "nuts3")
     tables.write_by_unit(geoms.join(held, "id"), attrs, f"{path}/by_unit")
     return spark.read.parquet(f"{path}/by_unit").select("id", "height", F.col("geometry.xmin").alias("xmin"), "nuts3")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geom, shape
-from ..operators import checks, dedup, merge, spatial
+from ..operators import checks, dedup, merge, spatial, units
 from .catalog import query
 from .fixtures import OUTLINE, ctes, fixture, shapes
 
@@ -240,8 +240,7 @@ def three_sources(spark, d):
     """The register is filled from the second source, the third only appends; new ids are numbered by municipality, none outside of all."""
     frames = [(name, shapes(spark, d, f"fx_{name}").withColumn("dataset", F.lit(name))) for name in ("gov", "osm", "msft")]
     out = merge.merge_sources([f for _, f in frames], means=("height",), modes=(), filling=1)
-    units = spatial.assign_units(out, shapes(spark, d, "fx_lau"), "LAU_ID").select("id", "LAU_ID")
-    out = out.join(units, "id", "left")
+    out = out.join(units.assign_units(out, shapes(spark, d, "fx_lau"), "LAU_ID").select("id", "LAU_ID"), "id", "left")
     number = dedup.numbered(out, ["LAU_ID"], ["k", "id"])
     return out.select(F.col("id").alias("id_source"), "dataset", "height", F.concat(F.lit("v1-"), "LAU_ID", F.lit("-"), number).alias("id"))
 
@@ -260,12 +259,12 @@ UNIT = f"u AS (SELECT * FROM (SELECT a.id, b.LAU_ID, {OVER} AS overlap FROM fx_g
 
 @query("j09_assign_units", ctes("fx_gov", "fx_lau").rstrip() + ",\n" + UNIT + " SELECT id, LAU_ID, overlap FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY overlap DESC, LAU_ID) AS r FROM u) WHERE r = 1")
 def assign_units(spark, d):
-    return spatial.assign_units(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_lau"), "LAU_ID")
+    return units.assign_units(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_lau"), "LAU_ID")
 
 
 @query("j10_outside_units", ctes("fx_gov", "fx_lau").rstrip() + ",\n" + UNIT + " SELECT id FROM fx_gov WHERE id NOT IN (SELECT id FROM u)")
 def outside_units(spark, d):
-    return spatial.outside(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_lau")).select("id")
+    return units.outside(shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_lau"), "LAU_ID").select("id")
 
 
 RULES = [("m1", "country", "AT", "keep"), ("m1", "nuts1", "AT0", "drop"), ("m2", "country", "DE", "keep"), ("m2", "nuts3", "DE001", "drop"), ("m3", "nuts3", "CH002", "keep"), ("m3", "lau", "FR01004", "keep"), ("m4", "rest", "", "keep")]
@@ -294,17 +293,19 @@ def code_prefix(spark, d):
     return checks.prefix_join(lau, "NUTS_ID_3", codes, "code").groupBy("code").agg(F.count("*").alias("n"))
 
 
+AWAY = _least_distance([("g.x", "g.y", "g.x", "g.y")], [("l.xmin", "l.ymin", "l.wx", "l.ymax")])
+
+
 @query(
     "j14_nearest_unit",
-    ctes("fx_gov", "fx_lau") + """SELECT g.id, arg_min(l.LAU_ID, {'d': power((g.xmin+g.xmax)/2-(l.xmin+l.xmax)/2,2)+power((g.ymin+g.ymax)/2-(l.ymin+l.ymax)/2,2), 'u': l.LAU_ID}) AS LAU_ID
-  FROM fx_gov g, (SELECT * FROM fx_lau WHERE NOT starts_with(LAU_ID, 'DE')) l GROUP BY 1""",
+    ctes("fx_gov", "fx_lau").rstrip() + f""", g AS (SELECT id, (xmin+xmax)/2 AS x, (ymin+ymax)/2 AS y FROM fx_gov), c AS (SELECT g.id, l.LAU_ID, round({AWAY} + 1e-9, 6) AS distance FROM g, fx_lau l WHERE NOT starts_with(LAU_ID, 'DE'))
+ SELECT id, LAU_ID, distance FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, LAU_ID) AS r FROM c) WHERE r = 1""",
 )
 def nearest_unit(spark, d):
-    centre = [f"({a}min + {a}max) / 2 as" for a in "xy"]
-    rows = fixture(spark, d, "fx_gov").selectExpr("id", f"{centre[0]} x", f"{centre[1]} y")
+    rows = fixture(spark, d, "fx_gov").selectExpr("id", "(xmin + xmax) / 2 as x", "(ymin + ymax) / 2 as y")
     # no unit of one country: its buildings are far from any
-    units = fixture(spark, d, "fx_lau").where("not startswith(LAU_ID, 'DE')").selectExpr("LAU_ID", f"{centre[0]} cx", f"{centre[1]} cy")
-    return spatial.nearest_units(rows, units, "LAU_ID")
+    others = shapes(spark, d, "fx_lau").where("not startswith(LAU_ID, 'DE')")
+    return units.nearest_units(rows, others, "LAU_ID").select("id", "LAU_ID", six("distance").alias("distance"))
 
 
 @query(
@@ -406,9 +407,8 @@ def positional_join(spark, d):
 @query("j30_missing_tiles", ctes("fx_lau", "fx_units", "fx_gov").rstrip() + ",\n" + UNIT.replace("fx_lau", "fx_units") + " SELECT LAU_ID FROM fx_units WHERE LAU_ID NOT IN (SELECT LAU_ID FROM u)")
 def missing_tiles(spark, d):
     """Tiles that hold no building."""
-    units = shapes(spark, d, "fx_units")
-    there = spatial.assign_pairs(shapes(spark, d, "fx_gov"), units, "LAU_ID")
-    return units.join(there, "LAU_ID", "left_anti").select("LAU_ID")
+    tiles = shapes(spark, d, "fx_units")
+    return tiles.join(units.held_units(shapes(spark, d, "fx_gov"), tiles, "LAU_ID"), "LAU_ID", "left_anti").select("LAU_ID")
 
 
 SELF = f"p AS (SELECT a.id AS a_id, b.id AS b_id, {AREA.format('a')} AS aa, {AREA.format('b')} AS ba, {RATIO} AS ratio FROM fx_osm a JOIN fx_osm b ON abs(a.k%128-b.k%128)<=1 AND abs(a.k//128-b.k//128)<=1 AND a.id <> b.id AND a.xmin <= b.wx AND b.xmin <= a.wx AND a.ymin <= b.ymax AND b.ymin <= a.ymax)"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,22 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{tempfile.gettempdir()}/shared-{spark.sparkContext.applicationId}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read again: cuts the plan, survives lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows that are broadcast; more are shuffled.
+BROADCAST_ROWS = 100_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """A written frame, marked for broadcast if it has BROADCAST_ROWS or fewer."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def read_regions(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
     """Parquet files, or folders of them, of regions whose name starts with ``prefix``, tagged with that name."""
     df = spark.read.parquet(f"{folder}/{prefix}*.parquet")

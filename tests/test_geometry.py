@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.functions import geom, shape
+from cadastra.operators import units
 
 SHAPES = {
     "square": "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))",
@@ -166,7 +167,7 @@ def test_disjoint_triangles_do_not_match(spark):
     b = boxed(spark, [("b", "POLYGON ((4 4, 4 1, 1 4, 4 4))"), ("c", "POLYGON ((0 0, 3 0, 0 4, 0 0))")])
     assert {r.b_id: (r.overlap, r.ratio) for r in spatial.overlap_pairs(a, b).collect()} == {"c": (6.0, 1.0)}
     assert {(r.b_id, r.status) for r in spatial.match_footprints(a, b).collect()} == {("b", "non-matching"), ("c", "matching")}
-    assert [r.id for r in spatial.outside(b, a).select("id").collect()] == ["b"]
+    assert [r.id for r in units.outside(b, a.withColumnRenamed("id", "unit"), "unit").select("id").collect()] == ["b"]
     assert [r.b_id for r in spatial.related_pairs(a, b, "contains").collect()] == ["c"]
     # candidates go by boxes
     assert {r.b_id: r.distance for r in spatial.near_pairs(a, b).collect()} == {"b": 0, "c": 0}
@@ -194,6 +195,6 @@ def test_building_in_a_courtyard_does_not_match(spark):
     a, b = boxed(spark, [("a", COURT)]), boxed(spark, [("in", "POLYGON ((3 3, 6 3, 6 6, 3 6, 3 3))"), ("on", "POLYGON ((0 0, 2 0, 2 9, 0 9, 0 0))")])
     assert {(r.b_id, r.status) for r in spatial.match_footprints(a, b).collect()} == {("in", "non-matching"), ("on", "matching")}
     assert [r.b_id for r in spatial.related_pairs(a, b, "contains").collect()] == ["on"]
-    assert [r.id for r in spatial.outside(b, a).collect()] == ["in"]
+    assert [r.id for r in units.outside(b, a.withColumnRenamed("id", "unit"), "unit").collect()] == ["in"]
     points = spark.createDataFrame([("p", 4.0, 4.0), ("q", 1.0, 1.0)], "id string, x double, y double")
     assert [r.a_id for r in spatial.points_within(points, a).collect()] == ["q"]
