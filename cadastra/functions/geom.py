@@ -102,22 +102,6 @@ def _cross(a: Column, b: Column, c: Column) -> Column:
     return (b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"])
 
 
-def crosses_itself(ring: Column) -> Column:
-    """Whether two edges cross at inner points."""
-    e = edges(ring)
-
-    def cross(s: Column, t: Column) -> Column:
-        return (_cross(s["a"], s["b"], t["a"]) * _cross(s["a"], s["b"], t["b"]) < 0) & (_cross(t["a"], t["b"], s["a"]) * _cross(t["a"], t["b"], s["b"]) < 0)
-
-    return F.exists(e, lambda s: F.exists(e, lambda t: cross(s, t)))
-
-
-def validity(ring: Column) -> Column:
-    """'null', 'empty', 'invalid' or 'valid'."""
-    bad = (F.size(ring) < 4) | (F.element_at(ring, 1) != F.element_at(ring, -1)) | (area(ring) == 0) | crosses_itself(ring)
-    return F.when(ring.isNull(), "null").when(F.size(ring) == 0, "empty").when(F.coalesce(bad, F.lit(True)), "invalid").otherwise("valid")
-
-
 def ring_edges(ring: Column) -> Column:
     """Consecutive vertices as (a, b)."""
     n = F.greatest(F.size(ring) - 1, F.lit(0))

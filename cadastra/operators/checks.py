@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import geom
+from ..functions.validity import validity
 
 
 def stacked(*frames: DataFrame) -> DataFrame:
@@ -91,16 +91,16 @@ def prefix_join(rows: DataFrame, code: str, prefixes: DataFrame, prefix: str) ->
     return own.join(prefixes, prefix)
 
 
-def kept_geometries(rows: DataFrame, id: str, ring: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with a valid ring, and of the others (status, n, ids)."""
-    judged = rows.withColumn("status", geom.validity(F.col(ring)))
+def kept_geometries(rows: DataFrame, id: str, shape: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with a valid shape, and of the others (status, n, ids)."""
+    judged = rows.withColumn("status", validity(F.col(shape)))
     bad = judged.where("status <> 'valid'").groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(id)).alias("ids"))
     return judged.where("status = 'valid'").drop("status"), bad
 
 
-def geometry_audit(rows: DataFrame, dataset: str, id: str, ring: str, row: list[str]) -> DataFrame:
-    """Counts by dataset of null, empty and invalid rings, of rows repeated in the columns ``row``, and of repeated ids."""
-    judged = rows.withColumn("status", geom.validity(F.col(ring)))
+def geometry_audit(rows: DataFrame, dataset: str, id: str, shape: str, row: list[str]) -> DataFrame:
+    """Counts by dataset of null, empty and invalid shapes, of rows repeated in the columns ``row``, and of repeated ids."""
+    judged = rows.withColumn("status", validity(F.col(shape)))
     kinds = [F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("null", "empty", "invalid")]
     repeated = [(F.count(F.lit(1)) - F.countDistinct(*c)).alias(n) for n, c in (("n_repeated_rows", row), ("n_repeated_ids", [id]))]
     return judged.groupBy(dataset).agg(F.count(F.lit(1)).alias("n"), *kinds, *repeated)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import geom
+from ..functions.validity import validity
 from .merge import RESIDENTIAL
 
 ATTRIBUTES = ("type", "subtype", "height", "floors", "construction_year")
@@ -118,10 +118,10 @@ def interval(df: DataFrame, by: str, value: str, t: float = 2.262) -> DataFrame:
     return out.select(by, "n", "mean", (F.col("mean") - half).alias("lower"), (F.col("mean") + half).alias("upper"))
 
 
-def parse_report(df: DataFrame, by: str, attrs: tuple[str, ...], types: str, id: str, ring: str) -> DataFrame:
-    """Rows, non-empty values of each attribute with their share, the set of types, and ids of null, empty and invalid rings."""
+def parse_report(df: DataFrame, by: str, attrs: tuple[str, ...], types: str, id: str, shape: str) -> DataFrame:
+    """Rows, non-empty values of each attribute with their share, the set of types, and ids of null, empty and invalid shapes."""
     filled = {a: F.count_if(F.col(a).isNotNull() & (F.col(a).cast("string") != "")) for a in attrs}
-    judged = df.withColumn("_status", geom.validity(F.col(ring)))
+    judged = df.withColumn("_status", validity(F.col(shape)))
     bad = [F.sort_array(F.collect_list(F.when(F.col("_status") == s, F.col(id)))).alias(f"{s}_ids") for s in ("null", "empty", "invalid")]
     return judged.groupBy(by).agg(
         F.count(F.lit(1)).alias("n"), *[c.alias(f"n_{a}") for a, c in filled.items()], *[(c / F.count(F.lit(1))).alias(f"frac_{a}") for a, c in filled.items()], F.sort_array(F.collect_set(types)).alias("types"), *bad

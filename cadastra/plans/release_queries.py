@@ -212,7 +212,7 @@ REPORT_SQL = ", ".join(f"count({a}) AS n_{a}, round(count({a})/count(*), 6) AS f
 
 
 def _report(rows, by):
-    return stats.parse_report(rows, by, REPORT, "type_source", "id", "ring")
+    return stats.parse_report(rows, by, REPORT, "type_source", "id", "shape")
 
 
 def _rounded(out, *columns):
@@ -224,7 +224,7 @@ def _rounded(out, *columns):
     ctes("fx_gov") + f"SELECT source_file, count(*) AS n, {REPORT_SQL}, " + ", ".join(f"coalesce(list(id ORDER BY id) FILTER (WHERE {KINDS} = '{s}'), []) AS {s}_ids" for s in ("null", "empty", "invalid")) + " FROM fx_gov GROUP BY 1",
 )
 def parse_report(spark, d):
-    rows = fixture(spark, d, "fx_gov").drop("source_file").join(spoilt(spark, d).select("id", "source_file", "ring"), "id")
+    rows = fixture(spark, d, "fx_gov").drop("source_file").join(spoilt(spark, d).select("id", "source_file", "shape"), "id")
     return _rounded(_report(rows, "source_file"), "source_file", "n", "null_ids", "empty_ids", "invalid_ids")
 
 

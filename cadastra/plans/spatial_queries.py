@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geom, shape
+from ..functions.validity import shape_key
 from ..operators import checks, dedup, merge, spatial, units
 from .catalog import query
 from .fixtures import OUTLINE, ctes, fixture, shapes
@@ -94,33 +95,51 @@ def wkt_wkb(spark, d):
     return rows.select("id", geom.area(F.col("rings")[0]).alias("wkt_area"), geom.area(geom.drop_z(F.col("back")[0])).alias("wkb_area"), F.size(F.col("back")[0]).alias("n_points"), "n_bytes")
 
 
-KINDS = "CASE k%50 WHEN 0 THEN 'null' WHEN 1 THEN 'invalid' WHEN 2 THEN 'empty' WHEN 3 THEN 'invalid' ELSE 'valid' END"
+KINDS = "CASE WHEN k%50 = 0 THEN 'null' WHEN k%50 = 2 THEN 'empty' WHEN k%50 < 8 THEN 'invalid' ELSE 'valid' END"
 
 
 def spoilt(spark, d):
-    """Footprints of which some are null, flat, empty or cross themselves."""
+    """Footprints of which some are null, flat, empty, cross themselves, have a spike, touch themselves, run along an edge again or are open; one in fifty repeats a point."""
     box = geom.rectangle(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")])
     flat = geom.rectangle(F.col("xmin"), F.col("ymin"), F.col("xmin"), F.col("ymax"))
     kind = F.col("k") % 50
-    made = F.when(kind == 0, F.lit(None)).when(kind == 1, flat).when(kind == 2, F.slice(box, 1, 0)).when(kind == 3, F.array(box[0], box[2], box[1], box[3], box[0])).otherwise(box)
-    return fixture(spark, d, "fx_gov").select("id", "k", "source_file", made.alias("ring"))
+    made = F.when(kind == 0, F.lit(None)).when(kind == 1, flat).when(kind == 2, F.slice(box, 1, 0)).when(kind == 3, F.array(box[0], box[2], box[1], box[3], box[0]))
+    y = F.col("ymin")
+    made = made.when(kind == 4, F.array(box[0], box[1], geom.point(F.col("xmax") + 5, y), box[1], box[2], box[3], box[0]))
+    made = made.when(kind == 5, F.array(box[0], box[1], box[2], geom.point((F.col("xmin") + F.col("xmax")) / 2, y), box[3], box[0]))
+    made = made.when(kind == 6, F.array(box[0], box[1], box[2], box[3], box[2], box[3], box[0])).when(kind == 7, F.slice(box, 1, 4))
+    made = made.when(kind == 8, F.array(box[0], box[1], box[1], box[2], box[3], box[0])).otherwise(box)
+    return fixture(spark, d, "fx_gov").select("id", "k", "source_file", F.array(made).alias("shape"))
 
 
 @query("g07_kept_geometries", ctes("fx_gov") + f"SELECT {KINDS} AS status, count(*) AS n, list(id ORDER BY id) FILTER (WHERE {KINDS} <> 'valid') AS ids, count(*) FILTER (WHERE {KINDS} = 'valid') AS kept FROM fx_gov GROUP BY 1")
 def validity(spark, d):
-    rows, bad = checks.kept_geometries(spoilt(spark, d), "id", "ring")
+    rows, bad = checks.kept_geometries(spoilt(spark, d), "id", "shape")
     kept = rows.agg(F.count("*").alias("kept")).select(F.lit("valid").alias("status"), F.col("kept").alias("n"), F.lit(None).cast("array<string>").alias("ids"), "kept")
     return kept.unionByName(bad.withColumn("kept", F.lit(0).cast("long")))
 
 
+@query(
+    "w01_w13_equal_shapes",
+    ctes("fx_gov") + "SELECT id, k FROM fx_gov WHERE NOT (k % 3 = 1 AND height IS NULL) UNION ALL SELECT 'x' || id, k FROM fx_gov WHERE k % 3 = 1 AND height IS NULL",
+)
+def equal_shapes(spark, d):
+    """Of footprints that are there twice, written from another vertex, the other way round and in another order of parts, the row with fewer nulls stays."""
+    rows = shapes(spark, d, "fx_gov").select("id", "k", "shape", "height")
+    again = F.transform("shape", lambda r: F.reverse(F.concat(F.slice(r, F.lit(3), F.size(r)), F.slice(r, F.lit(2), F.lit(2)))))
+    copies = rows.where("k % 3 = 1").select(F.concat(F.lit("x"), "id").alias("id"), "k", F.reverse(again).alias("shape"), F.lit(1.0).alias("height"))
+    both = checks.stacked(rows, copies).withColumn("key", shape_key(F.col("shape")))
+    return dedup.fewest_nulls(both, "id", ["key"], ["height"], ["id"]).select("id", "k")
+
+
 @query(
     "a20_geometry_audit",
-    ctes("fx_gov").rstrip() + f", r AS (SELECT * FROM fx_gov UNION ALL SELECT * FROM fx_gov WHERE k % 7 = 0), x AS (SELECT * FROM r UNION ALL SELECT * REPLACE (k + 4 AS k) FROM fx_gov WHERE k % 11 = 0 AND k % 50 > 3 AND k % 50 < 40) SELECT source_file, count(*) AS n, count(*) FILTER (WHERE {KINDS} = 'null') AS n_null, count(*) FILTER (WHERE {KINDS} = 'empty') AS n_empty, count(*) FILTER (WHERE {KINDS} = 'invalid') AS n_invalid, count(*) - count(DISTINCT id || '/' || CAST(k AS VARCHAR)) AS n_repeated_rows, count(*) - count(DISTINCT id) AS n_repeated_ids FROM x GROUP BY 1",
+    ctes("fx_gov").rstrip() + f", r AS (SELECT * FROM fx_gov UNION ALL SELECT * FROM fx_gov WHERE k % 7 = 0), x AS (SELECT * FROM r UNION ALL SELECT * REPLACE (k + 4 AS k) FROM fx_gov WHERE k % 11 = 0 AND k % 50 > 8 AND k % 50 < 40) SELECT source_file, count(*) AS n, count(*) FILTER (WHERE {KINDS} = 'null') AS n_null, count(*) FILTER (WHERE {KINDS} = 'empty') AS n_empty, count(*) FILTER (WHERE {KINDS} = 'invalid') AS n_invalid, count(*) - count(DISTINCT id || '/' || CAST(k AS VARCHAR)) AS n_repeated_rows, count(*) - count(DISTINCT id) AS n_repeated_ids FROM x GROUP BY 1",
 )
 def geometry_audit(spark, d):
     rows = spoilt(spark, d)
-    again = rows.where("k % 11 = 0 and k % 50 > 3 and k % 50 < 40").withColumn("k", F.col("k") + 4)
-    return checks.geometry_audit(checks.stacked(rows, rows.where("k % 7 = 0"), again), "source_file", "id", "ring", ["id", "k"])
+    again = rows.where("k % 11 = 0 and k % 50 > 8 and k % 50 < 40").withColumn("k", F.col("k") + 4)
+    return checks.geometry_audit(checks.stacked(rows, rows.where("k % 7 = 0"), again), "source_file", "id", "shape", ["id", "k"])
 
 
 @query("g09_multi_parts", ctes("fx_gov") + "SELECT CASE WHEN p = 0 THEN id ELSE id || '_part_' || CAST(p AS VARCHAR) END AS id, (xmax-xmin)*(ymax-ymin) AS area FROM fx_gov, (VALUES (0),(1)) v(p)")

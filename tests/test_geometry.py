@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.functions import geom, shape
+from cadastra.functions.validity import ring_key, shape_key, validity
 from cadastra.operators import units
 
 SHAPES = {
@@ -38,10 +39,82 @@ def test_area_and_centroid(shapes):
 
 
 def test_validity(shapes):
-    v = values(shapes, geom.validity(F.col("ring")))
+    v = values(shapes.cache(), validity(F.array("ring")))
     assert v == {"square": "valid", "ell": "valid", "triangle": "valid", "bow": "invalid", "open": "invalid", "far": "valid"}
 
 
+FAULTS = {
+    "spike": "POLYGON ((0 0, 4 0, 9 0, 4 0, 4 4, 0 4, 0 0))",
+    "spike on a side": "POLYGON ((0 0, 4 0, 4 4, 2 4, 2 7, 2 4, 0 4, 0 0))",
+    "vertex on an edge": "POLYGON ((0 0, 4 0, 4 4, 2 0, 0 4, 0 0))",
+    "vertex on a slanted edge": "POLYGON ((0 0, 9 3, 9 9, 3 1, 0 9, 0 0))",
+    "edge twice": "POLYGON ((0 0, 4 0, 4 4, 0 4, 4 4, 0 4, 0 0))",
+    "eight": "POLYGON ((0 0, 2 2, 4 0, 4 4, 2 2, 0 4, 0 0))",
+    "flat": "POLYGON ((0 0, 4 0, 2 0, 0 0))",
+    "hole across": "POLYGON ((0 0, 9 0, 9 9, 0 9, 0 0), (5 5, 12 5, 12 6, 5 6, 5 5))",
+    "hole along": "POLYGON ((0 0, 9 0, 9 9, 0 9, 0 0), (5 5, 9 5, 9 6, 5 6, 5 5))",
+    "hole through corners": "POLYGON ((0 0, 4 4, 0 8, -4 4, 0 0), (-2 4, 4 4, 6 5, -2 4))",
+}
+SOUND = {
+    "point twice": "POLYGON ((0 0, 4 0, 4 0, 4 4, 0 4, 0 0))",
+    "straight on": "POLYGON ((0 0, 2 0, 4 0, 4 4, 0 4, 0 0))",
+    "hole": "POLYGON ((0 0, 9 0, 9 9, 0 9, 0 0), (2 2, 7 2, 7 7, 2 7, 2 2))",
+    "hole touches": "POLYGON ((0 0, 9 0, 9 9, 0 9, 0 0), (0 4, 2 2, 2 6, 0 4))",
+    "parts": "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 1, 0 0)), ((5 5, 7 5, 7 7, 5 7, 5 5)))",
+}
+
+
+def test_faults(spark):
+    rows = spark.createDataFrame([*FAULTS.items(), *SOUND.items(), ("none", None), ("empty", "POLYGON EMPTY")], "name string, wkt string")
+    made = rows.select("name", F.when(F.col("name") == "empty", F.from_json(F.lit("[]"), "array<array<struct<x:double,y:double>>>")).otherwise(shape.from_wkt(F.col("wkt"))).alias("shape")).cache()
+    assert values(made, validity(F.col("shape"))) == {k: "invalid" for k in FAULTS} | {k: "valid" for k in SOUND} | {"none": "null", "empty": "empty"}
+
+
+def test_faults_of_long_rings():
+    import time
+
+    import numpy as np
+
+    from cadastra.functions import validity as module
+
+    def ring(n, teeth=40):
+        t = np.linspace(0, 2 * math.pi, n, endpoint=False)
+        r = 5000 * (1 + 0.4 * np.cos(teeth * t))
+        v = np.stack([4e6 + r * np.cos(t), 3e6 + r * np.sin(t)], axis=1)
+        return np.vstack([v, v[:1]])
+
+    seconds = []
+    for n in (20_000, 80_000):
+        sound, touching, spiked = ring(n), ring(n), ring(n)
+        # a vertex moved onto an edge far along the ring
+        touching[100] = touching[n // 2]
+        spiked[n // 3] = spiked[n // 3 + 2]
+        began = time.process_time()
+        assert module._simple([sound])
+        seconds.append(time.process_time() - began)
+        assert not module._simple([touching]) and not module._simple([spiked])
+    assert seconds[1] < 10 * seconds[0] + 0.5
+    # cells find the same pairs as all pairs do
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        a, b = rng.uniform(0, 10, (200, 2)), rng.uniform(0, 10, (200, 2))
+        b = a + (b - a) * rng.choice([0.02, 0.3, 1.0], (200, 1)) * rng.choice([0.0, 1.0, 1.0], (200, 2))
+        i, j = module._near_pairs(a, b)
+        near = set(zip(i.tolist(), j.tolist(), strict=True))
+        x, y = np.triu_indices(200, 1)
+        meet = (module._turn(a[x], b[x], a[y]) * module._turn(a[x], b[x], b[y]) <= 0) & (module._turn(a[y], b[y], a[x]) * module._turn(a[y], b[y], b[x]) <= 0)
+        box = ((np.minimum(a[x], b[x]) <= np.maximum(a[y], b[y])) & (np.minimum(a[y], b[y]) <= np.maximum(a[x], b[x]))).all(axis=1)
+        assert set(zip(x[meet & box].tolist(), y[meet & box].tolist(), strict=True)) <= near
+
+
+def test_keys_of_equal_shapes(spark):
+    same = ["POLYGON ((0 0, 6 0, 6 2, 2 2, 2 6, 0 6, 0 0))", "POLYGON ((2 2, 6 2, 6 0, -0 0, 0 6, 2 6, 2 2))", "POLYGON ((6 2, 2 2, 2 6, 0 6, 0 0, 6 0, 6 0, 6 2))"]
+    rows = spark.createDataFrame([(t,) for t in [*same, SHAPES["square"], SHAPES["triangle"], None]], "t string").select("t", shape.from_wkt(F.col("t")).alias("s"))
+    got = {r.t: r.k for r in rows.select("t", shape_key(F.col("s")).alias("k")).collect()}
+    assert len({got[t] for t in same}) == 1 and len(set(got.values())) == 4 and got[None] is None
+    assert rows.where("t is null").select(ring_key(F.col("s")[0])).first()[0] is None
+
+
 def overlaps(spark, pairs, limits=("0", "0.2", "0.8")):
     rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string").repartition(2)
     made = rows.select("i", shape.from_wkt(F.col("a")).alias("a"), shape.from_wkt(F.col("b")).alias("b")).cache()
