@@ -223,3 +223,15 @@ def to_laea(lon: Column, lat: Column) -> Column:
 
 def cell(x: Column, size: float) -> Column:
     return F.floor(x / size).cast("long")
+
+
+def curve_key(x: Column, y: Column, size: float) -> Column:
+    """Place of a point's cell on a Z-shaped curve: bits of both cell numbers in turn, 31 of each; neighbours mostly have near keys."""
+
+    def spread(v: Column) -> Column:
+        v = (v + 2**30).bitwiseAND(F.lit(2**31 - 1))
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return spread(cell(x, size)).bitwiseOR(F.shiftleft(spread(cell(y, size)), 1))

@@ -17,8 +17,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import geom
+from .validity import near_pairs
 
 
 def _turned(ring: Column, left: Column) -> Column:
@@ -261,3 +263,42 @@ def overlap(a: Column, b: Column, limits: Sequence[str] = ("0",)) -> Column:
         return found.take(pc.if_else(there, pa.array(place), None))
 
     return run(a, b)
+
+
+def _union_area(rings: list) -> float:
+    """Area that any part covers: between neighbouring corners and crossings, edges lie one above the other, and what has a positive winding is covered."""
+    points = [np.array([(p["x"], p["y"]) for p in r]) for r in rings if len(r) > 1]
+    if not points:
+        return 0.0
+    origin = points[0][0]
+    a, b = (np.concatenate([(r - origin)[s] for r in points]) for s in (slice(None, -1), slice(1, None)))
+    flat = a[:, 0] != b[:, 0]
+    a, b = a[flat], b[flat]
+    if not len(a):
+        return 0.0
+    slope = (b[:, 1] - a[:, 1]) / (b[:, 0] - a[:, 0])
+    low, high, sign = np.minimum(a[:, 0], b[:, 0]), np.maximum(a[:, 0], b[:, 0]), np.sign(b[:, 0] - a[:, 0])
+    start = a[:, 1] - slope * a[:, 0]
+    i, j = near_pairs(a, b)
+    meet = (np.maximum(low[i], low[j]) < np.minimum(high[i], high[j])) & (slope[i] != slope[j])
+    i, j = i[meet], j[meet]
+    x = (start[j] - start[i]) / (slope[i] - slope[j])
+    x = x[(x > np.maximum(low[i], low[j])) & (x < np.minimum(high[i], high[j]))]
+    total, borders = 0.0, np.unique(np.concatenate([low, high, x]))
+    for x0, x1 in zip(borders, borders[1:]):
+        there = np.flatnonzero((low <= x0) & (high >= x1))
+        middle = a[there, 1] + ((x0 + x1) / 2 - a[there, 0]) * slope[there]
+        order = np.argsort(middle, kind="stable")
+        covered = np.cumsum(sign[there[order]])[:-1] > 0
+        total += (x1 - x0) * float(np.diff(middle[order])[covered].sum())
+    return total
+
+
+def union_area(shape: Column) -> Column:
+    """Area that the parts of a shape cover together, stretches that several of them cover counted once; null for a null shape."""
+
+    @F.arrow_udf(T.DoubleType())
+    def run(shapes: pa.Array) -> pa.Array:
+        return pa.array([None if s is None else _union_area(s) for s in shapes.to_pylist()], pa.float64())
+
+    return run(shape)

@@ -25,7 +25,7 @@ def _turn(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.sign(value)
 
 
-def _near_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def near_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs i < j of edges that may meet: all of a few, else those that pass through a common cell.
 
     There are about as many cells as edges, and an edge goes into those that it passes
@@ -97,7 +97,7 @@ def _simple(rings: list[np.ndarray]) -> bool:
         size.append(np.full(n, n))
     a, b = np.concatenate(starts), np.concatenate(ends)
     ring_of, place, size = np.concatenate(ring_of), np.concatenate(place), np.concatenate(size)
-    i, j = _near_pairs(a, b)
+    i, j = near_pairs(a, b)
     meet = ((np.minimum(a[i], b[i]) <= np.maximum(a[j], b[j])) & (np.minimum(a[j], b[j]) <= np.maximum(a[i], b[i]))).all(axis=1)
     i, j = i[meet], j[meet]
     same = ring_of[i] == ring_of[j]

@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-#: Ranges that a whole table is numbered in.
-RANGES = 200
+from ..sources.tables import sized, written
 
 
 def _first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column | str]) -> DataFrame:
@@ -25,9 +22,25 @@ def fewest_nulls(df: DataFrame, id: str, geometry: Sequence[str], attrs: Sequenc
     return _first(_first(df, [id], order), geometry, order)
 
 
-def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> Column:
-    """Running number from 0 within the group."""
-    return F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1
+def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "n") -> DataFrame:
+    """Column ``name``: the running number from 0 within the group, in order; a null group is one, too.
+
+    Rows are written by ranges of group and order, so a group of any size lies in
+    many ranges. Each range counts its rows by group; a group's earlier ranges
+    give where its numbers begin in the next. No task holds a whole group.
+    Rows that are equal in group and order are numbered as they come.
+    """
+    columns = [c for c in df.columns if c != name]
+    key = F.to_json(F.struct(*group)) if group else F.lit("")
+    keyed = df.repartitionByRange(*group, *order).withColumns({"_p": F.spark_partition_id(), "_g": key})
+    ranged = written(keyed, "ranges")
+    counts = ranged.groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_c"))
+    # a row for each range that a group is in, no more than there are shuffle partitions
+    before = F.sum("_c").over(Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    starts = written(counts.select("_g", "_p", F.coalesce(before, F.lit(0)).alias("_b")), "starts")
+    place = F.row_number().over(Window.partitionBy("_p", "_g").orderBy(*order)) - 1
+    out = ranged.withColumn("_at", place).join(sized(starts), ["_p", "_g"])
+    return out.select(*columns, (F.col("_b") + F.col("_at")).alias(name))
 
 
 def keep_largest(df: DataFrame, key: Sequence[str], value: str, tie: Sequence[str]) -> DataFrame:
@@ -89,13 +102,5 @@ def split_parts(df: DataFrame, n: int, order: Sequence[str], folder: str) -> Dat
 
 
 def row_numbers(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Column ``n``: the row's number from 0 in the whole table, which no task holds: places within ranges of a sort and their counts."""
-    ranged = df.repartitionByRange(RANGES, *order).withColumn("_p", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
-    counts = {r[0]: r[1] for r in ranged.groupBy("_p").agg(F.count(F.lit(1))).collect()}
-    before, total = [], 0
-    for p in sorted(counts):
-        before.append((p, total))
-        total += counts[p]
-    starts = df.sparkSession.createDataFrame(before, "_p int, _b long")
-    place = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
-    return ranged.withColumn("_at", place).join(F.broadcast(starts), "_p").select(*df.columns, (F.col("_b") + F.col("_at")).alias("n"))
+    """Column ``n``: the row's number from 0 in the whole table, which no task holds."""
+    return numbered(df, [], order)

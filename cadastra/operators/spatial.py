@@ -121,7 +121,10 @@ def grid_sum(points: DataFrame, value: str, size: float) -> DataFrame:
 
 
 def dissolve(parts: DataFrame, key: str) -> DataFrame:
-    """(key, n_parts, area, shape, overlapping): parts of a key as one shape, flagged if two have a common area."""
-    shapes = parts.groupBy(key).agg(F.flatten(F.collect_list("shape")).alias("shape"), F.count(F.lit(1)).alias("n_parts"), F.sum(shape.area(F.col("shape"))).alias("area"))
+    """(key, n_parts, area, shape, overlapping): parts of a key as one shape with the area that they cover together; flagged if two have a common area."""
+    shapes = parts.groupBy(key).agg(F.flatten(F.collect_list("shape")).alias("shape"), F.count(F.lit(1)).alias("n_parts"), F.sum(shape.area(F.col("shape"))).alias("total"))
     pairs = overlap_pairs(parts, parts).where((F.col(f"a_{key}") == F.col(f"b_{key}")) & (F.col("a_id") < F.col("b_id")))
-    return shapes.join(pairs.select(F.col(f"a_{key}").alias(key), F.lit(True).alias("overlapping")).distinct(), key, "left").withColumn("overlapping", F.coalesce("overlapping", F.lit(False)))
+    flagged = shapes.join(pairs.select(F.col(f"a_{key}").alias(key), F.lit(True).alias("overlapping")).distinct(), key, "left")
+    # only what overlaps needs the sweep
+    swept = flagged.withColumn("covered", shape.union_area(F.when(F.col("overlapping"), F.col("shape"))))
+    return swept.select(key, "n_parts", F.coalesce("covered", "total").alias("area"), "shape", F.coalesce("overlapping", F.lit(False)).alias("overlapping"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators import dedup
+from ..sources import tables
 from .catalog import query
 from .fixtures import ctes, fixture
 
@@ -159,8 +162,11 @@ def limited(spark, d):
 
 @query("p32_bbox_range", ctes("fx_release") + "SELECT id FROM fx_release WHERE xmin > 300 AND xmax < 1500 AND ymin > 100 AND ymax < 900")
 def bbox_range(spark, d):
-    box = F.struct("xmin", "ymin", "xmax", "ymax").alias("bbox")
-    return fixture(spark, d, "fx_release").select("id", box).where("bbox.xmin > 300 and bbox.xmax < 1500 and bbox.ymin > 100 and bbox.ymax < 900").select("id")
+    """The release written along a curve and read by a box: row groups elsewhere are not read."""
+    path = f"{tables.shared_folder(spark)}/release-{uuid.uuid4().hex}"
+    rows = fixture(spark, d, "fx_release").select("id", "region_id", "city_id", "geometry_source", F.struct("xmin", "ymin", "xmax", "ymax").alias("bbox"))
+    tables.write_release(rows, path, box="bbox", group_rows=500)
+    return tables.within_box(spark.read.parquet(path), 300, 100, 1500, 900).select("id")
 
 
 @query("p33_code_name", "SELECT p_partkey AS id, CAST(p_partkey AS VARCHAR) AS code, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_type END AS name FROM part")
@@ -216,14 +222,16 @@ def fewest_nulls(spark, d):
 )
 def numbered_ids(spark, d):
     rows = fixture(spark, d, "fx_release")
-    return rows.select(F.col("id").alias("old_id"), F.concat_ws("-", "city_id", dedup.numbered(rows, ["city_id"], ["k"])).alias("id"), F.concat_ws("-", F.lit("v1"), "region_id", dedup.numbered(rows, ["region_id"], ["k"])).alias("merge_id"))
+    rows = dedup.numbered(dedup.numbered(rows.select("id", "k", "city_id", "region_id"), ["city_id"], ["k"], "in_city"), ["region_id"], ["k"], "in_region")
+    return rows.select(F.col("id").alias("old_id"), F.concat_ws("-", "city_id", "in_city").alias("id"), F.concat_ws("-", F.lit("v1"), "region_id", "in_region").alias("merge_id"))
 
 
 @query("w04_running_ids", ctes("fx_gov") + "SELECT id AS old_id, source_file || '_' || CAST(row_number() OVER (PARTITION BY source_file ORDER BY k) - 1 AS VARCHAR) AS id FROM fx_gov")
 def running_ids(spark, d):
     """Ids of datasets without any: the source file and a running number."""
     rows = fixture(spark, d, "fx_gov")
-    return rows.select(F.col("id").alias("old_id"), F.concat_ws("_", "source_file", dedup.numbered(rows, ["source_file"], ["k"])).alias("id"))
+    rows = dedup.numbered(rows.select("id", "k", "source_file"), ["source_file"], ["k"])
+    return rows.select(F.col("id").alias("old_id"), F.concat_ws("_", "source_file", "n").alias("id"))
 
 
 @query("w05_duplicate_counts", "SELECT (SELECT count(*) FROM lineitem) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem)) AS n_distinct, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS n_keys")

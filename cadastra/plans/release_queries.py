@@ -328,13 +328,14 @@ def read_globs(spark, d):
     return tables.read_globs(spark, [f"{path}/F*.parquet", f"{path}/[MNO]1.parquet"]).select("id", "k")
 
 
-@query("s07_s08_s11_release_partitions", ctes("fx_release") + "SELECT id, region_id FROM fx_release WHERE region_id LIKE 'DE%'")
+@query("s07_s08_s11_release_partitions", ctes("fx_release") + "SELECT id, region_id FROM fx_release WHERE region_id LIKE 'DE%' OR region_id LIKE 'AT%'")
 def release_partitions(spark, d):
-    path, rows = _folder(spark), fixture(spark, d, "fx_release").select("id", "geometry_source", "city_id", "region_id")
-    tables.write_release(rows.where(~F.col("region_id").startswith("AT")), path)
-    done = spark.read.parquet(path)
-    tables.write_release(tables.missing_regions(rows, done), path)
-    return tables.read_partitions(spark, path, "DE").select("id", "region_id")
+    path, rows = _folder(spark), fixture(spark, d, "fx_release").select("id", "k", "geometry_source", "city_id", "region_id")
+    tables.write_regions(rows.where(~F.col("region_id").startswith("AT")), path)
+    # a region cut off half-way: rows without a mark
+    tables.write_release(rows.where(F.col("region_id").startswith("AT") & (F.col("k") % 2 == 0)), path)
+    tables.write_regions(rows, path)
+    return checks.stacked(*[tables.read_partitions(spark, path, c).select("id", "region_id") for c in ("DE", "AT")])
 
 
 @query("s03_wkt_csv", ctes("fx_gov") + "SELECT id, (xmax-xmin)*(ymax-ymin) AS area FROM fx_gov")

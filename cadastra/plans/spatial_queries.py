@@ -198,7 +198,7 @@ def distance(spark, d):
     return rows.select("point_id", "id", F.round(away, 6).alias("distance"), (away <= 20).alias("near"))
 
 
-@query("g17_dissolve_parts", ctes("fx_osm").rstrip() + f", o AS (SELECT a.k, sum({OVER}) AS shared FROM fx_osm a JOIN fx_osm b ON a.k = b.k AND a.id < b.id GROUP BY 1) SELECT g.k, count(*) AS n_parts, sum({AREA.format('g')}) AS area, coalesce(max(shared), 0) > 0 AS overlapping FROM fx_osm g LEFT JOIN o ON o.k = g.k GROUP BY 1")
+@query("g17_dissolve_parts", ctes("fx_osm").rstrip() + f", o AS (SELECT a.k, sum({OVER}) AS shared FROM fx_osm a JOIN fx_osm b ON a.k = b.k AND a.id < b.id GROUP BY 1) SELECT g.k, count(*) AS n_parts, sum({AREA.format('g')}) - coalesce(max(shared), 0) AS area, coalesce(max(shared), 0) > 0 AS overlapping FROM fx_osm g LEFT JOIN o ON o.k = g.k GROUP BY 1")
 def dissolve_parts(spark, d):
     return spatial.dissolve(shapes(spark, d, "fx_osm"), "k").select("k", "n_parts", "area", "overlapping")
 
@@ -260,8 +260,8 @@ def three_sources(spark, d):
     frames = [(name, shapes(spark, d, f"fx_{name}").withColumn("dataset", F.lit(name))) for name in ("gov", "osm", "msft")]
     out = merge.merge_sources([f for _, f in frames], means=("height",), modes=(), filling=1)
     out = out.join(units.assign_units(out, shapes(spark, d, "fx_lau"), "LAU_ID").select("id", "LAU_ID"), "id", "left")
-    number = dedup.numbered(out, ["LAU_ID"], ["k", "id"])
-    return out.select(F.col("id").alias("id_source"), "dataset", "height", F.concat(F.lit("v1-"), "LAU_ID", F.lit("-"), number).alias("id"))
+    out = dedup.numbered(out.select("id", "k", "dataset", "height", "LAU_ID"), ["LAU_ID"], ["k", "id"])
+    return out.select(F.col("id").alias("id_source"), "dataset", "height", F.concat(F.lit("v1-"), "LAU_ID", F.lit("-"), "n").alias("id"))
 
 
 @query("j07_j11_attribute_join", "SELECT o_orderkey AS id, o_totalprice AS price, largest FROM orders LEFT JOIN (SELECT l_orderkey, max(l_extendedprice) AS largest FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey")

@@ -6,9 +6,12 @@ import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geom import curve_key
+
 #: Rows of a row group: few, so that readers skip what a filter leaves out.
 GROUP_ROWS = 10_000
 
@@ -82,14 +85,28 @@ def read_catalog(spark: SparkSession, path: str, variables: tuple[str, ...], lis
     return df.withColumn("variables", F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())).drop(*variables)
 
 
-def write_release(df: DataFrame, folder: str, region: str = "region_id", order: tuple[str, ...] = ("geometry_source", "city_id", "id")) -> None:
-    """Zstd files by region, sorted so that filters on leading columns and boxes skip row groups; other regions stay.
+#: Width of the cells that the curve goes through.
+CURVE_CELL = 30.0
+
 
-    Rows are dealt by ranges of the order, so a large region is written by several tasks.
+def write_release(df: DataFrame, folder: str, region: str = "region_id", order: tuple[str, ...] = ("geometry_source", "city_id", "id"), box: str | None = None, group_rows: int = GROUP_ROWS) -> None:
+    """Zstd files by region, sorted so that filters on leading columns skip row groups; other regions stay.
+
+    With ``box``, the name of a struct of xmin and ymin, rows lie along a space-filling curve within
+    their region, so that a filter on a box reads the row groups near it. Rows are dealt by
+    ranges of the order, so a large region is written by several tasks.
     """
-    dealt = df.withColumn("nuts_id", F.col(region)).repartitionByRange("nuts_id", *order).sortWithinPartitions("nuts_id", *order)
+    rows = df.withColumn("nuts_id", F.col(region))
+    if box:
+        rows, order = rows.withColumn("_z", curve_key(F.col(f"{box}.xmin"), F.col(f"{box}.ymin"), CURVE_CELL)), ("_z", *order)
+    dealt = rows.repartitionByRange("nuts_id", *order).sortWithinPartitions("nuts_id", *order).drop("_z")
     out = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("nuts_id")
-    out.option("compression", "zstd").option("parquet.block.row.count.limit", GROUP_ROWS).parquet(folder)
+    out.option("compression", "zstd").option("parquet.block.row.count.limit", group_rows).parquet(folder)
+
+
+def within_box(df: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float, box: str = "bbox") -> DataFrame:
+    """Rows whose box lies inside of the limits, on fields that reach the reader's statistics."""
+    return df.where((F.col(f"{box}.xmin") > xmin) & (F.col(f"{box}.xmax") < xmax) & (F.col(f"{box}.ymin") > ymin) & (F.col(f"{box}.ymax") < ymax))
 
 
 def write_by_unit(geoms: DataFrame, attrs: DataFrame, folder: str, unit: str = "nuts3", id: str = "id") -> None:
@@ -97,9 +114,34 @@ def write_by_unit(geoms: DataFrame, attrs: DataFrame, folder: str, unit: str = "
     geoms.join(attrs, id).write.mode("overwrite").partitionBy(unit).parquet(folder)
 
 
-def missing_regions(df: DataFrame, done: DataFrame, region: str = "region_id") -> DataFrame:
-    """Rows of regions not written yet."""
-    return df.join(done.select(region).distinct(), region, "left_anti")
+#: Folder of the marks of regions that are complete; readers skip names with an underscore.
+DONE = "_done"
+
+
+def write_regions(df: DataFrame, folder: str, region: str = "region_id") -> None:
+    """The release of those regions that are not complete in ``folder`` yet, then a mark for each.
+
+    A region cut off half-way has rows but no mark, so it is written again, in place
+    of what there is of it; complete ones stay as they are.
+    """
+    rest = missing_regions(df, folder, region)
+    codes = written(rest.select(region).distinct(), "regions")
+    write_release(rest, folder)
+    codes.write.mode("append").parquet(f"{folder}/{DONE}")
+
+
+def done_regions(df: DataFrame, folder: str, region: str = "region_id") -> DataFrame:
+    """(region): those with a mark in ``folder``; none where nothing was written."""
+    try:
+        return df.sparkSession.read.parquet(f"{folder}/{DONE}").select(region).distinct()
+    except AnalysisException:
+        # there is no such folder yet
+        return df.select(region).where("false")
+
+
+def missing_regions(df: DataFrame, folder: str, region: str = "region_id") -> DataFrame:
+    """Rows of regions that are not complete in ``folder``."""
+    return df.join(done_regions(df, folder, region), region, "left_anti")
 
 
 def write_split(df: DataFrame, folder: str, attrs: tuple[str, ...], id: str = "id", geometry: str = "geometry") -> None:

@@ -32,3 +32,27 @@ def test_few_and_no_rows(spark, tmp_path):
 def test_row_numbers(spark):
     rows = dedup.row_numbers(spark.range(1000).select((F.col("id") * 7 % 1000).alias("k")), ["k"])
     assert all(r.k == r.n for r in rows.collect()) and rows.count() == 1000
+
+
+def test_numbers_within_groups_of_any_size(spark):
+    # one group holds most rows, one is null, one has a single row
+    group = F.when(F.col("id") % 10 < 7, "big").when(F.col("id") % 10 == 7, F.lit(None)).when(F.col("id") == 8, "one").otherwise(F.concat(F.lit("g"), (F.col("id") % 500).cast("string")))
+    rows = spark.range(20_000).select("id", group.alias("g"), (F.col("id") * 7919 % 20_011).alias("k"), F.lit("clash").alias("n")).repartition(5)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 24)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        out = dedup.numbered(rows, ["g"], ["k"])
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert out.columns == ["id", "g", "k", "n"]
+    by: dict = {}
+    for r in rows.collect():
+        by.setdefault(r.g, []).append((r.k, r.id))
+    want = {i: n for members in by.values() for n, (_, i) in enumerate(sorted(members))}
+    assert {r.id: r.n for r in out.collect()} == want
+    # the big group was numbered in many ranges, each read from a file of its own
+    files = spark.read.parquet(*[f for f in out.inputFiles() if "/ranges-" in f]).where("g = 'big'").select("_p").distinct()
+    assert files.count() > 12
+    assert dedup.numbered(rows.where("false"), ["g"], ["k"]).count() == 0

@@ -99,7 +99,7 @@ def test_faults_of_long_rings():
     for _ in range(20):
         a, b = rng.uniform(0, 10, (200, 2)), rng.uniform(0, 10, (200, 2))
         b = a + (b - a) * rng.choice([0.02, 0.3, 1.0], (200, 1)) * rng.choice([0.0, 1.0, 1.0], (200, 2))
-        i, j = module._near_pairs(a, b)
+        i, j = module.near_pairs(a, b)
         near = set(zip(i.tolist(), j.tolist(), strict=True))
         x, y = np.triu_indices(200, 1)
         meet = (module._turn(a[x], b[x], a[y]) * module._turn(a[x], b[x], b[y]) <= 0) & (module._turn(a[y], b[y], a[x]) * module._turn(a[y], b[y], b[x]) <= 0)
@@ -262,6 +262,25 @@ def test_overlap_of_odd_shapes(spark):
     assert overlaps(spark, rows[:1])[0] is None
 
 
+def test_union_of_overlapping_parts(spark):
+    from cadastra.operators import spatial
+
+    square = "((0 0, 4 0, 4 4, 0 4, 0 0))"
+    texts = {
+        24: f"MULTIPOLYGON ({square}, ((2 0, 6 0, 6 4, 2 4, 2 0)))",
+        16: f"MULTIPOLYGON ({square}, {square}, ((1 1, 2 1, 2 2, 1 2, 1 1)))",
+        28: f"MULTIPOLYGON ({square}, ((2 2, 6 2, 6 6, 2 6, 2 2)))",
+        # a diamond over a square: its corners stick out by four triangles of area 1
+        20: f"MULTIPOLYGON ({square}, ((2 -1, 5 2, 2 5, -1 2, 2 -1)))",
+        56: COURT,
+        57: "MULTIPOLYGON (((0 0, 9 0, 9 9, 0 9, 0 0), (2 2, 7 2, 7 7, 2 7, 2 2)), ((4 4, 5 4, 5 5, 4 5, 4 4)))",
+    }
+    rows = spark.createDataFrame([*texts.items(), (0, "POLYGON EMPTY")], "want int, t string").select("want", shape.from_wkt(F.col("t")).alias("s")).cache()
+    assert {r.want: round(r.a, 9) for r in rows.select("want", shape.union_area(F.col("s")).alias("a")).collect()} == {k: float(k) for k in [*texts, 0]}
+    parts = boxed(spark, [("a", f"POLYGON {square}"), ("b", "POLYGON ((2 0, 6 0, 6 4, 2 4, 2 0))")]).withColumn("k", F.lit(1))
+    assert [(r.n_parts, r.area, r.overlapping) for r in spatial.dissolve(parts, "k").collect()] == [(2, 24.0, True)]
+
+
 def test_building_in_a_courtyard_does_not_match(spark):
     from cadastra.operators import spatial
 
