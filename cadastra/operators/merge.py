@@ -84,14 +84,23 @@ def merge_weighted(pairs: DataFrame) -> DataFrame:
 def merge_dominant(pairs: DataFrame) -> DataFrame:
     """Category with the largest share of overlap, ties to the first by name; nulls take no part.
 
-    ``pairs``: id, source_id, value, overlap, area. Confidence is clipped to [0, 1].
+    ``pairs``: id, source_id, value, overlap, area. Confidence is clipped to [0, 1]. The
+    lists hold the sources of that category, by source id, and their values.
     """
-    by = pairs.where("value is not null").groupBy("id", "value").agg(
-        F.try_divide(F.sum("overlap"), F.max("area")).alias("share"), F.sort_array(F.collect_list("source_id")).alias("source_ids")
-    )
-    best = by.groupBy("id").agg(F.min(F.struct(-F.col("share"), "value", "source_ids")).alias("b"))
-    share = F.least(F.greatest(-F.col("b.col1"), F.lit(0.0)), F.lit(1.0))
-    return best.select("id", F.col("b.value").alias("merged"), share.alias("confidence"), F.col("b.source_ids").alias("source_ids"))
+    lists = F.sort_array(F.collect_list(F.struct("source_id", "value")))
+    by = pairs.where("value is not null").groupBy("id", "value").agg(F.try_divide(F.sum("overlap"), F.max("area")).alias("share"), lists.alias("l"))
+    best = by.groupBy("id").agg(F.min(F.struct((-F.col("share")).alias("less"), "value", "l")).alias("b"))
+    share = F.least(F.greatest(-F.col("b.less"), F.lit(0.0)), F.lit(1.0))
+    return best.select("id", F.col("b.value").alias("merged"), share.alias("confidence"), F.col("b.l.source_id").alias("source_ids"), F.col("b.l.value").alias("source_values"))
+
+
+def merge_residential(pairs: DataFrame, detail: str = "detail") -> DataFrame:
+    """The dominant residential detail of those ids whose dominant category is residential; as :func:`merge_dominant`.
+
+    ``pairs`` as there, with the category in value and the detail in a column of its own.
+    """
+    residential = merge_dominant(pairs).where("merged = 'residential'").select("id")
+    return merge_dominant(pairs.withColumn("value", F.col(detail)).join(residential, "id", "left_semi"))
 
 
 def as_binary(value: Column) -> Column:

@@ -339,15 +339,15 @@ def unit_table(spark, d):
     return out.select("LAU_ID", "NUTS_ID_3", "CNTR_CODE", F.coalesce("known", F.lit(False)).alias("known"))
 
 
-MATCHED = ctes("fx_gov", "fx_osm", "fx_crosswalk").rstrip() + ",\n" + _pairs("fx_gov", "fx_osm") + f""", q AS (SELECT a_id AS id, b_id AS source_id, overlap, {AREA.format('g')} AS area, o.height, x.type FROM pairs JOIN fx_gov g ON g.id = a_id JOIN fx_osm o ON o.id = b_id LEFT JOIN fx_crosswalk x ON x.type_source = o.type_source WHERE overlap > 0)"""
+MATCHED = ctes("fx_gov", "fx_osm", "fx_crosswalk").rstrip() + ",\n" + _pairs("fx_gov", "fx_osm") + f""", q AS (SELECT a_id AS id, b_id AS source_id, overlap, {AREA.format('g')} AS area, o.height, x.type, x.residential_type AS detail FROM pairs JOIN fx_gov g ON g.id = a_id JOIN fx_osm o ON o.id = b_id LEFT JOIN fx_crosswalk x ON x.type_source = o.type_source WHERE overlap > 0)"""
 
 
 def _matched(spark, d):
     a, b = shapes(spark, d, "fx_gov"), shapes(spark, d, "fx_osm")
-    types = F.broadcast(fixture(spark, d, "fx_crosswalk").select(F.col("type_source").alias("b_type_source"), "type"))  # a row per raw code
+    types = F.broadcast(fixture(spark, d, "fx_crosswalk").select(F.col("type_source").alias("b_type_source"), "type", F.col("residential_type").alias("detail")))  # a row per raw code
     pairs = spatial.overlap_pairs(a, b).join(types, "b_type_source", "left")
     area = shape.area(F.col("a_shape"))
-    return pairs.select(F.col("a_id").alias("id"), F.col("b_id").alias("source_id"), "overlap", area.alias("area"), F.col("b_height").alias("height"), "type")
+    return pairs.select(F.col("a_id").alias("id"), F.col("b_id").alias("source_id"), "overlap", area.alias("area"), F.col("b_height").alias("height"), "type", "detail")
 
 
 @query("j17_p23_source_values", MATCHED + " SELECT id, list(source_id ORDER BY source_id) AS source_ids, list(height ORDER BY source_id) AS source_values, min(height) AS lower, max(height) AS upper FROM q WHERE height IS NOT NULL GROUP BY id")
@@ -370,10 +370,26 @@ def merge_weighted(spark, d):
 DOMINANT = """ SELECT id, merged, round(least(greatest(share,0),1) + 1e-9, 6) AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(share,9) DESC, merged) AS r FROM (SELECT id, {v} AS merged, sum(overlap)/max(area) AS share FROM q WHERE type IS NOT NULL GROUP BY 1, 2)) WHERE r = 1"""
 
 
-@query("j19_merge_dominant", MATCHED + DOMINANT.format(v="type"))
+def _dominant(value: str, name: str) -> str:
+    """The dominant value of each id with the lists behind it, as a table of that name."""
+    lists = f"list(source_id ORDER BY source_id) AS source_ids, list({value} ORDER BY source_id) AS source_values"
+    return f"{name} AS (SELECT id, merged, round(least(greatest(share,0),1) + 1e-9, 6) AS confidence, source_ids, source_values FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(share,9) DESC, merged) AS r FROM (SELECT id, {value} AS merged, sum(overlap)/max(area) AS share, {lists} FROM q WHERE {value} IS NOT NULL GROUP BY 1, 2)) WHERE r = 1)"
+
+
+LISTED = ("id", "merged", "source_ids", "source_values")
+
+
+@query("j19_merge_dominant", MATCHED + ", " + _dominant("type", "t") + " SELECT * FROM t")
 def merge_dominant(spark, d):
     out = merge.merge_dominant(_matched(spark, d).withColumn("value", F.col("type")))
-    return out.select("id", "merged", six("confidence").alias("confidence"))
+    return out.select(*LISTED, six("confidence").alias("confidence"))
+
+
+@query("j19_residential_detail", MATCHED + ", " + _dominant("type", "t") + ", " + _dominant("detail", "r") + " SELECT * FROM r WHERE id IN (SELECT id FROM t WHERE merged = 'residential')")
+def residential_detail(spark, d):
+    """The residential detail where the dominant category is residential."""
+    out = merge.merge_residential(_matched(spark, d).withColumn("value", F.col("type")))
+    return out.select(*LISTED, six("confidence").alias("confidence"))
 
 
 @query("j20_merge_binary", MATCHED + DOMINANT.format(v="CASE WHEN type = 'residential' THEN 'residential' ELSE 'non-residential' END"))
