@@ -32,6 +32,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other rows of every vector whose id is divisible by 20; see :func:`nearest` on vectors that take no part."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
     return nearest(vectors, F.col("id") % 20 == 0)
 
@@ -40,6 +41,7 @@ SHARDS = 40
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of even bytes; a null text has 16 bytes, equal texts may lie apart."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + SIZE_OVERHEAD
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     rows = _documents(spark, sf_dir, "text").select("doc_id", size.cast("long").alias("size"), crc.alias("text_crc32"))
@@ -48,6 +50,7 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without words of windows that start elsewhere, too; null and empty texts have no words."""
     out = remove_repeats(_documents(spark, sf_dir, "text"), keep_text=False)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -61,10 +64,12 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy pieces of every document; a null text has none."""
     return piece_counts(_documents(spark, sf_dir, "text"), word_vocabulary()).select("doc_id", "n_words", "n_pieces")
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component; null texts and texts without words are alone."""
     return jaccard_components(_documents(spark, sf_dir, "text")).select("doc_id", "n_shingles", "component_id")
 
 
@@ -81,11 +86,13 @@ def op8_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences; a null text is one end id."""
     out = pack_documents(_documents(spark, sf_dir, "text"), word_vocabulary())
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document, null and empty texts included; labels of held-out ids are not learnt from."""
     docs = _documents(spark, sf_dir, "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out("doc_id"))
     out = score(docs, train(docs, labels))

@@ -11,7 +11,7 @@ node of depth ``window - j`` whose members also share ``j`` words to the left
 is a repeat. A group too large for memory gets the longest prefix there is, the
 whole window: its members then lie in one deep node and are only counted.
 
-Words are compared by 64-bit hashes; chance equality is about 5e-20 a pair.
+Words are compared by 64-bit hashes; two different windows are alike for at most one in 2^55 choices of their random factors (:mod:`.words`).
 """
 
 from __future__ import annotations
