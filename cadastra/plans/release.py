@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean, geom
-from ..operators import merge
+from ..operators import dedup, merge
 
 #: Codes that one dataset uses for several types.
 AMBIGUOUS = ("Civile", "Civile1")
@@ -96,6 +96,12 @@ def released(df: DataFrame) -> DataFrame:
     )
 
 
+def with_ids(release: DataFrame, block: str = "block_id", order: tuple[str, ...] = ("geometry_source_id",)) -> DataFrame:
+    """The published table with ids of its own: the block and a running number in it; null where a row has no block."""
+    numbered = dedup.numbered(release, [block], order, "_number")
+    return numbered.withColumn("id", F.concat(F.col(block), F.lit("-"), F.col("_number"))).drop("_number")
+
+
 def lat_lon(release: DataFrame) -> DataFrame:
     """The published table without geometry, with footprint area and the centroid in degrees."""
     c = geom.centroid(F.col("geometry"))

@@ -93,6 +93,13 @@ def release_table(spark: SparkSession, d: str) -> DataFrame:
     return out.select(*PLAIN, *[F.when(F.size(c) > 0, F.array_join(c, ",")).alias(c) for c in LISTS], *[F.col(c).cast("double").alias(c) for c in NUMBERS], geom.area(F.col("geometry")).alias("area"), F.col("bbox.xmin").alias("xmin"))
 
 
+@query("e1_w02_release_ids", RESOLVED + ", b AS (SELECT geometry_source_id, city_id, city_id || 'b' || right(geometry_source_id, 1) AS block_id FROM r) SELECT geometry_source_id, city_id, block_id, block_id || '-' || CAST(row_number() OVER (PARTITION BY block_id ORDER BY geometry_source_id) - 1 AS VARCHAR) AS id FROM b")
+def release_ids(spark, d):
+    """The published table with blocks and ids numbered in them; buildings of predictions alone have neither."""
+    rows = _release(spark, d).withColumn("block_id", F.concat("city_id", F.lit("b"), F.right("geometry_source_id", F.lit(1))))
+    return release.with_ids(rows.drop("geometry", "bbox")).select("geometry_source_id", "city_id", "block_id", "id")
+
+
 _B0, _RQ, _D, _E2 = geom._B0, geom._RQ, geom._D, geom._E2
 LAT_LON = f"""c AS (SELECT id, area, xmin + (xmax-xmin)/2 AS x, ymin + (ymax-ymin)/2 AS y FROM (SELECT id, xmin, xmax, ymin, ymax, (xmax-xmin)*(ymax-ymin) AS area FROM conflated)),
  q AS (SELECT *, sqrt(power((x - {geom._X0})/{_D}, 2) + power({_D}*(y - {geom._Y0}), 2)) AS rho FROM c),
