@@ -223,6 +223,11 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY, sla
     Ties are dealt as they come. Sequences are numbered by the least whole number
     that their items have in column ``order``; items near to each other in it are
     packed together. Without it the numbers of sequences mean nothing.
+
+    After a round, no two bins of a partition fit together, so at most one of
+    them is half empty, and bins that are not cannot join each other. Partitions
+    are merged until each has MERGE_ITEMS underfull bins; the rounds left out then
+    could save one sequence a partition at most.
     """
     spark = items.sparkSession
     rest = [c for c in items.columns if c not in ("sequence_id", "offset")]
@@ -233,19 +238,19 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY, sla
     wanted = max(1, -(-items.count() // MERGE_ITEMS))
     # without an order, neighbouring rows, of like lengths perhaps, go to different partitions
     bins = bins.repartitionByRange(wanted, "first").sortWithinPartitions("first") if order else bins.repartition(wanted)
-    done, open_rows, parts = None, None, None
+    done, parts, window = None, wanted, WINDOW_ITEMS if order else None
     while True:
-        bins = written(bins.mapInPandas(_packed(capacity, WINDOW_ITEMS if order and parts is None else None), schema), "bins")
+        bins = written(bins.mapInPandas(_packed(capacity, window), schema), "bins")
         full = bins.where(F.col("used") >= capacity - slack)
         done = full if done is None else done.unionByName(full)
         bins = bins.where(F.col("used") < capacity - slack)
         rows = bins.count()
-        if rows == 0 or parts == 1 or (open_rows is not None and rows > 0.9 * open_rows):
+        merged = max(1, -(-rows // MERGE_ITEMS), -(-parts // FAN_IN))
+        # after windows, which leave a bin each, partitions are packed once as wholes
+        if rows == 0 or (merged >= parts and not window):
             done = done.unionByName(bins)
             break
-        wanted = max(1, -(-rows // MERGE_ITEMS))
-        parts = wanted if parts is None else max(1, min(wanted, -(-parts // FAN_IN)) if wanted < parts else wanted)
-        open_rows = rows
+        parts, window = merged, None
         # bins of every fill go to every partition, so that each can complete others
         bins = bins.repartition(parts)
     done = done.orderBy("first") if order else done

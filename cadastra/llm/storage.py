@@ -27,6 +27,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As :func:`written`, in spark.sql.shuffle.partitions buckets of ``key``: joins on it do not move these rows."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/{table}")
+    writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).saveAsTable(table)
+    return spark.table(table)
+
+
 #: Rows of texts that go to a Python worker at once.
 BATCH_ROWS = 1000
 

@@ -8,8 +8,11 @@ a leaf and needs no tree. A prefix group that fits in memory becomes a subtree:
 its suffixes are sorted by words and neighbouring common-prefix lengths give
 the internal nodes; the words left of the sample are sorted the same way, so a
 node of depth ``window - j`` whose members also share ``j`` words to the left
-is a repeat. A group too large for memory gets the longest prefix there is, the
-whole window: its members then lie in one deep node and are only counted.
+is a repeat. The windows of a group too large for memory are sampled again by a
+prefix half as long again (8, 12, 18, 27 words), which splits the group; equal
+windows stay together, as they sample alike each time. Where 27 words still
+leave a group too large, the prefix is the window itself: its group is one node
+of full depth, and its members are counted with partial sums.
 
 Words are compared by 64-bit hashes; two different windows are alike for at most one in 2^55 choices of their random factors (:mod:`.words`).
 """
@@ -18,13 +21,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import distinct_texts, text_batches, text_key
+from .storage import bucketed, distinct_texts, sized, text_batches, text_key, written
 from .words import Words, chunks
 
 WINDOW = 35
@@ -40,9 +44,16 @@ _WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("key", pa.binary(
 _SPANS = pa.schema([("key", pa.binary()), ("first", pa.int32()), ("last", pa.int32())])
 
 
-def sampled(words: Words, window: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sampled positions, their prefix hashes, and the range of window starts each stands for."""
-    starts = words.whole(window)
+def prefix_lengths(window: int, prefix: int) -> list[int]:
+    """Words of the prefixes tried one after the other, all shorter than the window."""
+    lengths = [prefix]
+    while lengths[-1] * 3 // 2 < window:
+        lengths.append(max(lengths[-1] + 1, lengths[-1] * 3 // 2))
+    return lengths
+
+
+def sampled(words: Words, starts: np.ndarray, window: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sampled positions of the windows at ``starts``, their prefix hashes, and the range of starts each stands for."""
     if not len(starts):
         none = np.zeros(0, np.int64)
         return none, np.zeros(0, np.int64), none, none
@@ -68,12 +79,36 @@ def _binary(keys: pa.Array, rows: np.ndarray) -> pa.Array:
     return keys.take(pa.array(rows))
 
 
-def _sample_rows(window: int, prefix: int) -> Callable:
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All numbers from each low to its high."""
+    counts = high - low + 1
+    return np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _samples(part: pa.RecordBatch, words: Words, window: int, lengths: list[int]) -> tuple[np.ndarray, ...]:
+    """Samples of a chunk by the last of the prefix lengths.
+
+    Each length before it leaves the windows open whose samples stand in the row's
+    list ``at0``, ``at1``, ...; a list of the last length picks its samples.
+    """
+    starts = words.whole(window)
+    for level, prefix in enumerate(lengths):
+        found = sampled(words, starts, window, prefix)
+        if f"at{level}" in part.schema.names:
+            lists = part.column(f"at{level}")
+            listed = np.repeat(words.bounds[:-1], np.diff(np.asarray(lists.offsets))) + np.asarray(lists.flatten())
+            keep = np.isin(found[0], listed)
+            found = tuple(c[keep] for c in found)
+        starts = _ranges(found[2], found[3])
+    return found
+
+
+def _sample_rows(window: int, lengths: list[int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 words = Words(part.column("text"))
-                pos, hashes, _, _ = sampled(words, window, prefix)
+                pos, hashes, _, _ = _samples(part, words, window, lengths)
                 rows = words.rows[pos]
                 offsets = (pos - words.bounds[rows]).astype(np.int32)
                 yield pa.record_batch([pa.array(hashes), _binary(part.column("key"), rows), pa.array(offsets)], schema=_SAMPLES)
@@ -81,22 +116,12 @@ def _sample_rows(window: int, prefix: int) -> Callable:
     return run
 
 
-def _kept_samples(part: pa.RecordBatch, words: Words, window: int, prefix: int):
-    """Samples of a chunk whose word position stands in the row's list ``at``."""
-    pos, hashes, low, high = sampled(words, window, prefix)
-    lists = part.column("at")
-    counts = np.diff(np.asarray(lists.offsets))
-    listed = np.repeat(words.bounds[:-1], counts) + np.asarray(lists.flatten())
-    keep = np.isin(pos, listed)
-    return pos[keep], hashes[keep], low[keep], high[keep]
-
-
-def _segment_rows(window: int, prefix: int) -> Callable:
+def _segment_rows(window: int, lengths: list[int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 words = Words(part.column("text"))
-                pos, hashes, low, high = _kept_samples(part, words, window, prefix)
+                pos, hashes, low, high = _samples(part, words, window, lengths)
                 if not len(pos):
                     continue
                 raw, rows = words.data.tobytes(), words.rows[pos]
@@ -116,16 +141,15 @@ def _segment_rows(window: int, prefix: int) -> Callable:
     return run
 
 
-def _window_rows(window: int, prefix: int) -> Callable:
+def _window_rows(window: int, lengths: list[int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 words = Words(part.column("text"))
-                _, _, low, high = _kept_samples(part, words, window, prefix)
+                _, _, low, high = _samples(part, words, window, lengths)
                 if not len(low):
                     continue
-                counts = high - low + 1
-                starts = np.repeat(low - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
+                starts = _ranges(low, high)
                 rows = words.rows[starts]
                 yield pa.record_batch(
                     [
@@ -218,24 +242,35 @@ def _trees(window: int, prefix: int) -> Callable:
 def repeated_spans(texts: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Spans of words covered by repeats: key, first, last (exclusive).
 
-    ``texts`` comes from :func:`distinct_texts`. A text with copies repeats itself
-    as a whole and is left to the caller; here each distinct text counts once.
-    Spans of a text may touch or overlap.
+    ``texts`` has key, text and copies as :func:`distinct_texts` gives them, best
+    bucketed by key, as it is read once for each prefix length in use. A text with
+    copies repeats itself as a whole and is left to the caller; here each distinct
+    text counts once. Spans of a text may touch or overlap.
     """
-    samples = texts.mapInArrow(_sample_rows(window, prefix), "prefix long, key binary, pos int")
-    sizes = samples.groupBy("prefix").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = samples.join(sizes, "prefix")
-
-    def listed(rows: DataFrame) -> DataFrame:
-        lists = rows.groupBy("key").agg(F.collect_list("pos").alias("at"))
-        return texts.join(lists, "key").select("key", "text", "copies", "at")
-
-    segments = listed(shared.where(F.col("size") <= group_rows)).mapInArrow(_segment_rows(window, prefix), "prefix long, key binary, first int, lead int, starts int, body string")
-    small = segments.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_trees(window, prefix), "key binary, first int, last int")
-    windows = listed(shared.where(F.col("size") > group_rows)).mapInArrow(_window_rows(window, prefix), "w1 long, w2 long, key binary, first int")
-    deep = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
-    large = windows.join(deep, ["w1", "w2"]).select("key", "first", (F.col("first") + window).alias("last"))
-    return small.unionByName(large)
+    lengths, lists, found = prefix_lengths(window, prefix), None, []
+
+    def listed(rows: DataFrame, level: int) -> DataFrame:
+        own = rows.groupBy("key").agg(F.collect_list("pos").alias(f"at{level}"))
+        return own if lists is None else own.join(lists, "key")
+
+    for level in range(len(lengths)):
+        used = lengths[: level + 1]
+        open_ = texts.select("key", "text") if lists is None else texts.join(lists, "key").drop("copies")
+        samples = written(open_.mapInArrow(_sample_rows(window, used), "prefix long, key binary, pos int"), "samples")
+        sizes = written(samples.groupBy("prefix").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+        # one large prefix for every group_rows samples at most, so the rest has no hot key
+        large = sized(sizes.where(F.col("size") > group_rows).select("prefix"))
+        small = samples.join(large, "prefix", "left_anti").join(sizes.where(F.col("size") <= group_rows).select("prefix"), "prefix", "left_semi")
+        segments = texts.join(listed(small, level), "key").drop("copies").mapInArrow(_segment_rows(window, used), "prefix long, key binary, first int, lead int, starts int, body string")
+        found.append(segments.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_trees(window, used[-1]), "key binary, first int, last int"))
+        if large.isEmpty():
+            break
+        lists = written(listed(samples.join(large, "prefix", "left_semi"), level), "lists")
+    else:
+        windows = texts.join(lists, "key").drop("copies").mapInArrow(_window_rows(window, lengths), "w1 long, w2 long, key binary, first int")
+        deep = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+        found.append(windows.join(deep, ["w1", "w2"]).select("key", "first", (F.col("first") + window).alias("last")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _removed_rows(window: int, rest: int, texts_out: bool) -> Callable:
@@ -282,11 +317,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, ke
     Columns of ``docs`` stay, whatever their names, the text itself only with
     ``keep_text`` (a string then); result columns replace columns of the same names.
 
-    Rows without their text go to the one shuffle of distinct texts, so texts
-    are moved once.
+    Distinct texts are shuffled once and written in buckets of their key; rows
+    and lists come to the buckets, so texts are not moved again.
     """
     text_batches(docs)
-    texts = distinct_texts(docs, text)
+    texts = bucketed(distinct_texts(docs, text), "texts", "key")
     spans = repeated_spans(texts, window).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     marked = texts.join(spans, "key", "left").select("key", "text", "copies", "spans")
     names = ("n_words", "n_removed", "kept_sha256", "kept_text")
