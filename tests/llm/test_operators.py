@@ -51,7 +51,7 @@ def words(text):
     return WORD.findall(text or "")
 
 
-@pytest.mark.parametrize("group_rows", [substring_dedup.GROUP_ROWS, 1])
+@pytest.mark.parametrize("group_rows", [substring_dedup.GROUP_ROWS, 3, 1])
 def test_substring_dedup(docs, none, monkeypatch, group_rows):
     monkeypatch.setattr(substring_dedup.repeated_spans, "__defaults__", (substring_dedup.WINDOW, substring_dedup.PREFIX, group_rows))
     count = collections.Counter(tuple(w[i : i + 35]) for w in map(words, TEXTS) for i in range(len(w) - 34))
@@ -132,6 +132,26 @@ def test_sharding(docs, none, spark):
     assert sharding.shard_by_bytes(none.withColumn("size", F.lit(1)), "size", "doc_id", 4).count() == 0
 
 
+def test_groups_split_by_longer_prefixes(spark, monkeypatch):
+    """Texts share 8, 14, 20, 30 or 50 words; groups of more than 6 suffixes go to the next prefix length."""
+    random = np.random.default_rng(3)
+    shared = [f"c{i}" for i in range(50)]
+    texts = []
+    for i in range(60):
+        n = [8, 14, 20, 30, 50][i % 5]
+        own = [f"u{x}" for x in random.integers(0, 4000, 60)]
+        texts.append(" ".join(own[:20] + shared[:n] + own[20 : 20 + int(random.integers(5, 40))] + shared[: n // 2]))
+    count = collections.Counter(tuple(w[i : i + 35]) for w in map(words, texts) for i in range(len(w) - 34))
+    want = {}
+    for i, t in enumerate(texts):
+        w = words(t)
+        want[i] = len({p + q for p in range(len(w) - 34) if count[tuple(w[p : p + 35])] > 1 for q in range(35)})
+    monkeypatch.setattr(substring_dedup.repeated_spans, "__defaults__", (substring_dedup.WINDOW, substring_dedup.PREFIX, 6))
+    out = substring_dedup.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+    assert {r.doc_id: r.n_removed for r in out.collect()} == want
+    assert substring_dedup.prefix_lengths(35, 8) == [8, 12, 18, 27]
+
+
 def test_packing(docs, none):
     from tokenizers import Tokenizer
 
