@@ -5,8 +5,12 @@ same length and the largest inner product is the nearest. The graph starts from
 brute force within small groups cut by random projections; then each round joins
 the neighbours of every node with each other, and pairs that beat a node's worst
 neighbour enter its list. An edge stays fresh at either end until it was joined
-there, and rounds go on until few edges change. A query's pool of nodes grows by
-the neighbours of its best nodes not yet looked at, until all of it is looked at.
+there, and rounds go on until few edges change. A query's pool of nodes starts
+with the list of its own node and grows by the neighbours of its best nodes not yet
+looked at, until all of it is looked at; a node is scored once a query.
+
+Hubs: a node joins, and a search goes on to, a fixed number of the nodes that have it
+in their lists. Both are picked before the shuffle, so a hub sends few rows a task.
 """
 
 from __future__ import annotations
@@ -21,17 +25,19 @@ from pyspark.sql import functions as F
 from .storage import written
 
 #: Neighbours of a node in the graph.
-DEGREE = 24
+DEGREE = 48
 #: Random cuts at the start and the nodes of a group.
-CUTS = 4
-GROUP = 512
+CUTS = 8
+GROUP = 1024
 #: Share of new edges in a round of NN-descent at which the graph counts as stable.
-DELTA = 0.01
+DELTA = 0.04
 #: Half the fresh, and half the other, neighbours that a node joins in a round.
-JOINED = 10
+JOINED = 20
+#: Nearest of a node's neighbours that a search goes on to, and as many of those that have it among theirs.
+LINKED = 24
 #: Best nodes of a query that stay in its pool, and those expanded in a hop.
-POOL = 320
-EXPANDED = 96
+POOL = 96
+EXPANDED = 32
 #: Entry nodes of queries that are not in the graph.
 ENTRIES = 64
 
@@ -163,26 +169,39 @@ def _scored(pairs: DataFrame, queries: DataFrame, nodes: DataFrame) -> DataFrame
     return sides.select("query", "near", "q", "x").mapInArrow(_score_rows, "query long, near long, score double")
 
 
-def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pool: int = POOL) -> DataFrame:
-    """(query, near, score): each query's best nodes found. ``queries`` has query, q and node, its own node or null."""
-    links = graph.select("node", "near").union(graph.select(F.col("near").alias("node"), F.col("node").alias("near"))).distinct()
-    links = written(links, "links")
+def _links(graph: DataFrame) -> DataFrame:
+    """(node, near): the LINKED best neighbours of each node, and the LINKED best nodes that have it among theirs."""
+    own = _best(graph.select("node", "near", "score"), "node", LINKED)
+    back = _best(own.select(F.col("near").alias("node"), F.col("node").alias("near"), "score"), "node", LINKED)
+    return own.union(back).select("node", "near").distinct()
+
+
+def search_graph(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pool: int = POOL) -> tuple[DataFrame, DataFrame]:
+    """(query, near, score): each query's best nodes found; and (query, near) of all pairs scored.
+
+    ``queries`` has query, q and node, its own node or null.
+    """
+    links = written(_links(graph), "links")
     entries = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(ENTRIES).withColumn("one", F.lit(1))
     foreign = queries.where("node is null").select("query", F.lit(1).alias("one")).join(F.broadcast(entries), "one").select("query", F.col("node").alias("near"))
-    start = queries.where("node is not null").select("query", F.col("node").alias("near")).union(foreign)
-    found = written(_scored(start, queries, nodes).withColumn("seen", F.lit(False)), "pool")
+    known = queries.where("node is not null").select("query", "node")
+    start = known.withColumnRenamed("node", "near").union(known.join(graph, "node").select("query", "near")).union(foreign)
+    new = written(_scored(start.distinct(), queries, nodes), "scored")
+    scored = new.select("query", "near")
+    found = new.withColumn("seen", F.lit(False))
     while True:
-        place = F.row_number().over(Window.partitionBy("query", "seen").orderBy(F.desc("score"), "near"))
-        marked = found.withColumn("next", ~F.col("seen") & (place <= EXPANDED))
-        frontier = marked.where("next").select("query", F.col("near").alias("node"))
-        near = frontier.join(links, "node").select("query", "near").distinct()
-        new = _scored(near.join(found.select("query", "near"), ["query", "near"], "left_anti"), queries, nodes)
-        after = marked.select("query", "near", "score", (F.col("seen") | F.col("next")).alias("seen")).union(new.withColumn("seen", F.lit(False)))
         place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "near"))
-        found = written(after.withColumn("place", place).where(F.col("place") <= pool).drop("place"), "pool")
-        if found.where("not seen").isEmpty():
+        found = found.withColumn("place", place).where(F.col("place") <= pool).drop("place")
+        turn = F.row_number().over(Window.partitionBy("query", "seen").orderBy(F.desc("score"), "near"))
+        found = written(found.withColumn("next", ~F.col("seen") & (turn <= EXPANDED)), "pool")
+        frontier = found.where("next").select("query", F.col("near").alias("node"))
+        if frontier.isEmpty():
             break
-    return found.select("query", "near", "score")
+        near = frontier.join(links, "node").select("query", "near").distinct().join(scored, ["query", "near"], "left_anti")
+        new = written(_scored(near, queries, nodes), "scored")
+        scored = scored.union(new.select("query", "near"))
+        found = found.select("query", "near", "score", (F.col("seen") | F.col("next")).alias("seen")).union(new.withColumn("seen", F.lit(False)))
+    return found.select("query", "near", "score"), scored
 
 
 def nearest(vectors: DataFrame, is_query, id: str = "vec_id", vector: str = "embedding", k: int = 20) -> DataFrame:
@@ -208,7 +227,7 @@ def nearest(vectors: DataFrame, is_query, id: str = "vec_id", vector: str = "emb
     queries = written(queries, "queries")
     # one search for equal queries
     asked = queries.groupBy("node").agg(F.first("q").alias("q")).select(F.col("node").alias("query"), "q", "node")
-    pool = search_graph(asked, nodes, graph)
+    pool, _ = search_graph(asked, nodes, graph)
     close = _best(pool, "query", 2 * k + 1).select(F.col("query").alias("node"), F.col("near").alias("hit"))
     answers = queries.select("query", "v", "node").join(close, "node")
     held = members.select("key", F.col("id").alias("vec_id"), F.col("v").alias("w")).join(nodes.select("key", F.col("node").alias("hit")), "key")

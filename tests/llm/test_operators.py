@@ -301,7 +301,18 @@ def test_search_goes_on_until_all_is_seen(spark):
     nodes = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(10)], "node long, x array<float>")
     graph = spark.createDataFrame([(i, i + 1, 0.0) for i in range(9)], "node long, near long, score double")
     queries = spark.createDataFrame([(0, [1.0, 0.0], 0)], "query long, q array<float>, node long")
-    assert {r.near for r in neighbours.search_graph(queries, nodes, graph).collect()} == set(range(10))
+    found, scored = neighbours.search_graph(queries, nodes, graph)
+    assert {r.near for r in found.collect()} == set(range(10))
+    pairs = [(r["query"], r.near) for r in scored.collect()]
+    assert len(pairs) == len(set(pairs)) == 10
+
+
+def test_links_of_a_hub_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LINKED", 3)
+    graph = spark.createDataFrame([(i, 0, float(i)) for i in range(1, 200)] + [(0, 5, 5.0)], "node long, near long, score double")
+    links = {(r.node, r.near) for r in neighbours._links(graph).collect()}
+    assert {y for x, y in links if x == 0} == {5, 197, 198, 199}
+    assert all((i, 0) in links for i in range(1, 200))
 
 
 def test_mixing_over_many_cycles(spark):
