@@ -14,11 +14,15 @@ def stacked(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def cover_faults(units: DataFrame, masks: DataFrame, key: str) -> DataFrame:
-    """Units that masks name more than once, or not at all."""
-    twice = masks.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    missing = units.select(key).distinct().join(masks, key, "left_anti").withColumn("n", F.lit(0).cast("long"))
-    return twice.unionByName(missing)
+def cover_faults(units: DataFrame, masks: DataFrame, *keys: str) -> DataFrame:
+    """Units that masks name more than once, or not at all: (keys, n).
+
+    All of ``keys`` together tell units apart, as codes may repeat; null is equal to null there.
+    """
+    named = masks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    # a row per key of either side, counted without a join, so that null keys meet
+    sides = units.select(*keys, F.lit(0).cast("long").alias("n")).distinct().unionByName(named)
+    return sides.groupBy(*keys).agg(F.sum("n").alias("n")).where("n <> 1")
 
 
 def differing_rows(a: DataFrame, b: DataFrame, tolerance: float = 0.01) -> DataFrame:

@@ -10,7 +10,7 @@ from cadastra.plans.queries import ORACLES, QUERIES
 FOLDER = "/root/testdata/sf0.001"
 #: Rows of units: two that share three digits and the country, and one beyond 65 degrees.
 ROWS = (1322, 1327, 8192)
-FAR = ("g03_projection",)
+FAR = ("g03_projection", "u02_cover_faults")
 
 
 @pytest.fixture(scope="module")
