@@ -60,14 +60,17 @@ def area(shape: Column) -> Column:
 
 def centroid(shape: Column) -> Column:
     """Centre of mass, holes taken out; null where there is no area."""
-    first = shape[0][0]
-    local = F.transform(edges(shape), lambda e: F.struct(*[F.struct(*[(e[v][c] - first[c]).alias(c) for c in "xy"]).alias(v) for v in "ab"]))
+    def local(own: Column, first: Column) -> Column:
+        return F.transform(edges(own), lambda e: F.struct(*[F.struct(*[(e[v][c] - first[c]).alias(c) for c in "xy"]).alias(v) for v in "ab"]))
 
-    def total(term) -> Column:
-        return F.aggregate(local, F.lit(0.0), lambda s, e: s + term(e["a"], e["b"]) * (e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]))
+    def total(turns: Column, term) -> Column:
+        return F.aggregate(turns, F.lit(0.0), lambda s, e: s + term(e["a"], e["b"]) * (e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]))
 
-    six = total(lambda a, b: F.lit(3.0))
-    return F.struct(*[(first[c] + F.try_divide(total(lambda a, b, c=c: a[c] + b[c]), six)).alias(c) for c in "xy"])
+    def placed(turns: Column, first: Column) -> Column:
+        six = total(turns, lambda a, b: F.lit(3.0))
+        return F.struct(*[(first[c] + F.try_divide(total(turns, lambda a, b, c=c: a[c] + b[c]), six)).alias(c) for c in "xy"])
+
+    return geom.bound(shape, lambda own: geom.bound(own[0][0], lambda first: geom.bound(local(own, first), lambda turns: placed(turns, first))))
 
 
 def bbox(shape: Column) -> Column:
