@@ -63,9 +63,18 @@ def duplicate_members(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where("_n > 1").drop("_n")
 
 
+#: Rows that a task counts.
+COUNTED_ROWS = 500_000
+
+
 def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows, rows after dropping identical ones, and rows after dropping repeated keys."""
-    grouped = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows, rows after dropping identical ones, and rows after dropping repeated keys.
+
+    Rows are dealt by key to partitions of about COUNTED_ROWS, so the memory of a task
+    does not grow with the table; only a key of more rows than that goes beyond it.
+    """
+    dealt = df.repartition(df.count() // COUNTED_ROWS + 1, *keys)
+    grouped = dealt.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     keyed = grouped.groupBy(*keys).agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("kept"))
     return keyed.agg(F.sum("rows").alias("n_rows"), F.sum("kept").alias("n_distinct"), F.count(F.lit(1)).alias("n_keys"))
 

@@ -56,3 +56,11 @@ def test_numbers_within_groups_of_any_size(spark):
     files = spark.read.parquet(*[f for f in out.inputFiles() if "/ranges-" in f]).where("g = 'big'").select("_p").distinct()
     assert files.count() > 12
     assert dedup.numbered(rows.where("false"), ["g"], ["k"]).count() == 0
+
+
+def test_duplicates_are_counted_in_small_parts(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "COUNTED_ROWS", 100)
+    rows = spark.range(1000).select((F.col("id") % 300).alias("k"), (F.col("id") % 500).alias("v")).unionByName(spark.createDataFrame([(None, 1), (None, 1)], "k long, v long"))
+    out = dedup.duplicate_counts(rows, ["k"])
+    assert "hashpartitioning(k" in (plan := out._jdf.queryExecution().executedPlan().toString()) and ", 11)" in plan
+    assert tuple(out.first()) == (1002, len({(i % 300, i % 500) for i in range(1000)}) + 1, 301)
