@@ -232,7 +232,7 @@ def _overlaps(a: pa.Array, b: pa.Array, limits: list[Fraction]) -> pa.Array:
     rows = np.flatnonzero(doubt)
     for k, (x, y) in zip(rows.tolist(), zip(a.take(pa.array(rows)).to_pylist(), b.take(pa.array(rows)).to_pylist(), strict=True), strict=True):
         common, area_a, area_b = exact_areas(x, y)
-        area[k] = float(common)
+        area[k], smaller[k] = float(common), float(min(area_a, area_b))
         larger[k] = (area_a > area_b) - (area_a < area_b)
         for side, limit in zip(sides, limits, strict=True):
             bound = limit * min(area_a, area_b)
@@ -240,11 +240,11 @@ def _overlaps(a: pa.Array, b: pa.Array, limits: list[Fraction]) -> pa.Array:
     offsets = pa.array(np.arange(0, len(limits) * n + 1, max(len(limits), 1))[: n + 1] if limits else np.zeros(n + 1), pa.int32())
     flat = np.stack(sides, axis=1).ravel() if limits else np.zeros(0)
     found = pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int8), pa.int8()))
-    return pa.StructArray.from_arrays([pa.array(area), pa.array(larger.astype(np.int8), pa.int8()), found], names=["area", "larger", "sides"])
+    return pa.StructArray.from_arrays([pa.array(area), pa.array(larger.astype(np.int8), pa.int8()), found, pa.array(smaller)], names=["area", "larger", "sides", "smaller"])
 
 
 def overlap(a: Column, b: Column, limits: Sequence[str] = ("0",)) -> Column:
-    """Struct of area (common), larger and sides.
+    """Struct of area (common), larger, sides and smaller (the smaller shape's area).
 
     ``sides`` tells for each limit (a decimal number as text) whether the common area is above (1), at
     (0) or below (-1) that share of the smaller shape's area; ``larger`` whether a's
@@ -256,7 +256,7 @@ def overlap(a: Column, b: Column, limits: Sequence[str] = ("0",)) -> Column:
     """
     bounds = [Fraction(x) for x in limits]
 
-    @F.arrow_udf("area double, larger tinyint, sides array<tinyint>")
+    @F.arrow_udf("area double, larger tinyint, sides array<tinyint>, smaller double")
     def run(x: pa.Array, y: pa.Array) -> pa.Array:
         there = pc.and_(x.is_valid(), y.is_valid())
         if pc.all(there).as_py() is not False:

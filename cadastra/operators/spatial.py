@@ -10,10 +10,11 @@ as a usual box.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geom, shape
+from ..sources.tables import written
 
 CELL = 60.0
 BOX = ("xmin", "ymin", "xmax", "ymax")
@@ -22,9 +23,8 @@ BOX = ("xmin", "ymin", "xmax", "ymax")
 def _celled(df: DataFrame, size: float, side: str, margin: float = 0.0) -> DataFrame:
     xs = F.sequence(geom.cell(F.col("xmin") - margin, size), geom.cell(F.col("xmax") + margin, size))
     ys = F.sequence(geom.cell(F.col("ymin") - margin, size), geom.cell(F.col("ymax") + margin, size))
-    cells = F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
-    own = df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns], F.explode(cells).alias("cell"))
-    return own.select("cell.cx", "cell.cy", *[c for c in own.columns if c != "cell"])
+    own = df.withColumns({"_cx": F.explode(xs), "_ys": ys}).withColumn("_cy", F.explode("_ys"))
+    return own.select(F.col("_cx").alias("cx"), F.col("_cy").alias("cy"), *[F.col(c).alias(f"{side}_{c}") for c in df.columns])
 
 
 def box_pairs(a: DataFrame, b: DataFrame, size: float = CELL, margin: float = 0.0) -> DataFrame:
@@ -41,15 +41,12 @@ def boxed(df: DataFrame) -> DataFrame:
     return df.withColumn("_b", shape.bbox(F.col("shape"))).select(*df.columns, "_b.*")
 
 
-def _area(side: str) -> Column:
-    return shape.area(F.col(f"{side}_shape"))
-
-
 def _overlapped(pairs: DataFrame, *limits: str) -> DataFrame:
     """``pairs`` with a common area: overlap, ratio to the smaller area, and the signs of :func:`shape.overlap` in larger and sides."""
-    found = pairs.withColumn("_o", shape.overlap(F.col("a_shape"), F.col("b_shape"), ("0", *limits))).where("_o.sides[0] > 0")
-    out = found.select(*pairs.columns, F.col("_o.area").alias("overlap"), F.col("_o.larger").alias("larger"), F.col("_o.sides").alias("sides"))
-    return out.withColumn("ratio", F.try_divide("overlap", F.least(_area("a"), _area("b"))))
+    # boxes that only touch have no area in common
+    met = pairs.where("a_xmin < b_xmax and b_xmin < a_xmax and a_ymin < b_ymax and b_ymin < a_ymax")
+    found = met.withColumn("_o", shape.overlap(F.col("a_shape"), F.col("b_shape"), ("0", *limits))).where("_o.sides[0] > 0")
+    return found.select(*pairs.columns, F.col("_o.area").alias("overlap"), F.col("_o.larger").alias("larger"), F.col("_o.sides").alias("sides"), F.try_divide("_o.area", "_o.smaller").alias("ratio"))
 
 
 def overlap_pairs(a: DataFrame, b: DataFrame, size: float = CELL) -> DataFrame:
@@ -71,8 +68,9 @@ def match_footprints(a: DataFrame, b: DataFrame, hi: str = "0.8", lo: str = "0.2
 
     matching: a pair with a ratio above ``hi``; non-matching: a row of b whose
     largest ratio is below ``lo`` or that meets nothing; unsure: any other row of b.
+    Pairs, without shapes, are written, as they are read twice.
     """
-    pairs = _overlapped(box_pairs(a, b, size), hi, lo).select("a_id", "b_id", "ratio", F.col("sides")[1].alias("above"), F.col("sides")[2].alias("low"))
+    pairs = written(_overlapped(box_pairs(a, b, size), hi, lo).select("a_id", "b_id", "ratio", F.col("sides")[1].alias("above"), F.col("sides")[2].alias("low")), "pairs")
     best = pairs.groupBy("b_id").agg(F.max("ratio").alias("best"), F.max("above").alias("above"), F.max("low").alias("low"))
     rows = b.select(F.col("id").alias("b_id")).join(best, "b_id", "left")
     status = F.when(F.coalesce("low", F.lit(-1)) < 0, "non-matching").otherwise("unsure")
