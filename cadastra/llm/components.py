@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import bounded, written
 
 #: Edges up to which one task joins the nodes by itself; more take distributed rounds.
 TASK_EDGES = 1_000_000
@@ -46,10 +46,13 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """
     pairs = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = written(pairs, "cc")
-    if pairs.count() <= TASK_EDGES:
+    n = pairs.count()
+    if n <= TASK_EDGES:
         kind = pairs.schema["a"].dataType
         arrow = pa.binary() if kind.simpleString() == "binary" else pa.string() if kind.simpleString() == "string" else pa.int64()
-        return pairs.coalesce(1).mapInArrow(_joined(arrow), f"node {kind.simpleString()}, component {kind.simpleString()}")
+        # a node of each edge and one of each component
+        return bounded(pairs.coalesce(1).mapInArrow(_joined(arrow), f"node {kind.simpleString()}, component {kind.simpleString()}"), n)
+    pairs = bounded(pairs, n)
     for _ in range(max_rounds):
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -57,7 +60,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         hung = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = hung.where("a != b").union(low.select("a", F.col("m").alias("b"))).distinct()
-        after = written(small, "cc")
+        after = bounded(written(small, "cc"))
         same = after.join(pairs, ["a", "b"], "left_anti").isEmpty() and pairs.join(after, ["a", "b"], "left_anti").isEmpty()
         pairs = after
         if same:

@@ -11,13 +11,15 @@ left lies in buckets of equal prefix tokens. First every text is compared with
 one pivot of its buckets, the text that shares most with all others: the one that
 a group was copied from, if it is there, as the copies lack some of its tokens.
 Buckets that then hold several groups are left. Small ones give pairs; pairs and
-large buckets tie texts to clusters, which are cut into blocks of bounded size.
-A task takes two blocks and compares texts of different groups that pass the
-filters of all orders. No pairs are emitted within a large bucket.
+large buckets tie texts to clusters, which are cut into bands of set sizes, and
+those into blocks of bounded size. A task takes two blocks, of a band or of two
+neighbouring ones, and compares texts of different groups that pass the filters
+of all orders. No pairs are emitted within a large bucket.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import distinct_texts, text_batches, text_key, written
+from .storage import bounded, distinct_texts, text_batches, text_key, unbroadcast, written
 from .words import Words, chunks, mix, shingle_sets
 
 SHINGLE = 5
@@ -81,8 +83,9 @@ def _profile_rows(k: int, slots: int, keys: bool) -> Callable:
 def _levels(sketch: DataFrame, slots: int) -> np.ndarray:
     """How far above the mean a slot's count is, in half powers of two; the driver holds ``slots`` numbers."""
     counts = np.zeros(slots)
-    for slot, count in sketch.where("slot is not null").groupBy("slot").agg(F.sum("count")).collect():
-        counts[slot] = count
+    # as columns: rows of Python objects take a hundred bytes a number
+    summed = sketch.where("slot is not null").groupBy("slot").agg(F.sum("count").alias("count")).toArrow()
+    counts[summed["slot"].to_numpy()] = summed["count"].to_numpy()
     mean = max(counts.mean(), 1)
     return np.maximum(0, np.floor(2 * np.log2(np.maximum(counts, 1) / mean))).astype(np.uint64)
 
@@ -248,7 +251,8 @@ def text_components(docs: DataFrame, text: str = "text", k: int = SHINGLE, perce
     )
     sizes = profile.where("key is not null").groupBy("key").agg(F.first("n_shingles").alias("n_shingles"))
     # nodes are numbers, so that tokens travel with 8 bytes of their text
-    sizes = written(sizes.withColumn("node", F.monotonically_increasing_id()), "sizes")
+    # a row per text: its joins never go through the driver
+    sizes = unbroadcast(written(sizes.withColumn("node", F.monotonically_increasing_id()), "sizes"))
     sketches = [_levels(profile, SLOTS[0])]
     levels = spark.sparkContext.broadcast(sketches)
 
@@ -258,7 +262,7 @@ def text_components(docs: DataFrame, text: str = "text", k: int = SHINGLE, perce
     alive = _shared(rows, "node").groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
     alive = alive.join(sizes.select("node", F.col("n_shingles").alias("n")), "node").where(F.col("shared") >= _needed(percent)).select("node")
     alive = sizes.where("n_shingles > 0").join(alive, "node").select("key", "node", F.col("n_shingles").alias("n"))
-    first = distinct_texts(docs, text).join(alive, "key").select("node", "text", "copies", "n")
+    first = distinct_texts(docs, text).join(unbroadcast(alive), "key").select("node", "text", "copies", "n")
     first = written(first, "survivors")
     sketches.append(_levels(first.select("text").mapInArrow(_profile_rows(k, SLOTS[1], False), _SKETCH), SLOTS[1]))
     levels = spark.sparkContext.broadcast(sketches)
@@ -301,7 +305,7 @@ def text_components(docs: DataFrame, text: str = "text", k: int = SHINGLE, perce
     best = best.groupBy("node").agg(F.max_by("node_b", F.struct("shared", -F.col("node_b"))).alias("b"))
     best = best.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
     links = written(_carried(best, source, k, levels, percent).where("linked").select("a", "b"), "links")
-    labels = written(components(links), "labels")
+    labels = bounded(written(components(links), "labels"))
 
     # then the buckets of several components
     members = pruned(buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "members")
@@ -322,12 +326,21 @@ def text_components(docs: DataFrame, text: str = "text", k: int = SHINGLE, perce
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     # a cluster of one component is done
     open_ = inside.groupBy("cluster").agg(blocks.alias("blocks"), F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("cluster", "blocks")
-    own = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    dealt = inside.join(open_, "cluster").select("cluster", "node", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    both = F.xxhash64("cluster", F.least("own", "other"), F.greatest("own", "other"))
-    dealt = dealt.select(both.alias("cluster"), "node", "component", (F.col("own") > F.col("other")).alias("side"), (F.col("own") == F.col("other")).alias("one"))
-    dealt = dealt.join(source, "node").repartition("cluster").sortWithinPartitions("cluster", "node")
-    dealt = dealt.select("cluster", "node", "component", F.col("side").cast("int").alias("side"), "one", "text")
+    # the sizes of a link are of one band or of neighbouring ones; bands are a little wider than that, for rounding
+    band = F.when(F.col("blocks") > 1, F.floor(F.log("n") / math.log(1.005 * 100 / percent))).otherwise(0)
+    banded = inside.join(open_, "cluster").select("cluster", "node", "n", "component", band.alias("band"))
+    bands = banded.groupBy("cluster", "band").agg(blocks.alias("blocks"))
+    others = bands.select("cluster", F.explode(F.array(*map(F.lit, (-1, 0, 1)))).alias("step"), "band", F.col("blocks").alias("others")).withColumn("band", F.col("band") - F.col("step"))
+    sides = banded.join(bands.join(others, ["cluster", "band"]), ["cluster", "band"])
+    # a row per text and band to compare it with; it is multiplied by that band's blocks where it is sent to them
+    sides = sides.select("cluster", "node", "component", "band", "step", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("own"), "others")
+    dealt = unbroadcast(sides).join(source, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    upper = F.when(F.col("step") == 0, F.col("own") > F.col("other")).otherwise(F.col("step") < 0)
+    ends = [F.when(upper, x).otherwise(y) for x, y in ((F.col("other"), F.col("own")), (F.col("own"), F.col("other")))]
+    both = F.xxhash64("cluster", F.least("band", F.col("band") + F.col("step")), F.abs("step"), *ends)
+    one = (F.col("step") == 0) & (F.col("own") == F.col("other"))
+    dealt = dealt.select(both.alias("cluster"), "node", "component", upper.cast("int").alias("side"), one.alias("one"), "text")
+    dealt = dealt.repartition("cluster").sortWithinPartitions("cluster", "node")
     found = written(dealt.mapInArrow(_cluster_rows(k, levels, percent), "a long, b long, linked boolean").select("a", "b"), "links")
     labels = components(links.union(found))
     named = labels.join(sizes.select("node", "key"), "node").join(sizes.select(F.col("node").alias("component"), F.col("key").alias("class")), "component")

@@ -50,8 +50,8 @@ def text_batches(df: DataFrame) -> None:
         df.sparkSession.conf.set(name, BATCH_ROWS)
 
 
-#: Rows of ids or keys that are broadcast; more are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Rows of ids or keys that are broadcast; more are shuffled. Their hash table takes up to some 130 bytes a row in the driver.
+BROADCAST_ROWS = 500_000
 
 
 def sized(df: DataFrame) -> DataFrame:
@@ -59,6 +59,21 @@ def sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def bounded(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A written frame of short rows that a join may broadcast only if it has BROADCAST_ROWS or fewer; ``rows``: their number, if known.
+
+    Spark takes the compressed size of the columns read for the size of a written
+    table. For numbers that rise by one that is a thirtieth of the hash table,
+    which the driver builds, so tables of millions of rows would be broadcast.
+    """
+    return unbroadcast(df) if (df.count() if rows is None else rows) > BROADCAST_ROWS else df
+
+
+def unbroadcast(df: DataFrame) -> DataFrame:
+    """The frame with a mark that joins with it, or with what is selected from it, move both sides."""
+    return df.hint("merge")
+
+
 def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per distinct non-null text: key (MD5, 16 bytes), text, copies.
 
