@@ -56,3 +56,18 @@ def test_sizes_of_many_bands(spark, monkeypatch):
         want.add((i, n, first))
     assert {tuple(r) for r in jaccard_join.jaccard_components(docs).select("doc_id", "n_shingles", "component_id").collect()} == want
     assert len({c for *_, c in want}) == 3
+
+
+def test_pipeline_stage_shuffles_keys_of_texts(spark, docs, monkeypatch):
+    import corpus_pipeline
+
+    found = {}
+
+    def kept(df, name):
+        found[name] = df._jdf.queryExecution().executedPlan().toString()
+        return storage.written(df, name)
+
+    monkeypatch.setattr(corpus_pipeline, "written", kept)
+    rows = docs.selectExpr("doc_id", "text", "'en' AS lang", "'a' AS source", "length(text) + 0L AS n_chars")
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, rows, "").collect()] == [0]
+    assert "Broadcast" not in found["held"]
